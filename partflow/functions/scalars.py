@@ -61,7 +61,7 @@ def emptiness(arr) -> Column:
 def lookup_id(kind: str, car: str = "car") -> Column:
     """which id is looked up for a part kind (the first wheel for WHEEL)."""
     if kind == "WHEEL":
-        return F.element_at(F.col(f"{car}.wheels"), 1).getField("id")
+        return F.try_element_at(F.col(f"{car}.wheels"), F.lit(1)).getField("id")
     field = {"BODY": "body", "ENGINE": "engine", "REMOTE_CONTROL": "remoteControl"}[kind]
     return F.col(f"{car}.{field}.id")
 

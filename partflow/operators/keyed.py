@@ -28,7 +28,8 @@ def _cols(x) -> list[str]:
 def time_bucket(ts: str | Column, seconds: int) -> Column:
     """Bucket number of a timestamp for buckets of ``seconds`` length."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_micros(c) / F.lit(seconds * 1_000_000)).cast("long")
+    micros = F.unix_micros(c.cast("timestamp"))  # NTZ and LTZ alike; session is UTC
+    return F.floor(micros / F.lit(seconds * 1_000_000)).cast("long")
 
 
 def _with_bucket(df: DataFrame, bucket: Column | str) -> DataFrame:

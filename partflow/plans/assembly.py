@@ -82,7 +82,7 @@ def price_ids(policy: str) -> dict[str, Column]:
     ids = {"BODY": F.col("body.id")}
     if policy == "documented":
         ids.update({"ENGINE": F.col("engine.id"), "REMOTE_CONTROL": F.col("remote.id"),
-                    "WHEEL": F.element_at("wheels", 1)["id"]})
+                    "WHEEL": F.try_element_at("wheels", F.lit(1))["id"]})
     return ids
 
 
@@ -128,5 +128,47 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*[c.alias(n) for n, c in cols.items()])
 
 
-__all__ = ["assemble", "body_engine", "car_remote", "car_wheels", "flat", "price",
+def _part(kind: str) -> Column:
+    return F.struct(F.col("sku").cast("string").alias("sku"), F.lit(kind).alias("partName"),
+                    F.lit(0.0).alias("price"), F.lit("").alias("productName"))
+
+
+def to_record(cars: DataFrame) -> DataFrame:
+    """Assembled cars as RCCar-shaped records (parts carry a ``part`` struct), keyed by
+    ``sku`` and kept with their emit time ``ts``."""
+    def opt(side: str, rec: Column) -> Column:
+        return F.when(F.col(side).isNotNull(), rec)
+    body = opt("body", F.struct(_part("BODY").alias("part"),
+                                F.col("body.id").cast("string").alias("id"),
+                                F.lit(None).cast("string").alias("color"),
+                                F.lit(None).cast("string").alias("material"),
+                                F.lit(None).cast("float").alias("weight")))
+    engine = opt("engine", F.struct(_part("ENGINE").alias("part"),
+                                    F.col("engine.id").cast("string").alias("id")))
+    remote = opt("remote", F.struct(_part("REMOTE_CONTROL").alias("part"),
+                                    F.col("remote.id").cast("string").alias("id"),
+                                    F.lit(None).cast("string").alias("channelFrequency")))
+    wheels = F.transform("wheels", lambda w: F.struct(
+        F.struct(F.col("sku").cast("string").alias("sku"), F.lit("WHEEL").alias("partName"),
+                 F.lit(0.0).alias("price"), F.lit("").alias("productName")).alias("part"),
+        w["id"].cast("string").alias("id"), w["placement"].alias("placement")))
+    total = F.col("total_price") if "total_price" in cars.columns else F.lit(0.0)
+    return cars.select("sku", "ts", body.alias("body"), engine.alias("engine"),
+                       remote.alias("remoteControl"), wheels.alias("wheels"),
+                       total.alias("totalPrice"), "situation")
+
+
+def wheel_price_parts(parts: dict[str, DataFrame]) -> DataFrame:
+    """JN5 fixture: per sku, a priced WHEEL part from the sku's first wheel line
+    (line 3) and the price table; it arrives with that wheel."""
+    from partflow.functions.scalars import money
+    from partflow.operators.sizing import bounded_broadcast
+    w = parts["wheel"].filter(F.col("ln") == fx.WHEEL_LINES[0])
+    j = w.join(bounded_broadcast(parts["prices"]), "id")
+    return j.select("sku", "ts", F.struct(
+        F.col("sku").cast("string").alias("sku"), F.lit("WHEEL").alias("partName"),
+        money("price").alias("price"), F.lit("").alias("productName")).alias("part"))
+
+
+__all__ = ["to_record", "wheel_price_parts", "assemble", "body_engine", "car_remote", "car_wheels", "flat", "price",
            "price_by_fetch", "route_counts", "routes", "single_cars"]

@@ -9,9 +9,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partflow.functions.scalars import json_number, kind_label as label_of
 from partflow.operators import text
+from partflow.operators.waitjoins import patch_join
 from partflow.plans import assembly as A
+from partflow.plans import events as E
+from partflow.session import scratch_path
+from partflow.sinks.topics import encode, write_file_topic
 from partflow.sources import fixtures as fx
+from partflow.sources.topics import decode, read_file_topic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +75,70 @@ def word_count(spark, sf_dir):
     return text.word_count(fx.text_lines(spark, sf_dir))
 
 
+def running_word_count(spark, sf_dir):
+    return text.running_word_count(fx.text_lines(spark, sf_dir))
+
+
+def last_three_tags(spark, sf_dir):
+    t = E.last_tax_tags(spark, sf_dir)
+    icms = F.transform("taxTags", lambda x: x["icms"])
+    return t.select("event_id", F.col("stateName").alias("state"),
+                    F.col("n_last").alias("n_tags"),
+                    *[F.try_element_at(icms, F.lit(i)).alias(f"icms_{i}") for i in (1, 2, 3)])
+
+
+def first_per_key(spark, sf_dir):
+    return E.first_body(spark, sf_dir)
+
+
+def latest_value_join(spark, sf_dir):
+    return E.latest_view_click(spark, sf_dir)
+
+
+def priced_wait_join(spark, sf_dir):
+    return E.priced_view_purchase(spark, sf_dir)
+
+
+def part_patch_join(spark, sf_dir):
+    parts = fx.car_parts(spark, sf_dir)
+    cars = A.to_record(A.assemble(parts, "code").filter(F.col("n_wheels") > 0))
+    patched = patch_join(cars, A.wheel_price_parts(parts), "sku")
+    first_price = F.try_element_at("wheels", F.lit(1))["part"]["price"]
+    return patched.select(
+        "sku", "ts", F.size("wheels").cast("long").alias("n_wheels"),
+        first_price.alias("wheel_price"),
+        F.size(F.filter("wheels", lambda w: w["part"]["price"] == first_price))
+        .cast("long").alias("priced_wheels"))
+
+
+def kind_label(spark, sf_dir):
+    parts = fx.car_parts(spark, sf_dir)
+    kinds = [("BODY", "body"), ("ENGINE", "engine"), ("REMOTE_CONTROL", "remote"),
+             ("WHEEL", "wheel")]
+    u = None
+    for kind, name in kinds:
+        k = parts[name].select(F.lit(kind).alias("kind"))
+        u = k if u is None else u.unionByName(k)
+    return (u.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+            .select("kind", label_of("kind").alias("label"), "n"))
+
+
+def json_price(spark, sf_dir):
+    e = E.events(spark, sf_dir, ("event_id", "props"))
+    return e.select("event_id", json_number("props", "k").alias("k"))
+
+
+def sink_round_trip(spark, sf_dir):
+    """Cars encoded to a file topic (key = sku bytes, JSON value), read back and
+    decoded strictly: the flat view equals the assembled cars."""
+    cars = A.flat(A.assemble(fx.car_parts(spark, sf_dir), "code")).drop("wheel_ids")
+    record = F.struct(*[c for c in cars.columns])
+    path = scratch_path(spark, "topic-cars")
+    write_file_topic(encode(cars, "sku", record), path)
+    back = decode(read_file_topic(spark, path), cars.schema)
+    return back.select("record.*")
+
+
 QUERIES: dict[str, Query] = {
     "body_engine_wait_join": body_engine_wait_join,
     "car_remote_wait_join": car_remote_wait_join,
@@ -80,4 +150,13 @@ QUERIES: dict[str, Query] = {
     "lookup_map_in_pandas": lookup_map_in_pandas,
     "route_counts": route_counts,
     "word_count": word_count,
+    "running_word_count": running_word_count,
+    "last_three_tags": last_three_tags,
+    "first_per_key": first_per_key,
+    "latest_value_join": latest_value_join,
+    "priced_wait_join": priced_wait_join,
+    "part_patch_join": part_patch_join,
+    "kind_label": kind_label,
+    "json_price": json_price,
+    "sink_round_trip": sink_round_trip,
 }

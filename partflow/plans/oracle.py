@@ -132,4 +132,66 @@ from (select unnest(case when text = '' then [''] when rtrim(text, ' ') = '' the
                          else string_split(rtrim(text, ' '), ' ') end) word
       from documents)
 group by word""",
+    "running_word_count": """
+select doc_id, pos, word, n, word || ':::' || cast(n as varchar) line from (
+  select doc_id, pos, word,
+         cast(count(*) over (partition by word order by doc_id, pos
+                             rows between unbounded preceding and current row) as bigint) n
+  from (select doc_id, unnest(w) word, cast(generate_subscripts(w, 1) as integer) pos
+        from (select doc_id,
+                     case when text = '' then [''] when rtrim(text, ' ') = '' then []
+                          else string_split(rtrim(text, ' '), ' ') end w
+              from documents)))""",
+    "last_three_tags": TAGS_CTE + """
+select event_id, state, cast(least(rn, 3) as bigint) n_tags,
+       case when rn >= 3 then l2 when rn = 2 then l1 else icms end icms_1,
+       case when rn >= 3 then l1 when rn = 2 then icms end icms_2,
+       case when rn >= 3 then icms end icms_3
+from (select event_id, state, icms,
+             row_number() over w rn, lag(icms, 1) over w l1, lag(icms, 2) over w l2
+      from tags window w as (partition by state order by ts, event_id))""",
+    "first_per_key": """
+select event_id, user_id, rn = 1 is_first,
+       case when rn = 1 then 'RUNNAWAY_DONKEY' else event_type end color
+from (select event_id, user_id, event_type,
+             row_number() over (partition by user_id order by ts, event_id) rn
+      from events)""",
+    "latest_value_join": """
+select user_id, event_id, ts, lv view_value, rv click_value from (
+  select user_id, event_id, ts,
+         last_value(case when event_type = 'view' then value end ignore nulls) over w lv,
+         last_value(case when event_type = 'click' then value end ignore nulls) over w rv
+  from events where event_type in ('view', 'click')
+  window w as (partition by user_id order by ts, event_id
+               rows between unbounded preceding and current row))
+where lv is not null and rv is not null""",
+    "priced_wait_join": """
+with firsts as (
+  select user_id, event_type, ts, value from (
+    select *, row_number() over (partition by user_id, event_type order by ts, event_id) rn
+    from events where event_type in ('view', 'purchase'))
+  where rn = 1),
+u as (select * from firsts where event_type = 'view'),
+p as (select * from firsts where event_type = 'purchase')
+select u.user_id,
+       case when p.ts <= u.ts then u.ts else u.ts + interval 12 hour end ts,
+       case when p.ts < u.ts + interval 12 hour then 'COMPLETE' else 'AWAITING_PRICE' end
+         situation,
+       case when p.ts < u.ts + interval 12 hour then p.value else u.value end value
+from u left join p on u.user_id = p.user_id""",
+    "part_patch_join": ASM_CTE + """
+select a.sku, greatest(a.ts, w.ts) ts, cast(a.n as bigint) n_wheels,
+       round_even(p.price, 2) wheel_price, cast(a.n as bigint) priced_wheels
+from asm a join wheel w on a.sku = w.sku and w.ln = 3 join prices p on w.id = p.id
+where a.n > 0""",
+    "kind_label": ASM_CTE + """
+select kind, replace(lower(kind), '_', '-') label, cast(count(*) as bigint) n from (
+  select 'BODY' kind from body union all select 'ENGINE' from engine
+  union all select 'REMOTE_CONTROL' from remote union all select 'WHEEL' from wheel)
+group by kind""",
+    "json_price": """
+select event_id, cast(json_extract_string(props, '$.k') as double) k from events""",
+    "sink_round_trip": ASM_CTE + """
+select sku, bid body_id, eid engine_id, rid remote_id, n n_wheels, ts,
+       sit_code situation from asm""",
 }
