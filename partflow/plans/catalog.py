@@ -14,6 +14,7 @@ from partflow.operators import text
 from partflow.operators.waitjoins import patch_join
 from partflow.plans import assembly as A
 from partflow.plans import events as E
+from partflow.plans import streams as S
 from partflow.session import scratch_path
 from partflow.sinks.topics import encode, write_file_topic
 from partflow.sources import fixtures as fx
@@ -159,4 +160,15 @@ QUERIES: dict[str, Query] = {
     "kind_label": kind_label,
     "json_price": json_price,
     "sink_round_trip": sink_round_trip,
+    "stream_body_engine_wait_join": S.body_engine,
+    "stream_car_remote_wait_join": S.car_remote,
+    "stream_car_wheels_wait_join": S.car_wheels,
+    "stream_assemble_code": S.assemble("code"),
+    "stream_assemble_documented": S.assemble("documented"),
+    "stream_route_counts": S.route_counts,
+    "stream_latest_value_join": S.latest_value_join,
+    "stream_last_three_tags": S.last_three_tags,
+    "stream_first_per_key": S.first_per_key,
+    "stream_priced_wait_join": S.priced_wait_join,
+    "stream_word_count": S.word_count,
 }
