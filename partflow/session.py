@@ -39,8 +39,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def apply_core_conf(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable part of CORE_CONF to an existing session."""
     for k, v in CORE_CONF.items():
-        if k.startswith("spark.sql.streaming.stateStore"):
-            continue  # fixed per checkpoint; set at session build time
         try:
             spark.conf.set(k, v)
         except Exception:  # pragma: no cover - static conf on a shared session
@@ -48,6 +46,29 @@ def apply_core_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``partflow`` importable on the executors (Python UDFs, ``mapInPandas`` and
+    the stateful processors reference it): zip the package into the shared folder and
+    ``addPyFile`` it, once per session."""
+    sc = spark.sparkContext
+    if getattr(sc, "_partflow_shipped", False):
+        return
+    import shutil
+
+    import partflow
+    from pyspark import cloudpickle
+    # The driver-side runner of transformWithState doesn't see addPyFile: pickling the
+    # package's classes and functions by value makes them travel with the plan.
+    cloudpickle.register_pickle_by_value(partflow)
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = scratch_path(spark, "partflow-pkg")
+    os.makedirs(base, exist_ok=True)
+    archive = shutil.make_archive(os.path.join(base, "partflow"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir="partflow")
+    sc.addPyFile(archive)
+    sc._partflow_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and written intermediate tables.
 

@@ -3,7 +3,11 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+# Python workers inherit this: they must import partflow and the test helpers.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [ROOT, os.path.join(ROOT, "tests"), os.environ.get("PYTHONPATH", "")])
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
