@@ -2,7 +2,7 @@
 
 Every operator has a batch form (DataFrame joins, aggregates and windows that
 Catalyst plans) and, where the semantics are stateful, a Structured Streaming
-form built on ``transformWithStateInPandas``.
+form built on ``transformWithState``.
 """
 
 __version__ = "0.1.0"

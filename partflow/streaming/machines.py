@@ -1,7 +1,7 @@
 """Per-key state machines of the stateful operators.
 
 A machine sees one key's arrivals in time order and decides what to emit; it owns no
-I/O. ``partflow.streaming.processor`` runs it inside ``transformWithStateInPandas``
+I/O. ``partflow.streaming.processor`` runs it inside ``transformWithState``
 (state in the RocksDB state store, deadlines as event-time timers).
 
 Arrivals are ``(t_ms, seq, side, payload)``; payloads are JSON texts passed through

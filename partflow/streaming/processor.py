@@ -1,4 +1,6 @@
-"""``transformWithStateInPandas`` processor that runs a machine per key.
+"""``transformWithState`` processor that runs a machine per key (the Row form: most
+keys see one or two rows per micro-batch, where building pandas frames per key would
+cost more than the work).
 
 State per key: one value state holding the machine's small state as JSON, and one list
 state for rows a machine collects (JN3 wheels): appended one by one, never rewritten.
@@ -14,7 +16,7 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -53,7 +55,8 @@ class MachineProcessor(StatefulProcessor):
         self.items = _ListItems(handle.getListState("items", ITEM_SCHEMA))
 
     def _load(self) -> dict:
-        return json.loads(self.st.get()[0]) if self.st.exists() else {}
+        got = self.st.get()  # one call; None when the key has no state
+        return json.loads(got[0]) if got else {}
 
     def _finish(self, key: str, st: dict, outs):
         due = self.machine.next_deadline(st)
@@ -69,16 +72,12 @@ class MachineProcessor(StatefulProcessor):
         else:
             st["_timer"] = want
             self.st.update((json.dumps(st),))
-        if outs:
-            yield pd.DataFrame({"key": [key] * len(outs), "ts_us": [o[0] for o in outs],
-                                "value": [o[1] for o in outs]})
+        for t, v in outs:
+            yield Row(key=key, ts_us=t, value=v)
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(
-            ["ts_us", "seq"], kind="stable")
+        arrivals = sorted((r.ts_us, r.seq, r.side, r.value) for r in rows)
         st = self._load()
-        arrivals = zip(pdf["ts_us"].astype("int64").tolist(), pdf["seq"].astype("int64").tolist(),
-                       pdf["side"].tolist(), pdf["value"].tolist())
         outs = drive(self.machine, st, self.items, arrivals)
         yield from self._finish(key[0], st, outs)
 

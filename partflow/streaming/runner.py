@@ -4,7 +4,7 @@ Input is a *topic frame*: ``key string, side string, ts timestamp, seq long, val
 string`` (JSON payload), read from Kafka or from a file topic. The query is
 
     readStream -> withWatermark(ts, 0) -> groupBy(key)
-      -> transformWithStateInPandas(MachineProcessor, EventTime) -> writeStream
+      -> transformWithState(MachineProcessor, EventTime) -> writeStream
 
 with the output ``key, ts_us, value`` (emit time in microseconds). Sinks: a Parquet file sink (exactly-once through
 its batch log) or ``foreachBatch``; the checkpoint holds source offsets and the RocksDB
@@ -76,8 +76,8 @@ def machine_stream(source: DataFrame, machine: Machine) -> DataFrame:
     """The stateful stage on a streaming topic frame."""
     src = source.withColumn("ts_us", F.unix_micros("ts")).withWatermark("ts", "0 seconds")
     return (src.groupBy("key")
-            .transformWithStateInPandas(MachineProcessor(machine), OUTPUT_SCHEMA,
-                                        "Append", "EventTime"))
+            .transformWithState(MachineProcessor(machine), OUTPUT_SCHEMA, "Append",
+                                "EventTime"))
 
 
 def run_to_end(spark: SparkSession, topic_path: str, machine: Machine,
