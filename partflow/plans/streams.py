@@ -26,15 +26,10 @@ CAR_WAIT_US = 700 * DAY_US
 PRICED_WAIT_US = 12 * 3_600_000_000
 CAR_WAIT_MS = CAR_WAIT_US // 1000
 PRICED_WAIT_MS = PRICED_WAIT_US // 1000
+ASM_HORIZON_MS = 3 * CAR_WAIT_MS + 1  # three waits in a chain
 SLICES = 4
 
 
-def _topic(spark: SparkSession, frame: DataFrame, name: str, horizon_ms: int) -> str:
-    path = scratch_path(spark, f"topic-{name}")
-    R.write_time_sliced(spark, frame, path, SLICES, horizon_ms)
-    return path
-
-
 def _j(path: str, typ: str = "bigint"):
     return F.get_json_object("value", path).cast(typ)
 
@@ -49,8 +44,8 @@ def body_engine(spark, sf_dir):
     parts = fx.car_parts(spark, sf_dir)
     frame = R.topic_frame(parts["body"], "sku", "body", payload=["id"]).unionByName(
         R.topic_frame(parts["engine"], "sku", "engine", payload=["id"]))
-    out = R.run_to_end(spark, _topic(spark, frame, "be", CAR_WAIT_MS + 1),
-                       WaitJoin("full", CAR_WAIT_US, "body", "engine"), "jn1")
+    out = R.run_sliced(spark, frame, WaitJoin("full", CAR_WAIT_US, "body", "engine"),
+                       "jn1", SLICES, CAR_WAIT_MS + 1)
     flat = out.select(F.col("key").cast("bigint").alias("sku"),
                       _j("$.body.id").alias("body_id"), _j("$.engine.id").alias("engine_id"),
                       "ts")
@@ -64,8 +59,8 @@ def car_remote(spark, sf_dir):
         "sku", "ts", F.col("body.id").alias("body_id"), F.col("engine.id").alias("engine_id"))
     frame = R.topic_frame(cars, "sku", "car", payload=["body_id", "engine_id"]).unionByName(
         R.topic_frame(parts["remote"], "sku", "remote", payload=["id"]))
-    out = R.run_to_end(spark, _topic(spark, frame, "cr", 2 * CAR_WAIT_MS + 1),
-                       WaitJoin("left", CAR_WAIT_US, "car", "remote"), "jn2")
+    out = R.run_sliced(spark, frame, WaitJoin("left", CAR_WAIT_US, "car", "remote"),
+                       "jn2", SLICES, 2 * CAR_WAIT_MS + 1)
     return out.select(F.col("key").cast("bigint").alias("sku"),
                       _j("$.car.body_id").alias("body_id"),
                       _j("$.car.engine_id").alias("engine_id"),
@@ -81,9 +76,9 @@ def car_wheels(spark, sf_dir):
     frame = R.topic_frame(cars, "sku", "car", payload=["body_id", "engine_id", "remote_id"]
                           ).unionByName(
         R.topic_frame(parts["wheel"], "sku", "wheel", seq="ln", payload=["id", "ln"]))
-    out = R.run_to_end(spark, _topic(spark, frame, "cw", 3 * CAR_WAIT_MS + 1),
+    out = R.run_sliced(spark, frame,
                        WaitJoin("collect", CAR_WAIT_US, "car", "wheel", EXPECTED_WHEELS),
-                       "jn3")
+                       "jn3", SLICES, 3 * CAR_WAIT_MS + 1)
     ids = F.from_json(F.get_json_object("value", "$.wheel"), "array<struct<id:bigint>>")
     return out.select(F.col("key").cast("bigint").alias("sku"),
                       _j("$.car.body_id").alias("body_id"),
@@ -94,14 +89,14 @@ def car_wheels(spark, sf_dir):
                       .alias("wheel_ids"), "ts")
 
 
-def assembly_topic(spark, sf_dir) -> str:
+def assembly_frame(spark, sf_dir) -> DataFrame:
     parts = fx.car_parts(spark, sf_dir)
     frame = (R.topic_frame(parts["body"], "sku", "body", payload=["id"])
              .unionByName(R.topic_frame(parts["engine"], "sku", "engine", payload=["id"]))
              .unionByName(R.topic_frame(parts["remote"], "sku", "remote", payload=["id"]))
              .unionByName(R.topic_frame(parts["wheel"], "sku", "wheel", seq="ln",
                                         payload=["id", "ln", "placement"])))
-    return _topic(spark, frame, "asm", 3 * CAR_WAIT_MS + 1)
+    return frame
 
 
 def assembled_cars(out: DataFrame) -> DataFrame:
@@ -120,8 +115,9 @@ def assembled_cars(out: DataFrame) -> DataFrame:
 def assemble(policy: str):
     """Job A, assembly stage, every sku (two-car skus included)."""
     def q(spark, sf_dir):
-        out = R.run_to_end(spark, assembly_topic(spark, sf_dir),
-                           Assembly(CAR_WAIT_US, EXPECTED_WHEELS, policy), f"asm-{policy}")
+        out = R.run_sliced(spark, assembly_frame(spark, sf_dir),
+                           Assembly(CAR_WAIT_US, EXPECTED_WHEELS, policy), f"asm-{policy}",
+                           SLICES, ASM_HORIZON_MS)
         return A.flat(assembled_cars(out)).drop("wheel_ids")
     q.__name__ = f"stream_assemble_{policy}"
     return q
@@ -134,9 +130,7 @@ def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[st
     prices = fx.prices(spark, sf_dir)
     base = scratch_path(spark, f"route-{policy}")
     sinks = {"complete": f"{base}/complete", "incomplete": f"{base}/incomplete"}
-    source = (spark.readStream.schema(R.TOPIC_SCHEMA).option("maxFilesPerTrigger", 1)
-              .parquet(assembly_topic(spark, sf_dir)))
-    stage = R.machine_stream(source, Assembly(CAR_WAIT_US, EXPECTED_WHEELS, policy))
+    topic = f"{base}/topic"
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         cars = assembled_cars(batch.filter(F.col("key") != R.SENTINEL).withColumn(
@@ -147,9 +141,14 @@ def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[st
              .parquet(f"{sinks[name]}/batch_id={batch_id}"))
         cars.unpersist()
 
-    q = (stage.writeStream.foreachBatch(per_batch)
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
+    slices = R.time_slices(spark, assembly_frame(spark, sf_dir), SLICES, ASM_HORIZON_MS)
+    for i, part in enumerate(slices):
+        part.write.parquet(f"{topic}/slice-{i:05d}")
+        source = spark.readStream.schema(R.TOPIC_SCHEMA).parquet(f"{topic}/slice-*")
+        stage = R.machine_stream(source, Assembly(CAR_WAIT_US, EXPECTED_WHEELS, policy))
+        q = (stage.writeStream.foreachBatch(per_batch)
+             .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+        q.awaitTermination()
     return sinks
 
 
@@ -167,8 +166,7 @@ def latest_value_join(spark, sf_dir):
     e = (E.events(spark, sf_dir).filter(F.col("event_type").isin("view", "click")))
     frame = R.topic_frame(e, "user_id", F.col("event_type"), seq="event_id",
                           payload=["value"])
-    out = R.run_to_end(spark, _topic(spark, frame, "jn4", 1),
-                       Latest("view", "click"), "jn4")
+    out = R.run_sliced(spark, frame, Latest("view", "click"), "jn4", SLICES, 1)
     return out.select(F.col("key").cast("bigint").alias("user_id"),
                       _j("$.seq").alias("event_id"), "ts",
                       _j("$.left.value", "double").alias("view_value"),
@@ -178,7 +176,7 @@ def latest_value_join(spark, sf_dir):
 def last_three_tags(spark, sf_dir):
     tags = fx.tax_tags(spark, sf_dir)
     frame = R.topic_frame(tags, "state", "tag", seq="seq", payload=["icms", "state"])
-    out = R.run_to_end(spark, _topic(spark, frame, "ag2", 1), LastN(LAST_N_TAGS), "ag2")
+    out = R.run_sliced(spark, frame, LastN(LAST_N_TAGS), "ag2", SLICES, 1)
     vals = F.from_json(F.get_json_object("value", "$.vals"), "array<struct<icms:double>>")
     return out.select(_j("$.seq").alias("event_id"), F.col("key").alias("state"),
                       F.size(vals).cast("long").alias("n_tags"),
@@ -189,7 +187,7 @@ def last_three_tags(spark, sf_dir):
 def first_per_key(spark, sf_dir):
     e = E.events(spark, sf_dir, ("event_id", "ts", "user_id", "event_type"))
     frame = R.topic_frame(e, "user_id", "body", seq="event_id", payload=["event_type"])
-    out = R.run_to_end(spark, _topic(spark, frame, "ag5", 1), First(), "ag5")
+    out = R.run_sliced(spark, frame, First(), "ag5", SLICES, 1)
     first = _j("$.first", "boolean")
     return out.select(_j("$.seq").alias("event_id"),
                       F.col("key").cast("bigint").alias("user_id"), first.alias("is_first"),
@@ -202,8 +200,8 @@ def priced_wait_join(spark, sf_dir):
     p = E.first_of_type(spark, sf_dir, "purchase")
     frame = (R.topic_frame(u, "user_id", "unpriced", payload=["value"])
              .unionByName(R.topic_frame(p, "user_id", "priced", payload=["value"])))
-    out = R.run_to_end(spark, _topic(spark, frame, "jn6", PRICED_WAIT_MS + 1),
-                       WaitJoin("left", PRICED_WAIT_US, "unpriced", "priced"), "jn6")
+    out = R.run_sliced(spark, frame, WaitJoin("left", PRICED_WAIT_US, "unpriced", "priced"),
+                       "jn6", SLICES, PRICED_WAIT_MS + 1)
     won = F.get_json_object("value", "$.priced").isNotNull()
     return out.select(F.col("key").cast("bigint").alias("user_id"), "ts",
                       F.when(won, F.lit("COMPLETE")).otherwise(F.lit("AWAITING_PRICE"))

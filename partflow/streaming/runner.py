@@ -10,11 +10,13 @@ with the output ``key, ts_us, value`` (emit time in microseconds). Sinks: a Parq
 its batch log) or ``foreachBatch``; the checkpoint holds source offsets and the RocksDB
 state, so a restarted query resumes where it stopped.
 
-For tests and the registered ``stream_*`` queries, the driver's tables are written as
-file topics cut into time slices (each file strictly later than the one before, so no
-row is ever behind the watermark), followed by two closing rows under a sentinel key
-whose times pass every deadline: the watermark then passes every timer, and the run
-with ``availableNow`` ends with all waits settled.
+For the registered ``stream_*`` queries the driver's tables are fed as a file topic cut
+into time slices: each slice is written by all tasks in parallel into its own folder,
+then the query runs with ``availableNow`` from the same checkpoint, the way a scheduled
+incremental job runs (every slice is one micro-batch, strictly later than the one
+before, so no row is ever behind the watermark; every slice after the first is also a
+restart from the checkpoint). Two closing rows under a sentinel key, later than every
+deadline, end it: the watermark then passes every timer and all waits are settled.
 """
 
 from __future__ import annotations
@@ -46,30 +48,53 @@ def topic_frame(df: DataFrame, key: str, side: str | F.Column, seq: str | None =
                      F.to_json(F.struct(*payload)).alias("value"))
 
 
-def write_time_sliced(spark: SparkSession, frame: DataFrame, path: str, slices: int,
-                      horizon_ms: int) -> None:
-    """Write a topic frame as ``slices`` files in time order, then two closing rows
-    ``horizon_ms`` past the last time. The slice borders are whole milliseconds from
-    approximate quantiles (a handful of numbers on the driver); each file is one time
-    range."""
+def _bounds(frame: DataFrame, slices: int) -> list[int]:
+    ms = F.unix_millis("ts")
+    return sorted(set(int(b) for b in frame.select(ms.alias("m"))
+                      .approxQuantile("m", [i / slices for i in range(1, slices)], 0.01)))
+
+
+def time_slices(spark: SparkSession, frame: DataFrame, slices: int, horizon_ms: int
+                ) -> list[DataFrame]:
+    """The topic frame cut at whole-millisecond borders (approximate quantiles: a
+    handful of numbers on the driver), plus the two closing sentinel rows."""
     ms = F.unix_millis("ts")
-    bounds = sorted(set(int(b) for b in frame.select(ms.alias("m"))
-                        .approxQuantile("m", [i / slices for i in range(1, slices)], 0.01)))
-    edges = [None, *bounds, None]
+    edges = [None, *_bounds(frame, slices), None]
+    out = []
     for lo, hi in zip(edges[:-1], edges[1:]):
         part = frame
         if lo is not None:
             part = part.filter(ms >= lo)
         if hi is not None:
             part = part.filter(ms < hi)
-        part.coalesce(1).write.mode("append").parquet(path)
+        out.append(part)
     last = frame.agg(F.max(ms)).first()[0] or 0
     for i in (1, 2):
-        end = spark.createDataFrame(
+        out.append(spark.createDataFrame(
             [(SENTINEL, SENTINEL, None, i, "{}")],
             "key string, side string, ts timestamp, seq long, value string"
-        ).withColumn("ts", F.timestamp_millis(F.lit(last + horizon_ms + i)))
-        end.coalesce(1).write.mode("append").parquet(path)
+        ).withColumn("ts", F.timestamp_millis(F.lit(last + horizon_ms + i))))
+    return out
+
+
+def run_sliced(spark: SparkSession, frame: DataFrame, machine: Machine, name: str,
+               slices: int, horizon_ms: int) -> DataFrame:
+    """Feed ``frame`` slice by slice (one ``availableNow`` run each, same checkpoint and
+    sink) and return the sink as a batch DataFrame."""
+    topic = scratch_path(spark, f"{name}-topic")
+    checkpoint, out = scratch_path(spark, f"{name}-ckpt"), scratch_path(spark, f"{name}-out")
+    for i, part in enumerate(time_slices(spark, frame, slices, horizon_ms)):
+        part.write.parquet(f"{topic}/slice-{i:05d}")
+        _run(spark, f"{topic}/slice-*", machine, checkpoint, out, files_per_batch=None)
+    return read_output(spark, out)
+
+
+def write_time_sliced(spark: SparkSession, frame: DataFrame, path: str, slices: int,
+                      horizon_ms: int) -> None:
+    """Test fixtures: a small topic frame written up front as one file per time slice
+    (read with one file per micro-batch by ``run_to_end``)."""
+    for part in time_slices(spark, frame, slices, horizon_ms):
+        part.coalesce(1).write.mode("append").parquet(path)
 
 
 def machine_stream(source: DataFrame, machine: Machine) -> DataFrame:
@@ -87,13 +112,18 @@ def run_to_end(spark: SparkSession, topic_path: str, machine: Machine,
     return the sink as a batch DataFrame (sentinel rows removed, ``ts`` restored)."""
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
     out = out or scratch_path(spark, f"{name}-out")
-    source = (spark.readStream.schema(TOPIC_SCHEMA).option("maxFilesPerTrigger", 1)
-              .parquet(topic_path))
-    q = (machine_stream(source, machine).writeStream.format("parquet")
+    _run(spark, topic_path, machine, checkpoint, out, files_per_batch=1)
+    return read_output(spark, out)
+
+
+def _run(spark, topic_path, machine, checkpoint, out, files_per_batch):
+    reader = spark.readStream.schema(TOPIC_SCHEMA)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    q = (machine_stream(reader.parquet(topic_path), machine).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).trigger(availableNow=True)
          .start(out))
     q.awaitTermination()
-    return read_output(spark, out)
 
 
 def read_output(spark: SparkSession, out: str) -> DataFrame:
