@@ -8,7 +8,8 @@ id range). Windows run per ``(key, bucket)``; what crosses a bucket border (row
 last values, the last few rows) is first reduced to a table with one or a few rows per
 ``(key, bucket)`` and scanned per key there, which is small whatever the skew. The
 result is joined back on ``(key, bucket)``; the big side is already partitioned that way,
-so only the small table moves.
+so only the small table moves. The small tables come from grouped aggregates of the
+input (combined map-side), so the big table is shuffled once per scan.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ def running_rank(df: DataFrame, key, order: Sequence[str], bucket, name: str = "
     b = _with_bucket(df, bucket)
     local = b.withColumn("_rn", F.row_number().over(
         Window.partitionBy(*keys, _B).orderBy(*order)))
-    counts = local.groupBy(*keys, _B).agg(F.max("_rn").alias("_n"))
+    counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, _B, F.coalesce(F.sum("_n").over(before), F.lit(0))
                             .alias("_off"))
@@ -68,7 +69,7 @@ def last_non_null(df: DataFrame, key, order: Sequence[str], bucket,
     for src, out in columns.items():
         local = local.withColumn(f"_l_{out}", F.last(src, ignorenulls=True).over(w))
     ordering = F.struct(*order)
-    tails = local.groupBy(*keys, _B).agg(*[
+    tails = b.groupBy(*keys, _B).agg(*[
         F.max_by(F.col(src), F.when(F.col(src).isNotNull(), ordering)).alias(f"_t_{out}")
         for src, out in columns.items()])
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
@@ -90,7 +91,11 @@ def last_n(df: DataFrame, key, order: Sequence[str], bucket, n: int, value: str,
 
     Inside a bucket ``lag`` does it. Only the first n-1 rows of a bucket look across
     the border: they are matched by rank against the last n-1 rows of every bucket,
-    two tables of at most n-1 rows per (key, bucket)."""
+    two tables of at most n-1 rows per (key, bucket).
+
+    The bucket windows feed three branches (rows that stay, heads, tails); they are
+    computed once and checkpointed to the shared folder (``spark.checkpoint.dir``)
+    rather than recomputed, with a shuffle each, per branch."""
     keys = _cols(key)
     b = _with_bucket(df, bucket)
     w = Window.partitionBy(*keys, _B).orderBy(*order)
@@ -98,7 +103,10 @@ def last_n(df: DataFrame, key, order: Sequence[str], bucket, n: int, value: str,
              .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B))))
     for k in range(1, n):
         local = local.withColumn(f"{prefix}_{k}", F.lag(value, k).over(w))
-    counts = local.select(*keys, _B, "_cnt").dropDuplicates([*keys, _B])
+    from partflow.session import shared_dir
+    shared_dir(df.sparkSession)
+    local = local.checkpoint(eager=True)
+    counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, _B, F.coalesce(F.sum("_cnt").over(before), F.lit(0))
                             .alias("_off"))
