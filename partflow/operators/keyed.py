@@ -94,7 +94,7 @@ def last_n(df: DataFrame, key, order: Sequence[str], bucket, n: int, value: str,
     two tables of at most n-1 rows per (key, bucket).
 
     The bucket windows feed three branches (rows that stay, heads, tails); they are
-    computed once and checkpointed to the shared folder (``spark.checkpoint.dir``)
+    computed once and written as a table in the shared folder (``spark.checkpoint.dir``)
     rather than recomputed, with a shuffle each, per branch."""
     keys = _cols(key)
     b = _with_bucket(df, bucket)
@@ -103,9 +103,8 @@ def last_n(df: DataFrame, key, order: Sequence[str], bucket, n: int, value: str,
              .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B))))
     for k in range(1, n):
         local = local.withColumn(f"{prefix}_{k}", F.lag(value, k).over(w))
-    from partflow.session import shared_dir
-    shared_dir(df.sparkSession)
-    local = local.checkpoint(eager=True)
+    from partflow.session import materialize
+    local = materialize(local, "last-n")
     counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, _B, F.coalesce(F.sum("_cnt").over(before), F.lit(0))

@@ -46,13 +46,20 @@ class _ListItems:
 
 
 class MachineProcessor(StatefulProcessor):
-    def __init__(self, machine: Machine):
-        self.machine = machine
+    """``time_mode``: ``EventTime`` (arrival column ``ts_us``, timers on the watermark)
+    or ``ProcessingTime`` (arrival = the batch's processing time, rows in ``seq``
+    order; timers on the wall clock), as the reference. ``ttl_ms`` optionally expires
+    state not updated for that long (processing time); off by default, as the
+    reference keeps unmatched rows for ever."""
+
+    def __init__(self, machine: Machine, time_mode: str = "EventTime",
+                 ttl_ms: int | None = None):
+        self.machine, self.time_mode, self.ttl_ms = machine, time_mode, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.st = handle.getValueState("st", STATE_SCHEMA)
-        self.items = _ListItems(handle.getListState("items", ITEM_SCHEMA))
+        self.st = handle.getValueState("st", STATE_SCHEMA, self.ttl_ms)
+        self.items = _ListItems(handle.getListState("items", ITEM_SCHEMA, self.ttl_ms))
 
     def _load(self) -> dict:
         got = self.st.get()  # one call; None when the key has no state
@@ -75,8 +82,17 @@ class MachineProcessor(StatefulProcessor):
         for t, v in outs:
             yield Row(key=key, ts_us=t, value=v)
 
+    def _now_ms(self, timerValues) -> int:
+        if self.time_mode == "ProcessingTime":
+            return timerValues.getCurrentProcessingTimeInMs()
+        return timerValues.getCurrentWatermarkInMs()
+
     def handleInputRows(self, key, rows, timerValues):
-        arrivals = sorted((r.ts_us, r.seq, r.side, r.value) for r in rows)
+        if self.time_mode == "ProcessingTime":
+            now = timerValues.getCurrentProcessingTimeInMs() * 1000
+            arrivals = sorted((now, r.seq, r.side, r.value) for r in rows)
+        else:
+            arrivals = sorted((r.ts_us, r.seq, r.side, r.value) for r in rows)
         st = self._load()
         outs = drive(self.machine, st, self.items, arrivals)
         yield from self._finish(key[0], st, outs)
@@ -84,8 +100,7 @@ class MachineProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         st = self._load()
         st.pop("_timer", None)  # this timer is gone once fired
-        upto = max(expiredTimerInfo.getExpiryTimeInMs(),
-                   timerValues.getCurrentWatermarkInMs()) * 1000 + 999
+        upto = max(expiredTimerInfo.getExpiryTimeInMs(), self._now_ms(timerValues)) * 1000 + 999
         outs = expire(self.machine, st, self.items, upto)
         yield from self._finish(key[0], st, outs)
 

@@ -97,12 +97,16 @@ def write_time_sliced(spark: SparkSession, frame: DataFrame, path: str, slices:
         part.coalesce(1).write.mode("append").parquet(path)
 
 
-def machine_stream(source: DataFrame, machine: Machine) -> DataFrame:
-    """The stateful stage on a streaming topic frame."""
-    src = source.withColumn("ts_us", F.unix_micros("ts")).withWatermark("ts", "0 seconds")
+def machine_stream(source: DataFrame, machine: Machine, time_mode: str = "EventTime",
+                   ttl_ms: int | None = None, lateness: str = "0 seconds") -> DataFrame:
+    """The stateful stage on a streaming topic frame. In event time the watermark
+    trails the newest arrival by ``lateness`` (0 for in-order topics)."""
+    src = source.withColumn("ts_us", F.unix_micros("ts"))
+    if time_mode == "EventTime":
+        src = src.withWatermark("ts", lateness)
     return (src.groupBy("key")
-            .transformWithState(MachineProcessor(machine), OUTPUT_SCHEMA, "Append",
-                                "EventTime"))
+            .transformWithState(MachineProcessor(machine, time_mode, ttl_ms), OUTPUT_SCHEMA,
+                                "Append", time_mode))
 
 
 def run_to_end(spark: SparkSession, topic_path: str, machine: Machine,
