@@ -112,29 +112,33 @@ def collect_join(left: DataFrame, right: DataFrame, key: str, within: str, expec
                     F.when(now, F.col("_n0")).otherwise(F.col("_n1")).alias(f"n_{right_name}"))
 
 
-def patch_join(cars: DataFrame, parts: DataFrame, key: str) -> DataFrame:
-    """JN5: part-patch join with no timeout, one car and one part per key.
-
-    Both sides wait for each other without limit; the pair leaves at the later arrival
-    with the part replacing the car's part of the same ``partName`` (BODY, ENGINE,
-    REMOTE_CONTROL) or, for WHEEL, setting the part's price on every wheel.
-    ``cars`` columns: key, ts, body, engine, remoteControl, wheels (structs holding a
-    ``part`` struct); ``parts``: key, ts, part struct (sku, partName, price, ...)."""
-    c = cars.alias("c").join(parts.select(key, F.col("ts").alias("_pts"), "part"), key)
-    kind = F.col("part.partName")
+def apply_patch(cars: DataFrame, part: str = "part") -> DataFrame:
+    """Replace the car's part of the same ``partName`` (BODY, ENGINE, REMOTE_CONTROL) by
+    the ``part`` column, or for WHEEL set its price on every wheel (PRJ2)."""
+    kind = F.col(f"{part}.partName")
 
     def replace(field: str, name: str) -> Column:
         return F.when((kind == name) & F.col(field).isNotNull(),
-                      F.col(field).withField("part", F.col("part"))).otherwise(F.col(field))
+                      F.col(field).withField("part", F.col(part))).otherwise(F.col(field))
 
     wheels = F.when(kind == "WHEEL", F.transform(
-        "wheels", lambda w: w.withField("part.price", F.col("part.price")))
+        "wheels", lambda w: w.withField("part.price", F.col(f"{part}.price")))
     ).otherwise(F.col("wheels"))
-    return (c.withColumn("body", replace("body", "BODY"))
+    return (cars.withColumn("body", replace("body", "BODY"))
             .withColumn("engine", replace("engine", "ENGINE"))
             .withColumn("remoteControl", replace("remoteControl", "REMOTE_CONTROL"))
-            .withColumn("wheels", wheels)
-            .withColumn("ts", F.greatest("ts", "_pts"))
+            .withColumn("wheels", wheels))
+
+
+def patch_join(cars: DataFrame, parts: DataFrame, key: str) -> DataFrame:
+    """JN5: part-patch join with no timeout, one car and one part per key.
+
+    Both sides wait for each other without limit; the pair leaves at the later arrival
+    with the part patched into the car (``apply_patch``). ``cars`` columns: key, ts,
+    body, engine, remoteControl, wheels (structs holding a ``part`` struct); ``parts``:
+    key, ts, part struct (sku, partName, price, ...)."""
+    c = cars.join(parts.select(key, F.col("ts").alias("_pts"), "part"), key)
+    return (apply_patch(c).withColumn("ts", F.greatest("ts", "_pts"))
             .drop("_pts", "part"))
 
 

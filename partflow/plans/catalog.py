@@ -100,10 +100,7 @@ def priced_wait_join(spark, sf_dir):
     return E.priced_view_purchase(spark, sf_dir)
 
 
-def part_patch_join(spark, sf_dir):
-    parts = fx.car_parts(spark, sf_dir)
-    cars = A.to_record(A.assemble(parts, "code").filter(F.col("n_wheels") > 0))
-    patched = patch_join(cars, A.wheel_price_parts(parts), "sku")
+def patched_view(patched: DataFrame) -> DataFrame:
     first_price = F.try_element_at("wheels", F.lit(1))["part"]["price"]
     return patched.select(
         "sku", "ts", F.size("wheels").cast("long").alias("n_wheels"),
@@ -112,6 +109,16 @@ def part_patch_join(spark, sf_dir):
         .cast("long").alias("priced_wheels"))
 
 
+def part_patch_join(spark, sf_dir):
+    parts = fx.car_parts(spark, sf_dir)
+    cars = A.to_record(A.assemble(parts, "code").filter(F.col("n_wheels") > 0))
+    return patched_view(patch_join(cars, A.wheel_price_parts(parts), "sku"))
+
+
+def stream_part_patch_join(spark, sf_dir):
+    return patched_view(S.part_patch(spark, sf_dir))
+
+
 def kind_label(spark, sf_dir):
     parts = fx.car_parts(spark, sf_dir)
     kinds = [("BODY", "body"), ("ENGINE", "engine"), ("REMOTE_CONTROL", "remote"),
@@ -171,4 +178,5 @@ QUERIES: dict[str, Query] = {
     "stream_first_per_key": S.first_per_key,
     "stream_priced_wait_join": S.priced_wait_join,
     "stream_word_count": S.word_count,
+    "stream_part_patch_join": stream_part_patch_join,
 }

@@ -199,5 +199,5 @@ select sku, bid body_id, eid engine_id, rid remote_id, n n_wheels, ts,
 # Streaming forms equal their batch forms on the same input.
 for _name in ("body_engine_wait_join", "car_remote_wait_join", "car_wheels_wait_join",
               "latest_value_join", "last_three_tags", "first_per_key", "priced_wait_join",
-              "word_count"):
+              "word_count", "part_patch_join"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]

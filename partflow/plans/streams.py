@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partflow.operators.routing import route
+from partflow.operators.waitjoins import apply_patch
 from partflow.plans import assembly as A
 from partflow.plans import events as E
 from partflow.schemas import EXPECTED_WHEELS, FIRST_BODY_COLOR, LAST_N_TAGS
@@ -123,6 +124,26 @@ def assemble(policy: str):
     return q
 
 
+def part_patch(spark, sf_dir):
+    """JN5 streaming: cars and priced parts wait for each other without limit (a
+    ``full`` wait-join with no deadline: lone rows never leave); each pair leaves at
+    the later arrival and the part is patched into the car."""
+    parts = fx.car_parts(spark, sf_dir)
+    cars = A.to_record(A.assemble(parts, "code").filter(F.col("n_wheels") > 0))
+    priced = A.wheel_price_parts(parts)
+    record = [c for c in cars.columns if c not in ("sku", "ts")]
+    frame = (R.topic_frame(cars, "sku", "car", payload=record)
+             .unionByName(R.topic_frame(priced, "sku", "part", payload=["part"])))
+    out = R.run_sliced(spark, frame, WaitJoin("full", None, "car", "part"), "jn5", SLICES, 1)
+    car_t = cars.select(*record).schema
+    part_t = priced.schema["part"].dataType
+    pairs = out.select(F.col("key").cast("bigint").alias("sku"), "ts",
+                       F.from_json(F.get_json_object("value", "$.car"), car_t).alias("c"),
+                       F.from_json(F.get_json_object("value", "$.part.part"), part_t)
+                       .alias("part"))
+    return apply_patch(pairs.select("sku", "ts", "c.*", "part")).drop("part")
+
+
 def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[str, str]:
     """Job A end to end as one streaming query: assembly machine, then per micro-batch
     pricing against the price table (a stream-static join) and routing to the complete
