@@ -8,6 +8,8 @@ batch id (a replayed batch overwrites its own files: idempotent)."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,10 @@ from partflow.operators.routing import route
 from partflow.operators.waitjoins import apply_patch
 from partflow.plans import assembly as A
 from partflow.plans import events as E
-from partflow.schemas import EXPECTED_WHEELS, FIRST_BODY_COLOR, LAST_N_TAGS
+from partflow.schemas import (BODY, ENGINE, EXPECTED_WHEELS, FIRST_BODY_COLOR, LAST_N_TAGS,
+                              REMOTE_CONTROL, WHEEL)
+from partflow.sinks.topics import encode
+from partflow.sources.topics import FILE_TOPIC_SCHEMA, decode
 from partflow.session import scratch_path
 from partflow.sources import fixtures as fx
 from partflow.streaming import runner as R
@@ -144,14 +149,63 @@ def part_patch(spark, sf_dir):
     return apply_patch(pairs.select("sku", "ts", "c.*", "part")).drop("part")
 
 
+PART_RECORDS = {"body": BODY, "engine": ENGINE, "remote": REMOTE_CONTROL, "wheel": WHEEL}
+PART_KIND = {"body": "BODY", "engine": "ENGINE", "remote": "REMOTE_CONTROL", "wheel": "WHEEL"}
+
+
+def _part(kind: str):
+    return F.struct(F.col("sku").cast("string").alias("sku"), F.lit(PART_KIND[kind]).alias("partName"),
+                    F.lit(0.0).alias("price"), F.lit("").alias("productName"))
+
+
+def encoded_part_topics(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The four part topics as the reference's producers would fill them: key = sku
+    bytes, value = the encoded Body / Engine / RemoteControl / Wheel record (SNK1)."""
+    records = {
+        "body": F.struct(_part("body").alias("part"), F.col("id").cast("string").alias("id"),
+                         F.lit(None).cast("string").alias("color"),
+                         F.lit(None).cast("string").alias("material"),
+                         F.lit(None).cast("float").alias("weight")),
+        "engine": F.struct(_part("engine").alias("part"), F.col("id").cast("string").alias("id")),
+        "remote": F.struct(_part("remote").alias("part"), F.col("id").cast("string").alias("id"),
+                           F.lit("RF_27").alias("channelFrequency")),
+        "wheel": F.struct(_part("wheel").alias("part"), F.col("id").cast("string").alias("id"),
+                          F.col("placement")),
+    }
+    out = {}
+    for kind, rec in records.items():
+        if kind not in parts:
+            continue
+        df = parts[kind]
+        seq = F.col("ln").cast("long") if "ln" in df.columns else F.lit(0).cast("long")
+        out[kind] = encode(df.withColumn("seq", seq), "sku", rec)
+    return out
+
+
+def decoded_frame(sources: dict[str, DataFrame]) -> DataFrame:
+    """Decode each part topic strictly (SRC7) and key it by ``part.sku`` as the
+    reference does: the topic frame of the assembly stage."""
+    frame = None
+    for kind, raw in sources.items():
+        d = decode(raw, PART_RECORDS[kind])
+        f = d.select(F.col("record.part.sku").alias("key"), F.lit(kind).alias("side"),
+                     F.col("ts").cast("timestamp").alias("ts"), "seq",
+                     F.to_json("record").alias("value"))
+        frame = f if frame is None else frame.unionByName(f)
+    return frame
+
+
 def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[str, str]:
-    """Job A end to end as one streaming query: assembly machine, then per micro-batch
-    pricing against the price table (a stream-static join) and routing to the complete
-    and incomplete sinks. Returns the sink folders."""
+    """Job A end to end as one streaming query: four encoded part topics -> strict
+    decode -> assembly machine (JN1 -> JN2 -> JN3) -> per micro-batch pricing against
+    the price table (a stream-static join) and routing to the complete and incomplete
+    sinks (``foreachBatch``, files per batch id: a replay overwrites its own output).
+    Each time slice of the four topics is written, then one ``availableNow`` run
+    consumes it. Returns the sink folders."""
     prices = fx.prices(spark, sf_dir)
     base = scratch_path(spark, f"route-{policy}")
     sinks = {"complete": f"{base}/complete", "incomplete": f"{base}/incomplete"}
-    topic = f"{base}/topic"
+    topics = encoded_part_topics(fx.car_parts(spark, sf_dir))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         cars = assembled_cars(batch.filter(F.col("key") != R.SENTINEL).withColumn(
@@ -162,11 +216,32 @@ def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[st
              .parquet(f"{sinks[name]}/batch_id={batch_id}"))
         cars.unpersist()
 
-    slices = R.time_slices(spark, assembly_frame(spark, sf_dir), SLICES, ASM_HORIZON_MS)
-    for i, part in enumerate(slices):
-        part.write.parquet(f"{topic}/slice-{i:05d}")
-        source = spark.readStream.schema(R.TOPIC_SCHEMA).parquet(f"{topic}/slice-*")
-        stage = R.machine_stream(source, Assembly(CAR_WAIT_US, EXPECTED_WHEELS, policy))
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    all_ts = None
+    for t in topics.values():
+        all_ts = t.select("ts") if all_ts is None else all_ts.unionByName(t.select("ts"))
+    bounds = sorted(set(int(b) for b in all_ts.select(ms.alias("m")).approxQuantile(
+        "m", [i / SLICES for i in range(1, SLICES)], 0.01)))
+    edges = [None, *bounds, None]
+    last = all_ts.agg(F.max(ms)).first()[0]
+    end = encoded_part_topics({"body": spark.createDataFrame(
+        [(R.SENTINEL, "0", None)], "sku string, id string, ts timestamp_ntz")})["body"]
+    steps = [{k: t.filter((ms >= lo) if lo is not None else F.lit(True))
+              .filter((ms < hi) if hi is not None else F.lit(True)) for k, t in topics.items()}
+             for lo, hi in zip(edges[:-1], edges[1:])]
+    for i in (1, 2):  # closing rows past every deadline
+        steps.append({"body": end.withColumn("ts", F.timestamp_millis(
+            F.lit(last + ASM_HORIZON_MS + i)).cast("timestamp_ntz"))})
+    for i, step in enumerate(steps):
+        for kind, part in step.items():
+            part.write.parquet(f"{base}/topic/{kind}/slice-{i:05d}")
+        sources = {}
+        for kind in topics:
+            os.makedirs(f"{base}/topic/{kind}", exist_ok=True)
+            sources[kind] = spark.readStream.schema(FILE_TOPIC_SCHEMA).parquet(
+                f"{base}/topic/{kind}/slice-*")
+        stage = R.machine_stream(decoded_frame(sources),
+                                 Assembly(CAR_WAIT_US, EXPECTED_WHEELS, policy))
         q = (stage.writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
         q.awaitTermination()

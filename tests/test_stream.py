@@ -142,3 +142,20 @@ def test_processing_time_mode(spark):
         F.get_json_object("value", "$.first").cast("boolean").alias("is_first"))
     want = QUERIES["first_per_key"](spark, SF001).select("event_id", "is_first")
     assert _rows(got) == _rows(want)
+
+
+def test_job_a_from_encoded_topics_routes_every_car(spark):
+    """Job A from four encoded part topics (strict decode, keyed by part.sku) to the two
+    sinks: counts per sink and situation equal pricing and routing the cars of the
+    stream assembly in batch (T6 on the streaming form)."""
+    from partflow.operators.routing import route, route_counts
+    from partflow.plans import assembly as A
+    from partflow.sources import fixtures as fx
+    got = {(r.sink, r.situation): r.n for r in QUERIES["stream_route_counts"](spark, SF001).collect()}
+    topic = scratch_path(spark, "ja-topic")
+    parts = fx.car_parts(spark, SF001)
+    R.write_time_sliced(spark, ST.assembly_frame(spark, SF001), topic, 3, ST.ASM_HORIZON_MS)
+    cars = ST.assembled_cars(R.run_to_end(spark, topic, Assembly(ST.CAR_WAIT_US, 4, "code")))
+    want = {(r.sink, r.situation): r.n for r in route_counts(
+        route(cars, A.price(cars, parts["prices"], "code"))).collect()}
+    assert got == want and sum(got.values()) == cars.count()
