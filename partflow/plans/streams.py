@@ -33,7 +33,7 @@ PRICED_WAIT_US = 12 * 3_600_000_000
 CAR_WAIT_MS = CAR_WAIT_US // 1000
 PRICED_WAIT_MS = PRICED_WAIT_US // 1000
 ASM_HORIZON_MS = 3 * CAR_WAIT_MS + 1  # three waits in a chain
-SLICES = 4
+SLICES = 3
 
 
 def _j(path: str, typ: str = "bigint"):
@@ -229,9 +229,9 @@ def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[st
     steps = [{k: t.filter((ms >= lo) if lo is not None else F.lit(True))
               .filter((ms < hi) if hi is not None else F.lit(True)) for k, t in topics.items()}
              for lo, hi in zip(edges[:-1], edges[1:])]
-    for i in (1, 2):  # closing rows past every deadline
-        steps.append({"body": end.withColumn("ts", F.timestamp_millis(
-            F.lit(last + ASM_HORIZON_MS + i)).cast("timestamp_ntz"))})
+    closing = end.withColumn("ts", F.timestamp_millis(  # past every deadline
+        F.lit(last + ASM_HORIZON_MS)).cast("timestamp_ntz"))
+    steps[-1]["body"] = steps[-1]["body"].unionByName(closing)
     for i, step in enumerate(steps):
         for kind, part in step.items():
             part.write.parquet(f"{base}/topic/{kind}/slice-{i:05d}")

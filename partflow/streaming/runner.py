@@ -15,8 +15,9 @@ into time slices: each slice is written by all tasks in parallel into its own fo
 then the query runs with ``availableNow`` from the same checkpoint, the way a scheduled
 incremental job runs (every slice is one micro-batch, strictly later than the one
 before, so no row is ever behind the watermark; every slice after the first is also a
-restart from the checkpoint). Two closing rows under a sentinel key, later than every
-deadline, end it: the watermark then passes every timer and all waits are settled.
+restart from the checkpoint). A closing row under a sentinel key, later than every
+deadline, rides in the last slice: the watermark then passes every timer, and the
+no-data batch that follows settles all waits.
 """
 
 from __future__ import annotations
@@ -57,7 +58,8 @@ def _bounds(frame: DataFrame, slices: int) -> list[int]:
 def time_slices(spark: SparkSession, frame: DataFrame, slices: int, horizon_ms: int
                 ) -> list[DataFrame]:
     """The topic frame cut at whole-millisecond borders (approximate quantiles: a
-    handful of numbers on the driver), plus the two closing sentinel rows."""
+    handful of numbers on the driver); the last slice carries the closing sentinel
+    row."""
     ms = F.unix_millis("ts")
     edges = [None, *_bounds(frame, slices), None]
     out = []
@@ -69,11 +71,11 @@ def time_slices(spark: SparkSession, frame: DataFrame, slices: int, horizon_ms:
             part = part.filter(ms < hi)
         out.append(part)
     last = frame.agg(F.max(ms)).first()[0] or 0
-    for i in (1, 2):
-        out.append(spark.createDataFrame(
-            [(SENTINEL, SENTINEL, None, i, "{}")],
-            "key string, side string, ts timestamp, seq long, value string"
-        ).withColumn("ts", F.timestamp_millis(F.lit(last + horizon_ms + i))))
+    end = spark.createDataFrame(
+        [(SENTINEL, SENTINEL, None, 0, "{}")],
+        "key string, side string, ts timestamp, seq long, value string"
+    ).withColumn("ts", F.timestamp_millis(F.lit(last + horizon_ms)))
+    out[-1] = out[-1].unionByName(end)
     return out
 
 
