@@ -15,6 +15,7 @@ from partflow.operators.waitjoins import patch_join
 from partflow.plans import assembly as A
 from partflow.plans import events as E
 from partflow.plans import streams as S
+from partflow.schemas import EXPECTED_WHEELS
 from partflow.session import scratch_path
 from partflow.sinks.topics import encode, write_file_topic
 from partflow.sources import fixtures as fx
@@ -115,6 +116,19 @@ def part_patch_join(spark, sf_dir):
     return patched_view(patch_join(cars, A.wheel_price_parts(parts), "sku"))
 
 
+def _assemble_all(policy):
+    """Job A assembly over every sku, batch: the general (ordered) form, so skus whose
+    body and engine missed each other (two cars) are assembled too."""
+    def q(spark, sf_dir):
+        from partflow.operators.sequential import run_machine
+        from partflow.streaming.machines import Assembly
+        out = run_machine(S.assembly_frame(spark, sf_dir),
+                          Assembly(S.CAR_WAIT_US, EXPECTED_WHEELS, policy))
+        return A.flat(S.assembled_cars(out)).drop("wheel_ids")
+    q.__name__ = f"assemble_all_{policy}"
+    return q
+
+
 def stream_part_patch_join(spark, sf_dir):
     return patched_view(S.part_patch(spark, sf_dir))
 
@@ -170,6 +184,8 @@ QUERIES: dict[str, Query] = {
     "stream_body_engine_wait_join": S.body_engine,
     "stream_car_remote_wait_join": S.car_remote,
     "stream_car_wheels_wait_join": S.car_wheels,
+    "assemble_all_code": _assemble_all("code"),
+    "assemble_all_documented": _assemble_all("documented"),
     "stream_assemble_code": S.assemble("code"),
     "stream_assemble_documented": S.assemble("documented"),
     "stream_route_counts": S.route_counts,
