@@ -21,7 +21,7 @@ from partflow.schemas import (BODY, ENGINE, EXPECTED_WHEELS, FIRST_BODY_COLOR, L
                               REMOTE_CONTROL, WHEEL)
 from partflow.sinks.topics import encode
 from partflow.sources.topics import FILE_TOPIC_SCHEMA, decode
-from partflow.session import scratch_path
+from partflow.session import scratch_path, state_partitions
 from partflow.sources import fixtures as fx
 from partflow.streaming import runner as R
 from partflow.streaming.machines import Assembly, First, LastN, Latest, WaitJoin
@@ -242,8 +242,10 @@ def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[st
                 f"{base}/topic/{kind}/slice-*")
         stage = R.machine_stream(decoded_frame(sources),
                                  Assembly(CAR_WAIT_US, EXPECTED_WHEELS, policy))
-        q = (stage.writeStream.foreachBatch(per_batch)
-             .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+        with state_partitions(spark):
+            q = (stage.writeStream.foreachBatch(per_batch)
+                 .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True)
+                 .start())
         q.awaitTermination()
     return sinks
 
@@ -327,9 +329,10 @@ def word_count(spark, sf_dir):
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{out}/b={batch_id}")
 
-    q = (counts.writeStream.outputMode("update").foreachBatch(per_batch)
-         .option("checkpointLocation", scratch_path(spark, "wc-ckpt"))
-         .trigger(availableNow=True).start())
+    with state_partitions(spark):
+        q = (counts.writeStream.outputMode("update").foreachBatch(per_batch)
+             .option("checkpointLocation", scratch_path(spark, "wc-ckpt"))
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     upd = spark.read.schema("word string, n bigint, batch_id long").parquet(f"{out}/*")
     final = upd.groupBy("word").agg(F.max_by("n", "batch_id").alias("n"))

@@ -101,3 +101,24 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+class state_partitions:
+    """Context for starting a streaming query: its stateful stages get ``n`` state
+    partitions (default: the cluster's default parallelism, i.e. its cores), whatever
+    ``spark.sql.shuffle.partitions`` says for batch work. The number is fixed in the
+    checkpoint when the query first starts; restarts keep it. The session setting is
+    restored on exit (the running query keeps its own copy)."""
+
+    def __init__(self, spark: SparkSession, n: int | None = None):
+        self.spark = spark
+        self.n = n or spark.sparkContext.defaultParallelism
+
+    def __enter__(self):
+        self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+        return self
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        return False

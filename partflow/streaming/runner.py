@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partflow.session import scratch_path
+from partflow.session import scratch_path, state_partitions
 from partflow.streaming.machines import Machine
 from partflow.streaming.processor import OUTPUT_SCHEMA, MachineProcessor
 
@@ -126,9 +126,10 @@ def _run(spark, topic_path, machine, checkpoint, out, files_per_batch):
     reader = spark.readStream.schema(TOPIC_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    q = (machine_stream(reader.parquet(topic_path), machine).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True)
-         .start(out))
+    with state_partitions(spark):
+        q = (machine_stream(reader.parquet(topic_path), machine).writeStream.format("parquet")
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True)
+             .start(out))
     q.awaitTermination()
 
 
