@@ -129,6 +129,33 @@ def _assemble_all(policy):
     return q
 
 
+def tags_sink_round_trip(spark, sf_dir):
+    """Job B's sink (SNK2): LastTaxTags records keyed by state name, encoded, written,
+    read back and decoded strictly; flattened like ``last_three_tags``."""
+    from partflow.schemas import LAST_TAX_TAGS
+    t = E.last_tax_tags(spark, sf_dir).withColumn("seq", F.col("event_id"))
+    path = scratch_path(spark, "topic-last-tax-tags")
+    write_file_topic(encode(t, "stateName", F.struct("stateName", "taxTags")), path)
+    back = decode(read_file_topic(spark, path), LAST_TAX_TAGS)
+    icms = F.transform("record.taxTags", lambda x: x["icms"])
+    return back.select(F.col("seq").alias("event_id"), F.col("record.stateName").alias("state"),
+                       F.size("record.taxTags").cast("long").alias("n_tags"),
+                       *[F.try_element_at(icms, F.lit(i)).alias(f"icms_{i}") for i in (1, 2, 3)])
+
+
+def text_sink_round_trip(spark, sf_dir):
+    """Job C's sink (SNK3): ``word:::n`` lines as plain text values with no key,
+    written, read back and parsed into (word, n, line)."""
+    wc = text.word_count(fx.text_lines(spark, sf_dir))
+    path = scratch_path(spark, "topic-word-count")
+    write_file_topic(encode(wc, None, F.col("line"), fmt="text"), path)
+    line = decode(read_file_topic(spark, path), None, fmt="text").select(
+        F.col("record").alias("line"))
+    cut = F.length("line") - F.locate(":::", F.reverse("line")) - 2
+    return line.select(F.substring("line", 1, cut).alias("word"),
+                       F.substring_index("line", ":::", -1).cast("long").alias("n"), "line")
+
+
 def stream_part_patch_join(spark, sf_dir):
     return patched_view(S.part_patch(spark, sf_dir))
 
@@ -181,6 +208,8 @@ QUERIES: dict[str, Query] = {
     "kind_label": kind_label,
     "json_price": json_price,
     "sink_round_trip": sink_round_trip,
+    "tags_sink_round_trip": tags_sink_round_trip,
+    "text_sink_round_trip": text_sink_round_trip,
     "stream_body_engine_wait_join": S.body_engine,
     "stream_car_remote_wait_join": S.car_remote,
     "stream_car_wheels_wait_join": S.car_wheels,

@@ -196,6 +196,10 @@ select sku, bid body_id, eid engine_id, rid remote_id, n n_wheels, ts,
        sit_code situation from asm""",
 }
 
+# Sinks written and read back equal what was written.
+ORACLE["tags_sink_round_trip"] = ORACLE["last_three_tags"]
+ORACLE["text_sink_round_trip"] = ORACLE["word_count"]
+
 # Streaming forms equal their batch forms on the same input.
 for _name in ("body_engine_wait_join", "car_remote_wait_join", "car_wheels_wait_join",
               "latest_value_join", "last_three_tags", "first_per_key", "priced_wait_join",

@@ -17,10 +17,14 @@ from pyspark.sql import functions as F
 from partflow.functions.scalars import key_bytes
 
 
-def encode(df: DataFrame, key: str | Column, record: Column, fmt: str = "json",
+def encode(df: DataFrame, key: str | Column | None, record: Column, fmt: str = "json",
            keep=("ts", "seq")) -> DataFrame:
-    """``(key, value[, ts, seq])`` with the record encoded as JSON text or Avro bytes."""
-    if fmt == "json":
+    """``(key, value[, ts, seq])`` with the record encoded as JSON text, Avro bytes or,
+    for ``text``, a string column as is (job C's ``word:::n`` lines). ``key=None``
+    writes null keys (the text topics have none)."""
+    if fmt == "text":
+        value = record.cast("string")
+    elif fmt == "json":
         value = F.to_json(record)
     elif fmt == "avro":  # needs the spark-avro package
         from pyspark.sql.avro.functions import to_avro
@@ -28,7 +32,8 @@ def encode(df: DataFrame, key: str | Column, record: Column, fmt: str = "json",
     else:
         raise ValueError(fmt)
     extra = [c for c in keep if c in df.columns]
-    return df.select(key_bytes(key).alias("key"), value.alias("value"), *extra)
+    k = F.lit(None).cast("binary") if key is None else key_bytes(key)
+    return df.select(k.alias("key"), value.alias("value"), *extra)
 
 
 def write_file_topic(encoded: DataFrame, path: str) -> None:

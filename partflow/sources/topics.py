@@ -30,11 +30,13 @@ def consumer_options(brokers: str, topic: str, group: str | None = None,
             "kafka.group.id": group, "startingOffsets": starting}
 
 
-def decode(raw: DataFrame, schema: T.StructType, fmt: str = "json",
+def decode(raw: DataFrame, schema: T.StructType | None, fmt: str = "json",
            registry_framed: bool = False) -> DataFrame:
     """SRC7: value -> typed record column ``record``; FAILFAST on a bad value."""
     value = F.col("value")
-    if fmt == "json":
+    if fmt == "text":
+        rec = value.cast("string")
+    elif fmt == "json":
         rec = F.from_json(value.cast("string"), schema, {"mode": "FAILFAST"})
     elif fmt == "avro":  # needs the spark-avro package
         from pyspark.sql.avro.functions import from_avro
