@@ -89,6 +89,73 @@ price_documented as (
   from price_doc)
 """
 
+# Every sku, two-car skus included (their body and engine missed each other). With one
+# body and one engine per sku the two cars leave JN1 at least one wait apart, so at JN2
+# the remote goes to the first car whose window covers it; at JN3 the second car may
+# arrive while the first waits: it then leaves at once with exactly four wheels, or
+# replaces the first ("last wins") and leaves at the first one's deadline.
+ASM_ALL_CTE = ASM_CTE.rstrip() + f""",
+twos as (
+  select sku,
+         max(case when ci = 1 then bid end) b1, max(case when ci = 1 then eid end) e1,
+         max(case when ci = 1 then ts end) t1,
+         max(case when ci = 2 then bid end) b2, max(case when ci = 2 then eid end) e2,
+         max(case when ci = 2 then ts end) t2
+  from (select *, row_number() over (partition by sku order by ts) ci from be
+        where sku in (select sku from be group by sku having count(*) = 2))
+  group by sku),
+two_rc as (
+  select t.*,
+         case when r.ts < t.t1 + {WAIT} then r.id end rc1,
+         case when r.ts <= t.t1 then t.t1 else t.t1 + {WAIT} end s1,
+         case when r.ts >= t.t1 + {WAIT} and r.ts < t.t2 + {WAIT} then r.id end rc2,
+         case when r.ts >= t.t1 + {WAIT} and r.ts <= t.t2 then t.t2 else t.t2 + {WAIT} end s2
+  from twos t left join remote r on t.sku = r.sku),
+two_w as (
+  select c.sku, b1, e1, rc1, s1, b2, e2, rc2, s2,
+         count(case when w.ts <= s1 then 1 end) c_s1,
+         count(case when w.ts < s1 + {WAIT} then 1 end) c_d1,
+         count(case when w.ts <= s2 then 1 end) c_s2,
+         count(case when w.ts >= s1 + {WAIT} and w.ts <= s2 then 1 end) m0,
+         count(case when w.ts >= s1 + {WAIT} and w.ts < s2 + {WAIT} then 1 end) m1
+  from two_rc c left join wheel w on c.sku = w.sku
+  group by c.sku, b1, e1, rc1, s1, b2, e2, rc2, s2),
+two_out as (
+  -- the first car leaves at once with all four wheels; the second finds none
+  select sku, b1 bid, e1 eid, rc1 rid, 4 n, s1 ts from two_w where c_s1 = 4
+  union all
+  select sku, b2, e2, rc2, 0, s2 + {WAIT} from two_w where c_s1 = 4
+  union all
+  -- the first car waits and leaves before the second arrives
+  select sku, b1, e1, rc1, c_d1, s1 + {WAIT} from two_w where c_s1 <> 4 and s2 >= s1 + {WAIT}
+  union all
+  select sku, b2, e2, rc2, case when m0 = 4 then 4 else m1 end,
+         case when m0 = 4 then s2 else s2 + {WAIT} end
+  from two_w where c_s1 <> 4 and s2 >= s1 + {WAIT}
+  union all
+  -- the second car arrives during the first one's wait and finds all four wheels
+  select sku, b2, e2, rc2, 4, s2 from two_w where c_s1 <> 4 and s2 < s1 + {WAIT} and c_s2 = 4
+  union all
+  select sku, b1, e1, rc1, 0, s1 + {WAIT} from two_w
+  where c_s1 <> 4 and s2 < s1 + {WAIT} and c_s2 = 4
+  union all
+  -- ... or replaces it and leaves at the first one's deadline (the first is lost)
+  select sku, b2, e2, rc2, c_d1, s1 + {WAIT} from two_w
+  where c_s1 <> 4 and s2 < s1 + {WAIT} and c_s2 <> 4),
+all_cars as (
+  select sku, bid, eid, rid, n, ts from asm
+  union all
+  select * from two_out),
+asm_all as (
+  select *,
+    case when n = 0 then 'MISSING_WHEELS' when rid is null then 'MISSING_REMOTE_CONTROL'
+         else 'AWAITING_PRICE' end sit_code,
+    case when bid is null then 'MISSING_BODY' when eid is null then 'MISSING_ENGINE'
+         when rid is null then 'MISSING_REMOTE_CONTROL' when n = 0 then 'MISSING_WHEELS'
+         else 'AWAITING_PRICE' end sit_doc
+  from all_cars)
+"""
+
 _STATES = ", ".join(f"'{s}'" for s in BR_STATES)
 
 TAGS_CTE = f"""
@@ -196,6 +263,27 @@ select sku, bid body_id, eid engine_id, rid remote_id, n n_wheels, ts,
        sit_code situation from asm""",
 }
 
+_ASM_ALL = ASM_ALL_CTE + """
+select sku, bid body_id, eid engine_id, rid remote_id, cast(n as bigint) n_wheels, ts,
+       {sit} situation from asm_all"""
+ORACLE["assemble_all_code"] = _ASM_ALL.format(sit="sit_code")
+ORACLE["assemble_all_documented"] = _ASM_ALL.format(sit="sit_doc")
+ORACLE["stream_assemble_code"] = ORACLE["assemble_all_code"]
+ORACLE["stream_assemble_documented"] = ORACLE["assemble_all_documented"]
+ORACLE["stream_route_counts"] = ASM_ALL_CTE + """,
+priced_all as (
+  select case when a.bid is null then 'MISSING_BODY'
+              when p.price is null then 'FAILED_GET_PRICE' else 'COMPLETE' end situation
+  from asm_all a left join prices p on a.bid = p.id
+  where a.sit_code = 'AWAITING_PRICE')
+select sink, situation, cast(count(*) as bigint) n from (
+  select 'complete' sink, situation from priced_all where situation = 'COMPLETE'
+  union all
+  select 'incomplete', situation from priced_all where situation <> 'COMPLETE'
+  union all
+  select 'incomplete', sit_code from asm_all where sit_code like '%MISSING%')
+group by sink, situation"""
+
 # Sinks written and read back equal what was written.
 ORACLE["tags_sink_round_trip"] = ORACLE["last_three_tags"]
 ORACLE["text_sink_round_trip"] = ORACLE["word_count"]
