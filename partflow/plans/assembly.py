@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from partflow.operators.pricing import ParquetPriceService, fetch_prices, price_cars
 from partflow.operators.routing import route, route_counts
-from partflow.operators.waitjoins import collect_join, wait_join_full, wait_join_left
+from partflow.operators.waitjoins import (collect_join, interval, pack, wait_join_full,
+                                          wait_join_left)
 from partflow.schemas import EXPECTED_WHEELS
 from partflow.sources import fixtures as fx
 
@@ -76,6 +77,90 @@ def assemble(parts: dict[str, DataFrame], policy: str = "code",
     return cw.withColumn("situation", situation(policy))
 
 
+def two_car_skus(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
+                 ) -> DataFrame:
+    """JN2 + JN3 in closed form for skus with two cars (their body and engine missed
+    each other). With one body and one engine per sku the cars leave JN1 at least one
+    wait apart, so at JN2 the remote goes to the first car whose window covers it. At
+    JN3 the second car may arrive while the first still waits: it then leaves at once
+    if it finds exactly four wheels, else it replaces the first car ("last wins", as
+    the reference) and leaves at the first one's deadline.
+
+    Everything stays keyed by sku: ``be`` arrives partitioned by sku, and the remote
+    and wheel joins and the per-sku aggregate reuse it."""
+    T = interval(within)
+    n = F.count(F.lit(1)).over(Window.partitionBy("sku"))
+    two = (be.withColumn("_n", n).filter(F.col("_n") == 2)
+           .groupBy("sku").agg(F.min(F.struct("ts", "body", "engine")).alias("c1"),
+                               F.max(F.struct("ts", "body", "engine")).alias("c2")))
+    rc = pack(parts["remote"], "sku", "_rc")
+    j = two.join(rc, "sku", "left")
+    t1, t2, r = F.col("c1.ts"), F.col("c2.ts"), F.col("_rc")
+    j = j.select(
+        "sku", "c1", "c2",
+        F.when(r["ts"] < t1 + T, r).alias("rc1"),
+        F.when(r["ts"] <= t1, t1).otherwise(t1 + T).alias("s1"),
+        F.when((r["ts"] >= t1 + T) & (r["ts"] < t2 + T), r).alias("rc2"),
+        F.when((r["ts"] >= t1 + T) & (r["ts"] <= t2), t2).otherwise(t2 + T).alias("s2"))
+    w = pack(parts["wheel"], "sku", "_w", ("ts", "ln"))
+    s1, s2 = F.col("s1"), F.col("s2")
+    g = j.join(w, "sku", "left").groupBy("sku").agg(
+        *[F.first(c).alias(c) for c in ("c1", "c2", "rc1", "s1", "rc2", "s2")],
+        F.array_sort(F.collect_list("_w")).alias("_ws"))
+    ws = F.col("_ws")
+
+    def within_(lo=None, hi=None, hi_incl=False):
+        def keep(x):
+            cond = F.lit(True)
+            if lo is not None:
+                cond = cond & (x["ts"] >= lo)
+            if hi is not None:
+                cond = cond & ((x["ts"] <= hi) if hi_incl else (x["ts"] < hi))
+            return cond
+        return F.filter(ws, keep)
+
+    def cnt(arr):
+        return F.size(arr)
+
+    d1 = s1 + T
+    at_s1, before_d1 = within_(hi=s1, hi_incl=True), within_(hi=d1)
+    at_s2 = within_(hi=s2, hi_incl=True)
+    late0, late1 = within_(lo=d1, hi=s2, hi_incl=True), within_(lo=d1, hi=s2 + T)
+    empty = F.array_sort(F.filter(ws, lambda x: F.lit(False)))
+
+    def car(c, rc, ts, wheels):
+        return F.struct(F.col(f"{c}.body").alias("body"), F.col(f"{c}.engine").alias("engine"),
+                        F.col(rc).alias("remote"), ts.alias("ts"), wheels.alias("wheels"))
+
+    first_full = cnt(at_s1) == EXPECTED_WHEELS
+    second_first = s2 >= d1
+    second_full = cnt(at_s2) == EXPECTED_WHEELS
+    late_full = cnt(late0) == EXPECTED_WHEELS
+    cars = (F.when(first_full, F.array(car("c1", "rc1", s1, at_s1),
+                                       car("c2", "rc2", s2 + T, empty)))
+            .when(second_first, F.array(
+                car("c1", "rc1", d1, before_d1),
+                car("c2", "rc2", F.when(late_full, s2).otherwise(s2 + T),
+                    F.when(late_full, late0).otherwise(late1))))
+            .when(second_full, F.array(car("c2", "rc2", s2, at_s2),
+                                       car("c1", "rc1", d1, empty)))
+            .otherwise(F.array(car("c2", "rc2", d1, before_d1))))
+    out = g.select("sku", F.inline(cars))
+    return out.withColumn("n_wheels", F.size("wheels").cast("long"))
+
+
+def assemble_every_sku(parts: dict[str, DataFrame], policy: str = "code",
+                       within: str = fx.CAR_WAIT) -> DataFrame:
+    """JN8 over every sku: one-car skus as ``assemble``, two-car skus by
+    ``two_car_skus``. Same columns as ``assemble``."""
+    be = body_engine(parts, within)
+    one = car_wheels(car_remote(single_cars(be), parts, within), parts, within)
+    two = two_car_skus(be.drop("situation"), parts, within)
+    cols = ["sku", "body", "engine", "remote", "ts", "wheels", "n_wheels"]
+    both = one.select(*cols).unionByName(two.select(*cols))
+    return both.withColumn("situation", situation(policy))
+
+
 def price_ids(policy: str) -> dict[str, Column]:
     """Which part ids are looked up (F7): the body only as coded (D-2), all four as
     documented (first wheel in arrival order for WHEEL)."""

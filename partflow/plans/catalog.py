@@ -117,15 +117,25 @@ def part_patch_join(spark, sf_dir):
 
 
 def _assemble_all(policy):
-    """Job A assembly over every sku, batch: the general (ordered) form, so skus whose
-    body and engine missed each other (two cars) are assembled too."""
+    """Job A assembly over every sku, batch closed form: skus whose body and engine
+    missed each other (two cars) are assembled too."""
+    def q(spark, sf_dir):
+        return A.flat(A.assemble_every_sku(fx.car_parts(spark, sf_dir), policy)) \
+            .drop("wheel_ids")
+    q.__name__ = f"assemble_all_{policy}"
+    return q
+
+
+def _assemble_ordered(policy):
+    """The same over every sku in the general ordered form (any number of rows per
+    key and side): the assembly machine run over the sorted table."""
     def q(spark, sf_dir):
         from partflow.operators.sequential import run_machine
         from partflow.streaming.machines import Assembly
         out = run_machine(S.assembly_frame(spark, sf_dir),
                           Assembly(S.CAR_WAIT_US, EXPECTED_WHEELS, policy))
         return A.flat(S.assembled_cars(out)).drop("wheel_ids")
-    q.__name__ = f"assemble_all_{policy}"
+    q.__name__ = f"assemble_ordered_{policy}"
     return q
 
 
@@ -215,6 +225,8 @@ QUERIES: dict[str, Query] = {
     "stream_car_wheels_wait_join": S.car_wheels,
     "assemble_all_code": _assemble_all("code"),
     "assemble_all_documented": _assemble_all("documented"),
+    "assemble_ordered_code": _assemble_ordered("code"),
+    "assemble_ordered_documented": _assemble_ordered("documented"),
     "stream_assemble_code": S.assemble("code"),
     "stream_assemble_documented": S.assemble("documented"),
     "stream_route_counts": S.route_counts,

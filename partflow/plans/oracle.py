@@ -268,6 +268,8 @@ select sku, bid body_id, eid engine_id, rid remote_id, cast(n as bigint) n_wheel
        {sit} situation from asm_all"""
 ORACLE["assemble_all_code"] = _ASM_ALL.format(sit="sit_code")
 ORACLE["assemble_all_documented"] = _ASM_ALL.format(sit="sit_doc")
+ORACLE["assemble_ordered_code"] = ORACLE["assemble_all_code"]
+ORACLE["assemble_ordered_documented"] = ORACLE["assemble_all_documented"]
 ORACLE["stream_assemble_code"] = ORACLE["assemble_all_code"]
 ORACLE["stream_assemble_documented"] = ORACLE["assemble_all_documented"]
 ORACLE["stream_route_counts"] = ASM_ALL_CTE + """,

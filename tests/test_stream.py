@@ -161,3 +161,16 @@ def test_job_a_from_encoded_topics_routes_every_car(spark):
     want = {(r.sink, r.situation): r.n for r in route_counts(
         route(cars, A.price(cars, parts["prices"], "code"))).collect()}
     assert got == want and sum(got.values()) == cars.count()
+
+
+def test_every_sku_closed_form_equals_ordered_form(spark):
+    """Two-car skus: the DataFrame closed form, the sorted-scan machine form and the
+    streaming form give the same cars, wheels included."""
+    from partflow.operators.sequential import run_machine
+    from partflow.plans import assembly as A
+    from partflow.sources import fixtures as fx
+    closed = A.flat(A.assemble_every_sku(fx.car_parts(spark, SF001), "code"))
+    ordered = A.flat(ST.assembled_cars(run_machine(ST.assembly_frame(spark, SF001),
+                                                   Assembly(ST.CAR_WAIT_US, 4, "code"))))
+    assert _rows(closed) == _rows(ordered)
+    assert closed.groupBy("sku").count().filter("count = 2").count() > 0
