@@ -77,22 +77,23 @@ def assemble(parts: dict[str, DataFrame], policy: str = "code",
     return cw.withColumn("situation", situation(policy))
 
 
-def two_car_skus(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
+def cars_per_sku(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
                  ) -> DataFrame:
-    """JN2 + JN3 in closed form for skus with two cars (their body and engine missed
-    each other). With one body and one engine per sku the cars leave JN1 at least one
-    wait apart, so at JN2 the remote goes to the first car whose window covers it. At
-    JN3 the second car may arrive while the first still waits: it then leaves at once
-    if it finds exactly four wheels, else it replaces the first car ("last wins", as
-    the reference) and leaves at the first one's deadline.
-
-    Everything stays keyed by sku: ``be`` arrives partitioned by sku, and the remote
-    and wheel joins and the per-sku aggregate reuse it."""
+    """JN2 + JN3 in closed form for every sku, with one or two cars (two when the
+    sku's body and engine missed each other). With one body and one engine per sku
+    the two cars leave JN1 at least one wait apart, so at JN2 the remote goes to the
+    first car whose window covers it. At JN3 the second car may arrive while the first
+    still waits: it then leaves at once if it finds exactly four wheels, else it
+    replaces the first car ("last wins", as the reference) and leaves at the first
+    one's deadline.
+
+    One pass, keyed by sku: ``be`` arrives partitioned by sku (the per-sku grouping
+    adds no shuffle), the remote and wheel tables are joined once each."""
     T = interval(within)
-    n = F.count(F.lit(1)).over(Window.partitionBy("sku"))
-    two = (be.withColumn("_n", n).filter(F.col("_n") == 2)
-           .groupBy("sku").agg(F.min(F.struct("ts", "body", "engine")).alias("c1"),
-                               F.max(F.struct("ts", "body", "engine")).alias("c2")))
+    g0 = be.groupBy("sku").agg(F.count(F.lit(1)).alias("_n"),
+                               F.min(F.struct("ts", "body", "engine")).alias("c1"),
+                               F.max(F.struct("ts", "body", "engine")).alias("c2"))
+    two = g0.select("sku", "c1", F.when(F.col("_n") == 2, F.col("c2")).alias("c2"))
     rc = pack(parts["remote"], "sku", "_rc")
     j = two.join(rc, "sku", "left")
     t1, t2, r = F.col("c1.ts"), F.col("c2.ts"), F.col("_rc")
@@ -136,8 +137,11 @@ def two_car_skus(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CA
     second_first = s2 >= d1
     second_full = cnt(at_s2) == EXPECTED_WHEELS
     late_full = cnt(late0) == EXPECTED_WHEELS
-    cars = (F.when(first_full, F.array(car("c1", "rc1", s1, at_s1),
-                                       car("c2", "rc2", s2 + T, empty)))
+    alone = F.when(first_full, car("c1", "rc1", s1, at_s1)).otherwise(
+        car("c1", "rc1", d1, before_d1))
+    cars = (F.when(F.col("c2").isNull(), F.array(alone))
+            .when(first_full, F.array(car("c1", "rc1", s1, at_s1),
+                                      car("c2", "rc2", s2 + T, empty)))
             .when(second_first, F.array(
                 car("c1", "rc1", d1, before_d1),
                 car("c2", "rc2", F.when(late_full, s2).otherwise(s2 + T),
@@ -151,14 +155,9 @@ def two_car_skus(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CA
 
 def assemble_every_sku(parts: dict[str, DataFrame], policy: str = "code",
                        within: str = fx.CAR_WAIT) -> DataFrame:
-    """JN8 over every sku: one-car skus as ``assemble``, two-car skus by
-    ``two_car_skus``. Same columns as ``assemble``."""
-    be = body_engine(parts, within)
-    one = car_wheels(car_remote(single_cars(be), parts, within), parts, within)
-    two = two_car_skus(be.drop("situation"), parts, within)
-    cols = ["sku", "body", "engine", "remote", "ts", "wheels", "n_wheels"]
-    both = one.select(*cols).unionByName(two.select(*cols))
-    return both.withColumn("situation", situation(policy))
+    """JN8 over every sku (``cars_per_sku``); same columns as ``assemble``."""
+    cars = cars_per_sku(body_engine(parts, within).drop("situation"), parts, within)
+    return cars.withColumn("situation", situation(policy))
 
 
 def price_ids(policy: str) -> dict[str, Column]:
