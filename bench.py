@@ -14,8 +14,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "body_engine_wait_join", "car_remote_wait_join", "car_wheels_wait_join",
-    "assemble_code", "assemble_documented", "price_code", "price_documented",
-    "lookup_map_in_pandas", "route_counts", "word_count", "running_word_count",
+    "assemble_code", "assemble_documented", "assemble_all_code", "assemble_ordered_code",
+    "price_code", "price_documented", "lookup_map_in_pandas", "route_counts",
+    "route_counts_all", "word_count", "running_word_count",
     "last_three_tags", "first_per_key", "latest_value_join", "priced_wait_join",
     "part_patch_join", "kind_label", "json_price", "sink_round_trip",
     "stream_body_engine_wait_join", "stream_assemble_code", "stream_route_counts",

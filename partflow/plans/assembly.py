@@ -254,5 +254,5 @@ def wheel_price_parts(parts: dict[str, DataFrame]) -> DataFrame:
         money("price").alias("price"), F.lit("").alias("productName")).alias("part"))
 
 
-__all__ = ["to_record", "wheel_price_parts", "assemble", "body_engine", "car_remote", "car_wheels", "flat", "price",
+__all__ = ["assemble_every_sku", "cars_per_sku", "route", "to_record", "wheel_price_parts", "assemble", "body_engine", "car_remote", "car_wheels", "flat", "price",
            "price_by_fetch", "route_counts", "routes", "single_cars"]

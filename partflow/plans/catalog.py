@@ -73,6 +73,13 @@ def route_counts(spark, sf_dir):
     return A.route_counts(A.routes(spark, sf_dir, "code"))
 
 
+def route_counts_all(spark, sf_dir):
+    """Job A over every sku (two-car skus included), priced and routed, batch."""
+    parts = fx.car_parts(spark, sf_dir)
+    asm = A.assemble_every_sku(parts, "code")
+    return A.route_counts(A.route(asm, A.price(asm, parts["prices"], "code")))
+
+
 def word_count(spark, sf_dir):
     return text.word_count(fx.text_lines(spark, sf_dir))
 
@@ -208,6 +215,7 @@ QUERIES: dict[str, Query] = {
     "price_documented": _price("documented"),
     "lookup_map_in_pandas": lookup_map_in_pandas,
     "route_counts": route_counts,
+    "route_counts_all": route_counts_all,
     "word_count": word_count,
     "running_word_count": running_word_count,
     "last_three_tags": last_three_tags,

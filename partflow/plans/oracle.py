@@ -286,6 +286,8 @@ select sink, situation, cast(count(*) as bigint) n from (
   select 'incomplete', sit_code from asm_all where sit_code like '%MISSING%')
 group by sink, situation"""
 
+ORACLE["route_counts_all"] = ORACLE["stream_route_counts"]
+
 # Sinks written and read back equal what was written.
 ORACLE["tags_sink_round_trip"] = ORACLE["last_three_tags"]
 ORACLE["text_sink_round_trip"] = ORACLE["word_count"]

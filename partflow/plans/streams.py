@@ -312,7 +312,6 @@ def word_count(spark, sf_dir):
     """Job C streaming: words -> groupBy(word).count() in update mode; each micro-batch's
     updated totals go to the sink under its batch id; the newest total per word is the
     running count's final value."""
-    from partflow.operators.text import word_count as batch_wc  # noqa: F401
     from partflow.functions.scalars import split_words, word_count_text
     lines = fx.text_lines(spark, sf_dir)
     path = scratch_path(spark, "topic-text")
