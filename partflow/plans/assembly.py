@@ -218,7 +218,7 @@ def _part(kind: str) -> Column:
 
 
 def to_record(cars: DataFrame) -> DataFrame:
-    """Assembled cars as RCCar-shaped records (parts carry a ``part`` struct), keyed by
+    """Assembled cars as car records (``schemas.CAR``; parts carry a ``part`` struct), keyed by
     ``sku`` and kept with their emit time ``ts``."""
     def opt(side: str, rec: Column) -> Column:
         return F.when(F.col(side).isNotNull(), rec)

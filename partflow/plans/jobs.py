@@ -23,6 +23,7 @@ from partflow.operators.routing import route
 from partflow.plans import assembly as A
 from partflow.plans import events as E
 from partflow.plans import streams as S
+from partflow.schemas import TOPIC_BODY, TOPIC_ENGINE, TOPIC_REMOTE_CONTROL, TOPIC_WHEEL
 from partflow.session import apply_core_conf, ship_package, state_partitions
 from partflow.sources import fixtures as fx
 from partflow.sources.topics import consumer_options, read_kafka
@@ -48,8 +49,8 @@ def _assemble_stream(spark, a):
     prices = spark.read.parquet(a.prices).select(F.col("p_partkey").alias("id"),
                                                   F.col("p_retailprice").alias("price"))
     sources = {}
-    for kind, topic in (("body", "rccar-body"), ("engine", "rccar-engine"),
-                        ("remote", "rccar-remote-control"), ("wheel", "rccar-wheel")):
+    for kind, topic in (("body", TOPIC_BODY), ("engine", TOPIC_ENGINE),
+                        ("remote", TOPIC_REMOTE_CONTROL), ("wheel", TOPIC_WHEEL)):
         raw = read_kafka(spark, consumer_options(a.brokers, topic))
         sources[kind] = raw.select("key", "value", F.col("timestamp").alias("ts"),
                                    F.col("offset").alias("seq"))

@@ -58,7 +58,7 @@ WHEEL = T.StructType([
     T.StructField("part", PART), T.StructField("id", T.StringType()),
     T.StructField("placement", T.StringType()),
 ])
-RCCAR = T.StructType([
+CAR = T.StructType([
     T.StructField("sku", T.StringType()),
     T.StructField("totalPrice", T.DoubleType()),
     T.StructField("body", BODY), T.StructField("engine", ENGINE),
