@@ -113,13 +113,15 @@ def fetch_prices(cars: DataFrame, fetch: Callable[[list[int]], dict[int, float]]
 
     def call(batch: list[int]) -> dict[int, float]:
         for attempt in range(retries + 1):
-            with cf.ThreadPoolExecutor(1) as one:
-                try:
-                    got = one.submit(fetch, batch).result(timeout=timeout_s)
-                    if got:
-                        return got
-                except Exception:  # noqa: BLE001 - any failure is retried, then fails
-                    pass
+            one = cf.ThreadPoolExecutor(1)
+            try:
+                got = one.submit(fetch, batch).result(timeout=timeout_s)
+                if got:
+                    return got
+            except Exception:  # noqa: BLE001 - timeout or failure: retried, then fails
+                pass
+            finally:
+                one.shutdown(wait=False)  # a call past its timeout is abandoned
             if attempt < retries:
                 time.sleep(delay_s)
         return {}

@@ -85,3 +85,28 @@ def valid_enum(col: Column | str, values: list[str]) -> Column:
     """Predicate standing in for an Avro enum: the value is one of ``values``."""
     c = F.col(col) if isinstance(col, str) else col
     return c.isin(values)
+
+
+def avro_schema(struct: T.StructType, name: str, namespace: str = "partflow") -> str:
+    """Avro schema (JSON text) for a record StructType, as ``from_avro`` needs it:
+    nested structs become records, arrays arrays, nullable fields unions with null."""
+    import json
+    prim = {T.StringType: "string", T.DoubleType: "double", T.FloatType: "float",
+            T.LongType: "long", T.IntegerType: "int", T.BooleanType: "boolean",
+            T.BinaryType: "bytes"}
+
+    def conv(dt, nm):
+        if isinstance(dt, T.StructType):
+            return {"type": "record", "name": nm, "namespace": namespace,
+                    "fields": [{"name": f.name, "type": field(f.dataType, f.nullable,
+                                                              nm + "_" + f.name)}
+                               for f in dt.fields]}
+        if isinstance(dt, T.ArrayType):
+            return {"type": "array", "items": field(dt.elementType, dt.containsNull, nm + "_item")}
+        return prim[type(dt)]
+
+    def field(dt, nullable, nm):
+        t = conv(dt, nm)
+        return ["null", t] if nullable else t
+
+    return json.dumps(conv(struct, name))

@@ -40,8 +40,10 @@ def decode(raw: DataFrame, schema: T.StructType | None, fmt: str = "json",
         rec = F.from_json(value.cast("string"), schema, {"mode": "FAILFAST"})
     elif fmt == "avro":  # needs the spark-avro package
         from pyspark.sql.avro.functions import from_avro
+
+        from partflow.schemas import avro_schema
         body = F.expr("substring(value, 6)") if registry_framed else value
-        rec = from_avro(body, schema.json(), {"mode": "FAILFAST"})
+        rec = from_avro(body, avro_schema(schema, "Record"), {"mode": "FAILFAST"})
     else:
         raise ValueError(fmt)
     keep = [c for c in ("ts", "seq") if c in raw.columns]

@@ -37,3 +37,30 @@ def test_kind_label_json_and_emptiness(spark):
 def test_key_bytes(spark):
     r = spark.range(1).select(S.key_bytes(F.lit(42))).first()[0]
     assert bytes(r) == b"42"
+
+
+def test_avro_schema_of_records():
+    import json
+    from partflow.schemas import CAR, avro_schema
+    s = json.loads(avro_schema(CAR, "Car"))
+    assert s["type"] == "record" and [f["name"] for f in s["fields"]][:2] == ["sku", "totalPrice"]
+    wheels = next(f for f in s["fields"] if f["name"] == "wheels")["type"]
+    assert wheels[0] == "null" and wheels[1]["type"] == "array"
+
+
+def test_fetch_timeout_is_enforced(spark):
+    """A fetch slower than its timeout fails its car instead of holding the task."""
+    import time
+    from partflow.operators.pricing import fetch_prices
+
+    def slow(ids):
+        time.sleep(5)
+        return {i: 1.0 for i in ids}
+
+    cars = spark.createDataFrame([(1, 10)], "sku long, bid long").withColumn(
+        "body", F.struct(F.col("bid").alias("id")))
+    t0 = time.time()
+    out = fetch_prices(cars, slow, {"BODY": F.col("body.id")}, ["sku"], timeout_s=0.2,
+                       retries=1, delay_s=0.1).collect()
+    assert out[0]["situation"] == "FAILED_GET_PRICE" and out[0]["total_price"] == -1.0
+    assert time.time() - t0 < 4
