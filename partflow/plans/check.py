@@ -40,6 +40,11 @@ def digest(columns: list[str], rows: list[tuple]) -> str:
     return h.hexdigest()
 
 
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+              "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def duck(sf_dir: str):
     import duckdb
     con = duckdb.connect()
@@ -64,8 +69,12 @@ def compare(spark, sf_dir: str, names=None) -> dict[str, dict]:
             cur = con.execute(ORACLE[name])
             d_cols = [c[0] for c in cur.description]
             d_rows = cur.fetchall()
+            s_types = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in df.schema.fields}
+            d_types = {c[0]: str(c[1]) for c in cur.description}
             res.update(oracle_rows=len(d_rows),
                        columns_match=sorted(s_cols) == sorted(d_cols),
+                       types_match=s_types == d_types,
                        values_match=digest(s_cols, s_rows) == digest(d_cols, d_rows))
             if not res["columns_match"]:
                 res["spark_cols"], res["oracle_cols"] = s_cols, d_cols

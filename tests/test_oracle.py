@@ -16,6 +16,7 @@ def test_query_matches_oracle(spark, name):
     res = compare(spark, SF01, [name])[name]
     assert res["spark_rows"] == res["oracle_rows"], res
     assert res["columns_match"], res
+    assert res["types_match"], res
     assert res["values_match"], res
 
 
