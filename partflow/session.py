@@ -46,12 +46,16 @@ def apply_core_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``partflow`` importable on the executors (Python UDFs, ``mapInPandas`` and
     the stateful processors reference it): zip the package into the shared folder and
     ``addPyFile`` it, once per session."""
-    sc = spark.sparkContext
-    if getattr(sc, "_partflow_shipped", False):
+    sc = _context(spark)
+    key = sc.applicationId if sc is not None else getattr(spark, "session_id", str(id(spark)))
+    if key in _SHIPPED:
         return
     import shutil
 
@@ -61,12 +65,25 @@ def ship_package(spark: SparkSession) -> None:
     # package's classes and functions by value makes them travel with the plan.
     cloudpickle.register_pickle_by_value(partflow)
     pkg = os.path.dirname(os.path.abspath(__file__))
-    base = scratch_path(spark, "partflow-pkg")
-    os.makedirs(base, exist_ok=True)
+    base = tempfile.mkdtemp(prefix="partflow-pkg-")  # driver-side; Spark ships it
     archive = shutil.make_archive(os.path.join(base, "partflow"), "zip",
                                   root_dir=os.path.dirname(pkg), base_dir="partflow")
-    sc.addPyFile(archive)
-    sc._partflow_shipped = True
+    try:
+        if sc is not None:
+            sc.addPyFile(archive)
+        else:  # Spark Connect: artifacts instead of addPyFile
+            spark.addArtifacts(archive, pyfile=True)
+    except Exception:  # noqa: BLE001 - already shipped by another session object
+        pass
+    _SHIPPED.add(key)
+
+
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have none
+        return None
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -76,12 +93,14 @@ def shared_dir(spark: SparkSession) -> str:
     session names none, as in local tests, a scratch folder is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="partflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        if sc is not None:
+            sc.setCheckpointDir(d)
     return d
 
 
@@ -112,7 +131,9 @@ class state_partitions:
 
     def __init__(self, spark: SparkSession, n: int | None = None):
         self.spark = spark
-        self.n = n or spark.sparkContext.defaultParallelism
+        sc = _context(spark)
+        self.n = n or (sc.defaultParallelism if sc is not None
+                       else int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def __enter__(self):
         self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
