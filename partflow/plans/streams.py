@@ -315,12 +315,10 @@ def word_count(spark, sf_dir):
     from partflow.functions.scalars import split_words, word_count_text
     lines = fx.text_lines(spark, sf_dir)
     path = scratch_path(spark, "topic-text")
-    n = 4
-    for i in range(n):  # four file splits of the text topic
-        lines.filter(F.pmod(F.col("doc_id"), F.lit(n)) == i).write.parquet(f"{path}/{i}")
+    lines.repartition(4).write.parquet(path)  # four files: four micro-batches
     out = scratch_path(spark, "wc-out")
     src = (spark.readStream.schema("doc_id bigint, text string").option("maxFilesPerTrigger", 1)
-           .parquet(f"{path}/*"))
+           .parquet(path))
     counts = (src.select(F.explode(split_words("text")).alias("word"))
               .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
