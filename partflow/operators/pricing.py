@@ -82,16 +82,20 @@ def _settle(df: DataFrame, ids: dict[str, Column], total: str) -> DataFrame:
 
 def price_cars(cars: DataFrame, prices: DataFrame, ids: dict[str, Column],
                car_key: list[str], total: str = "total_price",
-               max_broadcast_rows: int | None = None) -> DataFrame:
+               max_broadcast_rows: int | None = None, check_size: bool = True
+               ) -> DataFrame:
     """Form 1. ``ids`` maps part kind -> id column of the car (null = part missing);
-    ``prices`` has ``id, price``; ``car_key`` identifies a car. Adds ``situation``, ``<kind>_price`` and updates
+    ``prices`` has ``id, price``; ``car_key`` identifies a car. With ``check_size``
+    off, ``prices`` is used as given (a caller that checked it once, e.g. before a
+    stream starts, passes it already hinted). Adds ``situation``, ``<kind>_price`` and updates
     ``total`` (added to; starts at 0.0 if absent)."""
     if total not in cars.columns:
         cars = cars.withColumn(total, F.lit(0.0))
     look = _lookups(cars, car_key, ids)
     p = prices.select(F.col("id").cast("long").alias("id"), "price")
-    p = bounded_broadcast(p) if max_broadcast_rows is None else \
-        bounded_broadcast(p, max_broadcast_rows)
+    if check_size:
+        p = bounded_broadcast(p) if max_broadcast_rows is None else \
+            bounded_broadcast(p, max_broadcast_rows)
     found = look.join(p, "id", "left")
     return _settle(_fold(found, car_key, list(ids)), ids, total)
 

@@ -170,10 +170,11 @@ def price_ids(policy: str) -> dict[str, Column]:
     return ids
 
 
-def price(assembled: DataFrame, prices: DataFrame, policy: str = "code") -> DataFrame:
+def price(assembled: DataFrame, prices: DataFrame, policy: str = "code",
+          check_size: bool = True) -> DataFrame:
     """JN7 form 1 + JN9 on the cars awaiting a price."""
     waiting = assembled.filter(F.col("situation") == "AWAITING_PRICE").drop("situation")
-    return price_cars(waiting, prices, price_ids(policy), CAR_KEY)
+    return price_cars(waiting, prices, price_ids(policy), CAR_KEY, check_size=check_size)
 
 
 def price_by_fetch(assembled: DataFrame, fetch, policy: str = "code", **kw) -> DataFrame:
