@@ -192,9 +192,15 @@ def parquet_price_service(sf_dir: str) -> ParquetPriceService:
                                where)
 
 
-def routes(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[str, DataFrame]:
+def routes(spark: SparkSession, sf_dir: str, policy: str = "code",
+           every_sku: bool = False) -> dict[str, DataFrame]:
+    """Job A batch: assembled, priced and routed. The assembled cars feed three branches
+    (priced complete, priced incomplete, missing a part); they are written once to the
+    shared folder instead of being assembled three times."""
+    from partflow.session import materialize
     parts = fx.car_parts(spark, sf_dir)
-    asm = assemble(parts, policy)
+    cars = assemble_every_sku(parts, policy) if every_sku else assemble(parts, policy)
+    asm = materialize(cars, "assembled")
     return route(asm, price(asm, parts["prices"], policy))
 
 

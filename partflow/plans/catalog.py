@@ -75,9 +75,7 @@ def route_counts(spark, sf_dir):
 
 def route_counts_all(spark, sf_dir):
     """Job A over every sku (two-car skus included), priced and routed, batch."""
-    parts = fx.car_parts(spark, sf_dir)
-    asm = A.assemble_every_sku(parts, "code")
-    return A.route_counts(A.route(asm, A.price(asm, parts["prices"], "code")))
+    return A.route_counts(A.routes(spark, sf_dir, "code", every_sku=True))
 
 
 def word_count(spark, sf_dir):

@@ -33,14 +33,10 @@ from partflow.operators.text import word_count
 
 
 def _assemble(spark, a):
-    parts = fx.car_parts(spark, a.tables)
     if a.all_skus:
-        from partflow.operators.sequential import run_machine
-        cars = S.assembled_cars(run_machine(S.assembly_frame(spark, a.tables),
-                                            Assembly(S.CAR_WAIT_US, 4, a.policy)))
+        routed = A.routes(spark, a.tables, a.policy, every_sku=True)
     else:
-        cars = A.assemble(parts, a.policy)
-    routed = route(cars, A.price(cars, parts["prices"], a.policy))
+        routed = A.routes(spark, a.tables, a.policy)
     for name, df in routed.items():
         df.write.mode("overwrite").parquet(f"{a.out}/{name}")
 
