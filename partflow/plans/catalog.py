@@ -78,6 +78,21 @@ def route_counts_all(spark, sf_dir):
     return A.route_counts(A.routes(spark, sf_dir, "code", every_sku=True))
 
 
+def replaced_cars(spark, sf_dir):
+    """The replacement metric: per sku, cars formed by JN1 that never
+    left the assembly because a later car replaced them while waiting ("last wins")."""
+    parts = fx.car_parts(spark, sf_dir)
+    be = A.body_engine(parts)
+    formed = be.groupBy("sku").agg(F.count(F.lit(1)).alias("formed"))
+    out = A.cars_per_sku(be.drop("situation"), parts).groupBy("sku").agg(
+        F.count(F.lit(1)).alias("assembled"))
+    return (formed.join(out, "sku", "left")
+            .select("sku", "formed", F.coalesce("assembled", F.lit(0)).cast("long")
+                    .alias("assembled"))
+            .withColumn("replaced", F.col("formed") - F.col("assembled"))
+            .filter(F.col("replaced") > 0))
+
+
 def word_count(spark, sf_dir):
     return text.word_count(fx.text_lines(spark, sf_dir))
 
@@ -214,6 +229,7 @@ QUERIES: dict[str, Query] = {
     "lookup_map_in_pandas": lookup_map_in_pandas,
     "route_counts": route_counts,
     "route_counts_all": route_counts_all,
+    "replaced_cars": replaced_cars,
     "word_count": word_count,
     "running_word_count": running_word_count,
     "last_three_tags": last_three_tags,

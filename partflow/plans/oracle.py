@@ -287,6 +287,13 @@ select sink, situation, cast(count(*) as bigint) n from (
 group by sink, situation"""
 
 ORACLE["route_counts_all"] = ORACLE["stream_route_counts"]
+ORACLE["replaced_cars"] = ASM_ALL_CTE + """,
+formed as (select sku, count(*) formed from be group by sku),
+assembled as (select sku, count(*) assembled from asm_all group by sku)
+select f.sku, cast(f.formed as bigint) formed, cast(coalesce(a.assembled, 0) as bigint) assembled,
+       cast(f.formed - coalesce(a.assembled, 0) as bigint) replaced
+from formed f left join assembled a on f.sku = a.sku
+where f.formed - coalesce(a.assembled, 0) > 0"""
 
 # Sinks written and read back equal what was written.
 ORACLE["tags_sink_round_trip"] = ORACLE["last_three_tags"]
