@@ -316,10 +316,11 @@ def word_count(spark, sf_dir):
     from partflow.functions.scalars import split_words, word_count_text
     lines = fx.text_lines(spark, sf_dir)
     path = scratch_path(spark, "topic-text")
-    lines.repartition(4).write.parquet(path)  # four files: four micro-batches
+    lines.write.parquet(path)  # written by all tasks; read as about four micro-batches
+    files = len(spark.read.parquet(path).inputFiles())  # file listing only
     out = scratch_path(spark, "wc-out")
-    src = (spark.readStream.schema("doc_id bigint, text string").option("maxFilesPerTrigger", 1)
-           .parquet(path))
+    src = (spark.readStream.schema("doc_id bigint, text string")
+           .option("maxFilesPerTrigger", max(1, -(-files // 4))).parquet(path))
     counts = (src.select(F.explode(split_words("text")).alias("word"))
               .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
