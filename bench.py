@@ -31,15 +31,20 @@ def main() -> None:
     from partflow.session import local_session
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8, app="partflow-bench")
     only = [q for q in sys.argv[1:] if q in QUERIES] or HEADLINE
-    times = {}
+    times, errors = {}, {}
     for name in only:
         t0 = time.time()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - report and go on with the others
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "total_query_sec", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times,
-                      "sf": float(m.group(1)) if m else sf_dir}))
+    out = {"metric": "total_query_sec", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
