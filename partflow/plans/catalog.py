@@ -257,5 +257,6 @@ QUERIES: dict[str, Query] = {
     "stream_first_per_key": S.first_per_key,
     "stream_priced_wait_join": S.priced_wait_join,
     "stream_word_count": S.word_count,
+    "stream_running_word_count": S.running_word_count,
     "stream_part_patch_join": stream_part_patch_join,
 }

@@ -302,5 +302,5 @@ ORACLE["text_sink_round_trip"] = ORACLE["word_count"]
 # Streaming forms equal their batch forms on the same input.
 for _name in ("body_engine_wait_join", "car_remote_wait_join", "car_wheels_wait_join",
               "latest_value_join", "last_three_tags", "first_per_key", "priced_wait_join",
-              "word_count", "part_patch_join"):
+              "word_count", "part_patch_join", "running_word_count"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]

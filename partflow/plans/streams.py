@@ -24,7 +24,8 @@ from partflow.sources.topics import FILE_TOPIC_SCHEMA, decode
 from partflow.session import scratch_path, state_partitions
 from partflow.sources import fixtures as fx
 from partflow.streaming import runner as R
-from partflow.streaming.machines import Assembly, First, LastN, Latest, WaitJoin
+from partflow.streaming.machines import (Assembly, First, LastN, Latest, RunningCount,
+                                         WaitJoin)
 
 # Waits on the machine clock (microseconds) and in milliseconds for topic horizons.
 DAY_US = 86_400_000_000
@@ -33,6 +34,7 @@ PRICED_WAIT_US = 12 * 3_600_000_000
 CAR_WAIT_MS = CAR_WAIT_US // 1000
 PRICED_WAIT_MS = PRICED_WAIT_US // 1000
 ASM_HORIZON_MS = 3 * CAR_WAIT_MS + 1  # three waits in a chain
+TEXT_EPOCH = 946_684_800  # 2000-01-01 in seconds: documents "arrive" from there
 SLICES = 3
 
 
@@ -309,6 +311,23 @@ def priced_wait_join(spark, sf_dir):
                       .otherwise(_j("$.unpriced.value", "double")).alias("value"))
 
 
+def running_word_count(spark, sf_dir):
+    """Job C per input: every word gets its running total as it arrives. Arrival order
+    is (doc_id, position): a document's words arrive at second ``doc_id`` after
+    ``TEXT_EPOCH`` (not at epoch 0: the initial watermark is 0, and rows at or before
+    the watermark count as late)."""
+    from partflow.functions.scalars import word_count_text
+    from partflow.operators.text import words
+    w = words(fx.text_lines(spark, sf_dir)).select(
+        "word", "pos", F.timestamp_seconds(F.col("doc_id") + TEXT_EPOCH).alias("ts"))
+    frame = R.topic_frame(w, "word", "word", seq="pos", payload=["pos"])
+    out = R.run_sliced(spark, frame, RunningCount(), "ag1", SLICES, 1)
+    n = _j("$.n")
+    return out.select(((F.col("ts_us") / 1_000_000).cast("bigint") - TEXT_EPOCH).alias("doc_id"),
+                      _j("$.seq", "int").alias("pos"), F.col("key").alias("word"),
+                      n.alias("n"), word_count_text(F.col("key"), n).alias("line"))
+
+
 def word_count(spark, sf_dir):
     """Job C streaming: words -> groupBy(word).count() in update mode; each micro-batch's
     updated totals go to the sink under its batch id; the newest total per word is the

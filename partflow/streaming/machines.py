@@ -303,3 +303,16 @@ class First(Machine):
             out.append((t, obj(row=val, first=not st.get("seen"), seq=seq)))
             st["seen"] = True
         return out
+
+
+class RunningCount(Machine):
+    """AG1 per input: the key's running total, emitted on every arrival (``keyBy(word)
+    .sum(1)``)."""
+    keeps_state = True
+
+    def instant(self, st, items, t, rows):
+        out = []
+        for _, seq, _, _ in rows:
+            st["n"] = (st.get("n") or 0) + 1
+            out.append((t, obj(n=st["n"], seq=seq)))
+        return out

@@ -102,7 +102,9 @@ def write_time_sliced(spark: SparkSession, frame: DataFrame, path: str, slices:
 def machine_stream(source: DataFrame, machine: Machine, time_mode: str = "EventTime",
                    ttl_ms: int | None = None, lateness: str = "0 seconds") -> DataFrame:
     """The stateful stage on a streaming topic frame. In event time the watermark
-    trails the newest arrival by ``lateness`` (0 for in-order topics)."""
+    trails the newest arrival by ``lateness`` (0 for in-order topics). Arrival times
+    must lie after the epoch: the first watermark is 0 and rows at or before the
+    watermark are dropped as late."""
     src = source.withColumn("ts_us", F.unix_micros("ts"))
     if time_mode == "EventTime":
         src = src.withWatermark("ts", lateness)
