@@ -24,10 +24,11 @@ from pyspark.sql import types as T
 
 from partflow.functions.scalars import money
 from partflow.operators.sizing import bounded_broadcast
+from partflow.schemas import (LOOKUP_CAPACITY, LOOKUP_RETRIES, LOOKUP_RETRY_DELAY_S,
+                              LOOKUP_TIMEOUT_S, WHEEL_PRICE_FACTOR)
+
+WHEEL_FACTOR = WHEEL_PRICE_FACTOR  # wheel price counts four times, whatever the count
 
-KINDS = ["BODY", "ENGINE", "REMOTE_CONTROL", "WHEEL"]
-# Wheel price counts four times whatever the number of wheels.
-WHEEL_FACTOR = 4
 
 def _lookups(cars: DataFrame, car_key: list[str], ids: dict[str, Column]) -> DataFrame:
     """One lookup row per car and part kind; the car record rides on the first one only,
@@ -102,8 +103,8 @@ def price_cars(cars: DataFrame, prices: DataFrame, ids: dict[str, Column],
 
 def fetch_prices(cars: DataFrame, fetch: Callable[[list[int]], dict[int, float]],
                  ids: dict[str, Column], car_key: list[str], total: str = "total_price",
-                 capacity: int = 5,
-                 timeout_s: float = 30.0, retries: int = 3, delay_s: float = 10.0,
+                 capacity: int = LOOKUP_CAPACITY, timeout_s: float = LOOKUP_TIMEOUT_S,
+                 retries: int = LOOKUP_RETRIES, delay_s: float = LOOKUP_RETRY_DELAY_S,
                  chunk: int = 256) -> DataFrame:
     """Form 2: prices from ``fetch(list_of_ids) -> {id: price}`` (ids without a price
     are left out of the answer). Per task, at most ``capacity`` calls are in flight;

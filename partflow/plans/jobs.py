@@ -23,7 +23,8 @@ from partflow.operators.routing import route
 from partflow.plans import assembly as A
 from partflow.plans import events as E
 from partflow.plans import streams as S
-from partflow.schemas import TOPIC_BODY, TOPIC_ENGINE, TOPIC_REMOTE_CONTROL, TOPIC_WHEEL
+from partflow.schemas import (EXPECTED_WHEELS, JOIN_WAIT_MS, TOPIC_BODY, TOPIC_ENGINE,
+                              TOPIC_REMOTE_CONTROL, TOPIC_WHEEL)
 from partflow.session import apply_core_conf, ship_package, state_partitions
 from partflow.sources import fixtures as fx
 from partflow.sources.topics import consumer_options, read_kafka
@@ -52,7 +53,7 @@ def _assemble_stream(spark, a):
         sources[kind] = raw.select("key", "value", F.col("timestamp").alias("ts"),
                                    F.col("offset").alias("seq"))
     frame = S.decoded_frame(sources) if a.format == "json" else _avro_frame(sources, a)
-    stage = R.machine_stream(frame, Assembly(S.CAR_WAIT_US, 4, a.policy),
+    stage = R.machine_stream(frame, Assembly(a.wait_ms * 1000, EXPECTED_WHEELS, a.policy),
                              time_mode="ProcessingTime")
 
     def per_batch(batch, batch_id):
@@ -97,6 +98,7 @@ def main(argv=None) -> None:
     st.add_argument("--policy", choices=["code", "documented"], default="code")
     st.add_argument("--format", choices=["avro", "json"], default="avro")
     st.add_argument("--registry-framed", action="store_true")
+    st.add_argument("--wait-ms", type=int, default=JOIN_WAIT_MS)
     a = p.parse_args(argv)
 
     from pyspark.sql import SparkSession

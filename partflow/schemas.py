@@ -36,6 +36,13 @@ WORD_COUNT_SEPARATOR = ":::"
 FIRST_BODY_COLOR = "RUNNAWAY_DONKEY"
 EXPECTED_WHEELS = 4
 LAST_N_TAGS = 3
+WHEEL_PRICE_FACTOR = 4
+JOIN_WAIT_MS = 5_000
+PRICED_WAIT_MS = 15_000
+LOOKUP_CAPACITY = 5
+LOOKUP_TIMEOUT_S = 30
+LOOKUP_RETRIES = 3
+LOOKUP_RETRY_DELAY_S = 10
 # ---------------------------------------------------------------------------
 
 PART = T.StructType([
