@@ -42,6 +42,12 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {"metric": "total_query_sec", "value": round(sum(times.values()), 3),
            "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir}
+    if "stream_route_counts" in times:  # job A end to end as a stream: part messages/s
+        from partflow.sources import fixtures as fx
+        parts = fx.car_parts(spark, sf_dir)
+        msgs = sum(parts[k].count() for k in ("body", "engine", "remote", "wheel"))
+        out["stream_job_a_messages"] = msgs
+        out["stream_job_a_msgs_per_sec"] = round(msgs / times["stream_route_counts"], 1)
     if errors:
         out["errors"] = errors
     print(json.dumps(out))
