@@ -7,9 +7,11 @@ would emit the row: the match time, or the waiter's arrival plus the wait.
 
 Closed forms. These are exact when every key has at most one waiting row per side (for
 JN2/JN3: one left row per key, at most one right row for JN2). That is the contract of
-the fixtures. Inputs that repeat rows per key go through the stateful processors in
-``partflow.streaming`` (the same rules, row by row), never through a pairwise join:
-no operator here emits all pairs within a key.
+the fixtures. Inputs that repeat rows per key go through the per-key machines (the
+same rules, in arrival order): ``operators/sequential.run_machine`` in batch, the
+``transformWithState`` processors in streaming. Never through a pairwise join: no
+operator here emits all pairs within a key. For job A over every sku (two cars per
+sku) see ``plans/assembly.cars_per_sku``.
 
 Tie rules: a match needs the other arrival strictly before first arrival + wait; right
 rows at or before the left row's time count as already there.
