@@ -8,8 +8,6 @@ batch id (a replayed batch overwrites its own files: idempotent)."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -238,11 +236,8 @@ def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[st
     for i, step in enumerate(steps):
         for kind, part in step.items():
             part.write.parquet(f"{base}/topic/{kind}/slice-{i:05d}")
-        sources = {}
-        for kind in topics:
-            os.makedirs(f"{base}/topic/{kind}", exist_ok=True)
-            sources[kind] = spark.readStream.schema(FILE_TOPIC_SCHEMA).parquet(
-                f"{base}/topic/{kind}/slice-*")
+        sources = {kind: spark.readStream.schema(FILE_TOPIC_SCHEMA).parquet(
+            f"{base}/topic/{kind}/slice-*") for kind in topics}  # every step wrote each
         stage = R.machine_stream(decoded_frame(sources),
                                  Assembly(CAR_WAIT_US, EXPECTED_WHEELS, policy))
         with state_partitions(spark):
