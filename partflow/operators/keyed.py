@@ -37,6 +37,20 @@ def _with_bucket(df: DataFrame, bucket: Column | str) -> DataFrame:
     return df.withColumn(_B, F.col(bucket) if isinstance(bucket, str) else bucket)
 
 
+def _join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner"
+          ) -> DataFrame:
+    """Join on ``cols`` with null-safe equality (a null key or a null time is a group
+    like any other; plain equality would drop those rows), keeping one copy of
+    ``cols``."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols],
+                     *[c for c in right.columns if c not in cols])
+    cond = None
+    for c in cols:
+        e = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
+
+
 def running_rank(df: DataFrame, key, order: Sequence[str], bucket, name: str = "rank"
                  ) -> DataFrame:
     """Add ``name`` = 1-based position of each row within its key, in ``order``.
@@ -50,7 +64,7 @@ def running_rank(df: DataFrame, key, order: Sequence[str], bucket, name: str = "
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, _B, F.coalesce(F.sum("_n").over(before), F.lit(0))
                             .alias("_off"))
-    return (local.join(offsets, [*keys, _B])
+    return (_join(local, offsets, [*keys, _B])
             .withColumn(name, (F.col("_off") + F.col("_rn")).cast("long"))
             .drop("_off", "_rn", _B))
 
@@ -76,7 +90,7 @@ def last_non_null(df: DataFrame, key, order: Sequence[str], bucket,
     carry = tails.select(*keys, _B, *[
         F.last(f"_t_{out}", ignorenulls=True).over(before).alias(f"_c_{out}")
         for out in columns.values()])
-    res = local.join(carry, [*keys, _B])
+    res = _join(local, carry, [*keys, _B])
     for out in columns.values():
         res = res.withColumn(out, F.coalesce(F.col(f"_l_{out}"), F.col(f"_c_{out}")))
     return res.drop(_B, *[f"_l_{o}" for o in columns.values()],
@@ -111,15 +125,15 @@ def last_n(df: DataFrame, key, order: Sequence[str], bucket, n: int, value: str,
                             .alias("_off"))
     # Rows whose window reaches into an earlier bucket, and rows another bucket can
     # reach: both at most n-1 per (key, bucket).
-    heads = local.filter(F.col("_rn") < n).join(offsets, [*keys, _B])
+    heads = _join(local.filter(F.col("_rn") < n), offsets, [*keys, _B])
     heads = heads.withColumn("_rank", F.col("_off") + F.col("_rn"))
-    tails = (local.filter(F.col("_rn") > F.col("_cnt") - (n - 1)).join(offsets, [*keys, _B])
+    tails = (_join(local.filter(F.col("_rn") > F.col("_cnt") - (n - 1)), offsets, [*keys, _B])
              .select(*keys, (F.col("_off") + F.col("_rn")).alias("_trank"),
                      F.col(value).alias("_tval")))
     for k in range(1, n):
         t = tails.select(*keys, (F.col("_trank") + k).alias("_rank"),
                          F.col("_tval").alias(f"_x{k}"))
-        heads = heads.join(t, [*keys, "_rank"], "left")
+        heads = _join(heads, t, [*keys, "_rank"], "left")
         heads = heads.withColumn(f"{prefix}_{k}", F.when(F.col("_rn") > k, F.col(f"{prefix}_{k}"))
                                  .otherwise(F.col(f"_x{k}"))).drop(f"_x{k}")
     heads = heads.withColumn(f"{prefix}_count", F.least(F.col("_rank"), F.lit(n)).cast("long"))
@@ -140,5 +154,5 @@ def first_per_key(df: DataFrame, key, order: Sequence[str], flag: str = "is_firs
     firsts = (df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_f"))
               .select(*keys, *[F.col(f"_f.{c}").alias(c) for c in order])
               .withColumn(flag, F.lit(True)))
-    return (df.join(firsts, [*keys, *order], "left")
+    return (_join(df, firsts, [*keys, *order], "left")
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))

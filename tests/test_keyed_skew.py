@@ -59,3 +59,28 @@ def test_first_per_key(spark):
     want = e.withColumn("is_first", F.row_number().over(w) == 1)
     got = keyed.first_per_key(e, "k", ["ts", "seq"])
     _same(got, want, ["k", "seq", "is_first"])
+
+
+def test_null_keys_and_times_are_kept(spark):
+    """A null key or a null time is a group like any other: no row is dropped, and the
+    results equal the plain windows (nulls first in the order)."""
+    rows = [(None, 1, 1.0), (None, 2, None), ("a", None, 3.0), ("a", 5, None), ("a", 7, 4.0),
+            ("b", 1, None), (None, None, 5.0)]
+    e = (spark.createDataFrame(rows, "k string, t long, v double")
+         .withColumn("ts", F.timestamp_seconds("t"))
+         .withColumn("seq", F.monotonically_increasing_id()).drop("t").cache())
+    w = Window.partitionBy("k").orderBy("ts", "seq")
+    b = keyed.time_bucket("ts", 2)
+    _same(keyed.running_rank(e, "k", ["ts", "seq"], b),
+          e.withColumn("rank", F.row_number().over(w).cast("long")), ["k", "seq", "rank"])
+    lw = w.rowsBetween(Window.unboundedPreceding, 0)
+    _same(keyed.last_non_null(e, "k", ["ts", "seq"], b, {"v": "lv"}),
+          e.withColumn("lv", F.last("v", ignorenulls=True).over(lw)), ["k", "seq", "lv"])
+    x = e.withColumn("x", F.col("seq") * 2)
+    _same(keyed.last_n(x, "k", ["ts", "seq"], b, 3, "x"),
+          x.withColumn("prev_1", F.lag("x", 1).over(w)).withColumn("prev_2", F.lag("x", 2).over(w))
+          .withColumn("prev_count", F.least(F.row_number().over(w), F.lit(3)).cast("long")),
+          ["k", "seq", "prev_1", "prev_2", "prev_count"])
+    _same(keyed.first_per_key(e, "k", ["ts", "seq"]),
+          e.withColumn("is_first", F.row_number().over(w) == 1), ["k", "seq", "is_first"])
+    assert keyed.running_rank(e, "k", ["ts", "seq"], b).count() == len(rows)
