@@ -12,7 +12,9 @@ MAX_BROADCAST_ROWS = 2_000_000
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged (a
-    shuffle join then). The check is a bounded count: it stops reading after
-    ``max_rows + 1`` rows, so a huge table costs no full scan."""
-    n = df.limit(max_rows + 1).count()
+    shuffle join then). The check is an exact distributed count: every task counts its
+    own partition (column-pruned to what the table's filters need) and only one number
+    per task is combined. A ``limit(n).count()`` would instead funnel up to n rows per
+    partition into a single task."""
+    n = df.count()
     return F.broadcast(df) if n <= max_rows else df
