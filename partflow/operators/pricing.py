@@ -105,13 +105,22 @@ def fetch_prices(cars: DataFrame, fetch: Callable[[list[int]], dict[int, float]]
                  ids: dict[str, Column], car_key: list[str], total: str = "total_price",
                  capacity: int = LOOKUP_CAPACITY, timeout_s: float = LOOKUP_TIMEOUT_S,
                  retries: int = LOOKUP_RETRIES, delay_s: float = LOOKUP_RETRY_DELAY_S,
-                 chunk: int = 256) -> DataFrame:
+                 chunk: int = 256, per_id: bool = False) -> DataFrame:
     """Form 2: prices from ``fetch(list_of_ids) -> {id: price}`` (ids without a price
     are left out of the answer). Per task, at most ``capacity`` calls are in flight;
     each call gets ``timeout_s`` and is retried ``retries`` times ``delay_s`` apart on
-    an exception or an empty answer. Ids still without a price fail their car."""
+    an exception or an empty answer. Ids still without a price fail their car.
+
+    ``per_id=True`` takes ``fetch(id) -> price | None`` instead, one request per id as
+    the reference makes them; ``capacity`` then bounds the ids in flight."""
     if total not in cars.columns:
         cars = cars.withColumn(total, F.lit(0.0))
+    if per_id:
+        one, chunk = fetch, 1
+
+        def fetch(batch):  # noqa: F811 - the per-id fetch behind the batch interface
+            v = one(batch[0])
+            return {} if v is None else {batch[0]: v}
     look = _lookups(cars, car_key, ids)
     schema = T.StructType([*[look.schema[c] for c in look.columns],
                            T.StructField("price", T.DoubleType())])

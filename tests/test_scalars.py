@@ -64,3 +64,17 @@ def test_fetch_timeout_is_enforced(spark):
                        retries=1, delay_s=0.1).collect()
     assert out[0]["situation"] == "FAILED_GET_PRICE" and out[0]["total_price"] == -1.0
     assert time.time() - t0 < 4
+
+
+def test_fetch_per_id_matches_batch_fetch(spark):
+    from partflow.operators.pricing import fetch_prices
+    table = {1: 2.675, 2: 10.0}
+    cars = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "sku long, bid long").withColumn(
+        "body", F.struct(F.col("bid").alias("id")))
+    ids = {"BODY": F.col("body.id")}
+    a = fetch_prices(cars, lambda b: {i: table[i] for i in b if i in table}, ids, ["sku"],
+                     retries=0).orderBy("sku").collect()
+    b = fetch_prices(cars, lambda i: table.get(i), ids, ["sku"], retries=0,
+                     per_id=True).orderBy("sku").collect()
+    assert [(r.situation, r.total_price) for r in a] == [(r.situation, r.total_price) for r in b] \
+        == [("COMPLETE", 2.68), ("COMPLETE", 10.0), ("FAILED_GET_PRICE", -1.0)]
