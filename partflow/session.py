@@ -50,32 +50,16 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``partflow`` importable on the executors (Python UDFs, ``mapInPandas`` and
-    the stateful processors reference it): zip the package into the shared folder and
-    ``addPyFile`` it, once per session."""
-    sc = _context(spark)
-    key = sc.applicationId if sc is not None else getattr(spark, "session_id", str(id(spark)))
-    if key in _SHIPPED:
+    """Make ``partflow``'s code available to the Python workers: its classes and
+    functions (processors, machines, ``mapInPandas`` functions, fetch services) are
+    pickled by value into the tasks that use them, so executors need no installed copy
+    and no file is staged anywhere. Idempotent."""
+    if "partflow" in _SHIPPED:
         return
-    import shutil
-
     import partflow
     from pyspark import cloudpickle
-    # The driver-side runner of transformWithState doesn't see addPyFile: pickling the
-    # package's classes and functions by value makes them travel with the plan.
     cloudpickle.register_pickle_by_value(partflow)
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    base = tempfile.mkdtemp(prefix="partflow-pkg-")  # driver-side; Spark ships it
-    archive = shutil.make_archive(os.path.join(base, "partflow"), "zip",
-                                  root_dir=os.path.dirname(pkg), base_dir="partflow")
-    try:
-        if sc is not None:
-            sc.addPyFile(archive)
-        else:  # Spark Connect: artifacts instead of addPyFile
-            spark.addArtifacts(archive, pyfile=True)
-    except Exception:  # noqa: BLE001 - already shipped by another session object
-        pass
-    _SHIPPED.add(key)
+    _SHIPPED.add("partflow")
 
 
 def _context(spark: SparkSession):
