@@ -220,3 +220,25 @@ def test_foreach_batch_sinks_survive_a_crash_between_writes(spark):
     run(crashed)  # restart from the same checkpoint
     assert sinks(crashed) == sinks(clean)
     assert sum(len(x) for x in sinks(clean)) > 0
+
+
+def test_state_partitions_follow_parallelism_not_batch_setting(spark):
+    """A stateful query started while the session says 200 shuffle partitions still
+    gets the cluster's parallelism as its state partitions (fixed in the checkpoint)."""
+    import glob
+    from partflow.streaming.machines import First
+    e = spark.read.parquet(f"{SF001}/events.parquet").limit(50)
+    frame = R.topic_frame(e, "user_id", "body", seq="event_id", payload=["event_type"])
+    topic = scratch_path(spark, "sp-topic")
+    R.write_time_sliced(spark, frame, topic, 2, 1)
+    ckpt = scratch_path(spark, "sp-ckpt")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        R.run_to_end(spark, topic, First(), "sp", checkpoint=ckpt)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    meta = open(sorted(glob.glob(f"{ckpt}/offsets/[0-9]*"))[0]).read()
+    n = spark.sparkContext.defaultParallelism
+    assert f'"spark.sql.shuffle.partitions":"{n}"' in meta
+    assert spark.conf.get("spark.sql.shuffle.partitions") == old
