@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -73,18 +74,21 @@ def _context(spark: SparkSession):
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when the
-    session names none, as in local tests, a scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only a local
+    session without one, as in tests, gets a scratch folder; elsewhere each executor would
+    write to its own disk, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if sc is None or not re.fullmatch(r"local(\[[^]]*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and "
+                               f"all executors share (master is {master!r})")
         d = tempfile.mkdtemp(prefix="partflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        if sc is not None:
-            sc.setCheckpointDir(d)
+        sc.setCheckpointDir(d)
     return d
 
 
