@@ -75,17 +75,47 @@ def unpack(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
 
 
+def pack_ranks(a: np.ndarray) -> bytes:
+    """Frequency ranks: one byte each, the rarer ones (255 and on) go on in byte planes."""
+    import zstandard
+    small = zstandard.ZstdCompressor(level=3).compress(
+        np.minimum(a, 255).astype(np.uint8).tobytes())
+    return len(small).to_bytes(8, "little") + small + pack(a[a >= 255] - 255)
+
+
+def unpack_ranks(b: bytes) -> np.ndarray:
+    import zstandard
+    n = int.from_bytes(b[:8], "little")
+    a = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[8:8 + n]),
+                      np.uint8).astype(np.uint32)
+    a[a == 255] += unpack(b[8 + n:])
+    return a
+
+
 def _blob(words: list[bytes]) -> tuple[bytes, bytes]:
+    """Sorted words, each without the prefix it shares with the one before."""
     import zstandard
-    return (zstandard.ZstdCompressor(level=3).compress(b"".join(words)),
-            pack(np.fromiter(map(len, words), np.uint32, len(words))))
+    rest, shared, last = [], bytearray(), b""
+    for w in words:
+        n, most = 0, min(len(w), len(last), 255)
+        while n < most and w[n] == last[n]:
+            n += 1
+        shared.append(n)
+        rest.append(w[n:])
+        last = w
+    return (zstandard.ZstdCompressor(level=3).compress(bytes(shared) + b"".join(rest)),
+            pack(np.fromiter(map(len, rest), np.uint32, len(rest))))
 
 
 def _pieces(data: bytes, sizes: bytes) -> list[bytes]:
     import zstandard
     raw, n = zstandard.ZstdDecompressor().decompress(data), unpack(sizes)
-    ends = np.cumsum(n, dtype=np.int64).tolist()
-    return [raw[a:b] for a, b in zip([0, *ends], ends)]
+    ends = (np.cumsum(n, dtype=np.int64) + len(n)).tolist()
+    out, last = [], b""
+    for shared, a, e in zip(raw, [len(n), *ends], ends):
+        last = last[:shared] + raw[a:e]
+        out.append(last)
+    return out
 
 
 PACKED = ("block string, bucket int, words binary, sizes binary, places binary, "
@@ -107,8 +137,13 @@ def block_rows(pattern: str, buckets: int, block_chars: int):
         def flush():
             nonlocal number, seen, keys, lens, seq, size
             block = f"{task}-{number}"
+            flat = np.concatenate(seq) if seq else np.zeros(0, np.uint32)
+            # Words are numbered anew by frequency, the commonest first.
+            by = np.argsort(-np.bincount(flat, minlength=len(seen)), kind="stable")
+            rank = np.empty(len(by), np.uint32)
+            rank[by] = np.arange(len(by), dtype=np.uint32)
             words = list(seen)
-            raw = [w.encode() for w in words]
+            raw = [words[i].encode() for i in by.tolist()]
             at = np.fromiter((zlib.crc32(w) % buckets for w in raw), np.int64, len(raw))
             order = np.argsort(at, kind="stable")
             starts = np.searchsorted(at[order], np.arange(buckets + 1))
@@ -116,11 +151,11 @@ def block_rows(pattern: str, buckets: int, block_chars: int):
                    np.array([k or 0 for k in keys], "<i8").tobytes(),
                    np.array([k is None for k in keys], np.uint8).tobytes(),
                    pack(np.array(lens, np.uint32)),
-                   pack(np.concatenate(seq) if seq else np.zeros(0, np.uint32))]
+                   pack_ranks(rank[flat])]
             for b in range(buckets):
-                mine = order[starts[b]:starts[b + 1]]
-                if len(mine):
-                    yield [block, b, *_blob([raw[i] for i in mine]), pack(mine),
+                mine = sorted(order[starts[b]:starts[b + 1]].tolist(), key=raw.__getitem__)
+                if mine:
+                    yield [block, b, *_blob([raw[i] for i in mine]), pack(np.array(mine)),
                            None, None, None, None]
             number += 1
             seen, keys, lens, seq, size = {}, [], [], [], 0
@@ -202,7 +237,7 @@ def reassemble(path: str, keep_ids: bool):
                 said = [b" ".join([b"%d" % x for x in y]) for y in ids_of]
                 raw = [b"".join([table[x] for x in y]) for y in ids_of]
                 count = np.fromiter(map(len, ids_of), np.int64, n)
-                seq = unpack(r["seq"])
+                seq = unpack_ranks(r["seq"])
                 keys = np.frombuffer(r["keys"], "<i8").tolist()
                 nulls = np.frombuffer(r["nulls"], np.uint8).tolist()
                 ends = np.cumsum(unpack(r["lens"]), dtype=np.int64).tolist()
@@ -223,7 +258,7 @@ def reassemble(path: str, keep_ids: bool):
 
 def encode_corpus(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id",
                   text: str = "text", keep_ids: bool = False,
-                  block_chars: int = 24_000_000) -> DataFrame:
+                  block_chars: int = 32_000_000) -> DataFrame:
     """One row per row of ``docs``: key, n_tokens, the digests of its ids and of the decoded
     bytes, and with ``keep_ids`` the ids themselves. ``block_chars`` bounds what one block
     holds in a task's memory."""

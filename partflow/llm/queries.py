@@ -6,16 +6,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import byte_bpe, simhash, token_counts, toxicity
+from partflow.llm import byte_bpe, mixing, pii, quality, simhash, substrings, token_counts, \
+    toxicity
 from partflow.llm.common import prepare, read
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(prepare(spark), sf_dir, "documents"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(prepare(spark), sf_dir, "documents")
+    return pii.personal_data(docs.select("doc_id", "text"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(prepare(spark), sf_dir, "documents")
+    return quality.quality(docs.select("doc_id", "lang", "source", "text")).drop(
+        "lang", "source")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_corpus(read(prepare(spark), sf_dir, "documents"),
                                   public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                   public_tokenizers.PATTERN)
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_substrings(read(prepare(spark), sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(prepare(spark), sf_dir, "documents")
     fold = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)), F.lit(-1))
@@ -34,7 +54,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op5_byte_bpe, op7_toxicity, op8_simhash,
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_pii, op3_quality, op5_byte_bpe, op6_substrings,
+                                   op7_toxicity, op8_simhash,
                                    op9_token_counts)}
 
 #: DuckDB SQL of the queries that SQL can express.
