@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import byte_bpe, mixing, pii, quality, simhash, substrings, token_counts, \
-    toxicity
+from partflow.llm import (ann, byte_bpe, html_content, mixing, pii, quality, simhash,
+                          substrings, token_counts, toxicity)
 from partflow.llm.common import prepare, read
 
 
@@ -26,6 +26,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang", "source")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(prepare(spark), sf_dir, "pages").select("page_id", "url", "html")
+    return html_content.main_texts(pages, html_content.fit_content(pages))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_corpus(read(prepare(spark), sf_dir, "documents"),
                                   public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -54,9 +59,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_pii, op3_quality, op5_byte_bpe, op6_substrings,
-                                   op7_toxicity, op8_simhash,
-                                   op9_token_counts)}
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(prepare(spark), sf_dir, "embeddings"),
+                       F.col("vec_id") % 20 == 0)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mixing, op2_pii, op3_quality, op4_html, op5_byte_bpe, op6_substrings, op7_toxicity,
+    op8_simhash, op9_token_counts, op10_ann)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {}
