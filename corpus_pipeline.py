@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from partflow.llm import byte_bpe, mixing, pii, quality, simhash
 from partflow.llm.common import prepare, read, store
@@ -34,7 +35,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return pii.redacted(docs)
+    return pii.redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
