@@ -17,11 +17,12 @@ windows around it:
    pointer, or with equal runs only, is settled.
 3. The first pointers of the buckets that step 2 split are refined once more, window by
    window, by the identifiers (128 bits) of whole windows; whatever has an earlier equal
-   window is covered.
+   window is covered. The bytes of a run meet by bucket; buckets of more than ``WIDE`` runs
+   are dealt out by window instead, so that none is one task's work.
 
 Equal runs of one map task meet there already, so a group of copies costs one pointer per
-task. Each step sorts pointers by bucket within Spark's shuffle. Covered intervals join
-their documents by key at the end.
+task. Pointers travel packed, a row per task and bucket range. Covered intervals join their
+documents by key at the end; texts travel compressed.
 
 Null texts count as empty. Rows alike in key and text are one document: each gets that
 document's result. Rows alike in key but not in text are ordered by a 16-bit mark of the
@@ -34,15 +35,21 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partflow.llm.byte_bpe import pack, unpack
 from partflow.llm.common import parallelism, store, text_of
 
 #: Bytes of an initial bucket's q-gram (a power of two).
 Q = 32
 #: Bytes of text worked on at once, and pointers gathered before equal ones are merged.
 CHUNK, POINTERS = 1 << 20, 1 << 20
+#: Bits of a text that tell rows of one key apart.
+MARK = (1 << 16) - 1
+#: Runs of a bucket beyond which its windows are dealt out one by one, and windows compared
+#: at once.
+WIDE, WINDOWS = 2048, 1 << 18
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -122,79 +129,113 @@ def _groups(texts: list[bytes], most: int):
         yield part
 
 
-def text_runs(text: bytes, length: int):
-    """The runs of one document, in pieces that overlap so that every window lies whole in
-    one of them. Pieces cut a run in two at most; the parts are runs of their own."""
+def text_pieces(text: bytes, length: int):
+    """The document in pieces that overlap so that every window lies whole in one of them. A
+    run is cut in two at most; its parts are runs of their own."""
     step = CHUNK * 8
     for at in range(0, max(1, len(text) - length + 1), step):
         yield at, text[at:at + step + length - 1]
 
 
-POINTER = "g bigint, c bigint, ord bigint, v bigint"
-_POINTER = pa.schema([(x, pa.int64()) for x in ("g", "c", "ord", "v")])
-MOST = (1 << 16) - 1
+PACKED = "bucket int, kind int, data binary"
+_PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 
 
-def place(mark: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """16 bits of the text's mark, 32 of the start, 16 of the size: sorts like the first two."""
-    return (mark.astype(np.uint64) << np.uint64(48) | start.astype(np.uint64) << np.uint64(16)
-            | size.astype(np.uint64)).view(np.int64)
+def _bytes(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
 
 
-def _covered(key: int, mark: int, start: np.ndarray, end: np.ndarray):
-    """Rows (c = 0) that say what of a document is covered, merged and cut to 16-bit sizes."""
-    new = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
-    a, e = start[new], np.maximum.reduceat(end, new)
-    return [(key, mark, x, min(MOST, z - x)) for y, z in zip(a.tolist(), e.tolist())
-            for x in range(y, z, MOST)]
+def _parts(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at:at + 8], "little")
+        out.append(data[at + 8:at + 8 + n])
+        at += 8 + n
+    return out
 
 
-def pointers(length: int):
-    """Map side: the first pointer of each (bucket, run) of the task, and what the others
-    cover."""
+def _pack_places(ord_, mark, start, size) -> list[bytes]:
+    """Documents as a table and each row's number in it."""
+    doc = np.stack([ord_, mark], axis=1)
+    table, number = np.unique(doc, axis=0, return_inverse=True)
+    return [table.astype("<i8").tobytes(), pack(number.ravel()), pack(start), pack(size)]
+
+
+def _unpack_places(parts: list[bytes]) -> tuple[np.ndarray, ...]:
+    table = np.frombuffer(parts[0], "<i8").reshape(-1, 2)
+    doc = table[unpack(parts[1]).astype(np.int64)]
+    return (doc[:, 0], doc[:, 1], unpack(parts[2]).astype(np.int64),
+            unpack(parts[3]).astype(np.int64))
+
+
+def _first_of(keys: list[np.ndarray], pointer: list[np.ndarray]):
+    """Rows in order of keys and pointer; group numbers; whether a row's pointer is the least
+    of its group (equal pointers are one place)."""
+    order = np.lexsort([*reversed(pointer), *reversed(keys)])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    group = np.cumsum(new) - 1
+    lead = order[np.flatnonzero(new)][group]
+    first = np.ones(len(order), bool)
+    for q in pointer:
+        first &= q[order] == q[lead]
+    return order, group, first
+
+
+def merged(ord_, mark, start, end):
+    """Covered [start, end) of documents, sorted and joined where they touch."""
+    order = np.lexsort((start, mark, ord_))
+    ord_, mark, start, end = ord_[order], mark[order], start[order], end[order]
+    if not len(ord_):
+        return ord_, mark, start, end
+    doc = np.concatenate([[True], (ord_[1:] != ord_[:-1]) | (mark[1:] != mark[:-1])])
+    # The furthest end so far within a document, on one axis.
+    base = (np.cumsum(doc) - 1) * (1 << 33)
+    far = np.maximum.accumulate(end + base)
+    new = np.flatnonzero(np.concatenate([[True], (start + base)[1:] > far[:-1]]))
+    last = np.concatenate([new[1:], [len(start)]]) - 1
+    return ord_[new], mark[new], start[new], far[last] - base[new]
+
+
+def pointers(length: int, buckets: int):
+    """Map side: the first pointer of each (bucket, run) of the task (kind 0, packed by bucket
+    range), and what the others cover (kind 1)."""
     def rows(batches):
         held: list[tuple[np.ndarray, ...]] = []
         n = 0
 
-        def merged():
+        def flush():
             ord_, mark, a, size, g, c = (np.concatenate(x) for x in zip(*held))
-            ptr = place(mark, a, np.zeros(len(a), np.int64)).view(np.uint64)
-            # Equal (bucket, run): the least (key, place) stays.
-            both = _refine(g, c)
-            order = np.lexsort((ptr, ord_, both))
-            new = np.concatenate([[True], both[order][1:] != both[order][:-1]])
-            lead = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-            later = np.zeros(len(order), bool)
-            later[order] = (ord_[order] != ord_[lead]) | (ptr[order] != ptr[lead])
-            keep = ~later
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (g[keep].view(np.int64),
-                                       np.where(c[keep] == 0, 1, c[keep]).view(np.int64),
-                                       ord_[keep], place(mark[keep], a[keep], size[keep]))],
-                schema=_POINTER)
-            at = np.flatnonzero(later)
-            if len(at):
-                doc = np.flatnonzero(np.concatenate(
-                    [[True], (ord_[at][1:] != ord_[at][:-1]) | (mark[at][1:] != mark[at][:-1])
-                     | (a[at][1:] < a[at][:-1])]))
-                got = []
-                for i, j in zip(doc.tolist(), [*doc[1:].tolist(), len(at)]):
-                    x = at[i:j]
-                    got += _covered(int(ord_[x[0]]), int(mark[x[0]]), a[x],
-                                    a[x] + size[x] + length - 1)
-                k, m, s, z = (np.array(x, np.int64) for x in zip(*got))
-                v = place(m, s, z)
+            order, _, first = _first_of([g, c], [ord_, mark, a])
+            keep, later = order[first], order[~first]
+            to = (g[keep] >> np.uint64(40)).astype(np.int64) % buckets
+            by = np.argsort(to, kind="stable")          # stays in order of g within a range
+            cut = np.searchsorted(to[by], np.arange(buckets + 1))
+            out = []
+            for b in range(buckets):
+                x = keep[by[cut[b]:cut[b + 1]]]
+                if len(x):
+                    halves = [h for v in (g[x], c[x]) for h in
+                              (pack(v >> np.uint64(32)), pack(v & np.uint64(0xFFFFFFFF)))]
+                    out.append((b, 0, _bytes(*halves, *_pack_places(
+                        ord_[x], mark[x], a[x], size[x]))))
+            if len(later):
+                k, m, s, e = merged(ord_[later], mark[later], a[later],
+                                    a[later] + size[later] + length - 1)
+                out.append((int(k[0]) % buckets, 1, _bytes(*_pack_places(k, m, s, e - s))))
+            for x in range(0, len(out), 64):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (_refine(k.view(np.uint64), v.view(np.uint64))
-                                           .view(np.int64), np.zeros(len(k), np.int64), k, v)],
-                    schema=_POINTER)
+                    [pa.array(v, t) for v, t in zip(zip(*out[x:x + 64]), _PACKED.types)],
+                    schema=_PACKED)
 
         for batch in batches:
             keys = np.array(batch.column(0).to_pylist(), np.int64)
             marks = np.array(batch.column(1).to_pylist(), np.int64)
             data = [x or b"" for x in batch.column(2).to_pylist()]
             pieces = [(i, at, x) for i, t in enumerate(data) if len(t) >= length
-                      for at, x in text_runs(t, length)]
+                      for at, x in text_pieces(t, length)]
             for group in _groups([x for _, _, x in pieces], CHUNK):
                 own = [pieces[i] for i in group]
                 ends = np.cumsum([len(x) for _, _, x in own])
@@ -206,59 +247,180 @@ def pointers(length: int):
                 held.append((keys[i], marks[i], a - starts[doc] + off, size, g, c))
                 n += len(a)
                 if n >= POINTERS:
-                    yield from merged()
+                    yield from flush()
                     held, n = [], 0
         if held:
-            yield from merged()
+            yield from flush()
+    return rows
+
+
+FOUND = "ord bigint, mark bigint, a bigint, n bigint, g bigint, wide boolean"
+_FOUND = pa.schema([("ord", pa.int64()), ("mark", pa.int64()), ("a", pa.int64()),
+                    ("n", pa.int64()), ("g", pa.int64()), ("wide", pa.bool_())])
+
+
+def _found(ord_, mark, a, n, g=None, wide=None):
+    """Rows of covered intervals (g null) or of open runs."""
+    none = [None] * len(a)
+    for x in range(0, len(a), 20_000):
+        y = slice(x, x + 20_000)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v[y], t) for v, t in zip(
+                (ord_, mark, a, n, none if g is None else g.view(np.int64),
+                 none if wide is None else wide), _FOUND.types)], schema=_FOUND)
+
+
+def refine_runs(length: int):
+    """Reduce side: all pointers of a bucket range. Later pointers of equal runs are covered;
+    the first ones of a bucket with several runs stay open."""
+    def rows(batches):
+        bucket, held = None, []
+
+        def flush():
+            g, c = (np.concatenate([(unpack(p[i]).astype(np.uint64) << np.uint64(32))
+                                    | unpack(p[i + 1]) for p in held]) for i in (0, 2))
+            ord_, mark, a, size = (np.concatenate(x) for x in
+                                   zip(*(_unpack_places(p[4:]) for p in held)))
+            order, run, first = _first_of([g, c], [ord_, mark, a])
+            own = g[order]
+            at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            last = np.concatenate([at[1:], [len(own)]]) - 1
+            count = np.repeat(run[last] - run[at] + 1, last - at + 1)
+            x = order[~first]
+            yield from _found(*_sizes(*merged(ord_[x], mark[x], a[x],
+                                              a[x] + size[x] + length - 1)))
+            x = first & (count > 1)
+            y = order[x]
+            yield from _found(ord_[y], mark[y], a[y], size[y], g[y], count[x] > WIDE)
+
+        for b in batches:
+            for to, kind, data in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if kind == 1:
+                    yield from _found(*_unpack_places(_parts(data)))
+                    continue
+                if to != bucket and held:
+                    yield from flush()
+                    held = []
+                bucket = to
+                held.append(_parts(data))
+        if held:
+            yield from flush()
+    return rows
+
+
+def _sizes(ord_, mark, start, end):
+    return ord_, mark, start, end - start
+
+
+def compressed(batches):
+    """Texts compressed, with their size and digest."""
+    import zstandard
+    pack_text = zstandard.ZstdCompressor(level=3).compress
+    out = pa.schema([("k", pa.int64()), ("ord", pa.int64()), ("mark", pa.int64()),
+                     ("n_bytes", pa.int64()), ("kept_sha256", pa.string()),
+                     ("t", pa.binary())])
+    for b in batches:
+        data = [x or b"" for x in b.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), b.column(2), pa.array(map(len, data), pa.int64()),
+             pa.array([hashlib.sha256(x).hexdigest() for x in data], pa.string()),
+             pa.array(map(pack_text, data), pa.binary())], schema=out)
+
+
+def _open_runs(batch):
+    """key, mark, text, open runs of each document."""
+    import zstandard
+    unpack_text = zstandard.ZstdDecompressor().decompress
+    for key, mark, t, runs_ in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        yield key, mark, unpack_text(t), sorted({(x["a"], x["n"], x["g"]) for x in runs_})
+
+
+def run_bytes(length: int):
+    """The bytes of open runs, to meet by bucket."""
+    out = pa.schema([("g", pa.int64()), ("ord", pa.int64()), ("mark", pa.int64()),
+                     ("a", pa.int64()), ("n", pa.int64()), ("t", pa.binary())])
+
+    def rows(batches):
+        for b in batches:
+            got = [(g, key, mark, a, n, text[a:a + n + length - 1])
+                   for key, mark, text, found in _open_runs(b) for a, n, g in found]
+            for x in range(0, len(got), 20_000):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*got[x:x + 20_000]), out.types)],
+                    schema=out)
+    return rows
+
+
+def refine_windows(length: int):
+    """Rows come sorted by bucket: compare all windows of the runs of a bucket."""
+    def rows(batches):
+        held, n, bucket = [], 0, None
+
+        def flush():
+            ord_, mark, a, size = (np.array(x, np.int64) for x in list(zip(*held))[1:5])
+            data = np.frombuffer(b"".join(x[5] for x in held), np.uint8)
+            start = np.concatenate([[0], np.cumsum(size + length - 1)[:-1]])
+            run = np.repeat(np.arange(len(size)), size)
+            off = np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
+            at = start[run] + off
+            keys = [identifiers(data, length, seed)[0][at] for seed in (1, 2)]
+            order, _, first = _first_of(keys, [ord_[run], mark[run], (a[run] + off)])
+            x = order[~first]
+            s = a[run[x]] + off[x]
+            return _found(*_sizes(*merged(ord_[run[x]], mark[run[x]], s, s + length)))
+
+        for b in batches:
+            for r in zip(*(b.column(i).to_pylist() for i in range(6))):
+                if n >= WINDOWS and r[0] != bucket:
+                    yield from flush()
+                    held, n = [], 0
+                bucket = r[0]
+                held.append(r)
+                n += r[4]
+        if held:
+            yield from flush()
     return rows
 
 
 def window_rows(length: int):
-    """For documents with open runs: each window's identifier and place."""
-    out = pa.schema([(x, pa.int64()) for x in ("w1", "w2", "ord", "v")])
+    """For open runs of wide buckets: each window's identifier and place."""
+    out = pa.schema([(x, pa.int64()) for x in ("w1", "w2", "ord", "mark", "a")])
 
     def rows(batches):
         for b in batches:
-            for key, mark, text, lists in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for key, mark, text, found in _open_runs(b):
                 data = np.frombuffer(text, np.uint8)
-                for a, size in sorted(lists):
-                    part = data[a:a + size + length - 1]
-                    start = np.arange(a, a + size)
+                at = np.concatenate([np.arange(a, a + n) for a, n, _ in found])
+                w = [identifiers(data, length, seed)[0][at].view(np.int64) for seed in (1, 2)]
+                for x in range(0, len(at), 20_000):
+                    y = slice(x, x + 20_000)
+                    m = len(at[y])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (
-                            identifiers(part, length, 1)[0].view(np.int64),
-                            identifiers(part, length, 2)[0].view(np.int64),
-                            np.full(size, key, np.int64),
-                            place(np.full(size, mark), start, np.zeros(size, np.int64)))],
-                        schema=out)
+                        [pa.array(v) for v in (w[0][y], w[1][y], np.full(m, key, np.int64),
+                                               np.full(m, mark, np.int64), at[y])], schema=out)
     return rows
 
 
-def removed(size: int, intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The union of [start, end) intervals, touching ones joined."""
-    out: list[list[int]] = []
-    for a, e in sorted(intervals):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], min(e, size))
-        else:
-            out.append([a, min(e, size)])
-    return [tuple(x) for x in out]
-
-
 def finish(length: int, keep_text: bool):
     out = pa.schema([("k", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                      ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
                      *([("kept", pa.binary())] if keep_text else [])])
 
     def rows(batches):
+        import zstandard
+        unpack_text = zstandard.ZstdDecompressor().decompress
         for b in batches:
             got = []
-            for k, text, sure, open_ in zip(*(b.column(i).to_pylist() for i in range(4))):
-                cut = removed(len(text), [(a, a + n) for a, n in sure or ()]
-                              + [(a, a + length) for a in open_ or ()])
-                left = b"".join(text[a:e] for a, e in zip(
-                    [0, *(e for _, e in cut)], [*(a for a, _ in cut), len(text)]))
-                got.append([k, len(text), len(text) - len(left), len(cut),
+            for k, t, sure, late in zip(*(b.column(i).to_pylist() for i in range(4))):
+                text = unpack_text(t)
+                each = np.array([(x["a"], x["a"] + x["n"]) for x in [*(sure or ()),
+                                                                     *(late or ())]],
+                                np.int64).reshape(-1, 2)
+                zero = np.zeros(len(each), np.int64)
+                _, _, a, e = merged(zero, zero, each[:, 0], each[:, 1])
+                a, e = a.tolist(), e.tolist()
+                left = b"".join(text[x:y] for x, y in zip([0, *e], [*a, len(text)]))
+                got.append([k, len(text), len(text) - len(left), len(a),
                             hashlib.sha256(left).hexdigest(), *([left] if keep_text else [])])
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in
                                               zip(zip(*got), out.types)], schema=out)
@@ -274,80 +436,46 @@ def repeated_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text"
     data = text_of(text).cast("binary")
     rows = docs.select(F.col(key).cast("bigint").alias("k"),
                        F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63))).alias("ord"),
-                       F.xxhash64(data).bitwiseAND(F.lit(MOST)).alias("mark"),
+                       F.xxhash64(data).bitwiseAND(F.lit(MARK)).alias("mark"),
                        data.alias("t"))
-    # Steps 1 and 2: buckets of q-grams, split by runs. c = 0 says "covered" already.
-    found = rows.select("ord", "mark", "t").mapInArrow(pointers(length), POINTER)
-    found = found.withColumn("p", F.struct("ord", F.shiftrightunsigned("v", 16).alias("at")))
-    bucket = Window.partitionBy("g")
-    found = (found.repartition(n, "g").withColumn("split", F.min("c").over(bucket)
-                                                  != F.max("c").over(bucket))
-             .withColumn("later", F.col("p") > F.min("p").over(Window.partitionBy("g", "c"))))
-    mark, start = F.shiftrightunsigned("v", 48), F.shiftright("v", 16).bitwiseAND(
-        F.lit((1 << 32) - 1)).cast("int")
-    size = F.col("v").bitwiseAND(F.lit(MOST)).cast("int")
-    sure = F.when(F.col("c") == 0, F.struct(start.alias("a"), size.alias("n"))).when(
-        F.col("later"), F.struct(start.alias("a"), (size + (length - 1)).alias("n")))
-    open_ = F.when((F.col("c") != 0) & ~F.col("later") & F.col("split"),
-                   F.struct(start.alias("a"), size.alias("n")))
-    lists = (found.where("c = 0 or later or split").select(
-        "ord", mark.alias("mark"), sure.alias("sure"), open_.alias("open"))
-        .groupBy("ord", "mark").agg(F.collect_list("sure").alias("sure"),
-                                    F.collect_list("open").alias("open")))
-    joined = rows.join(lists, ["ord", "mark"], "left")
+    # Steps 1 and 2: buckets of q-grams, split by runs.
+    found = (rows.select("ord", "mark", "t").mapInArrow(pointers(length, 4 * n), PACKED)
+             .repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
+             .mapInArrow(refine_runs(length), FOUND))
+    place = F.struct("a", "n")
+    lists = found.groupBy("ord", "mark").agg(
+        F.collect_list(F.when(F.col("g").isNull(), place)).alias("sure"),
+        F.collect_list(F.when(F.col("g").isNotNull() & ~F.col("wide"),
+                              F.struct("a", "n", "g"))).alias("open"),
+        F.collect_list(F.when(F.col("wide"), F.struct("a", "n", "g"))).alias("spread"))
+    joined = rows.mapInArrow(compressed, "k bigint, ord bigint, mark bigint, n_bytes bigint, "
+                                         "kept_sha256 string, t binary").join(
+        lists, ["ord", "mark"], "left")
     some = F.col("sure").isNotNull()
-    joined = store(joined.select(
-        "k", "ord", "mark", F.octet_length("t").cast("long").alias("n_bytes"),
-        F.when(~some, F.sha2("t", 256)).alias("kept_sha256"),
-        F.when(some | F.lit(keep_text), F.col("t")).alias("t"), "sure", "open"),
-        "substring-docs")
+    joined = store(joined.withColumn("t", F.when(some | F.lit(keep_text), F.col("t"))),
+                   "substring-docs")
     # Step 3: what step 2 left open, window by window.
-    ask = joined.where("size(open) > 0").select("ord", "mark", "t", "open")
-    windows = ask.mapInArrow(_listed(window_rows(length)),
-                             "w1 bigint, w2 bigint, ord bigint, v bigint")
-    windows = windows.withColumn("p", F.struct("ord", F.shiftrightunsigned("v", 16).alias("at")))
-    least = F.min("p").over(Window.partitionBy("w1", "w2"))
-    late = (windows.withColumn("later", F.col("p") > least).where("later")
-            .select("ord", mark.alias("mark"), start.alias("a")).groupBy("ord", "mark")
-            .agg(F.collect_list("a").alias("late")))
+    late = (joined.where("size(open) > 0").select("ord", "mark", "t", "open")
+            .mapInArrow(run_bytes(length), "g bigint, ord bigint, mark bigint, a bigint, "
+                                           "n bigint, t binary")
+            .repartition(n, "g").sortWithinPartitions("g")
+            .mapInArrow(refine_windows(length), FOUND).select("ord", "mark", "a", "n"))
+    windows = (joined.where("size(spread) > 0").select("ord", "mark", "t", "spread")
+               .mapInArrow(window_rows(length), "w1 bigint, w2 bigint, ord bigint, "
+                                                "mark bigint, a bigint"))
+    windows = windows.withColumn("p", F.struct("ord", "mark", "a"))
+    least = windows.groupBy("w1", "w2").agg(F.min("p").alias("least"), F.count("*").alias("c"))
+    spread = (windows.join(least.where("c > 1"), ["w1", "w2"]).where("p > least")
+              .select("ord", "mark", "a", F.lit(length).cast("long").alias("n")))
+    late = late.unionByName(spread).groupBy("ord", "mark").agg(
+        F.collect_list(place).alias("late"))
     done = "k bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    touched = (joined.where("sure is not null").select("k", "ord", "mark", "t", "sure")
+    touched = (joined.where("sure is not null" if not keep_text else "true")
+               .select("k", "ord", "mark", "t", "sure")
                .join(late, ["ord", "mark"], "left").select("k", "t", "sure", "late")
-               .mapInArrow(_listed(finish(length, keep_text)),
+               .mapInArrow(finish(length, keep_text),
                            done + (", kept binary" if keep_text else "")))
     zero = F.lit(0).cast("long")
-    clean = joined.where("sure is null").select(
-        "k", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256",
-        *([F.col("t").alias("kept")] if keep_text else []))
-    out = touched.unionByName(clean)
+    out = touched if keep_text else touched.unionByName(joined.where("sure is null").select(
+        "k", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256"))
     return out.select(F.col("k").cast(kind).alias(key), *out.columns[1:])
-
-
-def _listed(f):
-    """Structs of (a, n) in list columns as tuples."""
-    def rows(batches):
-        def plain(b):
-            for c in range(b.num_columns):
-                if pa.types.is_list(b.column(c).type) and pa.types.is_struct(
-                        b.column(c).type.value_type):
-                    yield _Tuples(b.column(c))
-                else:
-                    yield b.column(c)
-
-        class View:
-            def __init__(self, b):
-                self.cols, self.num_columns = list(plain(b)), b.num_columns
-
-            def column(self, i):
-                return self.cols[i]
-        return f(View(b) for b in batches)
-    return rows
-
-
-class _Tuples:
-    def __init__(self, column):
-        self.of = column
-
-    def to_pylist(self):
-        return [None if x is None else [(y["a"], y["n"]) for y in x]
-                for x in self.of.to_pylist()]
