@@ -109,7 +109,7 @@ def luhn(digits: Column) -> Column:
     """Luhn's check of a string of digits (at most 19 of them matter)."""
     doubled = F.array(*[F.lit(x) for x in (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)])
     each = F.transform(F.split(F.reverse(digits), ""), lambda c, i: F.when(
-        i % 2 == 1, F.element_at(doubled, c.cast("int") + 1)).otherwise(c.cast("int")))
+        i % 2 == 1, F.element_at(doubled, c.try_cast("int") + 1)).otherwise(c.try_cast("int")))
     return F.aggregate(each, F.lit(0), lambda a, x: a + x) % 10 == 0
 
 
@@ -162,7 +162,7 @@ def features(kind: Column, c: Column) -> list[Column]:
     return [*[flag(kind == k) for k in KINDS], n.cast("double"), digits.cast("double"),
             *[count(x) for x in (".", "-", " ", "()", "@", ":")],
             flag(c["left"].rlike(r"\+\x20?$") | s.startswith("+")),
-            F.coalesce(F.substring(only_digits(s), 1, 1).cast("double"), F.lit(-1.0)),
+            F.coalesce(F.substring(only_digits(s), 1, 1).try_cast("double"), F.lit(-1.0)),
             flag(F.when(_between(digits, 12, 19), luhn(only_digits(s))).otherwise(False)),
             flag(s.rlike(OCTETS)),
             flag(s.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")),

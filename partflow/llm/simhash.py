@@ -204,8 +204,8 @@ def links(distinct: DataFrame, distance: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root (the smallest node reachable) of every node on an edge, by rounds of large
-    star and small star until nothing changes. Each round is written and reread."""
+    """node, root (the smallest node reachable) of every node on an edge but the roots
+    themselves, by rounds of large star and small star until nothing changes. Each round is written and reread."""
     now = store(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
                                              F.least("a", "b").alias("b")).distinct(),
                 "cc-links")

@@ -84,7 +84,7 @@ def train(sample: list[tuple[str, int]], epochs: int = 60, l2: float = 1e-4,
     Deterministic."""
     sample = distinct(sample)
     if not sample:
-        return {}, -math.inf
+        return {}, -700.0
     y = np.array([float(v) for _, v in sample])
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for t, v in sample:
@@ -148,7 +148,7 @@ def score_text(text: str, known: Words, bias: float,
         z = bias
         for w in words:
             z += known[w]
-        p = 1 / (1 + math.exp(-min(30.0, max(-30.0, z))))
+        p = 1 / (1 + math.exp(min(700.0, max(-30.0, -z))))
         none *= 1 - p
         if p >= least:
             found.append((start, end, p))
