@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partflow.streaming.machines import Machine, PyItems, drive, expire
+from partflow.streaming.machines import Machine, PyItems, WaitJoin, drive, expire
 from partflow.streaming.processor import OUTPUT_SCHEMA
 
 _END = 2**62  # settles every deadline of a key once its rows are done
@@ -31,7 +31,11 @@ def run_machine(frame: DataFrame, machine: Machine, partitions: int | None = Non
     value`` (emit time in microseconds), every wait settled."""
     df = frame.select("key", "side", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
                       "seq", "value")
-    df = (df.repartition(partitions, "key") if partitions else df.repartition("key"))
+    # By a hash of the key, not the key itself: were the input already partitioned by key,
+    # Spark would drop this exchange, and its adaptive plan then need not keep a key's rows
+    # of a union together, which mapInPandas can't ask for.
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.repartition(n, F.xxhash64("key"))
     df = df.sortWithinPartitions("key", "ts_us", "seq")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -65,3 +69,45 @@ def run_machine(frame: DataFrame, machine: Machine, partitions: int | None = Non
 
     return (df.mapInPandas(run, OUTPUT_SCHEMA)
             .withColumn("ts", F.timestamp_micros("ts_us").cast("timestamp_ntz")))
+
+
+# Times travel inside the JSON payloads with all their digits.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _typed_frame(df: DataFrame, key: str, side: str, last: int) -> DataFrame:
+    """A table as a topic frame whose payload is the whole row. Rows of equal time go by
+    ``seq`` where the table has it, the left side's before the right side's."""
+    seq = F.col("seq").cast("long") if "seq" in df.columns else F.lit(0).cast("long")
+    return df.select(F.col(key).cast("string").alias("key"), F.lit(side).alias("side"),
+                     F.col("ts").cast("timestamp").alias("ts"), (seq * 2 + last).alias("seq"),
+                     F.to_json(F.struct(*df.columns), _JSON).alias("value"))
+
+
+def join_in_order(left: DataFrame, right: DataFrame, key: str, machine: WaitJoin,
+                  order: tuple[str, ...] = ()) -> DataFrame:
+    """A wait-join of two tables in arrival order: ``key, <left>, <right>, ts`` with the
+    sides' rows as structs without the key (for a collecting join the right rows as an
+    array, put in ``order`` first, and ``n_<right>``)."""
+    frame = _typed_frame(left, key, machine.L, 0).unionByName(
+        _typed_frame(right, key, machine.R, 1))
+    out = run_machine(frame, machine)
+
+    def kind(df, first=()):
+        names = [*first, *[c for c in df.columns if c not in first and c != key]]
+        return df.select(F.struct(*names).alias("x")).schema["x"].dataType.simpleString()
+
+    def side(name, df, many=False):
+        text = F.get_json_object("value", f"$.{name}")
+        t = kind(df, order) if many else kind(df)
+        return F.from_json(text, f"array<{t}>" if many else t, _JSON)
+    collect = machine.mode == "collect"
+    cols = [F.col("key").cast(left.schema[key].dataType).alias(key),
+            side(machine.L, left).alias(machine.L)]
+    if collect:
+        cols += [F.array_sort(side(machine.R, right, True)).alias(machine.R),
+                 F.get_json_object("value", "$.n").cast("long").alias(f"n_{machine.R}")]
+    else:
+        cols.append(side(machine.R, right).alias(machine.R))
+    return out.select(*cols, F.col("ts").cast(left.schema["ts"].dataType).alias("ts"))

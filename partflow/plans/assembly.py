@@ -1,8 +1,8 @@
 """Job A, car assembly, batch form: body ⋈ engine ⟕ remote control ⟕ wheels per sku
 (JN1 -> JN2 -> JN3), then pricing (JN7/JN9) and routing (SNK6).
 
-Every stage is keyed by ``sku``. JN1 leaves its result hash-partitioned by sku and the
-later joins and aggregates reuse that partitioning: each input table is shuffled once.
+Every stage is keyed by ``sku`` and takes every sku. JN1 leaves its result
+hash-partitioned by sku and the later joins and aggregates reuse that partitioning.
 
 Two policies (SURVEY §2.11 D-1/D-2): ``code`` reproduces what the reference computes,
 ``documented`` what its README describes.
@@ -10,50 +10,29 @@ Two policies (SURVEY §2.11 D-1/D-2): ``code`` reproduces what the reference com
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partflow.operators.pricing import ParquetPriceService, fetch_prices, price_cars
 from partflow.operators.routing import route, route_counts
-from partflow.operators.waitjoins import (collect_join, interval, pack, wait_join_full,
-                                          wait_join_left)
+from partflow.operators.waitjoins import interval, pack, wait_join_full
 from partflow.schemas import EXPECTED_WHEELS
 from partflow.sources import fixtures as fx
 
-CAR_KEY = ["sku", "ts"]
+# Two cars of one sku can leave at the same time; they never share body and engine.
+CAR_KEY = ["sku", "ts", "body", "engine"]
 
 
 def body_engine(parts: dict[str, DataFrame], within: str = fx.CAR_WAIT) -> DataFrame:
     """JN1 + PRJ4: (sku, body, engine, ts, situation) for every sku."""
-    be = wait_join_full(parts["body"], parts["engine"], "sku", within, "body", "engine")
+    be = wait_join_full(parts["body"], parts["engine"], "sku", within, "body", "engine",
+                        unique=True)  # one body and one engine per sku
     sit = (F.when(F.col("body").isNull(), F.lit("MISSING_BODY"))
            .when(F.col("engine").isNull(), F.lit("MISSING_ENGINE"))
            .otherwise(F.lit("INCOMPLETE")))
     return be.withColumn("situation", sit)
 
 
-def single_cars(be: DataFrame) -> DataFrame:
-    """Skus with one car. The closed forms of JN2/JN3 are exact for one car per sku;
-    a sku whose body and engine missed each other has two cars, which the stateful
-    processor handles (``partflow.streaming``). ``be`` is already partitioned by sku,
-    so this window adds no shuffle; a sku has at most two rows here."""
-    n = F.count(F.lit(1)).over(Window.partitionBy("sku"))
-    return be.withColumn("_n", n).filter(F.col("_n") == 1).drop("_n")
-
-
-def car_remote(cars: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
-               ) -> DataFrame:
-    """JN2: cars ⟕ remote control."""
-    return wait_join_left(cars.drop("situation"), parts["remote"], "sku", within, "remote")
-
-
-def car_wheels(cars: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
-               ) -> DataFrame:
-    """JN3: cars ⟕ wheels, expecting four."""
-    return collect_join(cars, parts["wheel"], "sku", within, EXPECTED_WHEELS, "wheels",
-                        order=("ts", "ln"))
-
-
 def situation(policy: str) -> Column:
     """F8 after the last join."""
     body, engine, remote = F.col("body"), F.col("engine"), F.col("remote")
@@ -69,26 +48,13 @@ def situation(policy: str) -> Column:
             .otherwise(F.lit("AWAITING_PRICE")))
 
 
-def assemble(parts: dict[str, DataFrame], policy: str = "code",
-             within: str = fx.CAR_WAIT) -> DataFrame:
-    """JN8: (sku, body, engine, remote, wheels, n_wheels, ts, situation)."""
-    cars = single_cars(body_engine(parts, within))
-    cw = car_wheels(car_remote(cars, parts, within), parts, within)
-    return cw.withColumn("situation", situation(policy))
-
-
-def cars_per_sku(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
-                 ) -> DataFrame:
-    """JN2 + JN3 in closed form for every sku, with one or two cars (two when the
-    sku's body and engine missed each other). With one body and one engine per sku
-    the two cars leave JN1 at least one wait apart, so at JN2 the remote goes to the
-    first car whose window covers it. At JN3 the second car may arrive while the first
-    still waits: it then leaves at once if it finds exactly four wheels, else it
-    replaces the first car ("last wins", as the reference) and leaves at the first
-    one's deadline.
-
-    One pass, keyed by sku: ``be`` arrives partitioned by sku (the per-sku grouping
-    adds no shuffle), the remote and wheel tables are joined once each."""
+def remote_per_sku(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
+                   ) -> DataFrame:
+    """JN2 in closed form for every sku, with one or two cars (two when the sku's body and
+    engine missed each other): per sku ``c1``, ``c2``, the remotes ``rc1``, ``rc2`` they
+    leave with and the times ``s1``, ``s2`` at which they leave. With one body and one
+    engine per sku the two cars leave JN1 at least one wait apart, so the remote goes to
+    the first car whose window covers it."""
     T = interval(within)
     g0 = be.groupBy("sku").agg(F.count(F.lit(1)).alias("_n"),
                                F.min(F.struct("ts", "body", "engine")).alias("c1"),
@@ -97,12 +63,35 @@ def cars_per_sku(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CA
     rc = pack(parts["remote"], "sku", "_rc")
     j = two.join(rc, "sku", "left")
     t1, t2, r = F.col("c1.ts"), F.col("c2.ts"), F.col("_rc")
-    j = j.select(
+    return j.select(
         "sku", "c1", "c2",
         F.when(r["ts"] < t1 + T, r).alias("rc1"),
         F.when(r["ts"] <= t1, t1).otherwise(t1 + T).alias("s1"),
         F.when((r["ts"] >= t1 + T) & (r["ts"] < t2 + T), r).alias("rc2"),
         F.when((r["ts"] >= t1 + T) & (r["ts"] <= t2), t2).otherwise(t2 + T).alias("s2"))
+
+
+def car_remote(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
+               ) -> DataFrame:
+    """JN2: cars ⟕ remote control, (sku, body, engine, remote, ts) for every car."""
+    cars = [F.struct(F.col(f"c{i}.body").alias("body"), F.col(f"c{i}.engine").alias("engine"),
+                     F.col(f"rc{i}").alias("remote"), F.col(f"s{i}").alias("ts"))
+            for i in (1, 2)]
+    return remote_per_sku(be, parts, within).select("sku", F.inline(
+        F.when(F.col("c2").isNull(), F.array(cars[0])).otherwise(F.array(*cars))))
+
+
+def cars_per_sku(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
+                 ) -> DataFrame:
+    """JN2 + JN3 in closed form for every sku. At JN3 the second car may arrive while the
+    first still waits: it then leaves at once if it finds exactly four wheels, else it
+    replaces the first car ("last wins", as the reference) and leaves at the first
+    one's deadline.
+
+    One pass, keyed by sku: ``be`` arrives partitioned by sku (the per-sku grouping
+    adds no shuffle), the remote and wheel tables are joined once each."""
+    T = interval(within)
+    j = remote_per_sku(be, parts, within)
     w = pack(parts["wheel"], "sku", "_w", ("ts", "ln"))
     s1, s2 = F.col("s1"), F.col("s2")
     g = j.join(w, "sku", "left").groupBy("sku").agg(
@@ -153,9 +142,9 @@ def cars_per_sku(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CA
     return out.withColumn("n_wheels", F.size("wheels").cast("long"))
 
 
-def assemble_every_sku(parts: dict[str, DataFrame], policy: str = "code",
-                       within: str = fx.CAR_WAIT) -> DataFrame:
-    """JN8 over every sku (``cars_per_sku``); same columns as ``assemble``."""
+def assemble(parts: dict[str, DataFrame], policy: str = "code",
+             within: str = fx.CAR_WAIT) -> DataFrame:
+    """JN8 for every sku: (sku, body, engine, remote, wheels, n_wheels, ts, situation)."""
     cars = cars_per_sku(body_engine(parts, within).drop("situation"), parts, within)
     return cars.withColumn("situation", situation(policy))
 
@@ -192,15 +181,13 @@ def parquet_price_service(sf_dir: str) -> ParquetPriceService:
                                where)
 
 
-def routes(spark: SparkSession, sf_dir: str, policy: str = "code",
-           every_sku: bool = False) -> dict[str, DataFrame]:
+def routes(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[str, DataFrame]:
     """Job A batch: assembled, priced and routed. The assembled cars feed three branches
     (priced complete, priced incomplete, missing a part); they are written once to the
     shared folder instead of being assembled three times."""
     from partflow.session import materialize
     parts = fx.car_parts(spark, sf_dir)
-    cars = assemble_every_sku(parts, policy) if every_sku else assemble(parts, policy)
-    asm = materialize(cars, "assembled")
+    asm = materialize(assemble(parts, policy), "assembled")
     return route(asm, price(asm, parts["prices"], policy))
 
 
@@ -244,7 +231,9 @@ def to_record(cars: DataFrame) -> DataFrame:
                  F.lit(0.0).alias("price"), F.lit("").alias("productName")).alias("part"),
         w["id"].cast("string").alias("id"), w["placement"].alias("placement")))
     total = F.col("total_price") if "total_price" in cars.columns else F.lit(0.0)
-    return cars.select("sku", "ts", body.alias("body"), engine.alias("engine"),
+    # Of two cars of a sku at one time, the one with a body comes first.
+    seq = F.when(F.col("body").isNull(), 1).otherwise(0)
+    return cars.select("sku", "ts", seq.alias("seq"), body.alias("body"), engine.alias("engine"),
                        remote.alias("remoteControl"), wheels.alias("wheels"),
                        total.alias("totalPrice"), "situation")
 
@@ -256,10 +245,11 @@ def wheel_price_parts(parts: dict[str, DataFrame]) -> DataFrame:
     from partflow.operators.sizing import bounded_broadcast
     w = parts["wheel"].filter(F.col("ln") == fx.WHEEL_LINES[0])
     j = w.join(bounded_broadcast(parts["prices"]), "id")
-    return j.select("sku", "ts", F.struct(
+    return j.select("sku", "ts", F.lit(2).alias("seq"), F.struct(
         F.col("sku").cast("string").alias("sku"), F.lit("WHEEL").alias("partName"),
         money("price").alias("price"), F.lit("").alias("productName")).alias("part"))
 
 
-__all__ = ["assemble_every_sku", "cars_per_sku", "route", "to_record", "wheel_price_parts", "assemble", "body_engine", "car_remote", "car_wheels", "flat", "price",
-           "price_by_fetch", "route_counts", "routes", "single_cars"]
+__all__ = ["assemble", "body_engine", "car_remote", "cars_per_sku", "flat", "price",
+           "price_by_fetch", "remote_per_sku", "route", "route_counts", "routes",
+           "to_record", "wheel_price_parts"]

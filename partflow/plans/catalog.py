@@ -30,13 +30,12 @@ def body_engine_wait_join(spark, sf_dir):
 
 def car_remote_wait_join(spark, sf_dir):
     parts = fx.car_parts(spark, sf_dir)
-    return A.flat(A.car_remote(A.single_cars(A.body_engine(parts)), parts))
+    return A.flat(A.car_remote(A.body_engine(parts), parts))
 
 
 def car_wheels_wait_join(spark, sf_dir):
     parts = fx.car_parts(spark, sf_dir)
-    cars = A.car_remote(A.single_cars(A.body_engine(parts)), parts)
-    return A.flat(A.car_wheels(cars, parts))
+    return A.flat(A.cars_per_sku(A.body_engine(parts), parts))
 
 
 def _assemble(policy):
@@ -73,11 +72,6 @@ def route_counts(spark, sf_dir):
     return A.route_counts(A.routes(spark, sf_dir, "code"))
 
 
-def route_counts_all(spark, sf_dir):
-    """Job A over every sku (two-car skus included), priced and routed, batch."""
-    return A.route_counts(A.routes(spark, sf_dir, "code", every_sku=True))
-
-
 def replaced_cars(spark, sf_dir):
     """The replacement metric: per sku, cars formed by JN1 that never
     left the assembly because a later car replaced them while waiting ("last wins")."""
@@ -130,25 +124,25 @@ def patched_view(patched: DataFrame) -> DataFrame:
         .cast("long").alias("priced_wheels"))
 
 
+def body_engine_repeated(spark, sf_dir):
+    """JN1 with repeated rows on both sides: views and clicks of a user within 6 hours."""
+    return E.view_click_pairs(spark, sf_dir)
+
+
+def priced_wait_join_repeated(spark, sf_dir):
+    """JN6 with repeated rows: every view waits 12 hours for a purchase of its user."""
+    return E.every_view_purchase(spark, sf_dir)
+
+
 def part_patch_join(spark, sf_dir):
     parts = fx.car_parts(spark, sf_dir)
-    cars = A.to_record(A.assemble(parts, "code").filter(F.col("n_wheels") > 0))
+    cars = A.to_record(A.assemble(parts, "code"))
     return patched_view(patch_join(cars, A.wheel_price_parts(parts), "sku"))
 
 
-def _assemble_all(policy):
-    """Job A assembly over every sku, batch closed form: skus whose body and engine
-    missed each other (two cars) are assembled too."""
-    def q(spark, sf_dir):
-        return A.flat(A.assemble_every_sku(fx.car_parts(spark, sf_dir), policy)) \
-            .drop("wheel_ids")
-    q.__name__ = f"assemble_all_{policy}"
-    return q
-
-
 def _assemble_ordered(policy):
-    """The same over every sku in the general ordered form (any number of rows per
-    key and side): the assembly machine run over the sorted table."""
+    """The same in the general ordered form (any number of rows per key and side): the
+    assembly machine run over the sorted table."""
     def q(spark, sf_dir):
         from partflow.operators.sequential import run_machine
         from partflow.streaming.machines import Assembly
@@ -228,7 +222,7 @@ QUERIES: dict[str, Query] = {
     "price_documented": _price("documented"),
     "lookup_map_in_pandas": lookup_map_in_pandas,
     "route_counts": route_counts,
-    "route_counts_all": route_counts_all,
+    "route_counts_all": route_counts,  # kept name: job A has no other form
     "replaced_cars": replaced_cars,
     "word_count": word_count,
     "running_word_count": running_word_count,
@@ -236,6 +230,8 @@ QUERIES: dict[str, Query] = {
     "first_per_key": first_per_key,
     "latest_value_join": latest_value_join,
     "priced_wait_join": priced_wait_join,
+    "body_engine_repeated": body_engine_repeated,
+    "priced_wait_join_repeated": priced_wait_join_repeated,
     "part_patch_join": part_patch_join,
     "kind_label": kind_label,
     "json_price": json_price,
@@ -245,8 +241,8 @@ QUERIES: dict[str, Query] = {
     "stream_body_engine_wait_join": S.body_engine,
     "stream_car_remote_wait_join": S.car_remote,
     "stream_car_wheels_wait_join": S.car_wheels,
-    "assemble_all_code": _assemble_all("code"),
-    "assemble_all_documented": _assemble_all("documented"),
+    "assemble_all_code": _assemble("code"),
+    "assemble_all_documented": _assemble("documented"),
     "assemble_ordered_code": _assemble_ordered("code"),
     "assemble_ordered_documented": _assemble_ordered("documented"),
     "stream_assemble_code": S.assemble("code"),

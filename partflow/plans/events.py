@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partflow.operators.latest import first_per_key, last_n, latest_value_join
-from partflow.operators.waitjoins import priced_wait_join
+from partflow.operators.waitjoins import priced_wait_join, wait_join_full
 from partflow.schemas import FIRST_BODY_COLOR, LAST_N_TAGS
 from partflow.sources import fixtures as fx
 from partflow.sources.tables import table
@@ -65,3 +65,30 @@ def priced_view_purchase(spark: SparkSession, sf_dir: str, within: str = PRICED_
     j = priced_wait_join(first_of_type(spark, sf_dir, "view"),
                          first_of_type(spark, sf_dir, "purchase"), "user_id", within)
     return j.select("user_id", "ts", "situation", F.col("record.value").alias("value"))
+
+
+VIEW_CLICK_WAIT = "6 hours"
+
+
+def of_type(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
+    """All events of a type, as (user_id, ts, seq, value)."""
+    return events(spark, sf_dir).filter(F.col("event_type") == event_type).select(
+        "user_id", "ts", F.col("event_id").alias("seq"), "value")
+
+
+def view_click_pairs(spark: SparkSession, sf_dir: str, within: str = VIEW_CLICK_WAIT
+                     ) -> DataFrame:
+    """JN1 on keys with many rows: a user's views and clicks wait for each other."""
+    j = wait_join_full(of_type(spark, sf_dir, "view"), of_type(spark, sf_dir, "click"),
+                       "user_id", within, "view", "click")
+    return j.select("user_id", "ts", F.col("view.seq").alias("view_id"),
+                    F.col("click.seq").alias("click_id"))
+
+
+def every_view_purchase(spark: SparkSession, sf_dir: str, within: str = PRICED_WAIT
+                        ) -> DataFrame:
+    """JN6 on every view and purchase of a user."""
+    j = priced_wait_join(of_type(spark, sf_dir, "view"), of_type(spark, sf_dir, "purchase"),
+                         "user_id", within)
+    return j.select("user_id", "ts", "situation", F.col("record.seq").alias("event_id"),
+                    F.col("record.value").alias("value"))

@@ -1,7 +1,7 @@
 """Command line for the jobs (SURVEY §2.10: the reference takes --brokers,
 --registry-url, --enable-checkpoints; here checkpoints are always on).
 
-    python -m partflow.plans.jobs assemble   --tables DIR --out DIR [--policy code|documented] [--all-skus]
+    python -m partflow.plans.jobs assemble   --tables DIR --out DIR [--policy code|documented]
     python -m partflow.plans.jobs tax-tags   --tables DIR --out DIR
     python -m partflow.plans.jobs word-count --tables DIR --out DIR
     python -m partflow.plans.jobs first-body --tables DIR --out DIR
@@ -34,11 +34,7 @@ from partflow.operators.text import word_count
 
 
 def _assemble(spark, a):
-    if a.all_skus:
-        routed = A.routes(spark, a.tables, a.policy, every_sku=True)
-    else:
-        routed = A.routes(spark, a.tables, a.policy)
-    for name, df in routed.items():
+    for name, df in A.routes(spark, a.tables, a.policy).items():
         df.write.mode("overwrite").parquet(f"{a.out}/{name}")
 
 
@@ -91,7 +87,6 @@ def main(argv=None) -> None:
         j.add_argument("--out", required=True)
         if name == "assemble":
             j.add_argument("--policy", choices=["code", "documented"], default="code")
-            j.add_argument("--all-skus", action="store_true")
     st = sub.add_parser("assemble-stream")
     for arg in ("--brokers", "--prices", "--checkpoint", "--out"):
         st.add_argument(arg, required=True)

@@ -9,6 +9,11 @@ from partflow.schemas import BR_STATES
 
 WAIT = "interval 700 day"
 
+# Skus whose body and engine missed each other have two cars. With one body and one engine
+# per sku they leave JN1 at least one wait apart, so at JN2 the remote goes to the first car
+# whose window covers it; at JN3 the second car may arrive while the first waits: it then
+# leaves at once with exactly four wheels, or replaces the first ("last wins") and leaves at
+# the first one's deadline. ``lo``, ``hi`` and ``incl`` bound the wheels a car leaves with.
 ASM_CTE = f"""
 with li as (
   select l_orderkey sku, l_partkey id, l_linenumber ln, l_shipdate ts,
@@ -45,56 +50,6 @@ car as (
   select sku, bid, eid, rid, n0, ts arrive, case when n0 = 4 then 4 else n1 end n,
          case when n0 = 4 then ts else ts + {WAIT} end ts
   from cw),
-wl as (
-  select c.sku, string_agg(cast(w.id as varchar), ',' order by w.ts, w.ln) ids,
-         first(w.id order by w.ts, w.ln) first_wheel
-  from car c join wheel w on c.sku = w.sku
-   and ((c.n0 = 4 and w.ts <= c.arrive) or (c.n0 <> 4 and w.ts < c.arrive + {WAIT}))
-  group by c.sku),
-asm as (
-  select car.*, coalesce(wl.ids, '') wheel_ids, wl.first_wheel,
-    case when n = 0 then 'MISSING_WHEELS' when rid is null then 'MISSING_REMOTE_CONTROL'
-         else 'AWAITING_PRICE' end sit_code,
-    case when bid is null then 'MISSING_BODY' when eid is null then 'MISSING_ENGINE'
-         when rid is null then 'MISSING_REMOTE_CONTROL' when n = 0 then 'MISSING_WHEELS'
-         else 'AWAITING_PRICE' end sit_doc
-  from car left join wl on car.sku = wl.sku),
-price_code as (
-  select a.sku, a.ts,
-         case when a.bid is null then 'MISSING_BODY'
-              when p.price is null then 'FAILED_GET_PRICE' else 'COMPLETE' end situation,
-         case when a.bid is null then 0.0 when p.price is null then -1.0
-              else round_even(0.0 + round_even(p.price, 2), 2) end total_price,
-         case when a.bid is not null and p.price is not null
-              then round_even(p.price, 2) end body_price
-  from asm a left join prices p on a.bid = p.id
-  where a.sit_code = 'AWAITING_PRICE'),
-price_doc as (
-  select a.sku, a.ts,
-         case when pb.price is null or pe.price is null or pr.price is null
-                   or pw.price is null then 'FAILED_GET_PRICE' else 'COMPLETE' end situation,
-         pb.price b, pe.price e, pr.price r, pw.price w
-  from asm a left join prices pb on a.bid = pb.id left join prices pe on a.eid = pe.id
-       left join prices pr on a.rid = pr.id left join prices pw on a.first_wheel = pw.id
-  where a.sit_doc = 'AWAITING_PRICE'),
-price_documented as (
-  select sku, ts, situation,
-         case when situation = 'COMPLETE'
-              then round_even(round_even(b, 2) + round_even(e, 2) + round_even(r, 2)
-                              + 4 * round_even(w, 2), 2) else -1.0 end total_price,
-         case when situation = 'COMPLETE' then round_even(b, 2) end body_price,
-         case when situation = 'COMPLETE' then round_even(e, 2) end engine_price,
-         case when situation = 'COMPLETE' then round_even(r, 2) end remote_control_price,
-         case when situation = 'COMPLETE' then round_even(w, 2) end wheel_price
-  from price_doc)
-"""
-
-# Every sku, two-car skus included (their body and engine missed each other). With one
-# body and one engine per sku the two cars leave JN1 at least one wait apart, so at JN2
-# the remote goes to the first car whose window covers it; at JN3 the second car may
-# arrive while the first waits: it then leaves at once with exactly four wheels, or
-# replaces the first ("last wins") and leaves at the first one's deadline.
-ASM_ALL_CTE = ASM_CTE.rstrip() + f""",
 twos as (
   select sku,
          max(case when ci = 1 then bid end) b1, max(case when ci = 1 then eid end) e1,
@@ -122,38 +77,78 @@ two_w as (
   group by c.sku, b1, e1, rc1, s1, b2, e2, rc2, s2),
 two_out as (
   -- the first car leaves at once with all four wheels; the second finds none
-  select sku, b1 bid, e1 eid, rc1 rid, 4 n, s1 ts from two_w where c_s1 = 4
+  select sku, 1 ci, b1 bid, e1 eid, rc1 rid, 4 n, s1 ts, null::timestamp lo, s1 hi, true incl
+  from two_w where c_s1 = 4
   union all
-  select sku, b2, e2, rc2, 0, s2 + {WAIT} from two_w where c_s1 = 4
+  select sku, 2, b2, e2, rc2, 0, s2 + {WAIT}, null, null, false from two_w where c_s1 = 4
   union all
   -- the first car waits and leaves before the second arrives
-  select sku, b1, e1, rc1, c_d1, s1 + {WAIT} from two_w where c_s1 <> 4 and s2 >= s1 + {WAIT}
+  select sku, 1, b1, e1, rc1, c_d1, s1 + {WAIT}, null, s1 + {WAIT}, false
+  from two_w where c_s1 <> 4 and s2 >= s1 + {WAIT}
   union all
-  select sku, b2, e2, rc2, case when m0 = 4 then 4 else m1 end,
-         case when m0 = 4 then s2 else s2 + {WAIT} end
+  select sku, 2, b2, e2, rc2, case when m0 = 4 then 4 else m1 end,
+         case when m0 = 4 then s2 else s2 + {WAIT} end, s1 + {WAIT},
+         case when m0 = 4 then s2 else s2 + {WAIT} end, m0 = 4
   from two_w where c_s1 <> 4 and s2 >= s1 + {WAIT}
   union all
   -- the second car arrives during the first one's wait and finds all four wheels
-  select sku, b2, e2, rc2, 4, s2 from two_w where c_s1 <> 4 and s2 < s1 + {WAIT} and c_s2 = 4
+  select sku, 2, b2, e2, rc2, 4, s2, null, s2, true
+  from two_w where c_s1 <> 4 and s2 < s1 + {WAIT} and c_s2 = 4
   union all
-  select sku, b1, e1, rc1, 0, s1 + {WAIT} from two_w
+  select sku, 1, b1, e1, rc1, 0, s1 + {WAIT}, null, null, false from two_w
   where c_s1 <> 4 and s2 < s1 + {WAIT} and c_s2 = 4
   union all
   -- ... or replaces it and leaves at the first one's deadline (the first is lost)
-  select sku, b2, e2, rc2, c_d1, s1 + {WAIT} from two_w
+  select sku, 2, b2, e2, rc2, c_d1, s1 + {WAIT}, null, s1 + {WAIT}, false from two_w
   where c_s1 <> 4 and s2 < s1 + {WAIT} and c_s2 <> 4),
-all_cars as (
-  select sku, bid, eid, rid, n, ts from asm
+cars as (
+  select sku, 1 ci, bid, eid, rid, n, ts, null::timestamp lo,
+         case when n0 = 4 then arrive else arrive + {WAIT} end hi, n0 = 4 incl
+  from car
   union all
   select * from two_out),
-asm_all as (
-  select *,
+wl as (
+  select c.sku, c.ci, string_agg(cast(w.id as varchar), ',' order by w.ts, w.ln) ids,
+         first(w.id order by w.ts, w.ln) first_wheel
+  from cars c join wheel w on c.sku = w.sku
+   and (c.lo is null or w.ts >= c.lo) and (w.ts < c.hi or (c.incl and w.ts = c.hi))
+  group by c.sku, c.ci),
+asm as (
+  select cars.*, coalesce(wl.ids, '') wheel_ids, wl.first_wheel,
     case when n = 0 then 'MISSING_WHEELS' when rid is null then 'MISSING_REMOTE_CONTROL'
          else 'AWAITING_PRICE' end sit_code,
     case when bid is null then 'MISSING_BODY' when eid is null then 'MISSING_ENGINE'
          when rid is null then 'MISSING_REMOTE_CONTROL' when n = 0 then 'MISSING_WHEELS'
          else 'AWAITING_PRICE' end sit_doc
-  from all_cars)
+  from cars left join wl on cars.sku = wl.sku and cars.ci = wl.ci),
+price_code as (
+  select a.sku, a.ts,
+         case when a.bid is null then 'MISSING_BODY'
+              when p.price is null then 'FAILED_GET_PRICE' else 'COMPLETE' end situation,
+         case when a.bid is null then 0.0 when p.price is null then -1.0
+              else round_even(0.0 + round_even(p.price, 2), 2) end total_price,
+         case when a.bid is not null and p.price is not null
+              then round_even(p.price, 2) end body_price
+  from asm a left join prices p on a.bid = p.id
+  where a.sit_code = 'AWAITING_PRICE'),
+price_doc as (
+  select a.sku, a.ts,
+         case when pb.price is null or pe.price is null or pr.price is null
+                   or pw.price is null then 'FAILED_GET_PRICE' else 'COMPLETE' end situation,
+         pb.price b, pe.price e, pr.price r, pw.price w
+  from asm a left join prices pb on a.bid = pb.id left join prices pe on a.eid = pe.id
+       left join prices pr on a.rid = pr.id left join prices pw on a.first_wheel = pw.id
+  where a.sit_doc = 'AWAITING_PRICE'),
+price_documented as (
+  select sku, ts, situation,
+         case when situation = 'COMPLETE'
+              then round_even(round_even(b, 2) + round_even(e, 2) + round_even(r, 2)
+                              + 4 * round_even(w, 2), 2) else -1.0 end total_price,
+         case when situation = 'COMPLETE' then round_even(b, 2) end body_price,
+         case when situation = 'COMPLETE' then round_even(e, 2) end engine_price,
+         case when situation = 'COMPLETE' then round_even(r, 2) end remote_control_price,
+         case when situation = 'COMPLETE' then round_even(w, 2) end wheel_price
+  from price_doc)
 """
 
 _STATES = ", ".join(f"'{s}'" for s in BR_STATES)
@@ -172,7 +167,11 @@ select sku, bid body_id, eid engine_id, ts,
             else 'INCOMPLETE' end situation
 from be""",
     "car_remote_wait_join": ASM_CTE + """
-select sku, bid body_id, eid engine_id, rid remote_id, ts from cr""",
+select sku, bid body_id, eid engine_id, rid remote_id, ts from cr
+union all
+select sku, b1, e1, rc1, s1 from two_rc
+union all
+select sku, b2, e2, rc2, s2 from two_rc""",
     "car_wheels_wait_join": ASM_CTE + """
 select sku, bid body_id, eid engine_id, rid remote_id, n n_wheels, wheel_ids, ts
 from asm""",
@@ -246,11 +245,21 @@ select u.user_id,
          situation,
        case when p.ts < u.ts + interval 12 hour then p.value else u.value end value
 from u left join p on u.user_id = p.user_id""",
-    "part_patch_join": ASM_CTE + """
-select a.sku, greatest(a.ts, w.ts) ts, cast(a.n as bigint) n_wheels,
-       round_even(p.price, 2) wheel_price, cast(a.n as bigint) priced_wheels
-from asm a join wheel w on a.sku = w.sku and w.ln = 3 join prices p on w.id = p.id
-where a.n > 0""",
+    "part_patch_join": ASM_CTE + """,
+part as (
+  select w.sku, w.ts, round_even(p.price, 2) price
+  from wheel w join prices p on w.id = p.id where w.ln = 3),
+pairs as (
+  -- the part meets the car that waits: the newest one so far, else the next to come
+  select a.sku, a.n, p.price, greatest(a.ts, p.ts) ts,
+         row_number() over (partition by a.sku order by a.ts > p.ts,
+           case when a.ts <= p.ts then a.ts end desc nulls last,
+           case when a.ts <= p.ts and a.bid is null then 0 else 1 end,
+           a.ts, a.bid is null) pick
+  from asm a join part p on a.sku = p.sku)
+select sku, ts, cast(n as bigint) n_wheels, case when n > 0 then price end wheel_price,
+       cast(n as bigint) priced_wheels
+from pairs where pick = 1""",
     "kind_label": ASM_CTE + """
 select kind, replace(lower(kind), '_', '-') label, cast(count(*) as bigint) n from (
   select 'BODY' kind from body union all select 'ENGINE' from engine
@@ -263,38 +272,103 @@ select sku, bid body_id, eid engine_id, rid remote_id, n n_wheels, ts,
        sit_code situation from asm""",
 }
 
-_ASM_ALL = ASM_ALL_CTE + """
-select sku, bid body_id, eid engine_id, rid remote_id, cast(n as bigint) n_wheels, ts,
-       {sit} situation from asm_all"""
-ORACLE["assemble_all_code"] = _ASM_ALL.format(sit="sit_code")
-ORACLE["assemble_all_documented"] = _ASM_ALL.format(sit="sit_doc")
-ORACLE["assemble_ordered_code"] = ORACLE["assemble_all_code"]
-ORACLE["assemble_ordered_documented"] = ORACLE["assemble_all_documented"]
-ORACLE["stream_assemble_code"] = ORACLE["assemble_all_code"]
-ORACLE["stream_assemble_documented"] = ORACLE["assemble_all_documented"]
-ORACLE["stream_route_counts"] = ASM_ALL_CTE + """,
-priced_all as (
-  select case when a.bid is null then 'MISSING_BODY'
-              when p.price is null then 'FAILED_GET_PRICE' else 'COMPLETE' end situation
-  from asm_all a left join prices p on a.bid = p.id
-  where a.sit_code = 'AWAITING_PRICE')
-select sink, situation, cast(count(*) as bigint) n from (
-  select 'complete' sink, situation from priced_all where situation = 'COMPLETE'
-  union all
-  select 'incomplete', situation from priced_all where situation <> 'COMPLETE'
-  union all
-  select 'incomplete', sit_code from asm_all where sit_code like '%MISSING%')
-group by sink, situation"""
-
-ORACLE["route_counts_all"] = ORACLE["stream_route_counts"]
-ORACLE["replaced_cars"] = ASM_ALL_CTE + """,
+# Kept names of the same queries, and forms that run the per-key machine.
+for _p in ("code", "documented"):
+    for _form in ("assemble_all", "assemble_ordered", "stream_assemble"):
+        ORACLE[f"{_form}_{_p}"] = ORACLE[f"assemble_{_p}"]
+for _name in ("route_counts_all", "stream_route_counts"):
+    ORACLE[_name] = ORACLE["route_counts"]
+ORACLE["replaced_cars"] = ASM_CTE + """,
 formed as (select sku, count(*) formed from be group by sku),
-assembled as (select sku, count(*) assembled from asm_all group by sku)
+assembled as (select sku, count(*) assembled from asm group by sku)
 select f.sku, cast(f.formed as bigint) formed, cast(coalesce(a.assembled, 0) as bigint) assembled,
        cast(f.formed - coalesce(a.assembled, 0) as bigint) replaced
 from formed f left join assembled a on f.sku = a.sku
 where f.formed - coalesce(a.assembled, 0) > 0"""
 
+# Rows of one user in order; a recursive step applies the next row to the waiting state and
+# says what leaves: first what its deadline ends, then a match.
+ORACLE["body_engine_repeated"] = """
+with recursive e as (
+  select user_id, event_type side, event_id id, ts,
+         row_number() over (partition by user_id order by ts, event_id * 2 +
+                            case event_type when 'view' then 0 else 1 end) i
+  from events where event_type in ('view', 'click')),
+st as (
+  select user_id, 0::bigint i, null::varchar w, null::bigint wid, null::timestamp wd,
+         null::timestamp t1, null::bigint v1, null::bigint c1,
+         null::timestamp t2, null::bigint v2, null::bigint c2
+  from e group by user_id
+  union all
+  select user_id, i,
+         case when live and w <> side then null else side end,
+         case when live and w <> side then null else id end,
+         case when live and w <> side then null when live then wd
+              else ts + interval 6 hour end,
+         case when w is not null and not live then wd end,
+         case when not live and w = 'view' then wid end,
+         case when not live and w = 'click' then wid end,
+         case when live and w <> side then ts end,
+         case when live and w <> side then case side when 'view' then id else wid end end,
+         case when live and w <> side then case side when 'click' then id else wid end end
+  from (select e.user_id, e.i, e.side, e.id, e.ts, st.w, st.wid, st.wd,
+               coalesce(st.w is not null and st.wd > e.ts, false) live
+        from st join e on e.user_id = st.user_id and e.i = st.i + 1)),
+last as (select * from st where (user_id, i) in (select user_id, max(i) from e group by user_id))
+select user_id, t1 ts, v1 view_id, c1 click_id from st where t1 is not null
+union all
+select user_id, t2, v2, c2 from st where t2 is not null
+union all
+select user_id, wd, case w when 'view' then wid end, case w when 'click' then wid end
+from last where w is not null"""
+ORACLE["priced_wait_join_repeated"] = """
+with recursive e as (
+  select user_id, event_type = 'view' is_left, event_id id, value, ts,
+         row_number() over (partition by user_id order by ts, event_type = 'view', event_id) i
+  from events where event_type in ('view', 'purchase')),
+st as (
+  select user_id, 0::bigint i, null::bigint wid, null::double wv, null::timestamp wd,
+         null::bigint rid, null::double rv,
+         null::timestamp t1, null::bigint l1, null::double lv1, null::bigint r1,
+         null::double rv1, null::timestamp t2, null::bigint r2, null::double rv2
+  from e group by user_id
+  union all
+  select user_id, i,
+         case when is_left and r is null then id when is_left and wid is null then null
+              else wid end,
+         case when is_left and r is null then value when is_left and wid is null then null
+              else wv end,
+         case when wid is not null then wd when is_left and r is null
+              then ts + interval 12 hour end,
+         case when is_left then null else id end,
+         case when is_left then null else value end,
+         t1, l1, lv1, r1, rv1,
+         case when is_left and r is not null then ts end,
+         case when is_left and r is not null then r end,
+         case when is_left and r is not null then r_v end
+  from (select e.user_id, e.i, e.is_left, e.id, e.value, e.ts,
+               case when st.wd > e.ts then st.wid end wid,
+               case when st.wd > e.ts then st.wv end wv,
+               case when st.wd > e.ts then st.wd end wd,
+               case when st.wd <= e.ts then null else st.rid end r,
+               case when st.wd <= e.ts then null else st.rv end r_v,
+               case when st.wd <= e.ts then st.wd end t1,
+               case when st.wd <= e.ts then st.wid end l1,
+               case when st.wd <= e.ts then st.wv end lv1,
+               case when st.wd <= e.ts then st.rid end r1,
+               case when st.wd <= e.ts then st.rv end rv1
+        from st join e on e.user_id = st.user_id and e.i = st.i + 1)),
+last as (select * from st where (user_id, i) in (select user_id, max(i) from e group by user_id)),
+done as (
+  select user_id, t1 ts, l1 lid, lv1 lv, r1 rid, rv1 rv from st where t1 is not null
+  union all
+  select user_id, t2, null, null, r2, rv2 from st where t2 is not null
+  union all
+  select user_id, wd, wid, wv, rid, rv from last where wid is not null)
+select user_id, ts, case when rid is null then 'AWAITING_PRICE' else 'COMPLETE' end situation,
+       coalesce(rid, lid) event_id, case when rid is null then lv else rv end as "value"
+from done"""
+
 # Sinks written and read back equal what was written.
 ORACLE["tags_sink_round_trip"] = ORACLE["last_three_tags"]
 ORACLE["text_sink_round_trip"] = ORACLE["word_count"]

@@ -59,9 +59,9 @@ def body_engine(spark, sf_dir):
 
 
 def car_remote(spark, sf_dir):
-    """JN2 on its own: the cars (batch JN1 output, one per sku) wait for the remote."""
+    """JN2 on its own: the cars (batch JN1 output) wait for the remote."""
     parts = fx.car_parts(spark, sf_dir)
-    cars = A.single_cars(A.body_engine(parts)).select(
+    cars = A.body_engine(parts).select(
         "sku", "ts", F.col("body.id").alias("body_id"), F.col("engine.id").alias("engine_id"))
     frame = R.topic_frame(cars, "sku", "car", payload=["body_id", "engine_id"]).unionByName(
         R.topic_frame(parts["remote"], "sku", "remote", payload=["id"]))
@@ -76,7 +76,7 @@ def car_remote(spark, sf_dir):
 def car_wheels(spark, sf_dir):
     """JN3 on its own: the cars (batch JN1 + JN2 output) collect wheels, four expected."""
     parts = fx.car_parts(spark, sf_dir)
-    cars = A.car_remote(A.single_cars(A.body_engine(parts)), parts).select(
+    cars = A.car_remote(A.body_engine(parts), parts).select(
         "sku", "ts", F.col("body.id").alias("body_id"), F.col("engine.id").alias("engine_id"),
         F.col("remote.id").alias("remote_id"))
     frame = R.topic_frame(cars, "sku", "car", payload=["body_id", "engine_id", "remote_id"]
@@ -134,11 +134,11 @@ def part_patch(spark, sf_dir):
     ``full`` wait-join with no deadline: lone rows never leave); each pair leaves at
     the later arrival and the part is patched into the car."""
     parts = fx.car_parts(spark, sf_dir)
-    cars = A.to_record(A.assemble(parts, "code").filter(F.col("n_wheels") > 0))
+    cars = A.to_record(A.assemble(parts, "code"))
     priced = A.wheel_price_parts(parts)
-    record = [c for c in cars.columns if c not in ("sku", "ts")]
-    frame = (R.topic_frame(cars, "sku", "car", payload=record)
-             .unionByName(R.topic_frame(priced, "sku", "part", payload=["part"])))
+    record = [c for c in cars.columns if c not in ("sku", "ts", "seq")]
+    frame = (R.topic_frame(cars, "sku", "car", "seq", payload=record)
+             .unionByName(R.topic_frame(priced, "sku", "part", "seq", payload=["part"])))
     out = R.run_sliced(spark, frame, WaitJoin("full", None, "car", "part"), "jn5", SLICES, 1)
     car_t = cars.select(*record).schema
     part_t = priced.schema["part"].dataType

@@ -169,7 +169,7 @@ def test_every_sku_closed_form_equals_ordered_form(spark):
     from partflow.operators.sequential import run_machine
     from partflow.plans import assembly as A
     from partflow.sources import fixtures as fx
-    closed = A.flat(A.assemble_every_sku(fx.car_parts(spark, SF001), "code"))
+    closed = A.flat(A.assemble(fx.car_parts(spark, SF001), "code"))
     ordered = A.flat(ST.assembled_cars(run_machine(ST.assembly_frame(spark, SF001),
                                                    Assembly(ST.CAR_WAIT_US, 4, "code"))))
     assert _rows(closed) == _rows(ordered)
