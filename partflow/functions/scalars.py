@@ -58,14 +58,6 @@ def emptiness(arr) -> Column:
     return a.isNull() | (F.size(a) == 0)
 
 
-def lookup_id(kind: str, car: str = "car") -> Column:
-    """which id is looked up for a part kind (the first wheel for WHEEL)."""
-    if kind == "WHEEL":
-        return F.try_element_at(F.col(f"{car}.wheels"), F.lit(1)).getField("id")
-    field = {"BODY": "body", "ENGINE": "engine", "REMOTE_CONTROL": "remoteControl"}[kind]
-    return F.col(f"{car}.{field}.id")
-
-
 def key_bytes(k) -> Column:
     """message key as bytes."""
     return _c(k).cast("string").cast("binary")

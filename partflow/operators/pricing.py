@@ -14,13 +14,13 @@ per-call timeout and fixed-delay retries.
 from __future__ import annotations
 
 import concurrent.futures as cf
+import threading
 import time
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from partflow.functions.scalars import money
 from partflow.operators.sizing import bounded_broadcast
@@ -35,7 +35,8 @@ def _lookups(cars: DataFrame, car_key: list[str], ids: dict[str, Column]) -> Dat
     so the fold below needs no join back to the cars (and the cars are read once)."""
     payload = [c for c in cars.columns if c not in car_key]
     first = next(iter(ids))
-    rows = F.array(*[F.struct(F.lit(k).alias("kind"), e.cast("long").alias("id"))
+    # Ids may be numbers or text; both sides of the lookup compare them as text.
+    rows = F.array(*[F.struct(F.lit(k).alias("kind"), e.cast("string").alias("id"))
                      for k, e in ids.items()])
     return (cars.select(*car_key, F.struct(*payload).alias("_car"), F.inline(rows))
             .withColumn("_car", F.when(F.col("kind") == first, F.col("_car"))))
@@ -93,7 +94,7 @@ def price_cars(cars: DataFrame, prices: DataFrame, ids: dict[str, Column],
     if total not in cars.columns:
         cars = cars.withColumn(total, F.lit(0.0))
     look = _lookups(cars, car_key, ids)
-    p = prices.select(F.col("id").cast("long").alias("id"), "price")
+    p = prices.select(F.col("id").cast("string").alias("id"), "price")
     if check_size:
         p = bounded_broadcast(p) if max_broadcast_rows is None else \
             bounded_broadcast(p, max_broadcast_rows)
@@ -101,15 +102,17 @@ def price_cars(cars: DataFrame, prices: DataFrame, ids: dict[str, Column],
     return _settle(_fold(found, car_key, list(ids)), ids, total)
 
 
-def fetch_prices(cars: DataFrame, fetch: Callable[[list[int]], dict[int, float]],
+def fetch_prices(cars: DataFrame, fetch: Callable[[list[str]], dict[str, float]],
                  ids: dict[str, Column], car_key: list[str], total: str = "total_price",
                  capacity: int = LOOKUP_CAPACITY, timeout_s: float = LOOKUP_TIMEOUT_S,
                  retries: int = LOOKUP_RETRIES, delay_s: float = LOOKUP_RETRY_DELAY_S,
                  chunk: int = 256, per_id: bool = False) -> DataFrame:
-    """Form 2: prices from ``fetch(list_of_ids) -> {id: price}`` (ids without a price
-    are left out of the answer). Per task, at most ``capacity`` calls are in flight;
-    each call gets ``timeout_s`` and is retried ``retries`` times ``delay_s`` apart on
-    an exception or an empty answer. Ids still without a price fail their car.
+    """Form 2: prices from ``fetch(list_of_ids) -> {id: price}`` (ids, as text, without a
+    price are left out of the answer). Every distinct id is asked for once over the whole
+    table. Per task, at most ``capacity`` calls run at a time, abandoned ones included. A
+    lookup has ``timeout_s`` in all; within it, ids that the answer lacks and calls that
+    fail are tried again, ``retries`` times at most and ``delay_s`` apart. Ids still without
+    a price fail their car.
 
     ``per_id=True`` takes ``fetch(id) -> price | None`` instead, one request per id as
     the reference makes them; ``capacity`` then bounds the ids in flight."""
@@ -122,53 +125,63 @@ def fetch_prices(cars: DataFrame, fetch: Callable[[list[int]], dict[int, float]]
             v = one(batch[0])
             return {} if v is None else {batch[0]: v}
     look = _lookups(cars, car_key, ids)
-    schema = T.StructType([*[look.schema[c] for c in look.columns],
-                           T.StructField("price", T.DoubleType())])
 
-    def call(batch: list[int]) -> dict[int, float]:
+    def lookup(batch: list[str], slots: threading.Semaphore) -> dict[str, float]:
+        end, answer, missing = time.monotonic() + timeout_s, {}, batch
         for attempt in range(retries + 1):
-            one = cf.ThreadPoolExecutor(1)
+            if not slots.acquire(timeout=max(0.0, end - time.monotonic())):
+                break
+            call = cf.Future()
+
+            def run(asked=missing, call=call):
+                try:
+                    call.set_result(fetch(asked))
+                except Exception as e:  # noqa: BLE001 - handed to the waiting lookup
+                    call.set_exception(e)
+                finally:
+                    slots.release()
+            threading.Thread(target=run, daemon=True).start()
             try:
-                got = one.submit(fetch, batch).result(timeout=timeout_s)
-                if got:
-                    return got
-            except Exception:  # noqa: BLE001 - timeout or failure: retried, then fails
+                got = call.result(timeout=max(0.0, end - time.monotonic()))
+                answer.update({i: got[i] for i in missing if got.get(i) is not None})
+            except Exception:  # noqa: BLE001 - timeout or failure: tried again, then fails
                 pass
-            finally:
-                one.shutdown(wait=False)  # a call past its timeout is abandoned
-            if attempt < retries:
-                time.sleep(delay_s)
-        return {}
-
-    def enrich(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            missing = [i for i in missing if i not in answer]
+            left = end - time.monotonic()
+            if not missing or left <= 0 or attempt == retries:
+                break
+            time.sleep(min(delay_s, left))
+        return answer
+
+    def answers(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        slots = threading.Semaphore(capacity)
         with cf.ThreadPoolExecutor(max_workers=capacity) as pool:
             for pdf in frames:
-                uniq = [int(i) for i in pdf["id"].dropna().drop_duplicates()]
-                parts = [uniq[i:i + chunk] for i in range(0, len(uniq), chunk)]
-                answer: dict[int, float] = {}
-                for got in pool.map(call, parts):
-                    answer.update(got)
-                out = pdf.copy()
-                out["price"] = out["id"].map(answer).astype("float64")
-                yield out
-
-    found = look.mapInPandas(enrich, schema)
+                own = pdf["id"].tolist()
+                got: dict[str, float] = {}
+                for part in pool.map(lambda x: lookup(x, slots), [
+                        own[i:i + chunk] for i in range(0, len(own), chunk)]):
+                    got.update(part)
+                if got:
+                    yield pd.DataFrame({"id": list(got),
+                                        "price": [float(v) for v in got.values()]})
+
+    asked = look.select("id").where("id is not null").distinct()
+    found = look.join(asked.mapInPandas(answers, "id string, price double"), "id", "left")
     return _settle(_fold(found, car_key, list(ids)), ids, total)
 
 
-class ParquetPriceService:
-    """A ``fetch`` for form 2 that answers from a Parquet price table: each call reads
-    only the asked ids (a filtered Arrow dataset scan), the way a key-value service
-    would answer. Picklable, so Spark ships it to the executors."""
+class TablePrices:
+    """A ``fetch`` for form 2 that answers from prices held in memory, in place of a remote
+    service: for tests and the registered query. The price table is read by Spark and must
+    not exceed ``most`` rows."""
 
-    def __init__(self, path: str, id_col: str, price_col: str, where=None):
-        self.path, self.id_col, self.price_col, self.where = path, id_col, price_col, where
+    def __init__(self, prices: DataFrame, most: int = 500_000):
+        rows = prices.select(F.col("id").cast("string"), F.col("price").cast("double")
+                             ).limit(most + 1).toArrow()
+        if rows.num_rows > most:
+            raise ValueError(f"more than {most} prices; use price_cars")
+        self.prices = dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
 
-    def __call__(self, ids: list[int]) -> dict[int, float]:
-        import pyarrow.compute as pc
-        import pyarrow.dataset as ds
-        flt = pc.field(self.id_col).isin(ids)
-        if self.where is not None:
-            flt = flt & self.where()
-        t = ds.dataset(self.path).to_table(columns=[self.id_col, self.price_col], filter=flt)
-        return dict(zip(t.column(0).to_pylist(), t.column(1).to_pylist()))
+    def __call__(self, ids: list[str]) -> dict[str, float]:
+        return {i: self.prices[i] for i in ids if i in self.prices}

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.operators.pricing import ParquetPriceService, fetch_prices, price_cars
+from partflow.operators.pricing import fetch_prices, price_cars
 from partflow.operators.routing import route, route_counts
 from partflow.operators.waitjoins import interval, pack, wait_join_full
 from partflow.schemas import EXPECTED_WHEELS
@@ -172,13 +172,33 @@ def price_by_fetch(assembled: DataFrame, fetch, policy: str = "code", **kw) -> D
     return fetch_prices(waiting, fetch, price_ids(policy), CAR_KEY, **kw)
 
 
-def parquet_price_service(sf_dir: str) -> ParquetPriceService:
-    import pyarrow.compute as pc
-
-    def where():
-        return pc.field("p_size") <= fx.MAX_PRICED_SIZE
-    return ParquetPriceService(f"{sf_dir}/part.parquet", "p_partkey", "p_retailprice",
-                               where)
+def with_part_prices(priced: DataFrame) -> DataFrame:
+    """JN7's result in the record: the price that was looked up becomes the price of the
+    part (the wheel price that of every wheel), in cars whose parts are whole records."""
+    def priced_part(side: str, price: str) -> Column:
+        return F.when(F.col(side).isNotNull() & F.col(price).isNotNull(),
+                      F.col(side).withField("part.price", F.col(price))).otherwise(F.col(side))
+
+    out = priced
+    for side, price in (("body", "body_price"), ("engine", "engine_price"),
+                        ("remote", "remote_control_price")):
+        if price in priced.columns:
+            out = out.withColumn(side, priced_part(side, price))
+    if "wheel_price" in priced.columns:
+        out = out.withColumn("wheels", F.when(F.col("wheel_price").isNotNull(), F.transform(
+            "wheels", lambda w: w.withField("part.price", F.col("wheel_price"))))
+            .otherwise(F.col("wheels")))
+    return out
+
+
+def car_messages(cars: DataFrame, **how) -> DataFrame:
+    """Whole cars (parts as records) as messages: key = sku bytes, value = the encoded CAR."""
+    from partflow.sinks.topics import encode
+    total = F.col("total_price") if "total_price" in cars.columns else F.lit(0.0)
+    record = F.struct(F.col("sku").cast("string").alias("sku"),
+                      F.coalesce(total, F.lit(0.0)).alias("totalPrice"), "body", "engine",
+                      F.col("remote").alias("remoteControl"), "wheels", "situation")
+    return encode(cars.withColumn("seq", F.lit(0).cast("long")), "sku", record, **how)
 
 
 def routes(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[str, DataFrame]:
@@ -252,4 +272,4 @@ def wheel_price_parts(parts: dict[str, DataFrame]) -> DataFrame:
 
 __all__ = ["assemble", "body_engine", "car_remote", "cars_per_sku", "flat", "price",
            "price_by_fetch", "remote_per_sku", "route", "route_counts", "routes",
-           "to_record", "wheel_price_parts"]
+           "to_record", "wheel_price_parts", "with_part_prices", "car_messages"]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from partflow.functions.scalars import json_number, kind_label as label_of
 from partflow.operators import text
+from partflow.operators.pricing import TablePrices
 from partflow.operators.waitjoins import patch_join
 from partflow.plans import assembly as A
 from partflow.plans import events as E
@@ -62,7 +63,7 @@ def _price(policy):
 def lookup_map_in_pandas(spark, sf_dir):
     parts = fx.car_parts(spark, sf_dir)
     priced = A.price_by_fetch(A.assemble(parts, "documented"),
-                              A.parquet_price_service(sf_dir), "documented",
+                              TablePrices(parts["prices"]), "documented",
                               delay_s=0.5)
     return priced.select("sku", "ts", "situation", "total_price",
                          *PRICE_COLS["documented"])
@@ -180,6 +181,27 @@ def text_sink_round_trip(spark, sf_dir):
                        F.substring_index("line", ":::", -1).cast("long").alias("n"), "line")
 
 
+def stream_route_records(spark, sf_dir):
+    """Job A from part topics to car topics: what the two sinks hold, decoded strictly."""
+    from partflow.schemas import CAR
+    out = None
+    for name, path in S.route_job(spark, sf_dir, "documented").items():
+        part = decode(read_file_topic(spark, path), CAR).select(
+            F.lit(name).alias("sink"), "key", "ts", "record.*")
+        out = part if out is None else out.unionByName(part)
+    wheel = F.try_element_at("wheels", F.lit(1))
+    return out.select("sink", F.col("key").alias("sku"), "ts", "situation",
+                      F.col("totalPrice").alias("total_price"),
+                      F.col("body.id").alias("body_id"), F.col("body.color").alias("color"),
+                      F.col("body.part.price").alias("body_price"),
+                      F.col("engine.id").alias("engine_id"),
+                      F.col("engine.part.price").alias("engine_price"),
+                      F.col("remoteControl.id").alias("remote_id"),
+                      F.col("remoteControl.channelFrequency").alias("frequency"),
+                      F.coalesce(F.size("wheels"), F.lit(0)).cast("long").alias("n_wheels"),
+                      wheel["part"]["price"].alias("wheel_price"))
+
+
 def stream_part_patch_join(spark, sf_dir):
     return patched_view(S.part_patch(spark, sf_dir))
 
@@ -248,6 +270,7 @@ QUERIES: dict[str, Query] = {
     "stream_assemble_code": S.assemble("code"),
     "stream_assemble_documented": S.assemble("documented"),
     "stream_route_counts": S.route_counts,
+    "stream_route_records": stream_route_records,
     "stream_latest_value_join": S.latest_value_join,
     "stream_last_three_tags": S.last_three_tags,
     "stream_first_per_key": S.first_per_key,

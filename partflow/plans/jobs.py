@@ -6,7 +6,8 @@
     python -m partflow.plans.jobs word-count --tables DIR --out DIR
     python -m partflow.plans.jobs first-body --tables DIR --out DIR
     python -m partflow.plans.jobs assemble-stream --brokers HOST:PORT --prices PARQUET
-            --checkpoint DIR --out DIR [--registry-framed] [--format avro|json]
+            --checkpoint DIR --out DIR --state-partitions N [--trigger "10 seconds"]
+            [--registry-framed] [--format avro|json] [--price-id COL] [--price-col COL]
 
 Batch jobs read the driver-style Parquet tables and write Parquet sinks (job A: one
 folder per sink). The stream job reads the four part topics from Kafka (the connector
@@ -19,7 +20,6 @@ import argparse
 
 from pyspark.sql import functions as F
 
-from partflow.operators.routing import route
 from partflow.plans import assembly as A
 from partflow.plans import events as E
 from partflow.plans import streams as S
@@ -41,7 +41,7 @@ def _assemble(spark, a):
 def _assemble_stream(spark, a):
     from partflow.operators.sizing import bounded_broadcast
     prices = bounded_broadcast(spark.read.parquet(a.prices).select(
-        F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("price")))
+        F.col(a.price_id).alias("id"), F.col(a.price_col).alias("price")))
     sources = {}
     for kind, topic in (("body", TOPIC_BODY), ("engine", TOPIC_ENGINE),
                         ("remote", TOPIC_REMOTE_CONTROL), ("wheel", TOPIC_WHEEL)):
@@ -53,15 +53,11 @@ def _assemble_stream(spark, a):
                              time_mode="ProcessingTime")
 
     def per_batch(batch, batch_id):
-        cars = S.assembled_cars(batch.withColumn(
-            "ts", F.timestamp_micros("ts_us").cast("timestamp_ntz"))).persist()
-        for name, df in route(cars, A.price(cars, prices, a.policy, check_size=False)).items():
-            df.write.mode("overwrite").parquet(f"{a.out}/{name}/batch_id={batch_id}")
-        cars.unpersist()
+        S.write_routed(batch, prices, a.policy, lambda name: f"{a.out}/{name}/batch_id={batch_id}")
 
-    with state_partitions(spark):
+    with state_partitions(spark, a.state_partitions):
         q = (stage.writeStream.foreachBatch(per_batch)
-             .option("checkpointLocation", a.checkpoint).trigger(processingTime="1 second")
+             .option("checkpointLocation", a.checkpoint).trigger(processingTime=a.trigger)
              .start())
     q.awaitTermination()
 
@@ -93,6 +89,10 @@ def main(argv=None) -> None:
     st.add_argument("--policy", choices=["code", "documented"], default="code")
     st.add_argument("--format", choices=["avro", "json"], default="avro")
     st.add_argument("--registry-framed", action="store_true")
+    st.add_argument("--price-id", default="p_partkey")
+    st.add_argument("--price-col", default="p_retailprice")
+    st.add_argument("--trigger", default="10 seconds")
+    st.add_argument("--state-partitions", type=int, required=True)
     st.add_argument("--wait-ms", type=int, default=JOIN_WAIT_MS)
     a = p.parse_args(argv)
 

@@ -369,6 +369,25 @@ select user_id, ts, case when rid is null then 'AWAITING_PRICE' else 'COMPLETE'
        coalesce(rid, lid) event_id, case when rid is null then lv else rv end as "value"
 from done"""
 
+# Job A in whole records. Skus and ids are text on the topics.
+ORACLE["stream_route_records"] = ASM_CTE + """,
+priced as (
+  select a.sku, a.ts, coalesce(p.situation, a.sit_doc) situation,
+         coalesce(p.total_price, 0.0) total_price, p.body_price, p.engine_price,
+         p.wheel_price, a.bid, a.eid, a.rid, a.n
+  from asm a left join price_documented p
+    on a.sku = p.sku and a.ts = p.ts and a.sit_doc = 'AWAITING_PRICE')
+select case when situation = 'COMPLETE' then 'complete' else 'incomplete' end sink,
+       'SKU-' || sku sku, ts, situation, total_price, 'P-' || bid body_id,
+       'color-' || (bid % 7) color,
+       case when bid is not null then coalesce(body_price, 0.0) end body_price,
+       'P-' || eid engine_id,
+       case when eid is not null then coalesce(engine_price, 0.0) end engine_price,
+       'P-' || rid remote_id, case when rid is not null then 'RF_27' end frequency,
+       cast(n as bigint) n_wheels,
+       case when n > 0 then coalesce(wheel_price, 0.0) end wheel_price
+from priced"""
+
 # Sinks written and read back equal what was written.
 ORACLE["tags_sink_round_trip"] = ORACLE["last_three_tags"]
 ORACLE["text_sink_round_trip"] = ORACLE["word_count"]

@@ -15,10 +15,10 @@ from partflow.operators.routing import route
 from partflow.operators.waitjoins import apply_patch
 from partflow.plans import assembly as A
 from partflow.plans import events as E
-from partflow.schemas import (BODY, ENGINE, EXPECTED_WHEELS, FIRST_BODY_COLOR, LAST_N_TAGS,
+from partflow.schemas import (BODY, CAR, ENGINE, EXPECTED_WHEELS, FIRST_BODY_COLOR, LAST_N_TAGS,
                               REMOTE_CONTROL, WHEEL)
 from partflow.sinks.topics import encode
-from partflow.sources.topics import FILE_TOPIC_SCHEMA, decode
+from partflow.sources.topics import FILE_TOPIC_SCHEMA, decode, read_file_topic
 from partflow.session import scratch_path, state_partitions
 from partflow.sources import fixtures as fx
 from partflow.streaming import runner as R
@@ -106,16 +106,22 @@ def assembly_frame(spark, sf_dir) -> DataFrame:
 
 
 def assembled_cars(out: DataFrame) -> DataFrame:
-    """Machine output of job A back to the batch car shape (structs of ids)."""
-    wheels = F.from_json(F.get_json_object("value", "$.wheels"),
-                         "array<struct<id:bigint,ln:int,placement:string>>")
-    part = lambda p: F.when(_j(f"$.{p}.id").isNotNull(),
-                            F.struct(_j(f"$.{p}.id").alias("id")))
-    return out.select(F.col("key").cast("bigint").alias("sku"), "ts",
-                      part("body").alias("body"), part("engine").alias("engine"),
-                      part("remote").alias("remote"), wheels.alias("wheels"),
-                      _j("$.n_wheels").alias("n_wheels"),
-                      _j("$.situation", "string").alias("situation"))
+    """Machine output of job A on ``assembly_frame`` back to the batch car shape."""
+    x = F.from_json("value", "struct<body:struct<id:bigint>,engine:struct<id:bigint>,"
+                             "remote:struct<id:bigint>,wheels:array<struct<id:bigint,ln:int,"
+                             "placement:string>>,n_wheels:bigint,situation:string>")
+    return out.select(F.col("key").cast("bigint").alias("sku"), "ts", x.alias("x")).select(
+        "sku", "ts", "x.*")
+
+
+def whole_cars(out: DataFrame) -> DataFrame:
+    """Machine output of job A on part records: cars with every field of their parts. Skus
+    and ids stay text."""
+    kinds = ", ".join(f"{k}: {v.simpleString()}" for k, v in (
+        ("body", BODY), ("engine", ENGINE), ("remote", REMOTE_CONTROL)))
+    x = F.from_json("value", f"struct<{kinds}, wheels: array<{WHEEL.simpleString()}>, "
+                             "n_wheels: bigint, situation: string>")
+    return out.select(F.col("key").alias("sku"), "ts", x.alias("x")).select("sku", "ts", "x.*")
 
 
 def assemble(policy: str):
@@ -154,23 +160,25 @@ PART_KIND = {"body": "BODY", "engine": "ENGINE", "remote": "REMOTE_CONTROL", "wh
 
 
 def _part(kind: str):
-    return F.struct(F.col("sku").cast("string").alias("sku"), F.lit(PART_KIND[kind]).alias("partName"),
-                    F.lit(0.0).alias("price"), F.lit("").alias("productName"))
+    return F.struct(F.concat(F.lit("SKU-"), F.col("sku")).alias("sku"),
+                    F.lit(PART_KIND[kind]).alias("partName"), F.lit(0.0).alias("price"),
+                    F.lit("").alias("productName"))
 
 
 def encoded_part_topics(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The four part topics as the reference's producers would fill them: key = sku
-    bytes, value = the encoded Body / Engine / RemoteControl / Wheel record (SNK1)."""
+    bytes, value = the encoded Body / Engine / RemoteControl / Wheel record (SNK1). Skus
+    and part ids are text that is no number, as the schemas allow."""
+    pid = F.concat(F.lit("P-"), F.col("id")).alias("id")
     records = {
-        "body": F.struct(_part("body").alias("part"), F.col("id").cast("string").alias("id"),
-                         F.lit(None).cast("string").alias("color"),
-                         F.lit(None).cast("string").alias("material"),
-                         F.lit(None).cast("float").alias("weight")),
-        "engine": F.struct(_part("engine").alias("part"), F.col("id").cast("string").alias("id")),
-        "remote": F.struct(_part("remote").alias("part"), F.col("id").cast("string").alias("id"),
+        "body": F.struct(_part("body").alias("part"), pid,
+                         F.concat(F.lit("color-"), F.col("id") % 7).alias("color"),
+                         F.lit("PLASTIC").alias("material"),
+                         (F.col("id") % 100 / 10).cast("float").alias("weight")),
+        "engine": F.struct(_part("engine").alias("part"), pid),
+        "remote": F.struct(_part("remote").alias("part"), pid,
                            F.lit("RF_27").alias("channelFrequency")),
-        "wheel": F.struct(_part("wheel").alias("part"), F.col("id").cast("string").alias("id"),
-                          F.col("placement")),
+        "wheel": F.struct(_part("wheel").alias("part"), pid, F.col("placement")),
     }
     out = {}
     for kind, rec in records.items():
@@ -178,7 +186,8 @@ def encoded_part_topics(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
             continue
         df = parts[kind]
         seq = F.col("ln").cast("long") if "ln" in df.columns else F.lit(0).cast("long")
-        out[kind] = encode(df.withColumn("seq", seq), "sku", rec)
+        out[kind] = encode(df.withColumn("seq", seq), F.concat(F.lit("SKU-"), F.col("sku")),
+                           rec)
     return out
 
 
@@ -195,6 +204,17 @@ def decoded_frame(sources: dict[str, DataFrame]) -> DataFrame:
     return frame
 
 
+def write_routed(batch: DataFrame, prices: DataFrame, policy: str, path_of) -> None:
+    """One micro-batch of assembled cars: priced, routed and written as encoded car messages,
+    each sink's slice replacing what an earlier attempt of the batch wrote."""
+    cars = whole_cars(batch.withColumn(
+        "ts", F.timestamp_micros("ts_us").cast("timestamp_ntz"))).persist()
+    priced = A.with_part_prices(A.price(cars, prices, policy, check_size=False))
+    for name, df in route(cars, priced).items():
+        A.car_messages(df).write.mode("overwrite").parquet(path_of(name))
+    cars.unpersist()
+
+
 def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[str, str]:
     """Job A end to end as one streaming query: four encoded part topics -> strict
     decode -> assembly machine (JN1 -> JN2 -> JN3) -> per micro-batch pricing against
@@ -203,19 +223,15 @@ def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[st
     Each time slice of the four topics is written, then one ``availableNow`` run
     consumes it. Returns the sink folders."""
     from partflow.operators.sizing import bounded_broadcast
-    prices = bounded_broadcast(fx.prices(spark, sf_dir))  # checked once, not per batch
+    prices = bounded_broadcast(fx.prices(spark, sf_dir).withColumn(  # checked once
+        "id", F.concat(F.lit("P-"), F.col("id"))))
     base = scratch_path(spark, f"route-{policy}")
     sinks = {"complete": f"{base}/complete", "incomplete": f"{base}/incomplete"}
     topics = encoded_part_topics(fx.car_parts(spark, sf_dir))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        cars = assembled_cars(batch.filter(F.col("key") != R.SENTINEL).withColumn(
-            "ts", F.timestamp_micros("ts_us").cast("timestamp_ntz"))).persist()
-        routed = route(cars, A.price(cars, prices, policy, check_size=False))
-        for name, df in routed.items():
-            (df.select("sku", "ts", "situation").write.mode("overwrite")
-             .parquet(f"{sinks[name]}/batch_id={batch_id}"))
-        cars.unpersist()
+        write_routed(batch.filter(F.col("key") != f"SKU-{R.SENTINEL}"), prices, policy,
+                     lambda name: f"{sinks[name]}/batch_id={batch_id}")
 
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     all_ts = None
@@ -226,7 +242,7 @@ def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[st
     edges = [None, *bounds, None]
     last = all_ts.agg(F.max(ms)).first()[0]
     end = encoded_part_topics({"body": spark.createDataFrame(
-        [(R.SENTINEL, "0", None)], "sku string, id string, ts timestamp_ntz")})["body"]
+        [(R.SENTINEL, 0, None)], "sku string, id long, ts timestamp_ntz")})["body"]
     steps = [{k: t.filter((ms >= lo) if lo is not None else F.lit(True))
               .filter((ms < hi) if hi is not None else F.lit(True)) for k, t in topics.items()}
              for lo, hi in zip(edges[:-1], edges[1:])]
@@ -249,11 +265,9 @@ def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[st
 
 
 def route_counts(spark, sf_dir):
-    sinks = route_job(spark, sf_dir, "code")
-    parts = []
-    for name, path in sinks.items():
-        parts.append(spark.read.schema("sku bigint, ts timestamp_ntz, situation string")
-                     .parquet(path).select(F.lit(name).alias("sink"), "situation"))
+    parts = [decode(read_file_topic(spark, path), CAR).select(
+        F.lit(name).alias("sink"), F.col("record.situation").alias("situation"))
+        for name, path in route_job(spark, sf_dir, "code").items()]
     return (parts[0].unionByName(parts[1]).groupBy("sink", "situation")
             .agg(F.count(F.lit(1)).alias("n")))
 

@@ -1,7 +1,7 @@
 """Record types and fixed vocabularies.
 
 Records are explicit StructTypes (no schema inference anywhere). Enum fields are strings;
-``valid_enum`` gives the predicate that checks them.
+``valid_record`` gives the predicate that checks them and the required fields.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 SITUATIONS = ["COMPLETE", "MISSING_BODY", "MISSING_ENGINE", "MISSING_REMOTE_CONTROL",
               "MISSING_WHEELS", "INCOMPLETE", "AWAITING_PRICE", "FAILED_GET_PRICE"]
-PART_KINDS = ["BODY", "WHEEL", "REMOTE_CONTROL", "ENGINE"]
 CHANNEL_FREQUENCIES = ["RF_27", "RF_49", "RF_50", "RF_53", "RF_72", "RF_75"]
 WHEEL_PLACEMENTS = ["FRONT_LEFT", "FRONT_RIGHT", "REAR_LEFT", "REAR_RIGHT"]
 BR_STATES = ["AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG",
@@ -78,20 +77,32 @@ TAX_TAG = T.StructType([T.StructField("icms", T.DoubleType()),
 LAST_TAX_TAGS = T.StructType([T.StructField("stateName", T.StringType()),
                               T.StructField("taxTags", T.ArrayType(TAX_TAG))])
 
-# Envelope every topic record travels in on our file/topic sources: arrival time,
-# tie-break sequence and the record itself.
-def envelope(record: T.StructType) -> T.StructType:
-    return T.StructType([
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("value", record),
-    ])
+# Fields that a record must have (all but those with a default or a null in their schema),
+# and fields that take the symbols of an enum.
+REQUIRED = {"part", "sku", "partName", "id", "color", "material", "weight",
+            "channelFrequency", "placement", "icms", "state", "stateName", "situation"}
+ENUMS = {"channelFrequency": CHANNEL_FREQUENCIES, "placement": WHEEL_PLACEMENTS,
+         "state": BR_STATES, "situation": SITUATIONS}
 
 
-def valid_enum(col: Column | str, values: list[str]) -> Column:
-    """Predicate standing in for an Avro enum: the value is one of ``values``."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.isin(values)
+def valid_record(col: Column, struct: T.StructType) -> Column:
+    """Predicate: required fields are there and enums hold one of their symbols, in nested
+    records and arrays too (a null record or array is checked by its own field)."""
+    ok = F.lit(True)
+    for f in struct.fields:
+        c = col.getField(f.name)
+        if f.name in REQUIRED:
+            ok = ok & c.isNotNull()
+        if f.name in ENUMS and isinstance(f.dataType, T.StringType):
+            ok = ok & (c.isNull() | c.isin(ENUMS[f.name]))
+        if isinstance(f.dataType, T.StructType):
+            ok = ok & (c.isNull() | valid_record(c, f.dataType))
+        elif (isinstance(f.dataType, T.ArrayType)
+              and isinstance(f.dataType.elementType, T.StructType)):
+            each = f.dataType.elementType
+            ok = ok & (c.isNull() | F.forall(c, lambda x: x.isNull()
+                                             | valid_record(x, each)))
+    return ok
 
 
 def avro_schema(struct: T.StructType, name: str, namespace: str = "partflow") -> str:

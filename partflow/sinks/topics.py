@@ -18,10 +18,11 @@ from partflow.functions.scalars import key_bytes
 
 
 def encode(df: DataFrame, key: str | Column | None, record: Column, fmt: str = "json",
-           keep=("ts", "seq")) -> DataFrame:
+           keep=("ts", "seq"), schema_id: int | None = None) -> DataFrame:
     """``(key, value[, ts, seq])`` with the record encoded as JSON text, Avro bytes or,
     for ``text``, a string column as is (job C's ``word:::n`` lines). ``key=None``
-    writes null keys (the text topics have none)."""
+    writes null keys (the text topics have none). ``schema_id`` puts the registry's 5-byte
+    header (a zero byte and the id) before Avro bytes, as ``decode`` takes it off."""
     if fmt == "text":
         value = record.cast("string")
     elif fmt == "json":
@@ -29,6 +30,8 @@ def encode(df: DataFrame, key: str | Column | None, record: Column, fmt: str = "
     elif fmt == "avro":  # needs the spark-avro package
         from pyspark.sql.avro.functions import to_avro
         value = to_avro(record)
+        if schema_id is not None:
+            value = F.concat(F.lit(b"\0" + schema_id.to_bytes(4, "big")), value)
     else:
         raise ValueError(fmt)
     extra = [c for c in keep if c in df.columns]
@@ -43,6 +46,5 @@ def write_file_topic(encoded: DataFrame, path: str) -> None:
 
 def kafka_writer(encoded: DataFrame, brokers: str, topic: str):
     """A Kafka batch writer (at-least-once; see README on exactly-once)."""
-    return (encoded.select("key", F.col("value").cast("string").alias("value"))
-            .write.format("kafka").option("kafka.bootstrap.servers", brokers)
+    return (encoded.select("key", "value").write.format("kafka").option("kafka.bootstrap.servers", brokers)
             .option("topic", topic))

@@ -22,6 +22,8 @@ no-data batch that follows settles all waits.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,9 +104,10 @@ def write_time_sliced(spark: SparkSession, frame: DataFrame, path: str, slices:
 def machine_stream(source: DataFrame, machine: Machine, time_mode: str = "EventTime",
                    ttl_ms: int | None = None, lateness: str = "0 seconds") -> DataFrame:
     """The stateful stage on a streaming topic frame. In event time the watermark
-    trails the newest arrival by ``lateness`` (0 for in-order topics). Arrival times
-    must lie after the epoch: the first watermark is 0 and rows at or before the
-    watermark are dropped as late."""
+    trails the newest arrival by ``lateness`` (0 for in-order topics), and Spark leaves out
+    rows behind it: ``reject_late`` after a run fails it if there were any. Arrival times
+    must lie after the epoch (the first watermark). A job that must take rows in any order
+    uses processing time, which has no watermark."""
     src = source.withColumn("ts_us", F.unix_micros("ts"))
     if time_mode == "EventTime":
         src = src.withWatermark("ts", lateness)
@@ -113,6 +116,16 @@ def machine_stream(source: DataFrame, machine: Machine, time_mode: str = "EventT
                                 "Append", time_mode))
 
 
+def reject_late(query) -> None:
+    """Fail loudly where the watermark left rows out: a late row is never dropped in silence."""
+    late = sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress
+               for op in json.loads(p.json if hasattr(p, "json") else json.dumps(p)
+                                    )["stateOperators"])
+    if late:
+        raise RuntimeError(f"{late} rows arrived behind the watermark; give the stream a "
+                           "larger lateness, or sort its input")
+
+
 def run_to_end(spark: SparkSession, topic_path: str, machine: Machine,
                name: str = "machine", checkpoint: str | None = None,
                out: str | None = None) -> DataFrame:
@@ -133,6 +146,7 @@ def _run(spark, topic_path, machine, checkpoint, out, files_per_batch):
              .option("checkpointLocation", checkpoint).trigger(availableNow=True)
              .start(out))
     q.awaitTermination()
+    reject_late(q)
 
 
 def read_output(spark: SparkSession, out: str) -> DataFrame:

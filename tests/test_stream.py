@@ -4,6 +4,7 @@ event-queue model in tests/model.py)."""
 
 import json
 import os
+import time
 import random
 
 import pytest
@@ -242,3 +243,17 @@ def test_state_partitions_follow_parallelism_not_batch_setting(spark):
     n = spark.sparkContext.defaultParallelism
     assert f'"spark.sql.shuffle.partitions":"{n}"' in meta
     assert spark.conf.get("spark.sql.shuffle.partitions") == old
+
+
+def test_late_row_is_never_dropped_in_silence(spark):
+    """A row behind the watermark fails the run and says how many there were."""
+    from partflow.streaming.machines import First
+    topic = scratch_path(spark, "late-topic")
+    for i, sec in enumerate((100, 200, 50)):
+        (spark.createDataFrame([("k", "body", sec, 0, "{}")],
+                               "key string, side string, s long, seq long, value string")
+         .select("key", "side", F.timestamp_seconds("s").alias("ts"), "seq", "value")
+         .coalesce(1).write.mode("append").parquet(topic))
+        time.sleep(1.1)  # files are read in order of their modification time
+    with pytest.raises(RuntimeError, match="1 rows arrived behind the watermark"):
+        R.run_to_end(spark, topic, First(), "late")
