@@ -39,15 +39,16 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 DIGITS, CUT = r"[0-9][0-9\x20-]*[0-9]", r"[\x20-]{2,}"
 OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.(?=.)|$)){4}$"
 
-#: Generators: what could be personal data in another format.
+#: Generators: what could be personal data in another format; strings of which a text with a
+#: match holds one, or (where True) else a digit.
 WIDE = {
     "email": (r"[^\s@<>,;:()\[\]]{1,64}+\x20?(?:@|\[at\]|\(at\))\x20?"
-              r"[^\s@<>,;:()\[\]]{3,190}", ("@", "[at]", "(at)")),
+              r"[^\s@<>,;:()\[\]]{3,190}", ("@", "[at]", "(at)"), False),
     "ip": (r"(?:(?<![0-9A-Fa-f.:])[0-9]{1,3}(?:[.,][0-9]{1,3}){3}(?![0-9.])"
            r"|(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:]))",
-           (".", ":", ",")),
-    "card": (r"(?<![0-9])[0-9](?:[\x20./-]?[0-9]){11,18}(?![0-9])", ()),
-    "phone": (r"(?<![0-9])\(?[0-9](?:[\x20()./-]{0,2}[0-9]){6,14}(?![0-9])", ()),
+           (":",), True),
+    "card": (r"(?<![0-9])[0-9](?:[\x20./-]?[0-9]){11,18}(?![0-9])", (), True),
+    "phone": (r"(?<![0-9])\(?[0-9](?:[\x20()./-]{0,2}[0-9]){6,14}(?![0-9])", (), True),
 }
 
 #: Most documents whose candidates train the trees, and most candidates.
@@ -60,17 +61,21 @@ AROUND = 24
 SPAN = "array<struct<start:int,stop:int,s:string,left:string,right:string>>"
 
 
-def find(text: Column, pattern: str, gate: tuple[str, ...] = ()) -> Column:
+DIGIT = "[0-9]"
+
+
+def find(text: Column, pattern: str, gate: Column) -> Column:
     """Leftmost non-overlapping matches of ``pattern`` as an array of (start, stop, s, left,
-    right). Positions add up the lengths of matches and of the gaps between them. Texts with
-    none of the ``gate`` strings are skipped."""
+    right). Positions add up the lengths of matches and of the gaps between them. ``gate`` is
+    a cheap condition that every text with a match fulfils; other texts are skipped."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     found = _placed(gaps, matches)
-    if not gate:
-        return found
-    some = reduce(lambda a, b: a | b, [F.contains(text, F.lit(g)) for g in gate])
-    return F.when(some, found).otherwise(F.array().cast(SPAN))
+    return F.when(gate, found).otherwise(F.array().cast(SPAN))
+
+
+def holds(text: Column, *some: str) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in some])
 
 
 def _placed(gaps: Column, matches: Column, of_gaps: bool = False) -> Column:
@@ -117,10 +122,10 @@ def _between(x: Column, low: int, high: int) -> Column:
     return (x >= low) & (x <= high)
 
 
-def card_spans(text: Column) -> Column:
+def card_spans(text: Column, digit: Column) -> Column:
     """Digit sequences with single separators, 12 to 19 digits that pass Luhn's check. The
     pattern's loop over separators is replaced by a cut at double ones: no deep recursion."""
-    runs = F.filter(find(text, DIGITS), lambda t: F.length(t["s"]) >= 12)
+    runs = F.filter(find(text, DIGITS, digit), lambda t: F.length(t["s"]) >= 12)
     parts = F.flatten(F.transform(runs, lambda t: F.transform(
         _placed(F.split(t["s"], CUT, -1), F.regexp_extract_all(t["s"], F.lit(CUT), F.lit(0)),
                 of_gaps=True),
@@ -130,13 +135,14 @@ def card_spans(text: Column) -> Column:
     return F.filter(sized, lambda p: luhn(only_digits(p["s"])))
 
 
-def base_spans(text: Column) -> dict[str, Column]:
-    """The base rules' spans per kind."""
+def base_spans(text: Column, digit: Column) -> dict[str, Column]:
+    """The base rules' spans per kind. ``digit``: whether the text holds a digit."""
     return {
-        "email": find(text, EMAIL, ("@",)),
-        "ip": F.filter(find(text, IP, (".",)), lambda x: x["s"].rlike(OCTETS)),
-        "card": card_spans(text),
-        "phone": F.filter(find(text, PHONE, ("+",)),
+        "email": find(text, EMAIL, holds(text, "@")),
+        "ip": F.filter(find(text, IP, digit & holds(text, ".")),
+                       lambda x: x["s"].rlike(OCTETS)),
+        "card": card_spans(text, digit),
+        "phone": F.filter(find(text, PHONE, digit & holds(text, "+")),
                           lambda x: _between(F.length(only_digits(x["s"])), 9, 15)),
     }
 
@@ -184,10 +190,15 @@ def _overlaps(a: Column, b: Column) -> Column:
 def candidates(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with ``_base`` (the base spans of all kinds) and ``_wide`` (candidates with
     their kind, features and whether they overlap a base span of their kind)."""
-    t = text_of(text)
-    rows = docs.select("*", *[v.alias(f"_base_{k}") for k, v in base_spans(t).items()],
-                       *[find(t, p, gate).alias(f"_wide_{k}")
-                         for k, (p, gate) in WIDE.items()])
+    t, digit = text_of(text), F.col("_digit")
+    rows = docs.withColumn("_digit", t.rlike(DIGIT))
+
+    def gate(some, digits):
+        return holds(t, *some) | digit if some and digits else digit if digits \
+            else holds(t, *some)
+    rows = rows.select("*", *[v.alias(f"_base_{k}") for k, v in base_spans(t, digit).items()],
+                       *[find(t, p, gate(some, digits)).alias(f"_wide_{k}")
+                         for k, (p, some, digits) in WIDE.items()])
 
     def described(k):
         return F.transform(f"_wide_{k}", lambda c: F.struct(
