@@ -275,8 +275,8 @@ def fit_content(pages: DataFrame, source: str = "html", rows: int = TRAIN_PAGES)
 
 
 def main_texts(pages: DataFrame, model: Model, source: str = "html") -> DataFrame:
-    """``pages`` without their markup, with text and n_chars."""
-    own = [c for c in pages.columns if c != source]
+    """``pages`` with text and n_chars in place of the markup (and of columns so named)."""
+    own = [c for c in pages.columns if c not in (source, "text", "n_chars")]
     kept = pages.select(F.struct(*own).alias("own"), text_of(source).alias("t"))
     kind = kept.schema["own"].dataType.simpleString()
 

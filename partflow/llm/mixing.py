@@ -227,14 +227,14 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     plan = (mix(docs, key, text=text, **how)
             .groupBy(F.col(key).alias("_k"), F.col("size").alias("_size"))
             .agg(F.sum("copies").alias("_copies"), F.count("*").alias("_n")))
-    own = docs.withColumn("_own", word_count(text_of(text)))
-    rows = own.join(plan, F.col(key).eqNullSafe(F.col("_k"))
-                    & (F.col("_own") == F.col("_size")))
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("k"),
+                      F.col(text).alias("t"), word_count(text_of(text)).alias("own"))
+    rows = own.join(plan, F.col("k").eqNullSafe(F.col("_k")) & (F.col("own") == F.col("_size")))
     one = rows.where("_n = 1").withColumn("_take", F.col("_copies"))
-    number = F.row_number().over(Window.partitionBy("_k", "_size").orderBy(text))
+    number = F.row_number().over(Window.partitionBy("_k", "_size").orderBy("t"))
     more = rows.where("_n > 1").withColumn(
         "_take", F.floor(F.col("_copies") / F.col("_n"))
         + (number <= F.col("_copies") % F.col("_n")).cast("long"))
     return (one.unionByName(more).where("_take > 0")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_take"))))
-            .select(*docs.columns))
+            .select("row.*"))

@@ -265,9 +265,11 @@ def fit(docs: DataFrame, text: str = "text"):
 
 
 def spans(docs: DataFrame, model, limits: dict[str, float], text: str = "text") -> DataFrame:
-    """``docs`` with ``_base`` and ``_spans``, both sorted by start and kind: the base spans,
-    and those with the candidates that the model adds."""
-    rows = candidates(docs, text)
+    """``own`` (the row as a struct, so that no name clashes), ``_base`` and ``_spans``, both
+    sorted by start and kind: the base spans, and those with the candidates that the model
+    adds."""
+    rows = candidates(docs.select(F.struct(*docs.columns).alias("own"),
+                                  F.col(text).alias("t")), "t")
     if model is None or not limits:
         rows = rows.withColumn("_added", F.filter("_base", lambda x: F.lit(False)))
     else:
@@ -287,7 +289,7 @@ def spans(docs: DataFrame, model, limits: dict[str, float], text: str = "text")
             "_added", F.array().cast(kind),
             lambda acc, c: F.when(F.exists(acc, lambda b: _overlaps(b, c)), acc).otherwise(
                 F.concat(acc, F.array(c).cast(kind)))))
-    return rows.select(*docs.columns, _sorted(F.col("_base")).alias("_base"),
+    return rows.select("own", "t", _sorted(F.col("_base")).alias("_base"),
                        _sorted(F.concat("_base", "_added")).alias("_spans"))
 
 
@@ -308,21 +310,21 @@ def written(a: Column) -> Column:
 
 
 def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without its text, with the number of spans per kind, the digest of the base
-    spans and all spans."""
+    """``docs`` with the number of spans per kind, the digest of the base spans and all spans
+    in place of the text (and of columns that bear one of these names)."""
+    new = {f"n_{k}": F.size(_of_kind(k)).cast("long") for k in KINDS}
+    new["base_sha256"] = F.sha2(written(F.col("_base")).cast("binary"), 256)
+    new["spans"] = written(F.col("_spans"))
     rows = spans(docs, *fit(docs, text), text)
-    return rows.select(
-        *[c for c in docs.columns if c != text],
-        *[F.size(_of_kind(k)).cast("long").alias(f"n_{k}") for k in KINDS],
-        F.sha2(written(F.col("_base")).cast("binary"), 256).alias("base_sha256"),
-        written(F.col("_spans")).alias("spans"))
+    return rows.select(*[F.col("own")[c].alias(c) for c in docs.columns
+                         if c != text and c not in new], *[v.alias(k) for k, v in new.items()])
 
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; of spans that overlap, the
     first one's name stands for all. Null texts stay null."""
     rows = spans(docs, *fit(docs, text), text)
-    t = F.col(text)
+    t = F.col("t")
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     cut = F.aggregate(
         "_spans", first,
@@ -333,4 +335,4 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
                 F.lit("["), F.upper(c["kind"]), F.lit("]")).alias("out"))),
         lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))))
     return rows.select(*[F.when(F.size("_spans") > 0, cut).otherwise(t).alias(c)
-                         if c == text else F.col(c) for c in docs.columns])
+                         if c == text else F.col("own")[c].alias(c) for c in docs.columns])

@@ -198,32 +198,40 @@ def robust_fit(rows: DataFrame, names: list[str]) -> DataFrame:
                  "mcd-fit")
 
 
-def quality(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs`` with the counts, base_failed, d2 and kept in place of the text, or beside it.
-    The estimates come from rows that pass the base rules. The counts are written once; the
-    verdict joins the groups' estimates, a small table, to them."""
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def judged(docs: DataFrame, text: str, own: list[str]) -> DataFrame:
+    """``_own`` (the columns ``own`` as a struct, so that no name clashes), the counts, d2 and
+    kept. The estimates come from rows that pass the base rules. The counts are written once;
+    the verdict joins the groups' estimates, a small table, to them."""
     names = list(vector())
-    own = [c for c in docs.columns if c != text or keep_text]
     rows = statistics(docs.select(F.struct(*own).alias("_own"), F.col(text).alias("_t"),
                                   _code("lang", "source").alias("both"),
                                   _code("lang").alias("lone")), "_t")
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-              "base_failed"]
     x = [f"x{i}" for i in range(len(names))]
-    rows = store(rows.select("_own", "both", "lone", *counts,
+    rows = store(rows.select("_own", "both", "lone", *COUNTS,
                              *[v.alias(c) for c, v in zip(x, vector().values())]),
                  "quality-rows")
     passed = rows.where("not base_failed").select("both", "lone", *x)
     group = store(groups(passed), "quality-groups")
     fit = robust_fit(passed.join(group, "both").select("g", *x), names)
-    judged = _distance(rows.where("not base_failed").join(group, "both"), fit, ["g"], len(x))
-    return judged.select("_own.*", *counts, "d2", (F.col("d2") <= CUT).alias("kept")
+    inside = _distance(rows.where("not base_failed").join(group, "both"), fit, ["g"], len(x))
+    return inside.select("_own", *COUNTS, "d2", (F.col("d2") <= CUT).alias("kept")
                          ).unionByName(
-        rows.where("base_failed").select("_own.*", *counts,
+        rows.where("base_failed").select("_own", *COUNTS,
                                          F.lit(None).cast("double").alias("d2"),
                                          F.lit(False).alias("kept")))
 
 
-def quality_documents(docs: DataFrame) -> DataFrame:
+def quality(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the counts, base_failed, d2 and kept in place of the text (and of columns
+    that bear one of these names)."""
+    new = [*COUNTS, "d2", "kept"]
+    own = [c for c in docs.columns if c != text and c not in new]
+    return judged(docs, text, own).select("_own.*", *new)
+
+
+def quality_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept."""
-    return quality(docs, keep_text=True).where("kept").select(*docs.columns)
+    return judged(docs, text, docs.columns).where("kept").select("_own.*")

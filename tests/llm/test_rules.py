@@ -182,13 +182,39 @@ def test_personal_data_adds_candidates(docs_of):
 def test_redacted(docs_of):
     from partflow.llm.pii import redacted
     texts = [None, "", "no data", "mail a@b.cc now, é +1 (222) 555-1234.", "1.2.3.4x@y.zz"]
-    docs = docs_of(texts).withColumn("_base", F.lit("clash"))
-    got = {r.doc_id: (r.text, r["_base"]) for r in redacted(docs.drop("_base")).withColumn(
-        "_base", F.lit("clash")).collect()}
-    assert [got[i][0] for i in range(5)] == [
+    got = {r.doc_id: r.text for r in redacted(docs_of(texts)).collect()}
+    assert [got[i] for i in range(5)] == [
         None, "", "no data", "mail [EMAIL] now, é [PHONE].", "[EMAIL]"]
 
 
+#: Names that operators use inside.
+CLASHES = ("t", "k", "own", "_own", "row", "_base", "_spans", "_wide", "kept", "d2", "n_words",
+           "both", "g", "x0", "size", "taken", "copies", "ids", "spans", "n_email", "fp",
+           "component_id", "ord", "mark", "score", "_digit", "_k", "_n", "n_tokens", "anchor")
+
+
+def test_columns_with_clashing_names(docs_of):
+    from partflow.llm import byte_bpe, mixing, pii, quality, simhash, substrings, token_counts
+    from partflow.llm.toxicity import toxicity
+    P = pytest.importorskip("public_tokenizers")
+    rnd = random.Random(3)
+    docs = docs_of([prose(rnd, 70) + " a@b.cc" for _ in range(6)] + [None])
+    docs = docs.withColumns({c: F.lit("clash") for c in CLASHES})
+    for f in (quality.quality_documents, simhash.first_of_each, pii.redacted,
+              mixing.mixed_documents):
+        out = f(docs)
+        assert out.columns == docs.columns
+        assert {r["kept"] for r in out.collect()} <= {"clash"}
+    assert quality.quality(docs).where("kept").count() == 6
+    assert sum(r.n_email for r in pii.personal_data(docs).collect()) == 6
+    ranks = P.path("byte_bpe_50k.tiktoken")
+    for df in (mixing.mix(docs), byte_bpe.encode_corpus(docs, ranks, P.PATTERN),
+               substrings.repeated_substrings(docs), simhash.near_duplicates(docs),
+               token_counts.token_counts(docs, P.path("byte_bpe_50k.json")),
+               toxicity(docs, {}, -5.0)):
+        assert df.count() == 7
+
+
 def test_personal_data_empty(docs_of):
     from partflow.llm.pii import personal_data
     assert personal_data(docs_of([])).collect() == []
