@@ -31,7 +31,7 @@ SYMBOLS = "#*$%&|<>"
 LEAST, KEEP, STEPS = 100, 0.75, 3
 #: Least standard deviation of each statistic, in its transformed unit: a deviation this
 #: small says nothing about quality.
-FLOOR = {"log_words": 0.8, "log_word_len": 0.12, "symbols": 0.1, "dup_lines": 0.12,
+FLOOR = {"log_words": 0.8, "log_word_len": 0.12, "symbols": 0.05, "dup_lines": 0.12,
          "repeats": 0.12, "upper": 0.1, "marks": 0.15}
 #: Chi-square quantiles with 7 degrees of freedom: median, 97.5 %, and the cut (1 - 1e-6).
 MEDIAN, INNER, CUT = 6.346, 16.013, 40.522
