@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _B = "_bucket"
 
@@ -33,8 +34,35 @@ def time_bucket(ts: str | Column, seconds: int) -> Column:
     return F.floor(micros / F.lit(seconds * 1_000_000)).cast("long")
 
 
-def _with_bucket(df: DataFrame, bucket: Column | str) -> DataFrame:
-    return df.withColumn(_B, F.col(bucket) if isinstance(bucket, str) else bucket)
+_DEFAULT = {T.StringType: "", T.BinaryType: b"", T.BooleanType: False}
+_FIRST = -(1 << 63)
+
+
+def _joinable(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that say the same as ``keys`` and are never null: per key its value
+    (or a default) and whether it is null. Windows, aggregates and joins all use them, by
+    plain equality: rows with a null key are a group like any other, and the join finds the
+    big side partitioned and sorted as the window left it."""
+    out, names = df, []
+    for i, c in enumerate(keys):
+        t = df.schema[c].dataType
+        if isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            default = F.lit("1970-01-01").cast(t)
+        else:
+            default = F.lit(_DEFAULT.get(type(t), 0)).cast(t)
+        out = out.withColumn(f"_k{i}", F.coalesce(F.col(c), default)).withColumn(
+            f"_z{i}", F.col(c).isNull())
+        names += [f"_k{i}", f"_z{i}"]
+    return out, names
+
+
+def _with_bucket(df: DataFrame, keys: list[str], bucket: Column | str
+                 ) -> tuple[DataFrame, list[str]]:
+    """``df`` with its joinable keys and bucket (a null bucket comes before all others), and
+    the names of the key columns."""
+    b = F.col(bucket) if isinstance(bucket, str) else bucket
+    out, names = _joinable(df, keys)
+    return out.withColumn(_B, F.coalesce(b.cast("long"), F.lit(_FIRST))), names
 
 
 def _join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner"
@@ -56,17 +84,16 @@ def running_rank(df: DataFrame, key, order: Sequence[str], bucket, name: str = "
     """Add ``name`` = 1-based position of each row within its key, in ``order``.
 
     Equals ``row_number() over (partition by key order by order)``."""
-    keys = _cols(key)
-    b = _with_bucket(df, bucket)
+    b, keys = _with_bucket(df, _cols(key), bucket)
     local = b.withColumn("_rn", F.row_number().over(
         Window.partitionBy(*keys, _B).orderBy(*order)))
     counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, _B, F.coalesce(F.sum("_n").over(before), F.lit(0))
                             .alias("_off"))
-    return (_join(local, offsets, [*keys, _B])
+    return (local.join(offsets, [*keys, _B])
             .withColumn(name, (F.col("_off") + F.col("_rn")).cast("long"))
-            .drop("_off", "_rn", _B))
+            .select(*df.columns, name))
 
 
 def last_non_null(df: DataFrame, key, order: Sequence[str], bucket,
@@ -75,8 +102,7 @@ def last_non_null(df: DataFrame, key, order: Sequence[str], bucket,
     the key up to and including the row. Equals
     ``last(src, ignorenulls) over (partition by key order by order rows unbounded
     preceding)``."""
-    keys = _cols(key)
-    b = _with_bucket(df, bucket)
+    b, keys = _with_bucket(df, _cols(key), bucket)
     w = (Window.partitionBy(*keys, _B).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, 0))
     local = b
@@ -90,11 +116,9 @@ def last_non_null(df: DataFrame, key, order: Sequence[str], bucket,
     carry = tails.select(*keys, _B, *[
         F.last(f"_t_{out}", ignorenulls=True).over(before).alias(f"_c_{out}")
         for out in columns.values()])
-    res = _join(local, carry, [*keys, _B])
-    for out in columns.values():
-        res = res.withColumn(out, F.coalesce(F.col(f"_l_{out}"), F.col(f"_c_{out}")))
-    return res.drop(_B, *[f"_l_{o}" for o in columns.values()],
-                    *[f"_c_{o}" for o in columns.values()])
+    return local.join(carry, [*keys, _B]).select(*df.columns, *[
+        F.coalesce(F.col(f"_l_{out}"), F.col(f"_c_{out}")).alias(out)
+        for out in columns.values()])
 
 
 def last_n(df: DataFrame, key, order: Sequence[str], bucket, n: int, value: str,
@@ -110,8 +134,7 @@ def last_n(df: DataFrame, key, order: Sequence[str], bucket, n: int, value: str,
     The bucket windows feed three branches (rows that stay, heads, tails); they are
     computed once and written as a table in the shared folder (``spark.checkpoint.dir``)
     rather than recomputed, with a shuffle each, per branch."""
-    keys = _cols(key)
-    b = _with_bucket(df, bucket)
+    b, keys = _with_bucket(df, _cols(key), bucket)
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     local = (b.withColumn("_rn", F.row_number().over(w))
              .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B))))
@@ -119,21 +142,21 @@ def last_n(df: DataFrame, key, order: Sequence[str], bucket, n: int, value: str,
         local = local.withColumn(f"{prefix}_{k}", F.lag(value, k).over(w))
     from partflow.session import materialize
     local = materialize(local, "last-n")
-    counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_cnt"))
+    # Each bucket has one first row, so its size comes from the written table.
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, _B, F.coalesce(F.sum("_cnt").over(before), F.lit(0))
-                            .alias("_off"))
+    offsets = local.filter("_rn = 1").select(
+        *keys, _B, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     # Rows whose window reaches into an earlier bucket, and rows another bucket can
     # reach: both at most n-1 per (key, bucket).
-    heads = _join(local.filter(F.col("_rn") < n), offsets, [*keys, _B])
+    heads = local.filter(F.col("_rn") < n).join(offsets, [*keys, _B])
     heads = heads.withColumn("_rank", F.col("_off") + F.col("_rn"))
-    tails = (_join(local.filter(F.col("_rn") > F.col("_cnt") - (n - 1)), offsets, [*keys, _B])
+    tails = (local.filter(F.col("_rn") > F.col("_cnt") - (n - 1)).join(offsets, [*keys, _B])
              .select(*keys, (F.col("_off") + F.col("_rn")).alias("_trank"),
                      F.col(value).alias("_tval")))
     for k in range(1, n):
         t = tails.select(*keys, (F.col("_trank") + k).alias("_rank"),
                          F.col("_tval").alias(f"_x{k}"))
-        heads = _join(heads, t, [*keys, "_rank"], "left")
+        heads = heads.join(t, [*keys, "_rank"], "left")
         heads = heads.withColumn(f"{prefix}_{k}", F.when(F.col("_rn") > k, F.col(f"{prefix}_{k}"))
                                  .otherwise(F.col(f"_x{k}"))).drop(f"_x{k}")
     heads = heads.withColumn(f"{prefix}_count", F.least(F.col("_rank"), F.lit(n)).cast("long"))

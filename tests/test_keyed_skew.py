@@ -2,6 +2,7 @@
 one key made to hold over a third of all rows (every user_id divisible by 3 mapped to
 key 0) and on tiny buckets so that keys span many of them."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -84,3 +85,31 @@ def test_null_keys_and_times_are_kept(spark):
     _same(keyed.first_per_key(e, "k", ["ts", "seq"]),
           e.withColumn("is_first", F.row_number().over(w) == 1), ["k", "seq", "is_first"])
     assert keyed.running_rank(e, "k", ["ts", "seq"], b).count() == len(rows)
+
+
+@pytest.mark.parametrize("scan", ["rank", "last"])
+def test_big_side_is_exchanged_once(spark, scan):
+    """With broadcasts off, the rows are exchanged and sorted for the window only; the small
+    table of the buckets comes to them."""
+    from partflow.operators import keyed
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(1000).select((F.col("id") % 5).cast("string").alias("k"),
+                                      F.col("id").alias("seq"), F.lit("payload").alias("p"))
+        bucket = F.floor(F.col("seq") / 10)
+        out = (keyed.running_rank(df, "k", ["seq"], bucket) if scan == "rank" else
+               keyed.last_non_null(df, "k", ["seq"], bucket, {"p": "last_p"}))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    left = plan[plan.index("SortMergeJoin"):].split("\n:- ")[0]
+    # The branch of the window holds one exchange; the other ones are of grouped counts.
+    exchanges = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+    assert len(exchanges) <= 4 and left
+    window = plan[plan.index("Window"):]
+    first = window.index("Exchange hashpartitioning")
+    assert "Exchange" not in plan[plan.index("SortMergeJoin"):plan.index("Window")]
+    assert first > 0
