@@ -217,6 +217,10 @@ def reassemble(path: str, keep_ids: bool):
               ("decoded_sha256", pa.string())]
     out = pa.schema(fields + ([("ids", pa.list_(pa.int32()))] if keep_ids else []))
 
+    def batch(got):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*got), out.types)], schema=out)
+
     def rows(batches):
         table = {v: k for k, v in load_ranks(path).items()}
         block, parts = None, []
@@ -249,10 +253,11 @@ def reassemble(path: str, keep_ids: bool):
                                 hashlib.sha256(b" ".join([said[i] for i in own])).hexdigest(),
                                 hashlib.sha256(b"".join([raw[i] for i in own])).hexdigest(),
                                 *([[x for i in own for x in ids_of[i]]] if keep_ids else [])])
-                for x in range(0, len(got), 1000):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*got[x:x + 1000]), out.types)],
-                        schema=out)
+                    if len(got) == 200:
+                        yield batch(got)
+                        got = []
+                if got:
+                    yield batch(got)
     return rows
 
 
