@@ -5,7 +5,7 @@
    distinct words of a block travel on, so a word costs one entry per block however often it
    occurs, and no hot word exists. They are packed by word hash, one row per (block, bucket).
 2. Rows meet by bucket, so that a word is in one bucket only and is encoded once; its ids go
-   back to the blocks that hold it.
+   back to the blocks that hold it, in the order in which the block sent its words.
 3. Words' ids join their block's sequence and the documents are reassembled by position.
    Decoding looks the ids up in the token-byte table (bounded by the vocabulary).
 
@@ -66,7 +66,7 @@ def pack(a: np.ndarray) -> bytes:
     """Whole numbers below 2^32 by byte planes, compressed."""
     import zstandard
     planes = np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def unpack(b: bytes) -> np.ndarray:
@@ -147,16 +147,16 @@ def block_rows(pattern: str, buckets: int, block_chars: int):
             at = np.fromiter((zlib.crc32(w) % buckets for w in raw), np.int64, len(raw))
             order = np.argsort(at, kind="stable")
             starts = np.searchsorted(at[order], np.arange(buckets + 1))
-            yield [block, -1, None, None, None,
+            mine = [sorted(order[starts[b]:starts[b + 1]].tolist(), key=raw.__getitem__)
+                    for b in range(buckets)]
+            yield [block, -1, None, None, pack(np.array([i for x in mine for i in x])),
                    np.array([k or 0 for k in keys], "<i8").tobytes(),
                    np.array([k is None for k in keys], np.uint8).tobytes(),
                    pack(np.array(lens, np.uint32)),
                    pack_ranks(rank[flat])]
-            for b in range(buckets):
-                mine = sorted(order[starts[b]:starts[b + 1]].tolist(), key=raw.__getitem__)
-                if mine:
-                    yield [block, b, *_blob([raw[i] for i in mine]), pack(np.array(mine)),
-                           None, None, None, None]
+            for b, x in enumerate(mine):
+                if x:
+                    yield [block, b, *_blob([raw[i] for i in x]), None, None, None, None, None]
             number += 1
             seen, keys, lens, seq, size = {}, [], [], [], 0
 
@@ -181,7 +181,7 @@ def block_rows(pattern: str, buckets: int, block_chars: int):
 
 def encode_words(path: str, pattern: str):
     """Encode every distinct word of a bucket once. Rows arrive sorted by bucket."""
-    out = pa.schema([("block", pa.string()), ("places", pa.binary()), ("ids", pa.binary()),
+    out = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("ids", pa.binary()),
                      ("counts", pa.binary())])
 
     def rows(batches):
@@ -203,7 +203,7 @@ def encode_words(path: str, pattern: str):
                         one = ranks.get(w)
                         x = known[w] = [one] if one is not None else enc.encode_ordinary(w.decode())
                     ids.append(x)
-                got.append([r["block"], r["places"],
+                got.append([r["block"], r["bucket"],
                             pack(np.array([i for x in ids for i in x], np.uint32)),
                             pack(np.fromiter(map(len, ids), np.uint32, len(ids)))])
             yield pa.RecordBatch.from_arrays(
@@ -229,14 +229,17 @@ def reassemble(path: str, keep_ids: bool):
                 if r["block"] != block:
                     block, parts = r["block"], []
                 if r["seq"] is None:
-                    parts.append((r["places"], r["ids"], r["counts"]))
+                    parts.append((r["ids"], r["counts"]))
                     continue
-                n = sum(len(unpack(p)) for p, _, _ in parts)
+                # The words' numbers, in order of buckets and of words within them.
+                places = unpack(r["places"]).tolist()
+                n = len(places)
                 ids_of: list[list[int]] = [[]] * n
-                for p, i, c in parts:
+                at = iter(places)
+                for i, c in parts:
                     ids, ends = unpack(i).tolist(), np.cumsum(unpack(c), dtype=np.int64).tolist()
-                    for place, a, e in zip(unpack(p).tolist(), [0, *ends], ends):
-                        ids_of[place] = ids[a:e]
+                    for a, e in zip([0, *ends], ends):
+                        ids_of[next(at)] = ids[a:e]
                 parts = []
                 said = [b" ".join([b"%d" % x for x in y]) for y in ids_of]
                 raw = [b"".join([table[x] for x in y]) for y in ids_of]
@@ -272,16 +275,17 @@ def encode_corpus(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id"
     kind = docs.schema[key].dataType.simpleString()
     rows = store(docs.select(F.col(key).cast("bigint").alias("k"), text_of(text).alias("t"))
                  .mapInArrow(block_rows(pattern, n, block_chars), PACKED), "bpe-blocks")
-    words = (rows.where("bucket >= 0").select("block", "bucket", "words", "sizes", "places")
+    words = (rows.where("bucket >= 0").select("block", "bucket", "words", "sizes")
              .repartition(n, "bucket").sortWithinPartitions("bucket")
              .mapInArrow(encode_words(ranks, pattern),
-                         "block string, places binary, ids binary, counts binary"))
-    none = [F.lit(None).cast("binary").alias(x) for x in ("keys", "nulls", "lens", "seq")]
-    empty = [F.lit(None).cast("binary").alias(x) for x in ("places", "ids", "counts")]
+                         "block string, bucket int, ids binary, counts binary"))
+    own = ("places", "keys", "nulls", "lens", "seq")
+    none = [F.lit(None).cast("binary").alias(x) for x in own]
+    empty = [F.lit(None).cast("binary").alias(x) for x in ("ids", "counts")]
     both = words.select("*", *none, F.lit(0).alias("last")).unionByName(
-        rows.where("bucket < 0").select("block", *empty, "keys", "nulls", "lens", "seq",
+        rows.where("bucket < 0").select("block", "bucket", *empty, *own,
                                         F.lit(1).alias("last")))
-    out = (both.repartition(n, "block").sortWithinPartitions("block", "last")
+    out = (both.repartition(n, "block").sortWithinPartitions("block", "last", "bucket")
            .mapInArrow(reassemble(ranks, keep_ids),
                        "k bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
                        + (", ids array<int>" if keep_ids else "")))
