@@ -205,7 +205,8 @@ def links(distinct: DataFrame, distance: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) of every node on an edge but the roots
-    themselves, by rounds of large star and small star until nothing changes. Each round is written and reread."""
+    themselves, by rounds of large star and small star until nothing changes. Each round is
+    written and reread."""
     now = store(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
                                              F.least("a", "b").alias("b")).distinct(),
                 "cc-links")
@@ -223,7 +224,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = store(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                       .unionByName(least.select("a", F.col("m").alias("b"))).distinct(),
                       "cc-small")
-        changed = now.exceptAll(small).limit(1).count() or small.exceptAll(now).limit(1).count()
+        changed = (now.exceptAll(small).limit(1).count()
+                   or small.exceptAll(now).limit(1).count())
         now = small
         if not changed:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
