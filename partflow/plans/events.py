@@ -51,20 +51,10 @@ def latest_view_click(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("right_latest").alias("click_value"))
 
 
-def first_of_type(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
-    """First event of a type per user, as (user_id, ts, value): a grouped min of the
-    order struct (combined map-side)."""
-    e = events(spark, sf_dir).filter(F.col("event_type") == event_type)
-    m = e.groupBy("user_id").agg(F.min(F.struct("ts", "event_id", "value")).alias("m"))
-    return m.select("user_id", F.col("m.ts").alias("ts"), F.col("m.value").alias("value"))
-
-
 def priced_view_purchase(spark: SparkSession, sf_dir: str, within: str = PRICED_WAIT
                          ) -> DataFrame:
-    """JN6 fixture: first view = unpriced, first purchase = priced, 12 hour wait."""
-    j = priced_wait_join(first_of_type(spark, sf_dir, "view"),
-                         first_of_type(spark, sf_dir, "purchase"), "user_id", within)
-    return j.select("user_id", "ts", "situation", F.col("record.value").alias("value"))
+    """JN6 fixture: views = unpriced, purchases = priced, 12 hour wait."""
+    return every_view_purchase(spark, sf_dir, within).drop("event_id")
 
 
 VIEW_CLICK_WAIT = "6 hours"

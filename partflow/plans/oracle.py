@@ -231,20 +231,6 @@ select user_id, event_id, ts, lv view_value, rv click_value from (
   window w as (partition by user_id order by ts, event_id
                rows between unbounded preceding and current row))
 where lv is not null and rv is not null""",
-    "priced_wait_join": """
-with firsts as (
-  select user_id, event_type, ts, value from (
-    select *, row_number() over (partition by user_id, event_type order by ts, event_id) rn
-    from events where event_type in ('view', 'purchase'))
-  where rn = 1),
-u as (select * from firsts where event_type = 'view'),
-p as (select * from firsts where event_type = 'purchase')
-select u.user_id,
-       case when p.ts <= u.ts then u.ts else u.ts + interval 12 hour end ts,
-       case when p.ts < u.ts + interval 12 hour then 'COMPLETE' else 'AWAITING_PRICE' end
-         situation,
-       case when p.ts < u.ts + interval 12 hour then p.value else u.value end value
-from u left join p on u.user_id = p.user_id""",
     "part_patch_join": ASM_CTE + """,
 part as (
   select w.sku, w.ts, round_even(p.price, 2) price
@@ -388,6 +374,9 @@ select case when situation = 'COMPLETE' then 'complete' else 'incomplete' end si
        case when n > 0 then coalesce(wheel_price, 0.0) end wheel_price
 from priced"""
 
+ORACLE["priced_wait_join"] = ORACLE["priced_wait_join_repeated"].replace(
+    "coalesce(rid, lid) event_id, ", "")
+
 # Sinks written and read back equal what was written.
 ORACLE["tags_sink_round_trip"] = ORACLE["last_three_tags"]
 ORACLE["text_sink_round_trip"] = ORACLE["word_count"]

@@ -306,10 +306,9 @@ def first_per_key(spark, sf_dir):
 
 
 def priced_wait_join(spark, sf_dir):
-    u = E.first_of_type(spark, sf_dir, "view")
-    p = E.first_of_type(spark, sf_dir, "purchase")
-    frame = (R.topic_frame(u, "user_id", "unpriced", payload=["value"])
-             .unionByName(R.topic_frame(p, "user_id", "priced", payload=["value"])))
+    u, p = E.of_type(spark, sf_dir, "view"), E.of_type(spark, sf_dir, "purchase")
+    frame = (R.topic_frame(u, "user_id", "unpriced", "seq", payload=["value"])
+             .unionByName(R.topic_frame(p, "user_id", "priced", "seq", payload=["value"])))
     out = R.run_sliced(spark, frame, WaitJoin("left", PRICED_WAIT_US, "unpriced", "priced"),
                        "jn6", SLICES, PRICED_WAIT_MS + 1)
     won = F.get_json_object("value", "$.priced").isNotNull()
