@@ -4,7 +4,7 @@ again as the next one's input.
 
 1. Quality rules: documents that fail the base rules or lie far out of their language's and
    source's statistics go.
-2. SimHash near-dedup: one document of each group of near copies stays.
+2. SimHash near-dedup: one row of each group of near copies stays, whatever keys they carry.
 3. PII: spans are replaced by their kind in brackets.
 4. Mixing: documents are repeated or left out so that sources reach their target shares.
 5. Byte-level BPE: one row of token ids per document, with digests of ids and decoded bytes.
@@ -30,7 +30,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return simhash.first_of_each(docs)
+    return simhash.one_of_each(docs)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partflow.llm.common import WORD, parallelism, store, text_of, texts
@@ -62,19 +62,23 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
 _words = re.compile(WORD.encode()).findall
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, shingle: int, seed: int) -> DataFrame:
-    """k, fp (as a signed long) for every row."""
-    out = pa.schema([("k", pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, key: str | Column, text: str | Column, shingle: int,
+                 seed: int, **also: Column) -> DataFrame:
+    """k, fp (as a signed long) and the longs ``also`` for every row."""
+    names = ["k", "fp", *also]
 
     def rows(batches):
         for b in batches:
             fp = np.array([fingerprint(t, shingle, seed) for t in texts(b.column(1))],
                           np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(fp.view(np.int64), pa.int64())], schema=out)
+                [b.column(0), pa.array(fp.view(np.int64), pa.int64()), *b.columns[2:]],
+                names=names)
 
-    return (docs.select(F.col(key).cast("bigint").alias("k"), text_of(text).alias("t"))
-            .mapInArrow(rows, "k bigint, fp bigint"))
+    k = F.col(key) if isinstance(key, str) else key
+    return (docs.select(k.cast("bigint").alias("k"), text_of(text).alias("t"),
+                        *[c.alias(x) for x, c in also.items()])
+            .mapInArrow(rows, ", ".join(f"{x} bigint" for x in names)))
 
 
 # -- the covering code on 32 bits: bits 0..30 a Hamming(31, 26) word, bit 31 free ----------
@@ -257,3 +261,26 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", **how) -> DataFrame:
             .select(key).distinct())
     return (docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi")
             .dropDuplicates([key]).unionByName(docs.where(F.col(key).isNull())))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
+                distance: int = 3, seed: int = 42) -> DataFrame:
+    """``docs`` with one row of each component, whatever keys its rows carry: the one with
+    the smallest key, a null key last. Of rows alike in key the smallest digest stays, so
+    only rows alike in every column are left to chance."""
+    row = [x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))]
+    rows = store(docs.select(F.struct(*docs.columns).alias("own"),
+                             F.xxhash64(*row).alias("digest"),
+                             F.monotonically_increasing_id().alias("row")), "simhash-rows")
+    own = F.col("own")
+    fps = store(fingerprints(rows, own[key], own[text], shingle, seed,
+                             digest=F.col("digest"), row=F.col("row")), "simhash-fp")
+    # The row that stays of each fingerprint, then of each component; both sums meet
+    # map-side first, so a group of copies is no one task's work.
+    first = F.min(F.struct(F.col("k").isNull().alias("none"), "k", "digest", "row"))
+    distinct = store(fps.groupBy("fp").agg(first.alias("p")), "simhash-distinct")
+    found = components(links(distinct, distance))
+    kept = (distinct.join(found, distinct.fp == found.node, "left")
+            .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("p").alias("p"))
+            .select(F.col("p.row").alias("row")))
+    return rows.join(kept, "row", "left_semi").select("own.*")

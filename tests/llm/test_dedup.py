@@ -106,6 +106,27 @@ def test_near_duplicates_null_keys_and_first_of_each(docs_of):
     assert near_duplicates(docs_of([])).collect() == []
 
 
+def test_one_of_each_goes_by_text_not_by_key(spark, docs_of):
+    import corpus_pipeline
+    rnd = random.Random(4)
+    apart = [" ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(60)) for _ in range(40)]
+    rows = [(5, t, "en", "a") for t in apart[:20]]               # one id, many texts
+    rows += [(None, t, "en", "a") for t in apart[20:30]] * 3     # null ids, repeated
+    rows += [(None, apart[0], "en", "b"), (3, apart[1], None, "a"), (3, apart[1], "a", None)]
+    rows += [(None, apart[30], "en", "a"), (8, apart[30], "en", "a"), (6, apart[30], "en", "a")]
+    rows += [(5, apart[31], "en", "a")] * 4
+
+    def kept(n):
+        docs = docs_of(rnd.sample(rows, len(rows))).repartition(n)
+        return corpus_pipeline.dedup_stage(spark, docs, "").collect()
+    got = kept(4)
+    want = {t: 5 for t in (*apart[:20], apart[31])} | {t: None for t in apart[20:30]}
+    want |= {apart[1]: 3, apart[30]: 6}
+    assert len(got) == len(want) and {r.text: r.doc_id for r in got} == want
+    assert sorted(map(str, kept(3))) == sorted(map(str, got))
+    assert corpus_pipeline.dedup_stage(spark, docs_of([]), "").collect() == []
+
+
 def removed_bytes(rows, length):
     """rows: (key, text) with unique keys -> {key: (bytes, removed, spans, digest)}."""
     seen, out = set(), {}
