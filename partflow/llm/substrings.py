@@ -25,8 +25,9 @@ task. Pointers travel packed, a row per task and bucket range. Covered intervals
 documents by key at the end; texts travel compressed.
 
 Null texts count as empty. Rows alike in key and text are one document: each gets that
-document's result. Rows alike in key but not in text are ordered by a 16-bit mark of the
-text. A null key sorts first. Repeated texts under different keys are covered by the first.
+document's result. Rows alike in key but not in text are ordered and told apart by a 128-bit
+digest of the text, in two halves (``mark``, ``more``). A null key sorts first. Repeated
+texts under different keys are covered by the first.
 """
 
 from __future__ import annotations
@@ -45,8 +46,8 @@ from partflow.llm.common import parallelism, store, text_of
 Q = 32
 #: Bytes of text worked on at once, and pointers gathered before equal ones are merged.
 CHUNK, POINTERS = 1 << 20, 1 << 20
-#: Bits of a text that tell rows of one key apart.
-MARK = (1 << 16) - 1
+#: What names a document: its key, null as the least long, and the halves of the digest.
+DOC = ("ord", "mark", "more")
 #: Runs of a bucket beyond which its windows are dealt out one by one, and windows compared
 #: at once.
 WIDE, WINDOWS = 2048, 1 << 18
@@ -154,17 +155,17 @@ def _parts(data: bytes) -> list[bytes]:
     return out
 
 
-def _pack_places(ord_, mark, start, size) -> list[bytes]:
+def _pack_places(ord_, mark, more, start, size) -> list[bytes]:
     """Documents as a table and each row's number in it."""
-    doc = np.stack([ord_, mark], axis=1)
+    doc = np.stack([ord_, mark, more], axis=1)
     table, number = np.unique(doc, axis=0, return_inverse=True)
     return [table.astype("<i8").tobytes(), pack(number.ravel()), pack(start), pack(size)]
 
 
 def _unpack_places(parts: list[bytes]) -> tuple[np.ndarray, ...]:
-    table = np.frombuffer(parts[0], "<i8").reshape(-1, 2)
+    table = np.frombuffer(parts[0], "<i8").reshape(-1, 3)
     doc = table[unpack(parts[1]).astype(np.int64)]
-    return (doc[:, 0], doc[:, 1], unpack(parts[2]).astype(np.int64),
+    return (doc[:, 0], doc[:, 1], doc[:, 2], unpack(parts[2]).astype(np.int64),
             unpack(parts[3]).astype(np.int64))
 
 
@@ -184,19 +185,20 @@ def _first_of(keys: list[np.ndarray], pointer: list[np.ndarray]):
     return order, group, first
 
 
-def merged(ord_, mark, start, end):
+def merged(ord_, mark, more, start, end):
     """Covered [start, end) of documents, sorted and joined where they touch."""
-    order = np.lexsort((start, mark, ord_))
-    ord_, mark, start, end = ord_[order], mark[order], start[order], end[order]
+    order = np.lexsort((start, more, mark, ord_))
+    ord_, mark, more, start, end = (x[order] for x in (ord_, mark, more, start, end))
     if not len(ord_):
-        return ord_, mark, start, end
-    doc = np.concatenate([[True], (ord_[1:] != ord_[:-1]) | (mark[1:] != mark[:-1])])
+        return ord_, mark, more, start, end
+    doc = np.concatenate([[True], (ord_[1:] != ord_[:-1]) | (mark[1:] != mark[:-1])
+                          | (more[1:] != more[:-1])])
     # The furthest end so far within a document, on one axis.
     base = (np.cumsum(doc) - 1) * (1 << 33)
     far = np.maximum.accumulate(end + base)
     new = np.flatnonzero(np.concatenate([[True], (start + base)[1:] > far[:-1]]))
     last = np.concatenate([new[1:], [len(start)]]) - 1
-    return ord_[new], mark[new], start[new], far[last] - base[new]
+    return ord_[new], mark[new], more[new], start[new], far[last] - base[new]
 
 
 def pointers(length: int, buckets: int):
@@ -207,8 +209,8 @@ def pointers(length: int, buckets: int):
         n = 0
 
         def flush():
-            ord_, mark, a, size, g, c = (np.concatenate(x) for x in zip(*held))
-            order, _, first = _first_of([g, c], [ord_, mark, a])
+            ord_, mark, more, a, size, g, c = (np.concatenate(x) for x in zip(*held))
+            order, _, first = _first_of([g, c], [ord_, mark, more, a])
             keep, later = order[first], order[~first]
             to = (g[keep] >> np.uint64(40)).astype(np.int64) % buckets
             by = np.argsort(to, kind="stable")          # stays in order of g within a range
@@ -220,11 +222,11 @@ def pointers(length: int, buckets: int):
                     halves = [h for v in (g[x], c[x]) for h in
                               (pack(v >> np.uint64(32)), pack(v & np.uint64(0xFFFFFFFF)))]
                     out.append((b, 0, _bytes(*halves, *_pack_places(
-                        ord_[x], mark[x], a[x], size[x]))))
+                        ord_[x], mark[x], more[x], a[x], size[x]))))
             if len(later):
-                k, m, s, e = merged(ord_[later], mark[later], a[later],
-                                    a[later] + size[later] + length - 1)
-                out.append((int(k[0]) % buckets, 1, _bytes(*_pack_places(k, m, s, e - s))))
+                got = _sizes(*merged(ord_[later], mark[later], more[later], a[later],
+                                     a[later] + size[later] + length - 1))
+                out.append((int(got[0][0]) % buckets, 1, _bytes(*_pack_places(*got))))
             for x in range(0, len(out), 64):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, t) for v, t in zip(zip(*out[x:x + 64]), _PACKED.types)],
@@ -233,7 +235,8 @@ def pointers(length: int, buckets: int):
         for batch in batches:
             keys = np.array(batch.column(0).to_pylist(), np.int64)
             marks = np.array(batch.column(1).to_pylist(), np.int64)
-            data = [x or b"" for x in batch.column(2).to_pylist()]
+            mores = np.array(batch.column(2).to_pylist(), np.int64)
+            data = [x or b"" for x in batch.column(3).to_pylist()]
             pieces = [(i, at, x) for i, t in enumerate(data) if len(t) >= length
                       for at, x in text_pieces(t, length)]
             for group in _groups([x for _, _, x in pieces], CHUNK):
@@ -244,7 +247,7 @@ def pointers(length: int, buckets: int):
                                                         np.uint8), starts, ends, length)
                 i = np.array([x for x, _, _ in own])[doc]
                 off = np.array([x for _, x, _ in own])[doc]
-                held.append((keys[i], marks[i], a - starts[doc] + off, size, g, c))
+                held.append((keys[i], marks[i], mores[i], a - starts[doc] + off, size, g, c))
                 n += len(a)
                 if n >= POINTERS:
                     yield from flush()
@@ -254,19 +257,19 @@ def pointers(length: int, buckets: int):
     return rows
 
 
-FOUND = "ord bigint, mark bigint, a bigint, n bigint, g bigint, wide boolean"
-_FOUND = pa.schema([("ord", pa.int64()), ("mark", pa.int64()), ("a", pa.int64()),
-                    ("n", pa.int64()), ("g", pa.int64()), ("wide", pa.bool_())])
+FOUND = ("ord bigint, mark bigint, more bigint, a bigint, n bigint, g bigint, "
+         "wide boolean")
+_FOUND = pa.schema([*((x, pa.int64()) for x in (*DOC, "a", "n", "g")), ("wide", pa.bool_())])
 
 
-def _found(ord_, mark, a, n, g=None, wide=None):
+def _found(ord_, mark, more, a, n, g=None, wide=None):
     """Rows of covered intervals (g null) or of open runs."""
     none = [None] * len(a)
     for x in range(0, len(a), 20_000):
         y = slice(x, x + 20_000)
         yield pa.RecordBatch.from_arrays(
             [pa.array(v[y], t) for v, t in zip(
-                (ord_, mark, a, n, none if g is None else g.view(np.int64),
+                (ord_, mark, more, a, n, none if g is None else g.view(np.int64),
                  none if wide is None else wide), _FOUND.types)], schema=_FOUND)
 
 
@@ -279,19 +282,20 @@ def refine_runs(length: int):
         def flush():
             g, c = (np.concatenate([(unpack(p[i]).astype(np.uint64) << np.uint64(32))
                                     | unpack(p[i + 1]) for p in held]) for i in (0, 2))
-            ord_, mark, a, size = (np.concatenate(x) for x in
-                                   zip(*(_unpack_places(p[4:]) for p in held)))
-            order, run, first = _first_of([g, c], [ord_, mark, a])
+            ord_, mark, more, a, size = (np.concatenate(x) for x in
+                                         zip(*(_unpack_places(p[4:]) for p in held)))
+            order, run, first = _first_of([g, c], [ord_, mark, more, a])
             own = g[order]
             at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
             last = np.concatenate([at[1:], [len(own)]]) - 1
             count = np.repeat(run[last] - run[at] + 1, last - at + 1)
             x = order[~first]
-            yield from _found(*_sizes(*merged(ord_[x], mark[x], a[x],
+            yield from _found(*_sizes(*merged(ord_[x], mark[x], more[x], a[x],
                                               a[x] + size[x] + length - 1)))
             x = first & (count > 1)
             y = order[x]
-            yield from _found(ord_[y], mark[y], a[y], size[y], g[y], count[x] > WIDE)
+            yield from _found(ord_[y], mark[y], more[y], a[y], size[y], g[y],
+                              count[x] > WIDE)
 
         for b in batches:
             for to, kind, data in zip(*(b.column(i).to_pylist() for i in range(3))):
@@ -308,42 +312,40 @@ def refine_runs(length: int):
     return rows
 
 
-def _sizes(ord_, mark, start, end):
-    return ord_, mark, start, end - start
+def _sizes(ord_, mark, more, start, end):
+    return ord_, mark, more, start, end - start
 
 
 def compressed(batches):
     """Texts compressed, with their size and digest."""
     import zstandard
     pack_text = zstandard.ZstdCompressor(level=3).compress
-    out = pa.schema([("k", pa.int64()), ("ord", pa.int64()), ("mark", pa.int64()),
-                     ("n_bytes", pa.int64()), ("kept_sha256", pa.string()),
-                     ("t", pa.binary())])
+    out = pa.schema([*((x, pa.int64()) for x in ("k", *DOC, "n_bytes")),
+                     ("kept_sha256", pa.string()), ("t", pa.binary())])
     for b in batches:
-        data = [x or b"" for x in b.column(3).to_pylist()]
+        data = [x or b"" for x in b.column(4).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), b.column(2), pa.array(map(len, data), pa.int64()),
+            [*b.columns[:4], pa.array(map(len, data), pa.int64()),
              pa.array([hashlib.sha256(x).hexdigest() for x in data], pa.string()),
              pa.array(map(pack_text, data), pa.binary())], schema=out)
 
 
 def _open_runs(batch):
-    """key, mark, text, open runs of each document."""
+    """The document (key and digest), text, open runs of each document."""
     import zstandard
     unpack_text = zstandard.ZstdDecompressor().decompress
-    for key, mark, t, runs_ in zip(*(batch.column(i).to_pylist() for i in range(4))):
-        yield key, mark, unpack_text(t), sorted({(x["a"], x["n"], x["g"]) for x in runs_})
+    for *doc, t, runs_ in zip(*(batch.column(i).to_pylist() for i in range(5))):
+        yield doc, unpack_text(t), sorted({(x["a"], x["n"], x["g"]) for x in runs_})
 
 
 def run_bytes(length: int):
     """The bytes of open runs, to meet by bucket."""
-    out = pa.schema([("g", pa.int64()), ("ord", pa.int64()), ("mark", pa.int64()),
-                     ("a", pa.int64()), ("n", pa.int64()), ("t", pa.binary())])
+    out = pa.schema([*((x, pa.int64()) for x in ("g", *DOC, "a", "n")), ("t", pa.binary())])
 
     def rows(batches):
         for b in batches:
-            got = [(g, key, mark, a, n, text[a:a + n + length - 1])
-                   for key, mark, text, found in _open_runs(b) for a, n, g in found]
+            got = [(g, *doc, a, n, text[a:a + n + length - 1])
+                   for doc, text, found in _open_runs(b) for a, n, g in found]
             for x in range(0, len(got), 20_000):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*got[x:x + 20_000]), out.types)],
@@ -357,26 +359,27 @@ def refine_windows(length: int):
         held, n, bucket = [], 0, None
 
         def flush():
-            ord_, mark, a, size = (np.array(x, np.int64) for x in list(zip(*held))[1:5])
-            data = np.frombuffer(b"".join(x[5] for x in held), np.uint8)
+            ord_, mark, more, a, size = (np.array(x, np.int64)
+                                         for x in list(zip(*held))[1:6])
+            data = np.frombuffer(b"".join(x[6] for x in held), np.uint8)
             start = np.concatenate([[0], np.cumsum(size + length - 1)[:-1]])
             run = np.repeat(np.arange(len(size)), size)
             off = np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
             at = start[run] + off
             keys = [identifiers(data, length, seed)[0][at] for seed in (1, 2)]
-            order, _, first = _first_of(keys, [ord_[run], mark[run], (a[run] + off)])
+            order, _, first = _first_of(keys, [ord_[run], mark[run], more[run], a[run] + off])
             x = order[~first]
-            s = a[run[x]] + off[x]
-            return _found(*_sizes(*merged(ord_[run[x]], mark[run[x]], s, s + length)))
+            s, y = a[run[x]] + off[x], run[x]
+            return _found(*_sizes(*merged(ord_[y], mark[y], more[y], s, s + length)))
 
         for b in batches:
-            for r in zip(*(b.column(i).to_pylist() for i in range(6))):
+            for r in zip(*(b.column(i).to_pylist() for i in range(7))):
                 if n >= WINDOWS and r[0] != bucket:
                     yield from flush()
                     held, n = [], 0
                 bucket = r[0]
                 held.append(r)
-                n += r[4]
+                n += r[5]
         if held:
             yield from flush()
     return rows
@@ -384,11 +387,11 @@ def refine_windows(length: int):
 
 def window_rows(length: int):
     """For open runs of wide buckets: each window's identifier and place."""
-    out = pa.schema([(x, pa.int64()) for x in ("w1", "w2", "ord", "mark", "a")])
+    out = pa.schema([(x, pa.int64()) for x in ("w1", "w2", *DOC, "a")])
 
     def rows(batches):
         for b in batches:
-            for key, mark, text, found in _open_runs(b):
+            for doc, text, found in _open_runs(b):
                 data = np.frombuffer(text, np.uint8)
                 at = np.concatenate([np.arange(a, a + n) for a, n, _ in found])
                 w = [identifiers(data, length, seed)[0][at].view(np.int64) for seed in (1, 2)]
@@ -396,8 +399,9 @@ def window_rows(length: int):
                     y = slice(x, x + 20_000)
                     m = len(at[y])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(v) for v in (w[0][y], w[1][y], np.full(m, key, np.int64),
-                                               np.full(m, mark, np.int64), at[y])], schema=out)
+                        [pa.array(v) for v in (w[0][y], w[1][y],
+                                               *(np.full(m, d, np.int64) for d in doc),
+                                               at[y])], schema=out)
     return rows
 
 
@@ -417,7 +421,7 @@ def finish(length: int, keep_text: bool):
                                                                      *(late or ())]],
                                 np.int64).reshape(-1, 2)
                 zero = np.zeros(len(each), np.int64)
-                _, _, a, e = merged(zero, zero, each[:, 0], each[:, 1])
+                *_, a, e = merged(zero, zero, zero, each[:, 0], each[:, 1])
                 a, e = a.tolist(), e.tolist()
                 left = b"".join(text[x:y] for x, y in zip([0, *e], [*a, len(text)]))
                 got.append([k, len(text), len(text) - len(left), len(a),
@@ -436,43 +440,43 @@ def repeated_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text"
     data = text_of(text).cast("binary")
     rows = docs.select(F.col(key).cast("bigint").alias("k"),
                        F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63))).alias("ord"),
-                       F.xxhash64(data).bitwiseAND(F.lit(MARK)).alias("mark"),
-                       data.alias("t"))
+                       F.xxhash64(data).alias("mark"),
+                       F.xxhash64(F.col(key).isNull(), data).alias("more"), data.alias("t"))
     # Steps 1 and 2: buckets of q-grams, split by runs.
-    found = (rows.select("ord", "mark", "t").mapInArrow(pointers(length, 4 * n), PACKED)
+    found = (rows.select(*DOC, "t").mapInArrow(pointers(length, 4 * n), PACKED)
              .repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
              .mapInArrow(refine_runs(length), FOUND))
     place = F.struct("a", "n")
-    lists = found.groupBy("ord", "mark").agg(
+    lists = found.groupBy(*DOC).agg(
         F.collect_list(F.when(F.col("g").isNull(), place)).alias("sure"),
         F.collect_list(F.when(F.col("g").isNotNull() & ~F.col("wide"),
                               F.struct("a", "n", "g"))).alias("open"),
         F.collect_list(F.when(F.col("wide"), F.struct("a", "n", "g"))).alias("spread"))
-    joined = rows.mapInArrow(compressed, "k bigint, ord bigint, mark bigint, n_bytes bigint, "
-                                         "kept_sha256 string, t binary").join(
-        lists, ["ord", "mark"], "left")
+    joined = rows.mapInArrow(compressed, "k bigint, ord bigint, mark bigint, more bigint, "
+                                         "n_bytes bigint, kept_sha256 string, t binary").join(
+        lists, [*DOC], "left")
     some = F.col("sure").isNotNull()
     joined = store(joined.withColumn("t", F.when(some | F.lit(keep_text), F.col("t"))),
                    "substring-docs")
     # Step 3: what step 2 left open, window by window.
-    late = (joined.where("size(open) > 0").select("ord", "mark", "t", "open")
-            .mapInArrow(run_bytes(length), "g bigint, ord bigint, mark bigint, a bigint, "
-                                           "n bigint, t binary")
+    late = (joined.where("size(open) > 0").select(*DOC, "t", "open")
+            .mapInArrow(run_bytes(length), "g bigint, ord bigint, mark bigint, more bigint, "
+                                           "a bigint, n bigint, t binary")
             .repartition(n, "g").sortWithinPartitions("g")
-            .mapInArrow(refine_windows(length), FOUND).select("ord", "mark", "a", "n"))
-    windows = (joined.where("size(spread) > 0").select("ord", "mark", "t", "spread")
+            .mapInArrow(refine_windows(length), FOUND).select(*DOC, "a", "n"))
+    windows = (joined.where("size(spread) > 0").select(*DOC, "t", "spread")
                .mapInArrow(window_rows(length), "w1 bigint, w2 bigint, ord bigint, "
-                                                "mark bigint, a bigint"))
-    windows = windows.withColumn("p", F.struct("ord", "mark", "a"))
+                                                "mark bigint, more bigint, a bigint"))
+    windows = windows.withColumn("p", F.struct(*DOC, "a"))
     least = windows.groupBy("w1", "w2").agg(F.min("p").alias("least"), F.count("*").alias("c"))
     spread = (windows.join(least.where("c > 1"), ["w1", "w2"]).where("p > least")
-              .select("ord", "mark", "a", F.lit(length).cast("long").alias("n")))
-    late = late.unionByName(spread).groupBy("ord", "mark").agg(
+              .select(*DOC, "a", F.lit(length).cast("long").alias("n")))
+    late = late.unionByName(spread).groupBy(*DOC).agg(
         F.collect_list(place).alias("late"))
     done = "k bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     touched = (joined.where("sure is not null" if not keep_text else "true")
-               .select("k", "ord", "mark", "t", "sure")
-               .join(late, ["ord", "mark"], "left").select("k", "t", "sure", "late")
+               .select("k", *DOC, "t", "sure")
+               .join(late, [*DOC], "left").select("k", "t", "sure", "late")
                .mapInArrow(finish(length, keep_text),
                            done + (", kept binary" if keep_text else "")))
     zero = F.lit(0).cast("long")

@@ -2,8 +2,10 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 
 from odd import ODD
@@ -210,3 +212,25 @@ def test_substrings_repeated_rows(docs_of):
     # A row alike in key and text is the same document.
     one = removed_bytes([(1, t), (2, t)], 100)
     assert got == [(1, one[1][1]), (1, one[1][1]), (2, one[2][1])]
+
+
+@pytest.mark.parametrize("key", [None, 5])
+def test_substrings_many_texts_under_one_key(docs_of, key):
+    """Pairs of texts share a passage: one of each pair loses it, and no other byte goes."""
+    from partflow.llm.substrings import repeated_substrings
+    rnd = random.Random(9)
+
+    def some(k):
+        return "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=k))
+    pairs = []
+    for i in range(1500):
+        shared, own = some(120 + i % 60), [some(100 + i % 90), some(100 + i % 70)]
+        pairs.append([(a + x + shared + y, a + x + y) for a, x, y in zip(own, "01", "23")])
+    rows = [(key, whole, "en", "a") for pair in pairs for whole, _ in pair]
+    rows += [(9, t, "en", "a") for _, t, *_ in rows[:1]]
+    got = Counter(bytes(r.kept).decode() for r in repeated_substrings(
+        docs_of(rows).repartition(4), keep_text=True).collect())
+    assert got.pop("") == 1                                # the repeat under another key
+    assert sum(got.values()) == 2 * len(pairs)
+    for (a, a_cut), (b, b_cut) in pairs:
+        assert (got[a], got[a_cut], got[b], got[b_cut]) in ((1, 0, 0, 1), (0, 1, 1, 0))
