@@ -47,13 +47,19 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
-    """About ``rows`` rows at most, chosen by a hash of ``key`` alone, so that reruns agree."""
+def hash_chosen(df: DataFrame, key: Column, rows: int) -> Column:
+    """Whether a row is among about ``rows`` rows at most, chosen by a hash of ``key`` alone,
+    so that reruns agree."""
     n = df.count()
     if n <= rows:
-        return df
-    return df.where(F.pmod(F.xxhash64(F.lit(17), key), F.lit(1 << 30))
-                    < F.lit(int((1 << 30) * rows / n)))
+        return F.lit(True)
+    return (F.pmod(F.xxhash64(F.lit(17), key), F.lit(1 << 30))
+            < F.lit(int((1 << 30) * rows / n)))
+
+
+def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """The rows that ``hash_chosen`` chooses."""
+    return df.where(hash_chosen(df, key, rows))
 
 
 def slices(items: list[str], most: int) -> Iterator[list[str]]:

@@ -7,9 +7,10 @@
   (``TRAIN_DOCS``), labelled by whether they overlap a base span of their kind. The trees
   are then written out as one column expression, so scoring is a plain projection: no row
   leaves its place and nothing is joined back.
-* A threshold per kind is calibrated on the held-out part of the sample: the lowest score
-  from which on at least ``PRECISION`` of the candidates carry the label. Candidates above
-  it that overlap no other span are added; a kind for which no such score exists adds none.
+* A threshold per kind is calibrated on all documents but those that trained the trees: the
+  lowest score from which on at least ``PRECISION`` of the candidates carry the label, and
+  ``SUPPORT`` at least. Candidates above it that overlap no other span are added; a kind for
+  which no such score exists adds none.
 
 Positions are code points, ends exclusive. Null texts count as empty: no spans. Repeated
 rows each get their row; an empty table gives an empty result.
@@ -25,7 +26,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partflow.llm.common import hash_sample, store, text_of
+from partflow.llm.common import hash_chosen, hash_sample, store, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -233,23 +234,27 @@ def _expression(model, f: Column) -> Column:
 
 
 def fit(docs: DataFrame, text: str = "text"):
-    """(model, threshold per kind) from a bounded sample of ``docs``, or (None, {}) where it
-    has candidates of one label only."""
-    sample = hash_sample(docs.select(text_of(text).alias("t")), F.col("t"), TRAIN_DOCS)
-    rows = store(candidates(sample, "t").select(F.xxhash64("t").alias("h"),
-                                                F.explode("_wide").alias("c"))
-                 .select("h", "c.*"), "pii-candidates")
-    rows = store(hash_sample(rows, F.struct("h", "kind", "start"), TRAIN_ROWS).select(
-        "kind", F.col("label").cast("double").alias("label"), "f",
-        (F.pmod(F.xxhash64(F.lit("part"), "h"), F.lit(10)) < 7).alias("train")).coalesce(2),
-        "pii-sample")
-    if rows.where("train").select("label").distinct().count() < 2:
+    """(model, threshold per kind): the trees from a bounded sample of ``docs``, the
+    thresholds from the candidates of all documents that did not train them; (None, {})
+    where the sample has candidates of one label only."""
+    docs = docs.select(text_of(text).alias("t"))
+    drawn = hash_chosen(docs, F.col("t"), TRAIN_DOCS)
+    train = F.pmod(F.xxhash64(F.lit("part"), F.xxhash64("t")), F.lit(10)) < 7
+    rows = store(candidates(docs.where(drawn), "t").select(
+        F.xxhash64("t").alias("h"), train.alias("train"), F.explode("_wide").alias("c"))
+        .select("h", "train", "c.*"), "pii-candidates")
+    rows = store(hash_sample(rows, F.struct("h", "kind", "start"), TRAIN_ROWS).where("train")
+                 .select(F.col("label").cast("double").alias("label"), "f").coalesce(2),
+                 "pii-sample")
+    if rows.select("label").distinct().count() < 2:
         return None, {}
     model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=12, maxDepth=3,
                           stepSize=0.3, seed=7).fit(
-        rows.where("train").select("label", array_to_vector("f").alias("x")))
-    held = rows.where("not train").select(
-        "kind", "label", F.round(_expression(model, F.col("f")), 3).alias("score"))
+        rows.select("label", array_to_vector("f").alias("x")))
+    held = (candidates(docs.where(~(drawn & train)), "t")
+            .select(F.explode("_wide").alias("c")).select(
+                F.col("c.kind").alias("kind"), F.col("c.label").cast("double").alias("label"),
+                F.round(_expression(model, F.col("c.f")), 3).alias("score")))
     # At most 1001 scores per kind reach the driver.
     levels = sorted(((r["kind"], r["score"], r["n"], r["good"]) for r in held.groupBy(
         "kind", "score").agg(F.count("*").alias("n"), F.sum("label").alias("good")).collect()),

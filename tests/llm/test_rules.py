@@ -179,6 +179,18 @@ def test_personal_data_adds_candidates(docs_of):
     assert all(r.n_phone == 1 for r in got)
 
 
+def test_personal_data_thresholds_cover_all_documents(docs_of, monkeypatch):
+    """A kind too rare in the trees' sample has its threshold from the whole table."""
+    from partflow.llm import pii
+    rnd = random.Random(5)
+    docs = docs_of([f"call phone +1 ({rnd.randrange(100, 999)}) 555-0100, order "
+                    f"{rnd.randrange(10, 99)}.{rnd.randrange(1000, 9999)}.{i + 100}"
+                    + " card 4111 1111 1111 1111" * (i % 8 == 0) for i in range(400)])
+    monkeypatch.setattr(pii, "TRAIN_DOCS", 60)
+    model, limits = pii.fit(docs)
+    assert model is not None and {"card", "phone"} <= set(limits)
+
+
 def test_redacted(docs_of):
     from partflow.llm.pii import redacted
     texts = [None, "", "no data", "mail a@b.cc now, é +1 (222) 555-1234.", "1.2.3.4x@y.zz"]
