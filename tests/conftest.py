@@ -9,9 +9,6 @@ sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = os.pathsep.join(
     [ROOT, os.path.join(ROOT, "tests"), os.environ.get("PYTHONPATH", "")])
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -11,7 +11,7 @@ from partflow.plans import assembly as A
 from partflow.plans.catalog import QUERIES
 from partflow.sources import fixtures as fx
 
-from conftest import SF01
+from data_dirs import SF01
 
 T0 = dt.datetime(2024, 1, 1)
 

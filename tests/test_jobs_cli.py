@@ -3,7 +3,7 @@
 from partflow.plans import jobs
 from partflow.session import scratch_path
 
-from conftest import SF001
+from data_dirs import SF001
 
 
 def test_cli_batch_jobs(spark):

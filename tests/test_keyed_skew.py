@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from partflow.operators import keyed
 
-from conftest import SF01
+from data_dirs import SF01
 
 
 def _events(spark):

@@ -6,7 +6,7 @@ from partflow.plans.catalog import QUERIES
 from partflow.plans.check import compare
 from partflow.plans.oracle import ORACLE
 
-from conftest import SF01
+from data_dirs import SF01
 
 NAMES = [n for n in QUERIES if n in ORACLE]
 

@@ -16,7 +16,7 @@ from partflow.session import scratch_path
 from partflow.streaming import runner as R
 from partflow.streaming.machines import Assembly, WaitJoin
 
-from conftest import SF001
+from data_dirs import SF001
 from model import simulate
 
 
