@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import (ann, byte_bpe, html_content, mixing, pii, quality, simhash,
-                          substrings, token_counts, toxicity)
+from partflow.llm import (ann, byte_bpe, collocations, html_content, mixing, pii, quality,
+                          sharding, simhash, substrings, token_counts, toxicity, vector_codes)
 from partflow.llm.common import prepare, read
 
 
@@ -64,9 +64,23 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("vec_id") % 20 == 0)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(prepare(spark), sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.vector_codes(read(prepare(spark), sf_dir, "embeddings"))
+    return codes.withColumn("codebooks_sha256", F.lit(vector_codes.books_sha256(books)))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(read(prepare(spark), sf_dir, "documents"), law="rows")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_pii, op3_quality, op4_html, op5_byte_bpe, op6_substrings, op7_toxicity,
-    op8_simhash, op9_token_counts, op10_ann)}
+    op8_simhash, op9_token_counts, op10_ann, op11_collocations, op12_vector_codes,
+    op13_sharding)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {}
