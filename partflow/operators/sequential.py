@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from partflow.streaming.machines import Machine, PyItems, WaitJoin, drive, expire
 from partflow.streaming.processor import OUTPUT_SCHEMA
@@ -76,38 +77,31 @@ _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
          "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def _typed_frame(df: DataFrame, key: str, side: str, last: int) -> DataFrame:
-    """A table as a topic frame whose payload is the whole row. Rows of equal time go by
-    ``seq`` where the table has it, the left side's before the right side's."""
-    seq = F.col("seq").cast("long") if "seq" in df.columns else F.lit(0).cast("long")
-    return df.select(F.col(key).cast("string").alias("key"), F.lit(side).alias("side"),
-                     F.col("ts").cast("timestamp").alias("ts"), (seq * 2 + last).alias("seq"),
-                     F.to_json(F.struct(*df.columns), _JSON).alias("value"))
-
-
-def join_in_order(left: DataFrame, right: DataFrame, key: str, machine: WaitJoin,
-                  order: tuple[str, ...] = ()) -> DataFrame:
-    """A wait-join of two tables in arrival order: ``key, <left>, <right>, ts`` with the
-    sides' rows as structs without the key (for a collecting join the right rows as an
-    array, put in ``order`` first, and ``n_<right>``)."""
-    frame = _typed_frame(left, key, machine.L, 0).unionByName(
-        _typed_frame(right, key, machine.R, 1))
+def machine_join(rows: DataFrame, key: str, wait, lt: T.DataType, rt: T.DataType,
+                 time: T.DataType) -> DataFrame:
+    """The wait-join ``wait`` of segments ``rows`` (key, _seg, e; see ``operators.folds``) in
+    arrival order, row by row: ``key, o, seq`` as the fold gives them. For segments too long
+    to be folded in one piece."""
+    from partflow.operators.folds import micros
+    collect = wait.mode == "collect"
+    within = None if wait.within is None else micros(wait.within)
+    machine = WaitJoin(wait.mode, within, "l", "r", wait.expected, numbered=True)
+    of = T.StructType([T.StructField("k", rows.schema[key].dataType),
+                       T.StructField("g", rows.schema["_seg"].dataType)])
+    group = F.to_json(F.struct(F.col(key).alias("k"), F.col("_seg").alias("g")), _JSON)
+    # The machine sorts by (ts, seq) and takes an instant's right rows first by itself.
+    e, is_left = F.col("e"), F.col("e.s") == 0
+    seq = (e["a"] * 2 + e["b"]) if wait.mode == "full" else e["b"]
+    frame = rows.select(group.alias("key"), F.when(is_left, "l").otherwise("r").alias("side"),
+                        e["ts"].cast("timestamp").alias("ts"), seq.alias("seq"),
+                        F.when(is_left, F.to_json(e["l"], _JSON))
+                        .otherwise(F.to_json(e["r"], _JSON)).alias("value"))
     out = run_machine(frame, machine)
 
-    def kind(df, first=()):
-        names = [*first, *[c for c in df.columns if c not in first and c != key]]
-        return df.select(F.struct(*names).alias("x")).schema["x"].dataType.simpleString()
-
-    def side(name, df, many=False):
-        text = F.get_json_object("value", f"$.{name}")
-        t = kind(df, order) if many else kind(df)
-        return F.from_json(text, f"array<{t}>" if many else t, _JSON)
-    collect = machine.mode == "collect"
-    cols = [F.col("key").cast(left.schema[key].dataType).alias(key),
-            side(machine.L, left).alias(machine.L)]
-    if collect:
-        cols += [F.array_sort(side(machine.R, right, True)).alias(machine.R),
-                 F.get_json_object("value", "$.n").cast("long").alias(f"n_{machine.R}")]
-    else:
-        cols.append(side(machine.R, right).alias(machine.R))
-    return out.select(*cols, F.col("ts").cast(left.schema["ts"].dataType).alias("ts"))
+    def side(name, t):
+        return F.from_json(F.get_json_object("value", f"$.{name}"), t, _JSON)
+    o = F.struct(side("l", lt).alias("l"), side("r", T.ArrayType(rt) if collect else rt)
+                 .alias("r"), F.col("ts").cast(time).alias("ts"),
+                 F.get_json_object("value", "$.now").cast("boolean").alias("now"))
+    return out.select(F.from_json("key", of, _JSON)["k"].alias(key), o.alias("o"),
+                      F.get_json_object("value", "$.at").cast("long").alias("seq"))

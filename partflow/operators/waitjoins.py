@@ -5,13 +5,15 @@ payload columns. Each side is packed into one struct column named after the side
 output row is ``(key, <left>, <right>, ts)`` where ``ts`` is the time the stream form
 would emit the row: the match time, or the waiter's arrival plus the wait.
 
-Keys with one row per side are settled in closed form (grouped aggregates and equality
-joins on unique keys). Keys that repeat rows on a side, where the outcome depends on
-arrival order (a newer row replaces a waiting one and keeps its deadline, a match consumes
-both rows), go through the per-key machine in arrival order
-(``operators/sequential.run_machine``), and the two are unioned. Which keys repeat is a
-grouped count, so no operator here emits all pairs within a key. ``unique=True`` skips
-that count for inputs that are unique by construction (e.g. grouped by the key).
+Keys may repeat rows on each side. The outcome then depends on arrival order (a newer row
+replaces a waiting one and keeps its deadline, a match consumes both rows), so a key's rows are
+folded in that order inside the JVM, hot keys in segments between quiet gaps
+(``operators/folds``). No operator here emits all pairs within a key. ``unique=True`` takes a
+closed form (grouped aggregates and equality joins) for inputs that have one row per key and
+side by construction; there is no check of that.
+
+``numbered=True`` adds ``seq`` (in place of the left rows' own), the order of rows that leave a
+key at the same time, for the next join of a chain.
 
 Tie rules: a match needs the other arrival strictly before first arrival + wait; right
 rows at or before the left row's time count as already there; rows of equal time go by the
@@ -23,34 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
-
-
-def micros(within: str) -> int:
-    """``'5 seconds'`` in microseconds."""
-    n, unit = within.split()
-    return int(n) * UNITS[unit.rstrip("s")] * 1_000_000
-
-
-def repeated_keys(left: DataFrame, right: DataFrame, key: str, left_most: int = 1,
-                  right_most: int | None = 1) -> DataFrame:
-    """Keys with more rows on a side than the closed form takes (null keys never match)."""
-    one, none = F.lit(1), F.lit(0)
-    n = (left.select(key, one.alias("l"), none.alias("r"))
-         .unionByName(right.select(key, none.alias("l"), one.alias("r")))
-         .where(F.col(key).isNotNull())
-         .groupBy(key).agg(F.sum("l").alias("l"), F.sum("r").alias("r")))
-    many = F.col("l") > left_most
-    if right_most is not None:
-        many = many | (F.col("r") > right_most)
-    return n.where(many).select(key)
-
-
-def _split(left, right, key, **most):
-    """(left, right) of keys in closed form, (left, right) of keys that repeat."""
-    rep = repeated_keys(left, right, key, **most)
-    return ((left.join(rep, key, "left_anti"), right.join(rep, key, "left_anti")),
-            (left.join(rep, key, "left_semi"), right.join(rep, key, "left_semi")))
+from partflow.operators.folds import Wait, join_in_order
 
 
 def interval(within: str) -> Column:
@@ -66,24 +41,19 @@ def pack(df: DataFrame, key: str, name: str, order: tuple[str, ...] = ()) -> Dat
 
 def wait_join_full(left: DataFrame, right: DataFrame, key: str, within: str,
                    left_name: str = "left", right_name: str = "right",
-                   unique: bool = False) -> DataFrame:
+                   unique: bool = False, numbered: bool = False) -> DataFrame:
     """JN1: symmetric wait-join, full outer, one-to-one.
 
     An arrival that finds the other side waiting pairs with it at once; otherwise it
     waits ``within`` and leaves alone. Output ``(key, left, right, ts)``: a pair at the
     later arrival, a lone side at its arrival + wait.
 
-    Plan: the two sides are unioned and grouped by key (one shuffle, partial
-    aggregation), not full-outer-joined: the result stays hash-partitioned by the key,
-    so the next keyed stage (JN2, JN3) does not shuffle it again."""
+    Plan of the closed form: the two sides are unioned and grouped by key (one shuffle,
+    partial aggregation), not full-outer-joined: the result stays hash-partitioned by the
+    key, so the next keyed stage (JN2, JN3) does not shuffle it again."""
     if not unique:
-        from partflow.operators.sequential import join_in_order
-        from partflow.streaming.machines import WaitJoin
-        once, many = _split(left, right, key)
-        return wait_join_full(*once, key, within, left_name, right_name, unique=True
-                              ).unionByName(join_in_order(
-                                  *many, key, WaitJoin("full", micros(within), left_name,
-                                                       right_name)))
+        out = join_in_order(left, right, key, Wait("full", within), left_name, right_name)
+        return out if numbered else out.drop("seq")
     T = interval(within)
     ls, rs = pack(left, key, left_name), pack(right, key, right_name)
     ltype, rtype = ls.schema[left_name].dataType, rs.schema[right_name].dataType
@@ -106,7 +76,8 @@ def wait_join_full(left: DataFrame, right: DataFrame, key: str, within: str,
 
 
 def wait_join_left(left: DataFrame, right: DataFrame, key: str, within: str,
-                   right_name: str = "right", unique: bool = False) -> DataFrame:
+                   right_name: str = "right", unique: bool = False, numbered: bool = False
+                   ) -> DataFrame:
     """JN2: asymmetric wait-join, left outer. ``left`` rows carry their arrival ``ts``.
 
     A left row finding the right row already there leaves at once with it; otherwise it
@@ -114,12 +85,8 @@ def wait_join_left(left: DataFrame, right: DataFrame, key: str, within: str,
     the wait, else with null. A right row never triggers output.
     Output: ``left`` columns with ``ts`` replaced by the emit time, plus ``right_name``."""
     if not unique:
-        from partflow.operators.sequential import join_in_order
-        from partflow.streaming.machines import WaitJoin
-        once, many = _split(left, right, key)
-        got = join_in_order(*many, key, WaitJoin("left", micros(within), "_left", right_name))
-        return wait_join_left(*once, key, within, right_name, unique=True).unionByName(
-            _spread(got, left, key, right_name))
+        got = join_in_order(left, right, key, Wait("left", within), "_left", right_name)
+        return _spread(got, left, key, right_name, numbered=numbered)
     T = interval(within)
     rs = pack(right, key, right_name)
     j = left.join(rs, key, "left")
@@ -129,16 +96,18 @@ def wait_join_left(left: DataFrame, right: DataFrame, key: str, within: str,
             .withColumn("ts", F.when(matched & (r["ts"] <= t), t).otherwise(t + T)))
 
 
-def _spread(got: DataFrame, left: DataFrame, key: str, *more: str) -> DataFrame:
+def _spread(got: DataFrame, left: DataFrame, key: str, *more: str, numbered: bool = False
+            ) -> DataFrame:
     """The left row's own columns next to what it left with; ``ts`` is the emit time."""
-    own = [F.col("ts") if c == "ts" else F.col(c) if c == key else F.col(f"_left.{c}").alias(c)
-           for c in left.columns]
-    return got.select(*own, *more)
+    kept = ["ts", key, *(["seq"] if numbered else [])]
+    own = [F.col(c) if c in kept else F.col(f"_left.{c}").alias(c) for c in left.columns]
+    extra = ["seq"] if numbered and "seq" not in left.columns else []
+    return got.select(*own, *more, *extra)
 
 
 def collect_join(left: DataFrame, right: DataFrame, key: str, within: str, expected: int,
                  right_name: str = "right", order: tuple[str, ...] = ("ts",),
-                 unique: bool = False) -> DataFrame:
+                 unique: bool = False, numbered: bool = False) -> DataFrame:
     """JN3: collecting wait-join, one left row to many right rows.
 
     Right rows collect per key. A left row that finds exactly ``expected`` of them
@@ -147,17 +116,13 @@ def collect_join(left: DataFrame, right: DataFrame, key: str, within: str, expec
     columns with ``ts`` = emit time, ``right_name`` = array of right rows in arrival
     ``order``, ``n_<right_name>`` = its length.
 
-    Plan: the left side arrives hash-partitioned by key (from JN1/JN2); the left join
-    and the per-car aggregate reuse that partitioning, so only the right side moves."""
+    Plan of the closed form: the left side arrives hash-partitioned by key (from JN1/JN2);
+    the left join and the per-car aggregate reuse that partitioning, so only the right side
+    moves."""
     if not unique:
-        from partflow.operators.sequential import join_in_order
-        from partflow.streaming.machines import WaitJoin
-        once, many = _split(left, right, key, right_most=None)
-        got = join_in_order(*many, key, WaitJoin("collect", micros(within), "_left",
-                                                 right_name, expected), order)
-        done = collect_join(*once, key, within, expected, right_name, order, unique=True)
-        return done.unionByName(_spread(got, left, key, right_name, f"n_{right_name}")
-                                .select(*done.columns))
+        got = join_in_order(left, right, key, Wait("collect", within, expected), "_left",
+                            right_name, order)
+        return _spread(got, left, key, right_name, f"n_{right_name}", numbered=numbered)
     T = interval(within)
     rs = pack(right, key, "_r", order)
     other = [c for c in left.columns if c not in (key, "ts")]
@@ -203,15 +168,9 @@ def patch_join(cars: DataFrame, parts: DataFrame, key: str) -> DataFrame:
     ts, body, engine, remoteControl, wheels (structs holding a ``part`` struct), and ``seq``
     where rows of a key can tie; ``parts``: key, ts, part struct (sku, partName, price, ...),
     ``seq`` likewise."""
-    from partflow.operators.sequential import join_in_order
-    from partflow.streaming.machines import WaitJoin
-    once, many = _split(cars, parts, key)
-    c = once[0].join(once[1].select(key, F.col("ts").alias("_pts"), "part"), key)
-    c = c.withColumn("ts", F.greatest("ts", "_pts")).drop("_pts")
-    got = join_in_order(*many, key, WaitJoin("full", None, "_left", "_right"))
-    more = _spread(got.where("_left is not null and _right is not null"), cars, key,
-                   F.col("_right.part").alias("part"))
-    return apply_patch(c.unionByName(more.select(*c.columns))).drop("part", "seq")
+    got = join_in_order(cars, parts, key, Wait("full", None), "_left", "_right")
+    pairs = _spread(got, cars, key, F.col("_right.part").alias("part"))
+    return apply_patch(pairs).drop("part", "seq")
 
 
 def priced_wait_join(unpriced: DataFrame, priced: DataFrame, key: str, within: str
@@ -220,8 +179,9 @@ def priced_wait_join(unpriced: DataFrame, priced: DataFrame, key: str, within: s
     priced row wins (COMPLETE) if it came before the deadline, else the unpriced row
     leaves as AWAITING_PRICE. A priced row already there settles it at once.
     Output: key, ts (emit time), situation, ``record`` = the winning side's payload."""
+    seq = [F.col("unpriced.seq").alias("seq")] if "seq" in unpriced.columns else []
     j = wait_join_left(pack(unpriced, key, "unpriced").select(
-        key, F.col("unpriced.ts").alias("ts"), "unpriced"), priced, key, within, "priced")
+        key, F.col("unpriced.ts").alias("ts"), *seq, "unpriced"), priced, key, within, "priced")
     won = F.col("priced").isNotNull()
     return j.select(key, "ts",
                     F.when(won, F.lit("COMPLETE")).otherwise(F.lit("AWAITING_PRICE"))

@@ -1,8 +1,10 @@
 """Job A, car assembly, batch form: body ⋈ engine ⟕ remote control ⟕ wheels per sku
 (JN1 -> JN2 -> JN3), then pricing (JN7/JN9) and routing (SNK6).
 
-Every stage is keyed by ``sku`` and takes every sku. JN1 leaves its result
-hash-partitioned by sku and the later joins and aggregates reuse that partitioning.
+Every stage is keyed by ``sku`` and takes every sku and every row, repeated parts included.
+``assemble`` groups the four part tables by sku once and chains the folds of the three joins on
+the grouped row: one exchange, no join. Skus with very many parts go through the three operators
+one after the other, which cut them into segments (``operators/folds``).
 
 Two policies (SURVEY §2.11 D-1/D-2): ``code`` reproduces what the reference computes,
 ``documented`` what its README describes.
@@ -12,21 +14,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from partflow.operators import folds
+from partflow.operators.folds import Wait, event, fold, number
 from partflow.operators.pricing import fetch_prices, price_cars
 from partflow.operators.routing import route, route_counts
-from partflow.operators.waitjoins import interval, pack, wait_join_full
+from partflow.operators.waitjoins import collect_join, wait_join_full, wait_join_left
 from partflow.schemas import EXPECTED_WHEELS
 from partflow.sources import fixtures as fx
 
-# Two cars of one sku can leave at the same time; they never share body and engine.
-CAR_KEY = ["sku", "ts", "body", "engine"]
+# Two cars of one sku can leave at the same time; they never share all their parts.
+CAR_KEY = ["sku", "ts", "body", "engine", "wheels"]
 
 
 def body_engine(parts: dict[str, DataFrame], within: str = fx.CAR_WAIT) -> DataFrame:
-    """JN1 + PRJ4: (sku, body, engine, ts, situation) for every sku."""
+    """JN1 + PRJ4: (sku, body, engine, ts, seq, situation) for every sku."""
     be = wait_join_full(parts["body"], parts["engine"], "sku", within, "body", "engine",
-                        unique=True)  # one body and one engine per sku
+                        numbered=True)
     sit = (F.when(F.col("body").isNull(), F.lit("MISSING_BODY"))
            .when(F.col("engine").isNull(), F.lit("MISSING_ENGINE"))
            .otherwise(F.lit("INCOMPLETE")))
@@ -48,105 +53,108 @@ def situation(policy: str) -> Column:
             .otherwise(F.lit("AWAITING_PRICE")))
 
 
-def remote_per_sku(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
-                   ) -> DataFrame:
-    """JN2 in closed form for every sku, with one or two cars (two when the sku's body and
-    engine missed each other): per sku ``c1``, ``c2``, the remotes ``rc1``, ``rc2`` they
-    leave with and the times ``s1``, ``s2`` at which they leave. With one body and one
-    engine per sku the two cars leave JN1 at least one wait apart, so the remote goes to
-    the first car whose window covers it."""
-    T = interval(within)
-    g0 = be.groupBy("sku").agg(F.count(F.lit(1)).alias("_n"),
-                               F.min(F.struct("ts", "body", "engine")).alias("c1"),
-                               F.max(F.struct("ts", "body", "engine")).alias("c2"))
-    two = g0.select("sku", "c1", F.when(F.col("_n") == 2, F.col("c2")).alias("c2"))
-    rc = pack(parts["remote"], "sku", "_rc")
-    j = two.join(rc, "sku", "left")
-    t1, t2, r = F.col("c1.ts"), F.col("c2.ts"), F.col("_rc")
-    return j.select(
-        "sku", "c1", "c2",
-        F.when(r["ts"] < t1 + T, r).alias("rc1"),
-        F.when(r["ts"] <= t1, t1).otherwise(t1 + T).alias("s1"),
-        F.when((r["ts"] >= t1 + T) & (r["ts"] < t2 + T), r).alias("rc2"),
-        F.when((r["ts"] >= t1 + T) & (r["ts"] <= t2), t2).otherwise(t2 + T).alias("s2"))
+def car_remote(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
+               ) -> DataFrame:
+    """JN2: cars ⟕ remote control, (sku, body, engine, remote, ts, seq) for every car."""
+    return wait_join_left(be.select("sku", "body", "engine", "ts", "seq"), parts["remote"],
+                          "sku", within, "remote", numbered=True)
 
 
-def car_remote(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
+def car_wheels(cars: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
                ) -> DataFrame:
-    """JN2: cars ⟕ remote control, (sku, body, engine, remote, ts) for every car."""
-    cars = [F.struct(F.col(f"c{i}.body").alias("body"), F.col(f"c{i}.engine").alias("engine"),
-                     F.col(f"rc{i}").alias("remote"), F.col(f"s{i}").alias("ts"))
-            for i in (1, 2)]
-    return remote_per_sku(be, parts, within).select("sku", F.inline(
-        F.when(F.col("c2").isNull(), F.array(cars[0])).otherwise(F.array(*cars))))
-
-
-def cars_per_sku(be: DataFrame, parts: dict[str, DataFrame], within: str = fx.CAR_WAIT
-                 ) -> DataFrame:
-    """JN2 + JN3 in closed form for every sku. At JN3 the second car may arrive while the
-    first still waits: it then leaves at once if it finds exactly four wheels, else it
-    replaces the first car ("last wins", as the reference) and leaves at the first
-    one's deadline.
-
-    One pass, keyed by sku: ``be`` arrives partitioned by sku (the per-sku grouping
-    adds no shuffle), the remote and wheel tables are joined once each."""
-    T = interval(within)
-    j = remote_per_sku(be, parts, within)
-    w = pack(parts["wheel"], "sku", "_w", ("ts", "ln"))
-    s1, s2 = F.col("s1"), F.col("s2")
-    g = j.join(w, "sku", "left").groupBy("sku").agg(
-        *[F.first(c).alias(c) for c in ("c1", "c2", "rc1", "s1", "rc2", "s2")],
-        F.array_sort(F.collect_list("_w")).alias("_ws"))
-    ws = F.col("_ws")
-
-    def within_(lo=None, hi=None, hi_incl=False):
-        def keep(x):
-            cond = F.lit(True)
-            if lo is not None:
-                cond = cond & (x["ts"] >= lo)
-            if hi is not None:
-                cond = cond & ((x["ts"] <= hi) if hi_incl else (x["ts"] < hi))
-            return cond
-        return F.filter(ws, keep)
-
-    def cnt(arr):
-        return F.size(arr)
-
-    d1 = s1 + T
-    at_s1, before_d1 = within_(hi=s1, hi_incl=True), within_(hi=d1)
-    at_s2 = within_(hi=s2, hi_incl=True)
-    late0, late1 = within_(lo=d1, hi=s2, hi_incl=True), within_(lo=d1, hi=s2 + T)
-    empty = F.array_sort(F.filter(ws, lambda x: F.lit(False)))
-
-    def car(c, rc, ts, wheels):
-        return F.struct(F.col(f"{c}.body").alias("body"), F.col(f"{c}.engine").alias("engine"),
-                        F.col(rc).alias("remote"), ts.alias("ts"), wheels.alias("wheels"))
-
-    first_full = cnt(at_s1) == EXPECTED_WHEELS
-    second_first = s2 >= d1
-    second_full = cnt(at_s2) == EXPECTED_WHEELS
-    late_full = cnt(late0) == EXPECTED_WHEELS
-    alone = F.when(first_full, car("c1", "rc1", s1, at_s1)).otherwise(
-        car("c1", "rc1", d1, before_d1))
-    cars = (F.when(F.col("c2").isNull(), F.array(alone))
-            .when(first_full, F.array(car("c1", "rc1", s1, at_s1),
-                                      car("c2", "rc2", s2 + T, empty)))
-            .when(second_first, F.array(
-                car("c1", "rc1", d1, before_d1),
-                car("c2", "rc2", F.when(late_full, s2).otherwise(s2 + T),
-                    F.when(late_full, late0).otherwise(late1))))
-            .when(second_full, F.array(car("c2", "rc2", s2, at_s2),
-                                       car("c1", "rc1", d1, empty)))
-            .otherwise(F.array(car("c2", "rc2", d1, before_d1))))
-    out = g.select("sku", F.inline(cars))
-    return out.withColumn("n_wheels", F.size("wheels").cast("long"))
+    """JN3: cars ⟕ wheels, with ``wheels`` and ``n_wheels``."""
+    return collect_join(cars, parts["wheel"], "sku", within, EXPECTED_WHEELS, "wheels",
+                        order=("ts", "seq"), numbered=True)
+
+
+def in_steps(parts: dict[str, DataFrame], within: str = fx.CAR_WAIT) -> DataFrame:
+    """JN1, JN2 and JN3 as three operators, each with an exchange of its own."""
+    return car_wheels(car_remote(body_engine(parts, within), parts, within), parts, within)
+
+
+def cars_per_sku(parts: dict[str, DataFrame], within: str = fx.CAR_WAIT,
+                 most: int | None = None) -> DataFrame:
+    """JN1 -> JN2 -> JN3 for every sku: (sku, body, engine, remote, wheels, n_wheels, ts, seq).
+
+    The four tables meet once by sku; each join is a fold over the grouped row, whose output
+    array is the next one's left side."""
+    from partflow.session import materialize
+    most = folds.MOST if most is None else most
+    n = None
+    for df in parts_of(parts).values():
+        one = df.select("sku")
+        n = one if n is None else n.unionByName(one)
+    hot = materialize(n.groupBy("sku").agg(F.count(F.lit(1)).alias("_n"))
+                      .where(F.col("_n") > most).select("sku"), "hot-skus")
+    if hot.isEmpty():
+        return _chain(parts, within)
+    calm = {k: df.join(hot, "sku", "left_anti") for k, df in parts_of(parts).items()}
+    many = {k: df.join(hot, "sku") for k, df in parts_of(parts).items()}
+    done = _chain(calm, within)
+    return done.unionByName(in_steps(many, within).select(*done.columns))
+
+
+def parts_of(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {k: parts[k] for k in ("body", "engine", "remote", "wheel")}
+
+
+def _chain(parts: dict[str, DataFrame], within: str) -> DataFrame:
+    own = {k: F.struct(*(("ts", "seq") if k == "wheel" else ()), *[
+        c for c in df.columns if c != "sku" and not (k == "wheel" and c in ("ts", "seq"))])
+        for k, df in parts_of(parts).items()}
+    kind = {k: folds.nullable(parts[k].select(c.alias("x")).schema["x"].dataType)
+            for k, c in own.items()}
+    rows = None
+    for k, df in parts_of(parts).items():
+        one = df.where(F.col("sku").isNotNull()).select("sku", *[
+            (own[x] if x == k else F.lit(None).cast(kind[x])).alias(x) for x in kind])
+        rows = one if rows is None else rows.unionByName(one)
+    g = rows.groupBy("sku").agg(*[F.collect_list(k).alias(k) for k in kind])
+    time = parts["body"].schema["ts"].dataType
+
+    def part(k, wait, side, lt, rt):
+        null = F.lit(None).cast(lt if side else rt)
+        return F.transform(k, lambda x: event(wait, side, x["ts"], x["seq"].cast("long"),
+                                              null if side else x, x if side else null))
+
+    def cars(done, wait, make, rt):
+        null = F.lit(None).cast(rt)
+        return F.transform(done, lambda o, i: event(wait, 0, o["ts"], number(o, i), make(o),
+                                                    null))
+
+    w1, w2 = Wait("full", within), Wait("left", within)
+    w3 = Wait("collect", within, EXPECTED_WHEELS)
+    be = fold(F.sort_array(F.concat(
+        part("body", w1, 0, kind["body"], kind["engine"]),
+        part("engine", w1, 1, kind["body"], kind["engine"]))), w1, kind["body"], kind["engine"],
+        time)
+    t2 = T.StructType([T.StructField(k, kind[k]) for k in ("body", "engine")])
+    cr = fold(F.sort_array(F.concat(
+        cars(be, w2, lambda o: F.struct(o["l"].alias("body"), o["r"].alias("engine")),
+             kind["remote"]),
+        part("remote", w2, 1, t2, kind["remote"]))), w2, t2, kind["remote"], time)
+    t3 = T.StructType([T.StructField(k, kind[k]) for k in ("body", "engine", "remote")])
+    cw = fold(F.sort_array(F.concat(
+        cars(cr, w3, lambda o: F.struct(o["l"]["body"].alias("body"),
+                                        o["l"]["engine"].alias("engine"),
+                                        o["r"].alias("remote")), kind["wheel"]),
+        part("wheel", w3, 1, t3, kind["wheel"]))), w3, t3, kind["wheel"], time)
+    out = g.select("sku", F.posexplode(cw).alias("_pos", "_o"))
+    return out.select("sku", "_o.l.*", F.array_sort("_o.r").alias("wheels"),
+                      F.size("_o.r").cast("long").alias("n_wheels"), "_o.ts",
+                      number(F.col("_o"), F.col("_pos")).alias("seq"))
 
 
 def assemble(parts: dict[str, DataFrame], policy: str = "code",
              within: str = fx.CAR_WAIT) -> DataFrame:
-    """JN8 for every sku: (sku, body, engine, remote, wheels, n_wheels, ts, situation)."""
-    cars = cars_per_sku(body_engine(parts, within).drop("situation"), parts, within)
-    return cars.withColumn("situation", situation(policy))
+    """JN8 for every sku: (sku, body, engine, remote, wheels, n_wheels, ts, seq, situation)."""
+    return cars_per_sku(parts, within).withColumn("situation", situation(policy))
+
+
+def car_key(cars: DataFrame) -> list[str]:
+    """Columns that identify a car: where it has one, its number among those that leave a sku
+    at the same time."""
+    return ["sku", "ts", "seq"] if "seq" in cars.columns else CAR_KEY
 
 
 def price_ids(policy: str) -> dict[str, Column]:
@@ -163,13 +171,14 @@ def price(assembled: DataFrame, prices: DataFrame, policy: str = "code",
           check_size: bool = True) -> DataFrame:
     """JN7 form 1 + JN9 on the cars awaiting a price."""
     waiting = assembled.filter(F.col("situation") == "AWAITING_PRICE").drop("situation")
-    return price_cars(waiting, prices, price_ids(policy), CAR_KEY, check_size=check_size)
+    return price_cars(waiting, prices, price_ids(policy), car_key(waiting),
+                      check_size=check_size)
 
 
 def price_by_fetch(assembled: DataFrame, fetch, policy: str = "code", **kw) -> DataFrame:
     """JN7 form 2 on the cars awaiting a price."""
     waiting = assembled.filter(F.col("situation") == "AWAITING_PRICE").drop("situation")
-    return fetch_prices(waiting, fetch, price_ids(policy), CAR_KEY, **kw)
+    return fetch_prices(waiting, fetch, price_ids(policy), car_key(waiting), **kw)
 
 
 def with_part_prices(priced: DataFrame) -> DataFrame:
@@ -251,25 +260,22 @@ def to_record(cars: DataFrame) -> DataFrame:
                  F.lit(0.0).alias("price"), F.lit("").alias("productName")).alias("part"),
         w["id"].cast("string").alias("id"), w["placement"].alias("placement")))
     total = F.col("total_price") if "total_price" in cars.columns else F.lit(0.0)
-    # Of two cars of a sku at one time, the one with a body comes first.
-    seq = F.when(F.col("body").isNull(), 1).otherwise(0)
-    return cars.select("sku", "ts", seq.alias("seq"), body.alias("body"), engine.alias("engine"),
+    return cars.select("sku", "ts", "seq", body.alias("body"), engine.alias("engine"),
                        remote.alias("remoteControl"), wheels.alias("wheels"),
                        total.alias("totalPrice"), "situation")
 
 
 def wheel_price_parts(parts: dict[str, DataFrame]) -> DataFrame:
-    """JN5 fixture: per sku, a priced WHEEL part from the sku's first wheel line
-    (line 3) and the price table; it arrives with that wheel."""
+    """JN5 fixture: a priced WHEEL part for every wheel line that has a price; it arrives with
+    that wheel."""
     from partflow.functions.scalars import money
     from partflow.operators.sizing import bounded_broadcast
-    w = parts["wheel"].filter(F.col("ln") == fx.WHEEL_LINES[0])
-    j = w.join(bounded_broadcast(parts["prices"]), "id")
-    return j.select("sku", "ts", F.lit(2).alias("seq"), F.struct(
+    j = parts["wheel"].join(bounded_broadcast(parts["prices"]), "id")
+    return j.select("sku", "ts", "seq", F.struct(
         F.col("sku").cast("string").alias("sku"), F.lit("WHEEL").alias("partName"),
         money("price").alias("price"), F.lit("").alias("productName")).alias("part"))
 
 
-__all__ = ["assemble", "body_engine", "car_remote", "cars_per_sku", "flat", "price",
-           "price_by_fetch", "remote_per_sku", "route", "route_counts", "routes",
+__all__ = ["assemble", "body_engine", "car_key", "car_remote", "car_wheels", "cars_per_sku",
+           "flat", "in_steps", "price", "price_by_fetch", "route", "route_counts", "routes",
            "to_record", "wheel_price_parts", "with_part_prices", "car_messages"]

@@ -16,7 +16,6 @@ from partflow.operators.waitjoins import patch_join
 from partflow.plans import assembly as A
 from partflow.plans import events as E
 from partflow.plans import streams as S
-from partflow.schemas import EXPECTED_WHEELS
 from partflow.session import scratch_path
 from partflow.sinks.topics import encode, write_file_topic
 from partflow.sources import fixtures as fx
@@ -36,7 +35,7 @@ def car_remote_wait_join(spark, sf_dir):
 
 def car_wheels_wait_join(spark, sf_dir):
     parts = fx.car_parts(spark, sf_dir)
-    return A.flat(A.cars_per_sku(A.body_engine(parts), parts))
+    return A.flat(A.in_steps(parts))
 
 
 def _assemble(policy):
@@ -79,7 +78,7 @@ def replaced_cars(spark, sf_dir):
     parts = fx.car_parts(spark, sf_dir)
     be = A.body_engine(parts)
     formed = be.groupBy("sku").agg(F.count(F.lit(1)).alias("formed"))
-    out = A.cars_per_sku(be.drop("situation"), parts).groupBy("sku").agg(
+    out = A.cars_per_sku(parts).groupBy("sku").agg(
         F.count(F.lit(1)).alias("assembled"))
     return (formed.join(out, "sku", "left")
             .select("sku", "formed", F.coalesce("assembled", F.lit(0)).cast("long")
@@ -142,14 +141,11 @@ def part_patch_join(spark, sf_dir):
 
 
 def _assemble_ordered(policy):
-    """The same in the general ordered form (any number of rows per key and side): the
-    assembly machine run over the sorted table."""
+    """The same by the three operators one after the other (JN1, JN2, JN3), as for skus with
+    very many parts."""
     def q(spark, sf_dir):
-        from partflow.operators.sequential import run_machine
-        from partflow.streaming.machines import Assembly
-        out = run_machine(S.assembly_frame(spark, sf_dir),
-                          Assembly(S.CAR_WAIT_US, EXPECTED_WHEELS, policy))
-        return A.flat(S.assembled_cars(out)).drop("wheel_ids")
+        cars = A.in_steps(fx.car_parts(spark, sf_dir))
+        return A.flat(cars.withColumn("situation", A.situation(policy))).drop("wheel_ids")
     q.__name__ = f"assemble_ordered_{policy}"
     return q
 
@@ -244,7 +240,6 @@ QUERIES: dict[str, Query] = {
     "price_documented": _price("documented"),
     "lookup_map_in_pandas": lookup_map_in_pandas,
     "route_counts": route_counts,
-    "route_counts_all": route_counts,  # kept name: job A has no other form
     "replaced_cars": replaced_cars,
     "word_count": word_count,
     "running_word_count": running_word_count,
@@ -263,8 +258,6 @@ QUERIES: dict[str, Query] = {
     "stream_body_engine_wait_join": S.body_engine,
     "stream_car_remote_wait_join": S.car_remote,
     "stream_car_wheels_wait_join": S.car_wheels,
-    "assemble_all_code": _assemble("code"),
-    "assemble_all_documented": _assemble("documented"),
     "assemble_ordered_code": _assemble_ordered("code"),
     "assemble_ordered_documented": _assemble_ordered("documented"),
     "stream_assemble_code": S.assemble("code"),

@@ -9,120 +9,141 @@ from partflow.schemas import BR_STATES
 
 WAIT = "interval 700 day"
 
-# Skus whose body and engine missed each other have two cars. With one body and one engine
-# per sku they leave JN1 at least one wait apart, so at JN2 the remote goes to the first car
-# whose window covers it; at JN3 the second car may arrive while the first waits: it then
-# leaves at once with exactly four wheels, or replaces the first ("last wins") and leaves at
-# the first one's deadline. ``lo``, ``hi`` and ``incl`` bound the wheels a car leaves with.
+# Job A: a recursive step applies the next arrival of a sku to what waits and says what leaves:
+# first what a deadline ends (t1), then what the arrival takes along (t2). ``now`` and ``i``
+# order cars that leave at one time. JN1's cars are arrivals of JN2, JN2's of JN3.
 ASM_CTE = f"""
-with li as (
-  select l_orderkey sku, l_partkey id, l_linenumber ln, l_shipdate ts,
-         row_number() over (partition by l_orderkey, l_linenumber
-                            order by l_shipdate, l_partkey, l_suppkey) rn
-  from lineitem),
-body   as (select o_orderkey sku, o_custkey id, o_orderdate ts
-           from orders where o_orderpriority <> '5-LOW'),
-engine as (select sku, id, ts from li where ln = 1 and rn = 1),
-remote as (select sku, id, ts from li where ln = 2 and rn = 1),
-wheel  as (select sku, id, ts, ln from li where ln between 3 and 6 and rn = 1),
-prices as (select p_partkey id, p_retailprice price from part where p_size <= 45),
-be as (
-  select coalesce(b.sku, e.sku) sku, b.id bid, e.id eid,
-         case when b.sku is null then e.ts + {WAIT}
-              when e.sku is null then b.ts + {WAIT}
-              else greatest(b.ts, e.ts) end ts
-  from body b full join engine e
-    on b.sku = e.sku and b.ts < e.ts + {WAIT} and e.ts < b.ts + {WAIT}),
-single as (select * from be
-           where sku in (select sku from be group by sku having count(*) = 1)),
-cr as (
-  select s.sku, bid, eid,
-         case when r.ts < s.ts + {WAIT} then r.id end rid,
-         case when r.ts <= s.ts then s.ts else s.ts + {WAIT} end ts
-  from single s left join remote r on s.sku = r.sku),
-cw as (
-  select c.sku, bid, eid, rid, c.ts,
-         count(case when w.ts <= c.ts then 1 end) n0,
-         count(case when w.ts <  c.ts + {WAIT} then 1 end) n1
-  from cr c left join wheel w on c.sku = w.sku
-  group by c.sku, bid, eid, rid, c.ts),
-car as (
-  select sku, bid, eid, rid, n0, ts arrive, case when n0 = 4 then 4 else n1 end n,
-         case when n0 = 4 then ts else ts + {WAIT} end ts
-  from cw),
-twos as (
-  select sku,
-         max(case when ci = 1 then bid end) b1, max(case when ci = 1 then eid end) e1,
-         max(case when ci = 1 then ts end) t1,
-         max(case when ci = 2 then bid end) b2, max(case when ci = 2 then eid end) e2,
-         max(case when ci = 2 then ts end) t2
-  from (select *, row_number() over (partition by sku order by ts) ci from be
-        where sku in (select sku from be group by sku having count(*) = 2))
-  group by sku),
-two_rc as (
-  select t.*,
-         case when r.ts < t.t1 + {WAIT} then r.id end rc1,
-         case when r.ts <= t.t1 then t.t1 else t.t1 + {WAIT} end s1,
-         case when r.ts >= t.t1 + {WAIT} and r.ts < t.t2 + {WAIT} then r.id end rc2,
-         case when r.ts >= t.t1 + {WAIT} and r.ts <= t.t2 then t.t2 else t.t2 + {WAIT} end s2
-  from twos t left join remote r on t.sku = r.sku),
-two_w as (
-  select c.sku, b1, e1, rc1, s1, b2, e2, rc2, s2,
-         count(case when w.ts <= s1 then 1 end) c_s1,
-         count(case when w.ts < s1 + {WAIT} then 1 end) c_d1,
-         count(case when w.ts <= s2 then 1 end) c_s2,
-         count(case when w.ts >= s1 + {WAIT} and w.ts <= s2 then 1 end) m0,
-         count(case when w.ts >= s1 + {WAIT} and w.ts < s2 + {WAIT} then 1 end) m1
-  from two_rc c left join wheel w on c.sku = w.sku
-  group by c.sku, b1, e1, rc1, s1, b2, e2, rc2, s2),
-two_out as (
-  -- the first car leaves at once with all four wheels; the second finds none
-  select sku, 1 ci, b1 bid, e1 eid, rc1 rid, 4 n, s1 ts, null::timestamp lo, s1 hi, true incl
-  from two_w where c_s1 = 4
+with recursive
+body as materialized (
+  select o_orderkey sku, o_custkey id, o_orderdate ts, 0::bigint seq from orders),
+engine as materialized (
+  select l_orderkey sku, l_partkey id, l_shipdate ts, l_partkey seq from lineitem
+  where l_linenumber = 1),
+remote as materialized (
+  select l_orderkey sku, l_partkey id, l_shipdate ts, l_partkey seq from lineitem
+  where l_linenumber = 2),
+wheel as materialized (
+  select l_orderkey sku, l_partkey id, l_shipdate ts,
+         l_linenumber * 1099511627776 + l_partkey seq
+  from lineitem where l_linenumber >= 3),
+prices as (select p_partkey id, p_retailprice price from part),
+e1 as materialized (
+  select *, row_number() over (partition by sku order by ts, seq, side) i
+  from (select *, 0 side from body union all select *, 1 from engine)),
+s1 as (
+  select sku, 0::bigint i, null::int w, null::bigint wid, null::timestamp wd,
+         null::timestamp t1, null::bigint b1, null::bigint e1,
+         null::timestamp t2, null::bigint b2, null::bigint e2
+  from e1 group by sku
   union all
-  select sku, 2, b2, e2, rc2, 0, s2 + {WAIT}, null, null, false from two_w where c_s1 = 4
+  select sku, i,
+         case when live and w <> side then null else side end,
+         case when live and w <> side then null else id end,
+         case when live and w <> side then null when live then wd else ts + {WAIT} end,
+         case when not live then wd end,
+         case when not live and w = 0 then wid end, case when not live and w = 1 then wid end,
+         case when live and w <> side then ts end,
+         case when live and w <> side then case side when 0 then id else wid end end,
+         case when live and w <> side then case side when 1 then id else wid end end
+  from (select e.sku, e.i, e.side, e.id, e.ts, s.w, s.wid, s.wd,
+               coalesce(s.wd > e.ts, false) live
+        from s1 s join e1 e on e.sku = s.sku and e.i = s.i + 1)),
+n1 as (select sku, max(i) i from e1 group by sku),
+be as materialized (
+  select sku, b1 bid, e1 eid, t1 ts, 0 now, i from s1 where t1 is not null
+  union all
+  select sku, b2, e2, t2, 1, i from s1 where t2 is not null
   union all
-  -- the first car waits and leaves before the second arrives
-  select sku, 1, b1, e1, rc1, c_d1, s1 + {WAIT}, null, s1 + {WAIT}, false
-  from two_w where c_s1 <> 4 and s2 >= s1 + {WAIT}
+  select s.sku, case w when 0 then wid end, case w when 1 then wid end, wd, 0, s.i
+  from s1 s join n1 on s.sku = n1.sku and s.i = n1.i where w is not null),
+e2 as materialized (
+  select *, row_number() over (partition by sku order by ts, is_left, k, j) n from (
+    select sku, false is_left, id rid, null::bigint bid, null::bigint eid, ts, seq k, 0 j
+    from remote
+    union all select sku, true, null, bid, eid, ts, now, i from be)),
+s2 as (
+  select sku, 0::bigint n, null::bigint bid, null::bigint eid, null::timestamp wd,
+         null::bigint rid, null::timestamp t1, null::bigint b1, null::bigint e1,
+         null::bigint r1, null::timestamp t2, null::bigint b2, null::bigint e2,
+         null::bigint r2
+  from e2 group by sku
   union all
-  select sku, 2, b2, e2, rc2, case when m0 = 4 then 4 else m1 end,
-         case when m0 = 4 then s2 else s2 + {WAIT} end, s1 + {WAIT},
-         case when m0 = 4 then s2 else s2 + {WAIT} end, m0 = 4
-  from two_w where c_s1 <> 4 and s2 >= s1 + {WAIT}
+  select sku, n,
+         case when stays then nb when live then bid end,
+         case when stays then ne when live then eid end,
+         case when live then wd when stays then ts + {WAIT} end,
+         case when not is_left then nr when stays then r end,
+         case when not live then wd end, case when not live then bid end,
+         case when not live then eid end, case when not live and wd is not null then rid end,
+         case when is_left and not stays then ts end,
+         case when is_left and not stays then nb end,
+         case when is_left and not stays then ne end,
+         case when is_left and not stays then r end
+  from (select *, is_left and r is null stays from (
+    select e.sku, e.n, e.is_left, e.bid nb, e.eid ne, e.rid nr, e.ts, s.bid, s.eid, s.wd, s.rid,
+           coalesce(s.wd > e.ts, false) live,
+           case when s.wd is null or s.wd > e.ts then s.rid end r
+    from s2 s join e2 e on e.sku = s.sku and e.n = s.n + 1))),
+n2 as (select sku, max(n) n from e2 group by sku),
+cr as materialized (
+  select sku, b1 bid, e1 eid, r1 rid, t1 ts, 0 now, n i from s2 where t1 is not null
   union all
-  -- the second car arrives during the first one's wait and finds all four wheels
-  select sku, 2, b2, e2, rc2, 4, s2, null, s2, true
-  from two_w where c_s1 <> 4 and s2 < s1 + {WAIT} and c_s2 = 4
+  select sku, b2, e2, r2, t2, 1, n from s2 where t2 is not null
   union all
-  select sku, 1, b1, e1, rc1, 0, s1 + {WAIT}, null, null, false from two_w
-  where c_s1 <> 4 and s2 < s1 + {WAIT} and c_s2 = 4
+  select s.sku, bid, eid, rid, wd, 0, s.n from s2 s join n2 on s.sku = n2.sku and s.n = n2.n
+  where wd is not null),
+e3 as materialized (
+  select *, row_number() over (partition by sku order by ts, is_left, k, j) n from (
+    select sku, false is_left, id wheel, null::bigint bid, null::bigint eid, null::bigint rid,
+           ts, seq k, 0 j
+    from wheel
+    union all select sku, true, null, bid, eid, rid, ts, now, i from cr)),
+s3 as (
+  select sku, 0::bigint n, null::bigint bid, null::bigint eid, null::bigint rid,
+         null::timestamp wd, cast([] as bigint[]) ws,
+         null::timestamp t1, null::bigint b1, null::bigint e1, null::bigint r1,
+         cast([] as bigint[]) w1,
+         null::timestamp t2, null::bigint b2, null::bigint e2, null::bigint r2,
+         cast([] as bigint[]) w2
+  from e3 group by sku
   union all
-  -- ... or replaces it and leaves at the first one's deadline (the first is lost)
-  select sku, 2, b2, e2, rc2, c_d1, s1 + {WAIT}, null, s1 + {WAIT}, false from two_w
-  where c_s1 <> 4 and s2 < s1 + {WAIT} and c_s2 <> 4),
-cars as (
-  select sku, 1 ci, bid, eid, rid, n, ts, null::timestamp lo,
-         case when n0 = 4 then arrive else arrive + {WAIT} end hi, n0 = 4 incl
-  from car
+  select sku, n,
+         case when stays then nb when live then bid end,
+         case when stays then ne when live then eid end,
+         case when stays then nr when live then rid end,
+         case when live then wd when stays then ts + {WAIT} end,
+         case when not is_left then list_append(w, wheel) when stays then w
+              else cast([] as bigint[]) end,
+         case when not live then wd end, case when not live then bid end,
+         case when not live then eid end, case when not live then rid end, ws,
+         case when is_left and not stays then ts end,
+         case when is_left and not stays then nb end,
+         case when is_left and not stays then ne end,
+         case when is_left and not stays then nr end, w
+  from (select *, is_left and len(w) <> 4 stays from (
+    select e.sku, e.n, e.is_left, e.wheel, e.bid nb, e.eid ne, e.rid nr, e.ts,
+           s.bid, s.eid, s.rid, s.wd, s.ws, coalesce(s.wd > e.ts, false) live,
+           case when s.wd is null or s.wd > e.ts then s.ws else cast([] as bigint[]) end w
+    from s3 s join e3 e on e.sku = s.sku and e.n = s.n + 1))),
+n3 as (select sku, max(n) n from e3 group by sku),
+cars as materialized (
+  select sku, b1 bid, e1 eid, r1 rid, w1 ws, t1 ts, 0 now, n i from s3 where t1 is not null
   union all
-  select * from two_out),
-wl as (
-  select c.sku, c.ci, string_agg(cast(w.id as varchar), ',' order by w.ts, w.ln) ids,
-         first(w.id order by w.ts, w.ln) first_wheel
-  from cars c join wheel w on c.sku = w.sku
-   and (c.lo is null or w.ts >= c.lo) and (w.ts < c.hi or (c.incl and w.ts = c.hi))
-  group by c.sku, c.ci),
-asm as (
-  select cars.*, coalesce(wl.ids, '') wheel_ids, wl.first_wheel,
-    case when n = 0 then 'MISSING_WHEELS' when rid is null then 'MISSING_REMOTE_CONTROL'
+  select sku, b2, e2, r2, w2, t2, 1, n from s3 where t2 is not null
+  union all
+  select s.sku, bid, eid, rid, ws, wd, 0, s.n
+  from s3 s join n3 on s.sku = n3.sku and s.n = n3.n where wd is not null),
+asm as materialized (
+  select *, cast(len(ws) as bigint) n, ws[1] first_wheel,
+    coalesce(array_to_string(ws, ','), '') wheel_ids,
+    case when len(ws) = 0 then 'MISSING_WHEELS' when rid is null then 'MISSING_REMOTE_CONTROL'
          else 'AWAITING_PRICE' end sit_code,
     case when bid is null then 'MISSING_BODY' when eid is null then 'MISSING_ENGINE'
-         when rid is null then 'MISSING_REMOTE_CONTROL' when n = 0 then 'MISSING_WHEELS'
+         when rid is null then 'MISSING_REMOTE_CONTROL' when len(ws) = 0 then 'MISSING_WHEELS'
          else 'AWAITING_PRICE' end sit_doc
-  from cars left join wl on cars.sku = wl.sku and cars.ci = wl.ci),
+  from cars),
 price_code as (
-  select a.sku, a.ts,
+  select a.sku, a.ts, a.now, a.i,
          case when a.bid is null then 'MISSING_BODY'
               when p.price is null then 'FAILED_GET_PRICE' else 'COMPLETE' end situation,
          case when a.bid is null then 0.0 when p.price is null then -1.0
@@ -132,7 +153,7 @@ price_code as (
   from asm a left join prices p on a.bid = p.id
   where a.sit_code = 'AWAITING_PRICE'),
 price_doc as (
-  select a.sku, a.ts,
+  select a.sku, a.ts, a.now, a.i,
          case when pb.price is null or pe.price is null or pr.price is null
                    or pw.price is null then 'FAILED_GET_PRICE' else 'COMPLETE' end situation,
          pb.price b, pe.price e, pr.price r, pw.price w
@@ -140,7 +161,7 @@ price_doc as (
        left join prices pr on a.rid = pr.id left join prices pw on a.first_wheel = pw.id
   where a.sit_doc = 'AWAITING_PRICE'),
 price_documented as (
-  select sku, ts, situation,
+  select sku, ts, now, i, situation,
          case when situation = 'COMPLETE'
               then round_even(round_even(b, 2) + round_even(e, 2) + round_even(r, 2)
                               + 4 * round_even(w, 2), 2) else -1.0 end total_price,
@@ -167,11 +188,7 @@ select sku, bid body_id, eid engine_id, ts,
             else 'INCOMPLETE' end situation
 from be""",
     "car_remote_wait_join": ASM_CTE + """
-select sku, bid body_id, eid engine_id, rid remote_id, ts from cr
-union all
-select sku, b1, e1, rc1, s1 from two_rc
-union all
-select sku, b2, e2, rc2, s2 from two_rc""",
+select sku, bid body_id, eid engine_id, rid remote_id, ts from cr""",
     "car_wheels_wait_join": ASM_CTE + """
 select sku, bid body_id, eid engine_id, rid remote_id, n n_wheels, wheel_ids, ts
 from asm""",
@@ -181,9 +198,9 @@ select sku, bid body_id, eid engine_id, rid remote_id, n n_wheels, ts,
     "assemble_documented": ASM_CTE + """
 select sku, bid body_id, eid engine_id, rid remote_id, n n_wheels, ts,
        sit_doc situation from asm""",
-    "price_code": ASM_CTE + "select * from price_code",
-    "price_documented": ASM_CTE + "select * from price_documented",
-    "lookup_map_in_pandas": ASM_CTE + "select * from price_documented",
+    "price_code": ASM_CTE + "select * exclude (now, i) from price_code",
+    "price_documented": ASM_CTE + "select * exclude (now, i) from price_documented",
+    "lookup_map_in_pandas": ASM_CTE + "select * exclude (now, i) from price_documented",
     "route_counts": ASM_CTE + """
 select sink, situation, cast(count(*) as bigint) n from (
   select 'complete' sink, situation from price_code where situation = 'COMPLETE'
@@ -231,21 +248,31 @@ select user_id, event_id, ts, lv view_value, rv click_value from (
   window w as (partition by user_id order by ts, event_id
                rows between unbounded preceding and current row))
 where lv is not null and rv is not null""",
+    # Cars and priced wheels wait for each other without limit.
     "part_patch_join": ASM_CTE + """,
-part as (
-  select w.sku, w.ts, round_even(p.price, 2) price
-  from wheel w join prices p on w.id = p.id where w.ln = 3),
-pairs as (
-  -- the part meets the car that waits: the newest one so far, else the next to come
-  select a.sku, a.n, p.price, greatest(a.ts, p.ts) ts,
-         row_number() over (partition by a.sku order by a.ts > p.ts,
-           case when a.ts <= p.ts then a.ts end desc nulls last,
-           case when a.ts <= p.ts and a.bid is null then 0 else 1 end,
-           a.ts, a.bid is null) pick
-  from asm a join part p on a.sku = p.sku)
-select sku, ts, cast(n as bigint) n_wheels, case when n > 0 then price end wheel_price,
-       cast(n as bigint) priced_wheels
-from pairs where pick = 1""",
+e4 as materialized (
+  select *, row_number() over (partition by sku order by ts, k, j) m from (
+    select sku, 0 side, ts, n, null::double price,
+           case now when 0 then 0 else row_number() over (partition by sku, ts, now order by i)
+           end k, i j
+    from asm
+    union all
+    select w.sku, 1, w.ts, null, round_even(p.price, 2), w.seq, 0
+    from wheel w join prices p on w.id = p.id)),
+s4 as (
+  select sku, 0::bigint m, null::int w, null::bigint n, null::double price,
+         null::timestamp t, null::bigint tn, null::double tp
+  from e4 group by sku
+  union all
+  select sku, m, case when meets then null else side end,
+         case when not meets then en end, case when not meets then ep end,
+         case when meets then ts end, case when meets then coalesce(en, n) end,
+         case when meets then coalesce(ep, price) end
+  from (select e.sku, e.m, e.side, e.ts, e.n en, e.price ep, s.w, s.n, s.price,
+               coalesce(s.w <> e.side, false) meets
+        from s4 s join e4 e on e.sku = s.sku and e.m = s.m + 1))
+select sku, t ts, tn n_wheels, case when tn > 0 then tp end wheel_price, tn priced_wheels
+from s4 where t is not null""",
     "kind_label": ASM_CTE + """
 select kind, replace(lower(kind), '_', '-') label, cast(count(*) as bigint) n from (
   select 'BODY' kind from body union all select 'ENGINE' from engine
@@ -258,12 +285,11 @@ select sku, bid body_id, eid engine_id, rid remote_id, n n_wheels, ts,
        sit_code situation from asm""",
 }
 
-# Kept names of the same queries, and forms that run the per-key machine.
+# Other forms of the same queries.
 for _p in ("code", "documented"):
-    for _form in ("assemble_all", "assemble_ordered", "stream_assemble"):
+    for _form in ("assemble_ordered", "stream_assemble"):
         ORACLE[f"{_form}_{_p}"] = ORACLE[f"assemble_{_p}"]
-for _name in ("route_counts_all", "stream_route_counts"):
-    ORACLE[_name] = ORACLE["route_counts"]
+ORACLE["stream_route_counts"] = ORACLE["route_counts"]
 ORACLE["replaced_cars"] = ASM_CTE + """,
 formed as (select sku, count(*) formed from be group by sku),
 assembled as (select sku, count(*) assembled from asm group by sku)
@@ -362,7 +388,7 @@ priced as (
          coalesce(p.total_price, 0.0) total_price, p.body_price, p.engine_price,
          p.wheel_price, a.bid, a.eid, a.rid, a.n
   from asm a left join price_documented p
-    on a.sku = p.sku and a.ts = p.ts and a.sit_doc = 'AWAITING_PRICE')
+    on a.sku = p.sku and a.ts = p.ts and a.now = p.now and a.i = p.i)
 select case when situation = 'COMPLETE' then 'complete' else 'incomplete' end sink,
        'SKU-' || sku sku, ts, situation, total_price, 'P-' || bid body_id,
        'color-' || (bid % 7) color,

@@ -48,8 +48,8 @@ def _situation_jn1():
 
 def body_engine(spark, sf_dir):
     parts = fx.car_parts(spark, sf_dir)
-    frame = R.topic_frame(parts["body"], "sku", "body", payload=["id"]).unionByName(
-        R.topic_frame(parts["engine"], "sku", "engine", payload=["id"]))
+    frame = R.topic_frame(parts["body"], "sku", "body", "seq", payload=["id"]).unionByName(
+        R.topic_frame(parts["engine"], "sku", "engine", "seq", payload=["id"]))
     out = R.run_sliced(spark, frame, WaitJoin("full", CAR_WAIT_US, "body", "engine"),
                        "jn1", SLICES, CAR_WAIT_MS + 1)
     flat = out.select(F.col("key").cast("bigint").alias("sku"),
@@ -62,9 +62,10 @@ def car_remote(spark, sf_dir):
     """JN2 on its own: the cars (batch JN1 output) wait for the remote."""
     parts = fx.car_parts(spark, sf_dir)
     cars = A.body_engine(parts).select(
-        "sku", "ts", F.col("body.id").alias("body_id"), F.col("engine.id").alias("engine_id"))
-    frame = R.topic_frame(cars, "sku", "car", payload=["body_id", "engine_id"]).unionByName(
-        R.topic_frame(parts["remote"], "sku", "remote", payload=["id"]))
+        "sku", "ts", "seq", F.col("body.id").alias("body_id"), F.col("engine.id").alias("engine_id"))
+    frame = R.topic_frame(cars, "sku", "car", "seq", payload=["body_id", "engine_id"]
+                          ).unionByName(
+        R.topic_frame(parts["remote"], "sku", "remote", "seq", payload=["id"]))
     out = R.run_sliced(spark, frame, WaitJoin("left", CAR_WAIT_US, "car", "remote"),
                        "jn2", SLICES, 2 * CAR_WAIT_MS + 1)
     return out.select(F.col("key").cast("bigint").alias("sku"),
@@ -77,11 +78,11 @@ def car_wheels(spark, sf_dir):
     """JN3 on its own: the cars (batch JN1 + JN2 output) collect wheels, four expected."""
     parts = fx.car_parts(spark, sf_dir)
     cars = A.car_remote(A.body_engine(parts), parts).select(
-        "sku", "ts", F.col("body.id").alias("body_id"), F.col("engine.id").alias("engine_id"),
+        "sku", "ts", "seq", F.col("body.id").alias("body_id"), F.col("engine.id").alias("engine_id"),
         F.col("remote.id").alias("remote_id"))
-    frame = R.topic_frame(cars, "sku", "car", payload=["body_id", "engine_id", "remote_id"]
-                          ).unionByName(
-        R.topic_frame(parts["wheel"], "sku", "wheel", seq="ln", payload=["id", "ln"]))
+    frame = R.topic_frame(cars, "sku", "car", "seq",
+                          payload=["body_id", "engine_id", "remote_id"]).unionByName(
+        R.topic_frame(parts["wheel"], "sku", "wheel", "seq", payload=["id", "ln"]))
     out = R.run_sliced(spark, frame,
                        WaitJoin("collect", CAR_WAIT_US, "car", "wheel", EXPECTED_WHEELS),
                        "jn3", SLICES, 3 * CAR_WAIT_MS + 1)
@@ -97,10 +98,10 @@ def car_wheels(spark, sf_dir):
 
 def assembly_frame(spark, sf_dir) -> DataFrame:
     parts = fx.car_parts(spark, sf_dir)
-    frame = (R.topic_frame(parts["body"], "sku", "body", payload=["id"])
-             .unionByName(R.topic_frame(parts["engine"], "sku", "engine", payload=["id"]))
-             .unionByName(R.topic_frame(parts["remote"], "sku", "remote", payload=["id"]))
-             .unionByName(R.topic_frame(parts["wheel"], "sku", "wheel", seq="ln",
+    frame = (R.topic_frame(parts["body"], "sku", "body", "seq", payload=["id"])
+             .unionByName(R.topic_frame(parts["engine"], "sku", "engine", "seq", payload=["id"]))
+             .unionByName(R.topic_frame(parts["remote"], "sku", "remote", "seq", payload=["id"]))
+             .unionByName(R.topic_frame(parts["wheel"], "sku", "wheel", "seq",
                                         payload=["id", "ln", "placement"])))
     return frame
 
@@ -184,10 +185,7 @@ def encoded_part_topics(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     for kind, rec in records.items():
         if kind not in parts:
             continue
-        df = parts[kind]
-        seq = F.col("ln").cast("long") if "ln" in df.columns else F.lit(0).cast("long")
-        out[kind] = encode(df.withColumn("seq", seq), F.concat(F.lit("SKU-"), F.col("sku")),
-                           rec)
+        out[kind] = encode(parts[kind], F.concat(F.lit("SKU-"), F.col("sku")), rec)
     return out
 
 
@@ -242,7 +240,7 @@ def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[st
     edges = [None, *bounds, None]
     last = all_ts.agg(F.max(ms)).first()[0]
     end = encoded_part_topics({"body": spark.createDataFrame(
-        [(R.SENTINEL, 0, None)], "sku string, id long, ts timestamp_ntz")})["body"]
+        [(R.SENTINEL, 0, None, 0)], "sku string, id long, ts timestamp_ntz, seq long")})["body"]
     steps = [{k: t.filter((ms >= lo) if lo is not None else F.lit(True))
               .filter((ms < hi) if hi is not None else F.lit(True)) for k, t in topics.items()}
              for lo, hi in zip(edges[:-1], edges[1:])]

@@ -1,13 +1,12 @@
 """Part, price, tax-tag and text tables derived from the driver's tables (FIXTURES.md §2).
 
 Each derived table has the shape the operators consume: ``sku`` key, ``id`` payload,
-``ts`` arrival time and, where rows of a key can tie on time, ``seq``.
+``ts`` arrival time and ``seq``, the order of rows of a key that tie on time.
 
-Mapping (FIXTURES.md §2.1): a body is an order (one order priority left out, so that
-MISSING_BODY occurs); line 1 of an order is its engine, line 2 its remote control,
-lines 3-6 its wheels; prices are part retail prices with large parts left out, so that
-FAILED_GET_PRICE occurs. ``(l_orderkey, l_linenumber)`` repeats in the data: the row
-with the smallest ``(l_shipdate, l_partkey, l_suppkey)`` is kept.
+Mapping (FIXTURES.md §2.1): every order is a body; of its lines, every line 1 is an engine,
+every line 2 a remote control, every line from 3 on a wheel; every part has a price.
+``(l_orderkey, l_linenumber)`` repeats in the data, so parts of a sku do: they are further
+arrivals of that part.
 """
 
 from __future__ import annotations
@@ -19,55 +18,53 @@ from partflow.schemas import BR_STATES, WHEEL_PLACEMENTS
 from partflow.sources.tables import table
 
 # Fixed fixture parameters (FIXTURES.md).
-BODY_LEFT_OUT_PRIORITY = "5-LOW"
-MAX_PRICED_SIZE = 45
 ENGINE_LINE = 1
 REMOTE_LINE = 2
-WHEEL_LINES = (3, 6)
+FIRST_WHEEL_LINE = 3
 CAR_WAIT = "700 days"
+#: A wheel's ``seq`` is its line times this, plus its part.
+LINE_STEP = 1 << 40
 
 
 def line_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (order, line): the earliest by (shipdate, partkey, suppkey).
-
-    A grouped ``min`` of a struct rather than ``row_number``: it pre-aggregates
-    map-side, so a hot order key never lands whole in one task."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey")
-    first = (li.groupBy("l_orderkey", "l_linenumber")
-             .agg(F.min(F.struct("l_shipdate", "l_partkey", "l_suppkey")).alias("m")))
-    return first.select(F.col("l_orderkey").alias("sku"),
-                        F.col("m.l_partkey").alias("id"),
-                        F.col("l_linenumber").alias("ln"),
-                        F.col("m.l_shipdate").alias("ts"))
+    """One row per row of ``lineitem``. Rows that tie on time come by their part."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("sku"), F.col("l_partkey").alias("id"),
+                     F.col("l_linenumber").alias("ln"), F.col("l_shipdate").alias("ts"))
 
 
 def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    return (o.filter(F.col("o_orderpriority") != BODY_LEFT_OUT_PRIORITY)
-            .select(F.col("o_orderkey").alias("sku"), F.col("o_custkey").alias("id"),
-                    F.col("o_orderdate").alias("ts")))
+    return o.select(F.col("o_orderkey").alias("sku"), F.col("o_custkey").alias("id"),
+                    F.col("o_orderdate").alias("ts"), F.lit(0).cast("long").alias("seq"))
+
+
+def _of_line(lines: DataFrame, line: int) -> DataFrame:
+    return lines.filter(F.col("ln") == line).select("sku", "id", "ts", F.col("id").alias("seq"))
 
 
 def engines(lines: DataFrame) -> DataFrame:
-    return lines.filter(F.col("ln") == ENGINE_LINE).select("sku", "id", "ts")
+    return _of_line(lines, ENGINE_LINE)
 
 
 def remotes(lines: DataFrame) -> DataFrame:
-    return lines.filter(F.col("ln") == REMOTE_LINE).select("sku", "id", "ts")
+    return _of_line(lines, REMOTE_LINE)
 
 
 def wheels(lines: DataFrame) -> DataFrame:
+    """Lines from 3 on; places in turn, so that a fifth line is a second front left wheel."""
     placement = F.element_at(F.array(*[F.lit(p) for p in WHEEL_PLACEMENTS]),
-                             (F.col("ln") - WHEEL_LINES[0] + 1).cast("int"))
-    return (lines.filter(F.col("ln").between(*WHEEL_LINES))
-            .select("sku", "id", "ts", "ln", placement.alias("placement")))
+                             ((F.col("ln") - FIRST_WHEEL_LINE) % len(WHEEL_PLACEMENTS) + 1)
+                             .cast("int"))
+    return (lines.filter(F.col("ln") >= FIRST_WHEEL_LINE)
+            .select("sku", "id", "ts", "ln",
+                    (F.col("ln") * F.lit(LINE_STEP) + F.col("id")).alias("seq"),
+                    placement.alias("placement")))
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    return (p.filter(F.col("p_size") <= MAX_PRICED_SIZE)
-            .select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("price")))
+    return p.select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("price"))
 
 
 def car_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

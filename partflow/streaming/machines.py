@@ -106,18 +106,24 @@ class WaitJoin(Machine):
              output; a left row finding a right row leaves at once with it.
     collect: right rows are collected; a left row finding exactly ``expected`` leaves
              at once with them, otherwise at its deadline with all collected so far.
-    Collected/stored right rows are consumed by the row that leaves with them."""
+    Collected/stored right rows are consumed by the row that leaves with them. ``numbered``
+    outputs say whether they leave on an arrival (``now``) and in which order of their instant
+    (``at``; 0 at a deadline)."""
 
     def __init__(self, mode: str, within_ms: int | None, left: str = "left",
-                 right: str = "right", expected: int | None = None):
+                 right: str = "right", expected: int | None = None, numbered: bool = False):
         self.mode, self.T, self.L, self.R, self.expected = mode, within_ms, left, right, expected
+        self.numbered = numbered
+
+    def _obj(self, at: int, **fields) -> str:
+        return obj(**fields, now=at > 0, at=at) if self.numbered else obj(**fields)
 
     def next_deadline(self, st):
         return st.get("wd")
 
     def _lone(self, st, t):
-        return (t, obj(**{self.L: st.get("w") if st.get("ws") == self.L else None,
-                          self.R: st.get("w") if st.get("ws") == self.R else None}))
+        return (t, self._obj(0, **{self.L: st.get("w") if st.get("ws") == self.L else None,
+                                   self.R: st.get("w") if st.get("ws") == self.R else None}))
 
     def _wait(self, st, side, val, t):
         if st.get("w") is not None:
@@ -133,11 +139,11 @@ class WaitJoin(Machine):
             if self.mode == "full":
                 out.append(self._lone(st, wd))
             elif self.mode == "left":
-                out.append((wd, obj(**{self.L: st["w"], self.R: st.get("r")})))
+                out.append((wd, self._obj(0, **{self.L: st["w"], self.R: st.get("r")})))
                 st["r"] = None
             else:
                 got = items.get()
-                out.append((wd, obj(**{self.L: st["w"], self.R: got, "n": len(got)})))
+                out.append((wd, self._obj(0, **{self.L: st["w"], self.R: got, "n": len(got)})))
                 items.clear()
                 st["n"] = None
             st["w"] = st["ws"] = st["wd"] = None
@@ -146,7 +152,7 @@ class WaitJoin(Machine):
                 if st.get("w") is not None and st.get("ws") != side:
                     pair = {self.L: val if side == self.L else st["w"],
                             self.R: val if side == self.R else st["w"]}
-                    out.append((t, obj(**pair)))
+                    out.append((t, self._obj(len(out) + 1, **pair)))
                     st["w"] = st["ws"] = st["wd"] = None
                 else:
                     self._wait(st, side, val, t)
@@ -163,11 +169,12 @@ class WaitJoin(Machine):
             if side != self.L:
                 continue
             if self.mode == "left" and st.get("r") is not None:
-                out.append((t, obj(**{self.L: val, self.R: st["r"]})))
+                out.append((t, self._obj(len(out) + 1, **{self.L: val, self.R: st["r"]})))
                 st["r"] = None
             elif self.mode == "collect" and (st.get("n") or 0) == self.expected:
                 got = items.get()
-                out.append((t, obj(**{self.L: val, self.R: got, "n": len(got)})))
+                out.append((t, self._obj(len(out) + 1,
+                                         **{self.L: val, self.R: got, "n": len(got)})))
                 items.clear()
                 st["n"] = None
             else:

@@ -183,8 +183,8 @@ def test_foreach_batch_sinks_survive_a_crash_between_writes(spark):
     checkpoint, replays that batch and leaves both sinks as an unbroken run does."""
     from partflow.sources import fixtures as fx
     parts = fx.car_parts(spark, SF001)
-    frame = R.topic_frame(parts["body"], "sku", "body", payload=["id"]).unionByName(
-        R.topic_frame(parts["engine"], "sku", "engine", payload=["id"]))
+    frame = R.topic_frame(parts["body"], "sku", "body", "seq", payload=["id"]).unionByName(
+        R.topic_frame(parts["engine"], "sku", "engine", "seq", payload=["id"]))
     topic = scratch_path(spark, "fb-topic")
     R.write_time_sliced(spark, frame, topic, 4, ST.CAR_WAIT_MS + 1)
 
