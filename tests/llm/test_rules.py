@@ -291,6 +291,32 @@ def test_mix_tree_of_buckets(docs_of, monkeypatch):
         assert abs(sum(r.taken for r in own) - own[0].target) < 60
 
 
+def test_mixed_documents_of_repeated_and_null_keys(docs_of, monkeypatch):
+    """Rows alike in key, or in all, over sources of their own; some of them hot."""
+    from partflow.llm import mixing as M
+    monkeypatch.setattr(M, "HOT", 20)
+    rnd = random.Random(4)
+    rows = [(rnd.choice([None, 1, i]), "w " * rnd.choice([3, 9, 40]), "en", rnd.choice("aabc"))
+            for i in range(900)]
+    rows += [(1, "w " * 40, "en", "c")] * 700 + [(None, None, "en", None)] * 30
+    rows += [(9, "a b c", "de", "b")] * 7
+    docs = docs_of(rows).repartition(3)
+    plan = M.mix(docs).collect()
+    out = M.mixed_documents(docs.selectExpr("*", "1 as id1", "2 as _n", "3 as row"))
+    assert out.columns == [*docs.columns, "id1", "_n", "row"]
+    got = Counter((r.doc_id, r.source, len((r.text or "").split())) for r in out.collect())
+    want = Counter()
+    for r in plan:
+        want[r.doc_id, r.source, r.size] += r.copies
+    assert got == +want
+    for s in {r.source for r in plan}:
+        own = [r for r in plan if r.source == s]
+        words = sum(n * size for (_, x, size), n in got.items() if x == s)
+        assert abs(words - own[0].target) <= 40
+        assert all(r.copies in (int(r.target / r.source_size), int(r.target / r.source_size) + 1)
+                   for r in own if r.source_size)
+
+
 def test_settle_keeps_mass_and_expectation():
     from partflow.llm.mixing import settle
     size = sorted([900, 300, 120, 80, 50, 30, 20, 11, 10, 10, 5, 3, 2, 1], reverse=True)
