@@ -192,12 +192,17 @@ class Model:
         pairs = [[1.0, 1.0], [1.0, 1.0]]
         for source in pages:
             page = Page(source)
-            label = [x or 0 for x in page.labels()]
+            # Nodes whose markup states nothing teach nothing; the root is other.
+            label = page.labels()
+            label[0] = label[0] or 0
             for i, f in enumerate(page.features()):
+                if label[i] is None:
+                    continue
                 nodes[label[i]] += 1
                 marks[label[i]].update(f)
-                if i:
-                    pairs[label[page.parent[i]]][label[i]] += 1
+                above = label[page.parent[i]] if i else None
+                if above is not None:
+                    pairs[above][label[i]] += 1
         # The root is other; everything else is judged by its marks and its parent.
         self.pair = [[max(CHANGE, x / sum(row)) for x in row] for row in pairs]
         total = [n + 1000 for n in nodes]
@@ -268,9 +273,10 @@ class Model:
 
 
 def fit_content(pages: DataFrame, source: str = "html", rows: int = TRAIN_PAGES) -> Model:
-    """The model from at most about ``rows`` pages, chosen by a hash of their text."""
+    """The model from at most about ``rows`` distinct pages, chosen by a hash of their text."""
     page = text_of(source)
-    sample = hash_sample(pages.where(page != "").select(page.alias("t")), F.col("t"), rows)
+    sample = hash_sample(pages.where(page != "").select(page.alias("t")), F.col("t"),
+                         rows).dropDuplicates(["t"])
     return Model(sorted(texts(sample.toArrow().column("t"))))
 
 

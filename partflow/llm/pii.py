@@ -4,13 +4,17 @@
 * High-recall generators propose further, overlapping candidates of each kind. Each has
   features of its format and of the text around it.
 * Boosted trees are trained on the candidates of a bounded sample of documents
-  (``TRAIN_DOCS``), labelled by whether they overlap a base span of their kind. The trees
-  are then written out as one column expression, so scoring is a plain projection: no row
+  (``TRAIN_DOCS``). Positives are the candidates that overlap a base span of their kind, with
+  the format that tells them masked (``mask``: the plus sign dropped, ``@`` spelled out,
+  separators changed), so that the trees learn from shape and context what the base rules
+  can't see; the features hold no base pattern. All other candidates are unlabelled. The
+  trees are written out as one column expression, so scoring is a plain projection: no row
   leaves its place and nothing is joined back.
-* A threshold per kind is calibrated on all documents but those that trained the trees: the
-  lowest score from which on at least ``PRECISION`` of the candidates carry the label, and
-  ``SUPPORT`` at least. Candidates above it that overlap no other span are added; a kind for
-  which no such score exists adds none.
+* The score of a labelled candidate is the probability of being labelled; divided by its mean
+  over positives that didn't train the trees it is the probability of the kind (positives
+  labelled at random). That mean is taken per kind over all documents outside training.
+  Candidates with a probability of ``SURE`` at least that overlap no other span are added.
+  On tables that hold no personal data but in the base formats none is.
 
 Positions are code points, ends exclusive. Null texts count as empty: no spans. Repeated
 rows each get their row; an empty table gives an empty result.
@@ -54,8 +58,8 @@ WIDE = {
 
 #: Most documents whose candidates train the trees, and most candidates.
 TRAIN_DOCS, TRAIN_ROWS = 20_000, 40_000
-#: Share of labelled candidates from the threshold on; labelled ones it needs at least.
-PRECISION, SUPPORT = 0.99, 20
+#: Probability from which on a candidate is added.
+SURE = 0.9
 #: Characters of context on each side.
 AROUND = 24
 
@@ -167,17 +171,42 @@ def features(kind: Column, c: Column) -> list[Column]:
         return (n - F.length(F.translate(s, chars, ""))).cast("double")
 
     return [*[flag(kind == k) for k in KINDS], n.cast("double"), digits.cast("double"),
-            *[count(x) for x in (".", "-", " ", "()", "@", ":")],
-            flag(c["left"].rlike(r"\+\x20?$") | s.startswith("+")),
+            *[count(x) for x in (".", "-", " ", "()", ":", "/")],
             F.coalesce(F.substring(only_digits(s), 1, 1).try_cast("double"), F.lit(-1.0)),
             flag(F.when(_between(digits, 12, 19), luhn(only_digits(s))).otherwise(False)),
-            flag(s.rlike(OCTETS)),
-            flag(s.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")),
+            flag(F.translate(s, ",", ".").rlike(OCTETS)),
+            flag(s.rlike(r"\p{L}\.\p{L}{2,}\W*$")),
             flag(c["left"].rlike(r"[\s(\[<\"']$") | (c["left"] == "")),
+            flag(c["left"].rlike(r"[0-9A-Za-z]$")), flag(c["right"].rlike(r"^[0-9A-Za-z]")),
             flag(c["right"].rlike(r"^[\s.,;:!?)\]>\"']") | (c["right"] == "")),
             *[flag(near.rlike(h)) for h in HINTS]]
 
 
+def mask(kind: str, c: Column) -> Column:
+    """A labelled candidate without the format that the base rules know it by, in one of a few
+    variants, chosen by its hash."""
+    s, left = c["s"], c["left"]
+    pick = F.pmod(F.xxhash64(s, left), F.lit(3))
+
+    def variant(*some):
+        return F.when(pick == 0, some[0]).when(pick == 1, some[1]).otherwise(some[2])
+    if kind == "email":
+        s = variant(F.replace(s, F.lit("@"), F.lit(" [at] ")),
+                    F.replace(s, F.lit("@"), F.lit("(at)")),
+                    F.replace(s, F.lit("@"), F.lit(" @ ")))
+    elif kind == "ip":
+        s = variant(F.translate(s, ".", ","), s, s)
+    elif kind == "card":
+        d = only_digits(s)
+        s = variant(F.regexp_replace(d, r"([0-9]{4})(?=[0-9])", "$1."),
+                    F.regexp_replace(d, r"([0-9]{4})(?=[0-9])", "$1/"), d)
+    else:
+        left = F.regexp_replace(left, r"\+\x20?$", "")
+        s = variant(F.ltrim(F.regexp_replace(s, r"^\+?[0-9]\x20?(?=\()", "")),
+                    F.translate(s, "+", ""), F.translate(F.translate(s, "+()", ""), " ", "-"))
+    return F.struct(s.alias("s"), left.alias("left"), c["right"].alias("right"))
+
+
 def _same_type(kind: str, spans: Column) -> Column:
     return F.transform(spans, lambda c: F.struct(
         F.lit(kind).alias("kind"), F.lit(KINDS.index(kind)).alias("nth"),
@@ -188,9 +217,10 @@ def _overlaps(a: Column, b: Column) -> Column:
     return (a["start"] < b["stop"]) & (b["start"] < a["stop"])
 
 
-def candidates(docs: DataFrame, text: str) -> DataFrame:
+def candidates(docs: DataFrame, text: str, masked: bool = False) -> DataFrame:
     """``docs`` with ``_base`` (the base spans of all kinds) and ``_wide`` (candidates with
-    their kind, features and whether they overlap a base span of their kind)."""
+    their kind, features and whether they overlap a base span of their kind; where ``masked``,
+    those that do have the features of their masked form)."""
     t, digit = text_of(text), F.col("_digit")
     rows = docs.withColumn("_digit", t.rlike(DIGIT))
 
@@ -202,10 +232,18 @@ def candidates(docs: DataFrame, text: str) -> DataFrame:
                          for k, (p, some, digits) in WIDE.items()])
 
     def described(k):
-        return F.transform(f"_wide_{k}", lambda c: F.struct(
+        known = F.transform(f"_wide_{k}", lambda c: F.struct(
+            c["start"].alias("start"), c["stop"].alias("stop"), c["s"].alias("s"),
+            c["left"].alias("left"), c["right"].alias("right"),
+            F.exists(f"_base_{k}", lambda b: _overlaps(b, c)).alias("label")))
+        if masked:
+            known = F.transform(known, lambda c: F.when(c["label"], F.struct(
+                c["start"].alias("start"), c["stop"].alias("stop"), mask(k, c)["s"].alias("s"),
+                mask(k, c)["left"].alias("left"), c["right"].alias("right"),
+                c["label"].alias("label"))).otherwise(c))
+        return F.transform(known, lambda c: F.struct(
             F.lit(k).alias("kind"), F.lit(KINDS.index(k)).alias("nth"),
-            c["start"].alias("start"), c["stop"].alias("stop"),
-            F.exists(f"_base_{k}", lambda b: _overlaps(b, c)).alias("label"),
+            c["start"].alias("start"), c["stop"].alias("stop"), c["label"].alias("label"),
             F.array(*features(F.lit(k), c)).alias("f")))
     return rows.select(*docs.columns,
                        F.concat(*[_same_type(k, F.col(f"_base_{k}"))
@@ -234,39 +272,29 @@ def _expression(model, f: Column) -> Column:
 
 
 def fit(docs: DataFrame, text: str = "text"):
-    """(model, threshold per kind): the trees from a bounded sample of ``docs``, the
-    thresholds from the candidates of all documents that did not train them; (None, {})
-    where the sample has candidates of one label only."""
+    """(model, least score per kind): the trees from a bounded sample of distinct texts of
+    ``docs``, the scores from the masked positives of all documents that did not train them;
+    (None, {}) where the sample has candidates of one label only."""
     docs = docs.select(text_of(text).alias("t"))
     drawn = hash_chosen(docs, F.col("t"), TRAIN_DOCS)
     train = F.pmod(F.xxhash64(F.lit("part"), F.xxhash64("t")), F.lit(10)) < 7
-    rows = store(candidates(docs.where(drawn), "t").select(
-        F.xxhash64("t").alias("h"), train.alias("train"), F.explode("_wide").alias("c"))
-        .select("h", "train", "c.*"), "pii-candidates")
-    rows = store(hash_sample(rows, F.struct("h", "kind", "start"), TRAIN_ROWS).where("train")
+    some = store(docs.where(drawn & train).dropDuplicates(["t"]), "pii-texts")
+    rows = store(candidates(some, "t", masked=True).select(
+        F.xxhash64("t").alias("h"), F.explode("_wide").alias("c")).select("h", "c.*"),
+        "pii-candidates")
+    rows = store(hash_sample(rows, F.struct("h", "kind", "start"), TRAIN_ROWS)
                  .select(F.col("label").cast("double").alias("label"), "f").coalesce(2),
                  "pii-sample")
     if rows.select("label").distinct().count() < 2:
         return None, {}
-    model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=12, maxDepth=3,
+    model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=12, maxDepth=4,
                           stepSize=0.3, seed=7).fit(
         rows.select("label", array_to_vector("f").alias("x")))
-    held = (candidates(docs.where(~(drawn & train)), "t")
-            .select(F.explode("_wide").alias("c")).select(
-                F.col("c.kind").alias("kind"), F.col("c.label").cast("double").alias("label"),
-                F.round(_expression(model, F.col("c.f")), 3).alias("score")))
-    # At most 1001 scores per kind reach the driver.
-    levels = sorted(((r["kind"], r["score"], r["n"], r["good"]) for r in held.groupBy(
-        "kind", "score").agg(F.count("*").alias("n"), F.sum("label").alias("good")).collect()),
-        key=lambda r: -r[1])
-    limits: dict[str, float] = {}
-    for kind in KINDS:
-        n = good = 0
-        for _, score, m, g in (x for x in levels if x[0] == kind):
-            n, good = n + m, good + g
-            if good >= SUPPORT and good >= PRECISION * n:
-                limits[kind] = score
-    return model, limits
+    held = (candidates(docs.where(~(drawn & train)), "t", masked=True)
+            .select(F.explode(F.filter("_wide", lambda c: c["label"])).alias("c"))
+            .select(F.col("c.kind").alias("kind"), _expression(model, F.col("c.f")).alias("p")))
+    mean = {r["kind"]: r["p"] for r in held.groupBy("kind").agg(F.avg("p").alias("p")).collect()}
+    return model, {k: SURE * p for k, p in mean.items()}
 
 
 def spans(docs: DataFrame, model, limits: dict[str, float], text: str = "text") -> DataFrame:
@@ -281,7 +309,7 @@ def spans(docs: DataFrame, model, limits: dict[str, float], text: str = "text")
         limit = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])
         rows = rows.withColumn("_wide", F.filter("_wide", lambda c: ~F.exists(
             "_base", lambda b: _overlaps(b, c))))
-        chosen = F.filter("_wide", lambda c: F.round(_expression(model, c["f"]), 3)
+        chosen = F.filter("_wide", lambda c: _expression(model, c["f"])
                           >= F.coalesce(F.element_at(limit, c["kind"]), F.lit(2.0)))
         rows = rows.withColumn("_added", F.transform(F.array_sort(F.transform(
             chosen, lambda c: F.struct(c["start"].alias("start"), c["nth"].alias("nth"),

@@ -23,12 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partflow.llm.common import SPACE_CHARS, SPACES, WORD, store, text_of
+from partflow.operators.sizing import bounded_broadcast
 
 #: Fixed value: the symbols that count.
 SYMBOLS = "#*$%&|<>"
 #: Rows a group needs for its own estimate; share of rows that a concentration step keeps;
 #: number of steps.
 LEAST, KEEP, STEPS = 100, 0.75, 3
+#: Groups whose estimates are broadcast (some 50 numbers each).
+GROUPS = 50_000
 #: Least standard deviation of each statistic, in its transformed unit: a deviation this
 #: small says nothing about quality.
 FLOOR = {"log_words": 0.8, "log_word_len": 0.12, "symbols": 0.05, "dup_lines": 0.12,
@@ -131,9 +134,17 @@ def _estimate(rows: DataFrame, by: list[str], names: list[str]) -> DataFrame:
                       det.alias("det"))
 
 
+def _beside(rows: DataFrame, table: DataFrame, by: str | list[str]) -> DataFrame:
+    """``rows`` with their group's row of ``table``, a written table of one row per group. Up to
+    ``GROUPS`` groups, by an exact count, it is broadcast, and the rows of a hot group stay
+    where they are; a longer one is joined by shuffle, where no group can be most of the
+    rows unless it is split by the adaptive skew join."""
+    return rows.join(bounded_broadcast(table, GROUPS), by)
+
+
 def _distance(rows: DataFrame, fit: DataFrame, by: list[str], d: int) -> DataFrame:
     """``rows`` with ``d2``, the squared Mahalanobis distance to their group's fit."""
-    rows = rows.join(fit, by)
+    rows = _beside(rows, fit, by)
     for i in range(d):
         rows = rows.withColumn(f"z{i}", (F.col(f"x{i}") - F.col(f"m{i}") - sum(
             (F.col(f"l{i}_{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0)))
@@ -143,8 +154,9 @@ def _distance(rows: DataFrame, fit: DataFrame, by: list[str], d: int) -> DataFra
 
 def _nearest(rows: DataFrame, by: list[str]) -> DataFrame:
     """The share ``KEEP`` of each group's rows with the smallest ``d2``."""
-    at = rows.groupBy(*by).agg(F.percentile_approx("d2", KEEP, 2000).alias("at"))
-    return rows.join(at, by).where("d2 <= at")
+    at = store(rows.groupBy(*by).agg(F.percentile_approx("d2", KEEP, 2000).alias("at")),
+               "mcd-cut")
+    return _beside(rows, at, by).where("d2 <= at")
 
 
 def _code(*cols: str) -> Column:
@@ -167,15 +179,15 @@ def robust_fit(rows: DataFrame, names: list[str]) -> DataFrame:
     """g, mean and Cholesky factor: the reweighted minimum covariance determinant of the rows'
     vectors x0, x1, ... per group. ``rows`` should be a written table."""
     d, by = len(names), ["g", "start"]
-    middle = rows.groupBy("g").agg(*[F.percentile_approx(f"x{i}", 0.5, 2000).alias(f"m{i}")
-                                     for i in range(d)])
-    near = rows.join(middle, "g")
+    middle = store(rows.groupBy("g").agg(*[
+        F.percentile_approx(f"x{i}", 0.5, 2000).alias(f"m{i}") for i in range(d)]), "mcd-middle")
+    near = _beside(rows, middle, "g")
     spread = near.groupBy("g").agg(*[
         (F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 2000) * 1.4826
          + FLOOR[x]).alias(f"s{i}") for i, x in enumerate(names)])
-    near = store(middle.join(spread, "g"), "mcd-middle")
+    near = store(middle.join(spread, "g"), "mcd-spread")
     far = [F.abs(F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"s{i}") for i in range(d)]
-    begun = rows.join(near, "g").select(
+    begun = _beside(rows, near, "g").select(
         "g", *[f"x{i}" for i in range(d)],
         F.explode(F.array(          # by scaled squares, and by the largest single deviation
             F.struct(F.lit(0).alias("start"), sum((x * x for x in far), F.lit(0.0)).alias("d2")),
@@ -191,8 +203,9 @@ def robust_fit(rows: DataFrame, names: list[str]) -> DataFrame:
     fit = store(fit.join(best.select("g", F.col("best.start").alias("start")),
                          ["g", "start"]).drop("start"), "mcd-best")
     at = _distance(rows, fit, ["g"], d)
-    scale = at.groupBy("g").agg(F.percentile_approx("d2", 0.5, 2000).alias("mid"))
-    inner = at.join(scale, "g").where(F.col("d2") * MEDIAN
+    scale = store(at.groupBy("g").agg(F.percentile_approx("d2", 0.5, 2000).alias("mid")),
+                  "mcd-scale")
+    inner = _beside(at, scale, "g").where(F.col("d2") * MEDIAN
                                       <= INNER * F.greatest("mid", F.lit(1e-9)))
     return store(_estimate(inner.select("g", *[f"x{i}" for i in range(d)]), ["g"], names),
                  "mcd-fit")
@@ -215,8 +228,10 @@ def judged(docs: DataFrame, text: str, own: list[str]) -> DataFrame:
                  "quality-rows")
     passed = rows.where("not base_failed").select("both", "lone", *x)
     group = store(groups(passed), "quality-groups")
-    fit = robust_fit(passed.join(group, "both").select("g", *x), names)
-    inside = _distance(rows.where("not base_failed").join(group, "both"), fit, ["g"], len(x))
+    grouped = store(_beside(passed, group, "both").select("g", *x), "quality-grouped")
+    fit = robust_fit(grouped, names)
+    inside = _distance(_beside(rows.where("not base_failed"), group, "both"), fit, ["g"],
+                       len(x))
     return inside.select("_own", *COUNTS, "d2", (F.col("d2") <= CUT).alias("kept")
                          ).unionByName(
         rows.where("base_failed").select("_own", *COUNTS,

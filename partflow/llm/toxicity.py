@@ -28,8 +28,9 @@ from partflow.llm.common import hash_sample, text_of, texts
 
 #: Most labelled rows that training uses.
 TRAIN_ROWS = 6000
-#: Documents of one label that hold a feature; standard errors; most features of the model.
-LEAST, SURE, FEATURES = 5, 5.0, 200_000
+#: Documents of one label that hold a feature; standard errors. (The number of features is
+#: bounded by the words of the sample.)
+LEAST, SURE = 5, 5.0
 #: Words whose weight a task keeps at most.
 MOST_KNOWN = 1_000_000
 
@@ -41,8 +42,8 @@ WORD = re.compile(r"[^\W\d_]+")
 def bags(text: str) -> list[tuple[int, int, set[str]]]:
     """(start, end, distinct words) of each sentence that has a word."""
     out, words, start, end = [], set(), 0, 0
-    for m in PIECE.finditer(text.lower() if len(text.lower()) == len(text) else text):
-        w = m.group()
+    for m in PIECE.finditer(text):
+        w = m.group().lower()
         if w[0] in ".!?\n":
             if words:
                 out.append((start, m.end(), words))
@@ -88,7 +89,8 @@ def train(sample: list[tuple[str, int]], epochs: int = 60, l2: float = 1e-4,
     y = np.array([float(v) for _, v in sample])
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for t, v in sample:
-        seen[int(v > 0)].update({f for w in set(WORD.findall(t.lower())) for f in parts(w)})
+        seen[int(v > 0)].update({f for w in {x.lower() for x in WORD.findall(t)}
+                                for f in parts(w)})
     n0, n1 = max(1.0, (y == 0).sum()), max(1.0, (y > 0).sum())
     chosen = []
     for f in set(seen[0]) | set(seen[1]):
@@ -98,7 +100,7 @@ def train(sample: list[tuple[str, int]], epochs: int = 60, l2: float = 1e-4,
             error = math.sqrt(max(share * (1 - share), 1e-12) * (1 / n0 + 1 / n1))
             if abs(b / n1 - a / n0) >= SURE * error:
                 chosen.append((-a - b, f))
-    vocab = {f: i for i, (_, f) in enumerate(sorted(chosen)[:FEATURES])}
+    vocab = {f: i for i, (_, f) in enumerate(sorted(chosen))}
     del seen, chosen
     feature, sent, sent_doc = [], [], []
     for i, (t, _) in enumerate(sample):
@@ -158,14 +160,16 @@ def score_text(text: str, known: Words, bias: float,
 def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id",
                  text: str = "text", label: str = "toxic",
                  rows: int = TRAIN_ROWS) -> tuple[dict[str, float], float]:
-    """Train on at most about ``rows`` labelled documents, chosen by a hash of their key.
+    """Train on at most about ``rows`` labelled documents, chosen by a hash of their key (of
+    rows that share one, the first text by code points).
     The sample's keys are broadcast (bounded by ``rows``), the texts of those documents are
     read and the model is trained from them."""
     known = (labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
              .groupBy(F.col(key).alias("k")).agg(F.max(label).cast("int").alias("y")))
     picked = hash_sample(known, F.col("k"), rows)
     chosen = (docs.select(F.col(key).alias("k"), text_of(text).alias("t"))
-              .join(F.broadcast(picked), "k"))
+              .join(F.broadcast(picked), "k")
+              .groupBy("k").agg(F.min("t").alias("t"), F.first("y").alias("y")))
     got = chosen.select("k", "t", "y").toArrow().sort_by([("k", "ascending"),
                                                           ("t", "ascending")])
     return train(list(zip(got.column("t").to_pylist(), got.column("y").to_pylist())))

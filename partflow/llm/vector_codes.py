@@ -98,6 +98,19 @@ def assign(x: np.ndarray, books: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
             np.stack([d for _, d in found], axis=1))
 
 
+def gathered(batches, most: int = 16_000):
+    """The batches in fewer, longer ones: the search runs once per batch and step."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 PARTIAL = "part int, entry int, at int, total decimal(38,0), rows bigint"
 
 
@@ -106,9 +119,7 @@ def partial_sums(books: list[np.ndarray], scale: int):
     codebooks."""
     def rows(batches):
         total: dict = {}
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in gathered(batches):
             x = whole_numbers(b.column(0), scale)
             codes, _ = assign(x, books)
             at = cuts(x.shape[1], len(books))
@@ -162,16 +173,12 @@ def encoded(kept: DataFrame, books: list[np.ndarray], scale: int) -> DataFrame:
                        + ["code string", "error bigint"])
 
     def rows(batches):
-        for b in batches:
+        for b in gathered(batches):
             x = whole_numbers(b.column(b.schema.get_field_index("v")), scale)
-            if len(x):
-                codes, far = assign(x, books)
-                digits = codes.astype(np.uint8).tobytes().hex()
-                step = 2 * len(books)
-                code = [digits[i:i + step] for i in range(0, len(digits), step)]
-                error = [int(e) for e in far.sum(axis=1)]
-            else:
-                code, error = [], []
+            codes, far = assign(x, books)
+            digits, step = codes.astype(np.uint8).tobytes().hex(), 2 * len(books)
+            code = [digits[i:i + step] for i in range(0, len(digits), step)]
+            error = [int(e) for e in far.sum(axis=1)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(b.schema.get_field_index(f.name)) for f in rest]
                 + [pa.array(code, pa.string()), pa.array(error, pa.int64())],
