@@ -33,8 +33,8 @@ from pyspark.sql import types as T
 
 from partflow.operators.keyed import last_non_null, time_bucket
 
-#: Rows of a key or segment that are folded in one piece at most.
-MOST = 1_000
+#: Rows of a key or segment that are folded in one piece at most, and in one step of it.
+MOST, CHUNK = 10_000, 128
 UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
 
 
@@ -85,16 +85,33 @@ def event(wait: Wait, side: int, ts: Column, seq: Column, left: Column, right: C
                     left.alias("l"), right.alias("r"))
 
 
-def fold(events: Column, wait: Wait, lt: T.DataType, rt: T.DataType, time: T.DataType) -> Column:
-    """What leaves, in order: ``array<struct<l, r, ts, now>>``; ``r`` is an array where the join
-    collects, ``now`` tells rows that leave on an arrival from those that leave at a deadline.
-    ``events``: sorted array of ``event``s."""
-    lt, rt, collect = nullable(lt), nullable(rt), wait.mode == "collect"
-    held = T.ArrayType(rt) if collect else rt
-    one = T.StructType([T.StructField("l", lt), T.StructField("r", held),
-                        T.StructField("ts", time), T.StructField("now", T.BooleanType())])
+def state_type(wait: Wait, lt: T.DataType, rt: T.DataType, time: T.DataType) -> T.StructType:
+    """Who waits: a left row, a right one (collected ones), the deadline."""
+    lt, rt = nullable(lt), nullable(rt)
+    return T.StructType([T.StructField("l", lt), T.StructField(
+        "r", T.ArrayType(rt) if wait.mode == "collect" else rt), T.StructField("wd", time)])
+
+
+def out_type(wait: Wait, lt: T.DataType, rt: T.DataType, time: T.DataType) -> T.StructType:
+    """What leaves; ``now`` tells rows that leave on an arrival from those that leave at a
+    deadline."""
+    state = state_type(wait, lt, rt, time)
+    return T.StructType([state["l"], state["r"], T.StructField("ts", time),
+                         T.StructField("now", T.BooleanType())])
+
+
+def fold_from(events: Column, wait: Wait, lt: T.DataType, rt: T.DataType, time: T.DataType,
+              state: Column | None = None, until: Column | None = None) -> Column:
+    """Fold ``events``, a sorted array of ``event``s, on from ``state`` (nothing waits): a
+    struct of the state after them (l, r, wd) and ``out``, what has left, in order. Without
+    ``until`` everybody who has a deadline leaves in the end; with it those whose deadline
+    lies before.
+
+    Outputs are gathered per ``CHUNK`` events, so that a long array isn't copied per event."""
+    one, held = out_type(wait, lt, rt, time), state_type(wait, lt, rt, time)
+    collect = wait.mode == "collect"
     none = F.array().cast(T.ArrayType(one))
-    no_rows = F.array().cast(held) if collect else _null(rt)
+    no_rows = F.array().cast(held["r"].dataType) if collect else _null(held["r"].dataType)
 
     def leaves(l, r, ts, now):
         return F.array(F.struct(l.alias("l"), r.alias("r"), ts.cast(time).alias("ts"),
@@ -126,12 +143,38 @@ def fold(events: Column, wait: Wait, lt: T.DataType, rt: T.DataType, time: T.Dat
                         F.concat(acc["out"], gone,
                                  F.when(meets, met).otherwise(none)).alias("out"))
 
+    def begin(l, r, wd):
+        return F.struct(l.alias("l"), r.alias("r"), wd.alias("wd"), none.alias("out"))
+
+    def chunk(acc, some):
+        got = F.aggregate(some, begin(acc["l"], acc["r"], acc["wd"]), step)
+        return F.aggregate(F.array(got), acc, lambda a, x: F.struct(
+            x["l"].alias("l"), x["r"].alias("r"), x["wd"].alias("wd"),
+            F.concat(a["out"], x["out"]).alias("out")))
+
     def end(acc):
-        return F.concat(acc["out"], F.when(
-            acc["wd"].isNotNull(), leaves(acc["l"], acc["r"], acc["wd"], False)).otherwise(none))
-    start = F.struct(_null(lt).alias("l"), no_rows.alias("r"), _null(time).alias("wd"),
-                     none.alias("out"))
-    return F.aggregate(events, start, step, end)
+        over = acc["wd"].isNotNull() if until is None else F.coalesce(acc["wd"] < until,
+                                                                      F.lit(False))
+        return F.struct(
+            F.when(~over, acc["l"]).alias("l"),
+            F.when(over, no_rows).otherwise(acc["r"]).alias("r"),
+            F.when(~over, acc["wd"]).alias("wd"),
+            F.concat(acc["out"], F.when(over, leaves(acc["l"], acc["r"], acc["wd"], False))
+                     .otherwise(none)).alias("out"))
+    if state is None:
+        start = begin(_null(held["l"].dataType), no_rows, _null(time))
+    else:
+        start = begin(state["l"], F.coalesce(state["r"], no_rows) if collect else state["r"],
+                      state["wd"])
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(events) - 1) / CHUNK).cast("int")),
+                         lambda i: F.slice(events, i * CHUNK + 1, CHUNK))
+    return F.aggregate(F.when(F.size(events) > 0, chunks).otherwise(
+        F.slice(chunks, 1, 0)), start, chunk, end)
+
+
+def fold(events: Column, wait: Wait, lt: T.DataType, rt: T.DataType, time: T.DataType) -> Column:
+    """What leaves of a key whose arrivals are all there, in order."""
+    return fold_from(events, wait, lt, rt, time)["out"]
 
 
 def number(out: Column, pos: Column) -> Column:

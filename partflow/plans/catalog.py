@@ -181,8 +181,8 @@ def stream_route_records(spark, sf_dir):
     """Job A from part topics to car topics: what the two sinks hold, decoded strictly."""
     from partflow.schemas import CAR
     out = None
-    for name, path in S.route_job(spark, sf_dir, "documented").items():
-        part = decode(read_file_topic(spark, path), CAR).select(
+    for name, df in S.sinks(S.route_job(spark, sf_dir, "documented")).items():
+        part = decode(df, CAR).select(
             F.lit(name).alias("sink"), "key", "ts", "record.*")
         out = part if out is None else out.unionByName(part)
     wheel = F.try_element_at("wheels", F.lit(1))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partflow.operators.folds import Wait
 from partflow.operators.routing import route
 from partflow.operators.waitjoins import apply_patch
 from partflow.plans import assembly as A
@@ -21,9 +22,9 @@ from partflow.sinks.topics import encode
 from partflow.sources.topics import FILE_TOPIC_SCHEMA, decode, read_file_topic
 from partflow.session import scratch_path, state_partitions
 from partflow.sources import fixtures as fx
+from partflow.streaming import incremental as I
 from partflow.streaming import runner as R
-from partflow.streaming.machines import (Assembly, First, LastN, Latest, RunningCount,
-                                         WaitJoin)
+from partflow.streaming.machines import First, LastN, Latest
 
 # Waits on the machine clock (microseconds) and in milliseconds for topic horizons.
 DAY_US = 86_400_000_000
@@ -34,27 +35,39 @@ PRICED_WAIT_MS = PRICED_WAIT_US // 1000
 ASM_HORIZON_MS = 3 * CAR_WAIT_MS + 1  # three waits in a chain
 TEXT_EPOCH = 946_684_800  # 2000-01-01 in seconds: documents "arrive" from there
 SLICES = 3
+DOCS_PER_BUCKET = 64
 
 
 def _j(path: str, typ: str = "bigint"):
     return F.get_json_object("value", path).cast(typ)
 
 
+def _ntz(c: str = "ts"):
+    return F.col(c).cast("timestamp_ntz").alias("ts")
+
+
 def _situation_jn1():
     return (F.when(F.col("body_id").isNull(), F.lit("MISSING_BODY"))
             .when(F.col("engine_id").isNull(), F.lit("MISSING_ENGINE"))
             .otherwise(F.lit("INCOMPLETE")))
 
 
+def wait_stream(spark, frame: DataFrame, wait: Wait, left: tuple[str, str],
+                right: tuple[str, str], name: str, horizon_ms: int) -> DataFrame:
+    """A wait-join over a sliced topic frame; ``left`` and ``right``: side and value type."""
+    job = I.WaitJob(wait, left[0], I.payload_type(left[1]), right[0], I.payload_type(right[1]))
+    return I.run_sliced(spark, frame, job, dict([left, right]), name, SLICES,
+                        horizon_ms).outputs()
+
+
 def body_engine(spark, sf_dir):
     parts = fx.car_parts(spark, sf_dir)
     frame = R.topic_frame(parts["body"], "sku", "body", "seq", payload=["id"]).unionByName(
         R.topic_frame(parts["engine"], "sku", "engine", "seq", payload=["id"]))
-    out = R.run_sliced(spark, frame, WaitJoin("full", CAR_WAIT_US, "body", "engine"),
-                       "jn1", SLICES, CAR_WAIT_MS + 1)
-    flat = out.select(F.col("key").cast("bigint").alias("sku"),
-                      _j("$.body.id").alias("body_id"), _j("$.engine.id").alias("engine_id"),
-                      "ts")
+    out = wait_stream(spark, frame, Wait("full", fx.CAR_WAIT), ("body", "id bigint"),
+                      ("engine", "id bigint"), "jn1", CAR_WAIT_MS + 1)
+    flat = out.select(F.col("key").cast("bigint").alias("sku"), F.col("l.id").alias("body_id"),
+                      F.col("r.id").alias("engine_id"), _ntz())
     return flat.withColumn("situation", _situation_jn1())
 
 
@@ -62,38 +75,34 @@ def car_remote(spark, sf_dir):
     """JN2 on its own: the cars (batch JN1 output) wait for the remote."""
     parts = fx.car_parts(spark, sf_dir)
     cars = A.body_engine(parts).select(
-        "sku", "ts", "seq", F.col("body.id").alias("body_id"), F.col("engine.id").alias("engine_id"))
+        "sku", "ts", "seq", F.col("body.id").alias("body_id"),
+        F.col("engine.id").alias("engine_id"))
     frame = R.topic_frame(cars, "sku", "car", "seq", payload=["body_id", "engine_id"]
                           ).unionByName(
         R.topic_frame(parts["remote"], "sku", "remote", "seq", payload=["id"]))
-    out = R.run_sliced(spark, frame, WaitJoin("left", CAR_WAIT_US, "car", "remote"),
-                       "jn2", SLICES, 2 * CAR_WAIT_MS + 1)
-    return out.select(F.col("key").cast("bigint").alias("sku"),
-                      _j("$.car.body_id").alias("body_id"),
-                      _j("$.car.engine_id").alias("engine_id"),
-                      _j("$.remote.id").alias("remote_id"), "ts")
+    out = wait_stream(spark, frame, Wait("left", fx.CAR_WAIT),
+                      ("car", "body_id bigint, engine_id bigint"), ("remote", "id bigint"),
+                      "jn2", 2 * CAR_WAIT_MS + 1)
+    return out.select(F.col("key").cast("bigint").alias("sku"), "l.body_id", "l.engine_id",
+                      F.col("r.id").alias("remote_id"), _ntz())
 
 
 def car_wheels(spark, sf_dir):
     """JN3 on its own: the cars (batch JN1 + JN2 output) collect wheels, four expected."""
     parts = fx.car_parts(spark, sf_dir)
     cars = A.car_remote(A.body_engine(parts), parts).select(
-        "sku", "ts", "seq", F.col("body.id").alias("body_id"), F.col("engine.id").alias("engine_id"),
-        F.col("remote.id").alias("remote_id"))
+        "sku", "ts", "seq", F.col("body.id").alias("body_id"),
+        F.col("engine.id").alias("engine_id"), F.col("remote.id").alias("remote_id"))
     frame = R.topic_frame(cars, "sku", "car", "seq",
                           payload=["body_id", "engine_id", "remote_id"]).unionByName(
         R.topic_frame(parts["wheel"], "sku", "wheel", "seq", payload=["id", "ln"]))
-    out = R.run_sliced(spark, frame,
-                       WaitJoin("collect", CAR_WAIT_US, "car", "wheel", EXPECTED_WHEELS),
-                       "jn3", SLICES, 3 * CAR_WAIT_MS + 1)
-    ids = F.from_json(F.get_json_object("value", "$.wheel"), "array<struct<id:bigint>>")
-    return out.select(F.col("key").cast("bigint").alias("sku"),
-                      _j("$.car.body_id").alias("body_id"),
-                      _j("$.car.engine_id").alias("engine_id"),
-                      _j("$.car.remote_id").alias("remote_id"),
-                      _j("$.n").alias("n_wheels"),
-                      F.concat_ws(",", F.transform(ids, lambda w: w["id"].cast("string")))
-                      .alias("wheel_ids"), "ts")
+    out = wait_stream(spark, frame, Wait("collect", fx.CAR_WAIT, EXPECTED_WHEELS),
+                      ("car", "body_id bigint, engine_id bigint, remote_id bigint"),
+                      ("wheel", "id bigint, ln int"), "jn3", 3 * CAR_WAIT_MS + 1)
+    return out.select(F.col("key").cast("bigint").alias("sku"), "l.body_id", "l.engine_id",
+                      "l.remote_id", F.size("r").cast("long").alias("n_wheels"),
+                      F.concat_ws(",", F.transform("r", lambda w: w["id"].cast("string")))
+                      .alias("wheel_ids"), _ntz())
 
 
 def assembly_frame(spark, sf_dir) -> DataFrame:
@@ -106,6 +115,16 @@ def assembly_frame(spark, sf_dir) -> DataFrame:
     return frame
 
 
+#: The values of ``assembly_frame``.
+PART_VALUES = {"body": "id bigint", "engine": "id bigint", "remote": "id bigint",
+               "wheel": "id bigint, ln int, placement string"}
+
+
+def assembly_job(values: dict, within: str = fx.CAR_WAIT) -> I.AssemblyJob:
+    return I.AssemblyJob(within, EXPECTED_WHEELS,
+                         {k: I.payload_type(t) for k, t in values.items()})
+
+
 def assembled_cars(out: DataFrame) -> DataFrame:
     """Machine output of job A on ``assembly_frame`` back to the batch car shape."""
     x = F.from_json("value", "struct<body:struct<id:bigint>,engine:struct<id:bigint>,"
@@ -115,6 +134,13 @@ def assembled_cars(out: DataFrame) -> DataFrame:
         "sku", "ts", "x.*")
 
 
+def cars_of(out: DataFrame, policy: str) -> DataFrame:
+    """Outputs of the assembly stage in the batch car shape; skus stay text."""
+    return out.select(F.col("key").alias("sku"), _ntz(), "seq", "body", "engine", "remote",
+                      "wheels", F.size("wheels").cast("long").alias("n_wheels")).withColumn(
+        "situation", A.situation(policy))
+
+
 def whole_cars(out: DataFrame) -> DataFrame:
     """Machine output of job A on part records: cars with every field of their parts. Skus
     and ids stay text."""
@@ -126,33 +152,31 @@ def whole_cars(out: DataFrame) -> DataFrame:
 
 
 def assemble(policy: str):
-    """Job A, assembly stage, every sku (two-car skus included)."""
+    """Job A, assembly stage, every sku."""
     def q(spark, sf_dir):
-        out = R.run_sliced(spark, assembly_frame(spark, sf_dir),
-                           Assembly(CAR_WAIT_US, EXPECTED_WHEELS, policy), f"asm-{policy}",
-                           SLICES, ASM_HORIZON_MS)
-        return A.flat(assembled_cars(out)).drop("wheel_ids")
+        out = I.run_sliced(spark, assembly_frame(spark, sf_dir), assembly_job(PART_VALUES),
+                           PART_VALUES, f"asm-{policy}", SLICES, ASM_HORIZON_MS).outputs()
+        cars = cars_of(out, policy).withColumn("sku", F.col("sku").cast("bigint"))
+        return A.flat(cars).drop("wheel_ids")
     q.__name__ = f"stream_assemble_{policy}"
     return q
 
 
 def part_patch(spark, sf_dir):
-    """JN5 streaming: cars and priced parts wait for each other without limit (a
-    ``full`` wait-join with no deadline: lone rows never leave); each pair leaves at
-    the later arrival and the part is patched into the car."""
+    """JN5 streaming: cars and priced parts wait for each other without limit; each pair
+    leaves at the later arrival and the part is patched into the car."""
     parts = fx.car_parts(spark, sf_dir)
     cars = A.to_record(A.assemble(parts, "code"))
     priced = A.wheel_price_parts(parts)
     record = [c for c in cars.columns if c not in ("sku", "ts", "seq")]
     frame = (R.topic_frame(cars, "sku", "car", "seq", payload=record)
              .unionByName(R.topic_frame(priced, "sku", "part", "seq", payload=["part"])))
-    out = R.run_sliced(spark, frame, WaitJoin("full", None, "car", "part"), "jn5", SLICES, 1)
-    car_t = cars.select(*record).schema
-    part_t = priced.schema["part"].dataType
-    pairs = out.select(F.col("key").cast("bigint").alias("sku"), "ts",
-                       F.from_json(F.get_json_object("value", "$.car"), car_t).alias("c"),
-                       F.from_json(F.get_json_object("value", "$.part.part"), part_t)
-                       .alias("part"))
+    sides = {"car": cars.select(*record).schema, "part": priced.select("part").schema}
+    job = I.WaitJob(Wait("full", None), "car", I.payload_type(sides["car"]), "part",
+                    I.payload_type(sides["part"]))
+    out = I.run_sliced(spark, frame, job, sides, "jn5", SLICES, 1).outputs()
+    pairs = out.select(F.col("key").cast("bigint").alias("sku"), _ntz(), F.col("l").dropFields(
+        "ts", "seq").alias("c"), F.col("r.part").alias("part"))
     return apply_patch(pairs.select("sku", "ts", "c.*", "part")).drop("part")
 
 
@@ -202,34 +226,54 @@ def decoded_frame(sources: dict[str, DataFrame]) -> DataFrame:
     return frame
 
 
+def priced_and_routed(cars: DataFrame, prices: DataFrame, policy: str) -> dict[str, DataFrame]:
+    """Assembled cars of a micro-batch: priced, routed and encoded as car messages, by sink."""
+    priced = A.with_part_prices(A.price(cars, prices, policy, check_size=False))
+    return {name: A.car_messages(df) for name, df in route(cars, priced).items()}
+
+
 def write_routed(batch: DataFrame, prices: DataFrame, policy: str, path_of) -> None:
-    """One micro-batch of assembled cars: priced, routed and written as encoded car messages,
-    each sink's slice replacing what an earlier attempt of the batch wrote."""
+    """One micro-batch of cars from the per-key machine, written as encoded car messages, each
+    sink's slice replacing what an earlier attempt of the batch wrote."""
     cars = whole_cars(batch.withColumn(
         "ts", F.timestamp_micros("ts_us").cast("timestamp_ntz"))).persist()
-    priced = A.with_part_prices(A.price(cars, prices, policy, check_size=False))
-    for name, df in route(cars, priced).items():
-        A.car_messages(df).write.mode("overwrite").parquet(path_of(name))
+    for name, df in priced_and_routed(cars, prices, policy).items():
+        df.write.mode("overwrite").parquet(path_of(name))
     cars.unpersist()
 
 
-def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[str, str]:
-    """Job A end to end as one streaming query: four encoded part topics -> strict
-    decode -> assembly machine (JN1 -> JN2 -> JN3) -> per micro-batch pricing against
-    the price table (a stream-static join) and routing to the complete and incomplete
-    sinks (``foreachBatch``, files per batch id: a replay overwrites its own output).
-    Each time slice of the four topics is written, then one ``availableNow`` run
-    consumes it. Returns the sink folders."""
+def typed_parts(sources: dict[str, DataFrame]) -> DataFrame:
+    """The part topics decoded strictly (SRC7) and keyed by ``part.sku``, as rows of the
+    assembly stage: one payload column per side."""
+    frame = None
+    for kind, raw in sources.items():
+        d = decode(raw, PART_RECORDS[kind]).withColumn("ts", F.col("ts").cast("timestamp"))
+        row = {k: F.lit(None).cast(I.payload_type(t)) for k, t in PART_RECORDS.items()}
+        row[kind] = F.struct("ts", "seq", "record.*").cast(I.payload_type(PART_RECORDS[kind]))
+        f = d.select(F.col("record.part.sku").alias("key"), F.lit(kind).alias("side"), "ts",
+                     *[c.alias(f"p_{k}") for k, c in row.items()])
+        frame = f if frame is None else frame.unionByName(f)
+    return frame
+
+
+def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> I.Versions:
+    """Job A end to end as one streaming query: four encoded part topics -> strict decode ->
+    assembly stage (JN1 -> JN2 -> JN3) -> per micro-batch pricing against the price table and
+    routing to the complete and incomplete sinks. Both sinks, the state and the late rows of a
+    micro-batch become visible together, by its manifest (ST5). Each time slice of the four
+    topics is written, then one ``availableNow`` run consumes it. Returns the tables; the sinks
+    are ``complete`` and ``incomplete``."""
     from partflow.operators.sizing import bounded_broadcast
     prices = bounded_broadcast(fx.prices(spark, sf_dir).withColumn(  # checked once
         "id", F.concat(F.lit("P-"), F.col("id"))))
     base = scratch_path(spark, f"route-{policy}")
-    sinks = {"complete": f"{base}/complete", "incomplete": f"{base}/incomplete"}
     topics = encoded_part_topics(fx.car_parts(spark, sf_dir))
+    stream = I.Incremental(spark, assembly_job(PART_RECORDS), f"{base}/tables")
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        write_routed(batch.filter(F.col("key") != f"SKU-{R.SENTINEL}"), prices, policy,
-                     lambda name: f"{sinks[name]}/batch_id={batch_id}")
+    def publish(outs: DataFrame, batch_id: int) -> None:
+        for name, df in priced_and_routed(cars_of(outs, policy), prices, policy).items():
+            stream.versions.write(name, batch_id, df)
+    stream.publish = publish
 
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     all_ts = None
@@ -252,20 +296,19 @@ def route_job(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[st
             part.write.parquet(f"{base}/topic/{kind}/slice-{i:05d}")
         sources = {kind: spark.readStream.schema(FILE_TOPIC_SCHEMA).parquet(
             f"{base}/topic/{kind}/slice-*") for kind in topics}  # every step wrote each
-        stage = R.machine_stream(decoded_frame(sources),
-                                 Assembly(CAR_WAIT_US, EXPECTED_WHEELS, policy))
-        with state_partitions(spark):
-            q = (stage.writeStream.foreachBatch(per_batch)
-                 .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True)
-                 .start())
-        q.awaitTermination()
-    return sinks
+        stream.run(typed_parts(sources), f"{base}/ckpt")
+    return stream.versions
+
+
+def sinks(tables: I.Versions) -> dict[str, DataFrame]:
+    """What the two sinks hold: encoded car messages of batches that are done."""
+    return {name: tables.read(name, FILE_TOPIC_SCHEMA) for name in ("complete", "incomplete")}
 
 
 def route_counts(spark, sf_dir):
-    parts = [decode(read_file_topic(spark, path), CAR).select(
+    parts = [decode(df, CAR).select(
         F.lit(name).alias("sink"), F.col("record.situation").alias("situation"))
-        for name, path in route_job(spark, sf_dir, "code").items()]
+        for name, df in sinks(route_job(spark, sf_dir, "code")).items()]
     return (parts[0].unionByName(parts[1]).groupBy("sink", "situation")
             .agg(F.count(F.lit(1)).alias("n")))
 
@@ -307,31 +350,38 @@ def priced_wait_join(spark, sf_dir):
     u, p = E.of_type(spark, sf_dir, "view"), E.of_type(spark, sf_dir, "purchase")
     frame = (R.topic_frame(u, "user_id", "unpriced", "seq", payload=["value"])
              .unionByName(R.topic_frame(p, "user_id", "priced", "seq", payload=["value"])))
-    out = R.run_sliced(spark, frame, WaitJoin("left", PRICED_WAIT_US, "unpriced", "priced"),
-                       "jn6", SLICES, PRICED_WAIT_MS + 1)
-    won = F.get_json_object("value", "$.priced").isNotNull()
-    return out.select(F.col("key").cast("bigint").alias("user_id"), "ts",
+    out = wait_stream(spark, frame, Wait("left", E.PRICED_WAIT), ("unpriced", "value double"),
+                      ("priced", "value double"), "jn6", PRICED_WAIT_MS + 1)
+    won = F.col("r").isNotNull()
+    return out.select(F.col("key").cast("bigint").alias("user_id"), _ntz(),
                       F.when(won, F.lit("COMPLETE")).otherwise(F.lit("AWAITING_PRICE"))
                       .alias("situation"),
-                      F.when(won, _j("$.priced.value", "double"))
-                      .otherwise(_j("$.unpriced.value", "double")).alias("value"))
+                      F.coalesce("r.value", "l.value").alias("value"))
 
 
 def running_word_count(spark, sf_dir):
     """Job C per input: every word gets its running total as it arrives. Arrival order
     is (doc_id, position): a document's words arrive at second ``doc_id`` after
-    ``TEXT_EPOCH`` (not at epoch 0: the initial watermark is 0, and rows at or before
-    the watermark count as late)."""
-    from partflow.functions.scalars import word_count_text
-    from partflow.operators.text import words
-    w = words(fx.text_lines(spark, sf_dir)).select(
-        "word", "pos", F.timestamp_seconds(F.col("doc_id") + TEXT_EPOCH).alias("ts"))
-    frame = R.topic_frame(w, "word", "word", seq="pos", payload=["pos"])
-    out = R.run_sliced(spark, frame, RunningCount(), "ag1", SLICES, 1)
-    n = _j("$.n")
-    return out.select(((F.col("ts_us") / 1_000_000).cast("bigint") - TEXT_EPOCH).alias("doc_id"),
-                      _j("$.seq", "int").alias("pos"), F.col("key").alias("word"),
-                      n.alias("n"), word_count_text(F.col("key"), n).alias("line"))
+    ``TEXT_EPOCH``."""
+    from partflow.functions.scalars import split_words, word_count_text
+    from partflow.streaming.totals import RunningTotals
+    lines = fx.text_lines(spark, sf_dir).select(
+        F.timestamp_seconds(F.col("doc_id") + TEXT_EPOCH).alias("ts"), "doc_id", "text")
+    base = scratch_path(spark, "ag1")
+    totals = RunningTotals(spark, f"{base}/tables", "word", ("doc_id", "pos"),
+                           F.floor(F.col("doc_id") / DOCS_PER_BUCKET))
+    edges = [None, *R._bounds(lines, SLICES), None]
+    ms = F.unix_millis("ts")
+    for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
+        part = lines if lo is None else lines.where(ms >= lo)
+        (part if hi is None else part.where(ms < hi)).write.parquet(
+            f"{base}/topic/slice-{i:05d}")
+        source = spark.readStream.schema(lines.schema).parquet(f"{base}/topic/slice-*")
+        words = source.select("doc_id", F.posexplode(split_words("text")).alias("pos", "word")
+                              ).withColumn("pos", F.col("pos") + 1)
+        totals.run(words, f"{base}/ckpt")
+    return totals.outputs("word string, doc_id bigint, pos int, n bigint").select(
+        "doc_id", "pos", "word", "n", word_count_text(F.col("word"), F.col("n")).alias("line"))
 
 
 def word_count(spark, sf_dir):
