@@ -48,10 +48,21 @@ def micros(within: str) -> int:
 class Wait:
     """Which wait-join: ``mode`` ``full``, ``left`` or ``collect``; ``within`` such as ``5
     seconds``, None without limit; the number of right rows that a left row leaves with at
-    once (``collect``)."""
+    once (``collect``). With ``keep`` a right row that nobody took expires that long after
+    its arrival (``left``, ``collect``; event time): it takes part strictly before."""
     mode: str
     within: str | None
     expected: int | None = None
+    keep: str | None = None
+
+    def kept(self, r: Column, at: Column) -> Column:
+        """What of the waiting right row (or rows) has not expired by ``at``."""
+        if self.keep is None:
+            return r
+        end = F.expr(f"INTERVAL {self.keep}")
+        if self.mode == "collect":
+            return F.filter(r, lambda x: x["ts"] + end > at)
+        return F.when(r["ts"] + end > at, r)
 
     def until(self, ts: Column) -> Column:
         if self.within is None:
@@ -119,9 +130,10 @@ def fold_from(events: Column, wait: Wait, lt: T.DataType, rt: T.DataType, time:
 
     def step(acc, e):
         over = F.coalesce(acc["wd"] <= e["ts"], F.lit(False))
-        gone = F.when(over, leaves(acc["l"], acc["r"], acc["wd"], False)).otherwise(none)
+        gone = F.when(over, leaves(acc["l"], wait.kept(acc["r"], acc["wd"]), acc["wd"], False)
+                      ).otherwise(none)
         l = F.when(~over, acc["l"])
-        r = F.when(over, no_rows).otherwise(acc["r"])
+        r = F.when(over, no_rows).otherwise(wait.kept(acc["r"], e["ts"]))
         wd = F.when(~over, acc["wd"])
         is_left = e["s"] == 0
         if wait.mode == "full":
@@ -157,10 +169,12 @@ def fold_from(events: Column, wait: Wait, lt: T.DataType, rt: T.DataType, time:
                                                                       F.lit(False))
         return F.struct(
             F.when(~over, acc["l"]).alias("l"),
-            F.when(over, no_rows).otherwise(acc["r"]).alias("r"),
+            F.when(over, no_rows).otherwise(
+                acc["r"] if until is None else wait.kept(acc["r"], until)).alias("r"),
             F.when(~over, acc["wd"]).alias("wd"),
-            F.concat(acc["out"], F.when(over, leaves(acc["l"], acc["r"], acc["wd"], False))
-                     .otherwise(none)).alias("out"))
+            F.concat(acc["out"], F.when(over, leaves(
+                acc["l"], wait.kept(acc["r"], acc["wd"]), acc["wd"], False))
+                .otherwise(none)).alias("out"))
     if state is None:
         start = begin(_null(held["l"].dataType), no_rows, _null(time))
     else:

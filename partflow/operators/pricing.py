@@ -102,31 +102,14 @@ def price_cars(cars: DataFrame, prices: DataFrame, ids: dict[str, Column],
     return _settle(_fold(found, car_key, list(ids)), ids, total)
 
 
-def fetch_prices(cars: DataFrame, fetch: Callable[[list[str]], dict[str, float]],
-                 ids: dict[str, Column], car_key: list[str], total: str = "total_price",
-                 capacity: int = LOOKUP_CAPACITY, timeout_s: float = LOOKUP_TIMEOUT_S,
-                 retries: int = LOOKUP_RETRIES, delay_s: float = LOOKUP_RETRY_DELAY_S,
-                 chunk: int = 256, per_id: bool = False) -> DataFrame:
-    """Form 2: prices from ``fetch(list_of_ids) -> {id: price}`` (ids, as text, without a
-    price are left out of the answer). Every distinct id is asked for once over the whole
-    table. Per task, at most ``capacity`` calls run at a time, abandoned ones included. A
-    lookup has ``timeout_s`` in all; within it, ids that the answer lacks and calls that
-    fail are tried again, ``retries`` times at most and ``delay_s`` apart. Ids still without
-    a price fail their car.
-
-    ``per_id=True`` takes ``fetch(id) -> price | None`` instead, one request per id as
-    the reference makes them; ``capacity`` then bounds the ids in flight."""
-    if total not in cars.columns:
-        cars = cars.withColumn(total, F.lit(0.0))
-    if per_id:
-        one, chunk = fetch, 1
-
-        def fetch(batch):  # noqa: F811 - the per-id fetch behind the batch interface
-            v = one(batch[0])
-            return {} if v is None else {batch[0]: v}
-    look = _lookups(cars, car_key, ids)
-
-    def lookup(batch: list[str], slots: threading.Semaphore) -> dict[str, float]:
+def asker(fetch: Callable[[list[str]], dict[str, float]], capacity: int, timeout_s: float,
+          retries: int, delay_s: float, chunk: int) -> Callable[[list[str]], dict[str, float]]:
+    """ids -> prices, ``chunk`` ids a call and ``capacity`` calls at a time, abandoned ones
+    included. A lookup has ``timeout_s`` in all; within it, ids that the answer lacks and calls
+    that fail are tried again, ``retries`` times at most and ``delay_s`` apart."""
+    slots = threading.Semaphore(capacity)
+
+    def lookup(batch: list[str]) -> dict[str, float]:
         end, answer, missing = time.monotonic() + timeout_s, {}, batch
         for attempt in range(retries + 1):
             if not slots.acquire(timeout=max(0.0, end - time.monotonic())):
@@ -153,35 +136,73 @@ def fetch_prices(cars: DataFrame, fetch: Callable[[list[str]], dict[str, float]]
             time.sleep(min(delay_s, left))
         return answer
 
-    def answers(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slots = threading.Semaphore(capacity)
+    def ask(ids: list[str]) -> dict[str, float]:
+        got: dict[str, float] = {}
         with cf.ThreadPoolExecutor(max_workers=capacity) as pool:
-            for pdf in frames:
-                own = pdf["id"].tolist()
-                got: dict[str, float] = {}
-                for part in pool.map(lambda x: lookup(x, slots), [
-                        own[i:i + chunk] for i in range(0, len(own), chunk)]):
-                    got.update(part)
-                if got:
-                    yield pd.DataFrame({"id": list(got),
-                                        "price": [float(v) for v in got.values()]})
+            for part in pool.map(lookup, [ids[i:i + chunk] for i in range(0, len(ids), chunk)]):
+                got.update(part)
+        return got
+    return ask
 
-    asked = look.select("id").where("id is not null").distinct()
-    found = look.join(asked.mapInPandas(answers, "id string, price double"), "id", "left")
-    return _settle(_fold(found, car_key, list(ids)), ids, total)
 
+def _answer(got: dict[str, float]) -> pd.DataFrame:
+    return pd.DataFrame({"id": pd.Series(list(got), dtype=object),
+                         "price": [float(v) for v in got.values()]})
 
-class TablePrices:
-    """A ``fetch`` for form 2 that answers from prices held in memory, in place of a remote
-    service: for tests and the registered query. The price table is read by Spark and must
-    not exceed ``most`` rows."""
 
-    def __init__(self, prices: DataFrame, most: int = 500_000):
-        rows = prices.select(F.col("id").cast("string"), F.col("price").cast("double")
-                             ).limit(most + 1).toArrow()
-        if rows.num_rows > most:
-            raise ValueError(f"more than {most} prices; use price_cars")
-        self.prices = dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
+#: Prices that one task holds at a time, about.
+BUCKET_PRICES = 50_000
 
-    def __call__(self, ids: list[str]) -> dict[str, float]:
-        return {i: self.prices[i] for i in ids if i in self.prices}
+
+def fetch_prices(cars: DataFrame, fetch: Callable[..., dict[str, float]],
+                 ids: dict[str, Column], car_key: list[str], total: str = "total_price",
+                 capacity: int = LOOKUP_CAPACITY, timeout_s: float = LOOKUP_TIMEOUT_S,
+                 retries: int = LOOKUP_RETRIES, delay_s: float = LOOKUP_RETRY_DELAY_S,
+                 chunk: int = 256, per_id: bool = False, table: DataFrame | None = None
+                 ) -> DataFrame:
+    """Form 2: prices from ``fetch(list_of_ids) -> {id: price}`` (ids, as text, without a
+    price are left out of the answer), with bounded concurrency, a deadline and retries per
+    task (``asker``). Every distinct id is asked for once over the whole table; ids still
+    without a price fail their car.
+
+    ``per_id=True`` takes ``fetch(id) -> price | None`` instead, one request per id as
+    the reference makes them; ``capacity`` then bounds the ids in flight.
+
+    With a ``table`` (id, price; ids unique) the service is answered from it: ids and prices
+    meet by hash bucket, and ``fetch(list_of_ids, prices)`` gets the bucket's prices as a
+    dictionary. No price passes the driver, and a task holds one bucket, of about
+    ``BUCKET_PRICES``, whatever the table's size."""
+    if total not in cars.columns:
+        cars = cars.withColumn(total, F.lit(0.0))
+    if per_id:
+        one, chunk = fetch, 1
+
+        def fetch(batch, *table):  # noqa: F811 - the per-id fetch behind the batch interface
+            v = one(batch[0], *table)
+            return {} if v is None else {batch[0]: v}
+    look = _lookups(cars, car_key, ids)
+    how = (capacity, timeout_s, retries, delay_s, chunk)
+    asked = look.select("id").where("id is not null").distinct()
+    if table is None:
+        def answers(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ask = asker(fetch, *how)
+            for pdf in frames:
+                if len(pdf):
+                    yield _answer(ask(pdf["id"].tolist()))
+        found = asked.mapInPandas(answers, "id string, price double")
+    else:
+        prices = table.select(F.col("id").cast("string").alias("id"),
+                              F.col("price").cast("double").alias("price"))
+        bucket = F.pmod(F.xxhash64("id"), F.lit(-(-max(1, prices.count()) // BUCKET_PRICES)))
+
+        def of_bucket(own: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+            known = dict(zip(held["id"], held["price"]))
+            return _answer(asker(lambda batch: fetch(batch, known), *how)(own["id"].tolist()))
+        found = (asked.groupBy(bucket.alias("b")).cogroup(prices.groupBy(bucket.alias("b")))
+                 .applyInPandas(of_bucket, "id string, price double"))
+    return _settle(_fold(look.join(found, "id", "left"), car_key, list(ids)), ids, total)
+
+
+def from_table(ids: list[str], prices: dict[str, float]) -> dict[str, float]:
+    """A ``fetch`` that answers from a price table, in place of a remote service."""
+    return {i: prices[i] for i in ids if i in prices}

@@ -85,7 +85,8 @@ def machine_join(rows: DataFrame, key: str, wait, lt: T.DataType, rt: T.DataType
     from partflow.operators.folds import micros
     collect = wait.mode == "collect"
     within = None if wait.within is None else micros(wait.within)
-    machine = WaitJoin(wait.mode, within, "l", "r", wait.expected, numbered=True)
+    keep = None if wait.keep is None else micros(wait.keep)
+    machine = WaitJoin(wait.mode, within, "l", "r", wait.expected, numbered=True, keep=keep)
     of = T.StructType([T.StructField("k", rows.schema[key].dataType),
                        T.StructField("g", rows.schema["_seg"].dataType)])
     group = F.to_json(F.struct(F.col(key).alias("k"), F.col("_seg").alias("g")), _JSON)

@@ -76,16 +76,18 @@ def wait_join_full(left: DataFrame, right: DataFrame, key: str, within: str,
 
 
 def wait_join_left(left: DataFrame, right: DataFrame, key: str, within: str,
-                   right_name: str = "right", unique: bool = False, numbered: bool = False
-                   ) -> DataFrame:
+                   right_name: str = "right", unique: bool = False, numbered: bool = False,
+                   keep: str | None = None) -> DataFrame:
     """JN2: asymmetric wait-join, left outer. ``left`` rows carry their arrival ``ts``.
 
     A left row finding the right row already there leaves at once with it; otherwise it
     waits ``within`` and leaves at the deadline with the right row if one came during
     the wait, else with null. A right row never triggers output.
-    Output: ``left`` columns with ``ts`` replaced by the emit time, plus ``right_name``."""
+    Output: ``left`` columns with ``ts`` replaced by the emit time, plus ``right_name``.
+    With ``keep`` a right row expires that long after its arrival (ST4)."""
     if not unique:
-        got = join_in_order(left, right, key, Wait("left", within), "_left", right_name)
+        got = join_in_order(left, right, key, Wait("left", within, keep=keep), "_left",
+                            right_name)
         return _spread(got, left, key, right_name, numbered=numbered)
     T = interval(within)
     rs = pack(right, key, right_name)
@@ -173,15 +175,16 @@ def patch_join(cars: DataFrame, parts: DataFrame, key: str) -> DataFrame:
     return apply_patch(pairs).drop("part", "seq")
 
 
-def priced_wait_join(unpriced: DataFrame, priced: DataFrame, key: str, within: str
-                     ) -> DataFrame:
+def priced_wait_join(unpriced: DataFrame, priced: DataFrame, key: str, within: str,
+                     keep: str | None = None) -> DataFrame:
     """JN6: unpriced/priced wait-join. An unpriced row waits ``within``; at the end the
     priced row wins (COMPLETE) if it came before the deadline, else the unpriced row
     leaves as AWAITING_PRICE. A priced row already there settles it at once.
     Output: key, ts (emit time), situation, ``record`` = the winning side's payload."""
     seq = [F.col("unpriced.seq").alias("seq")] if "seq" in unpriced.columns else []
     j = wait_join_left(pack(unpriced, key, "unpriced").select(
-        key, F.col("unpriced.ts").alias("ts"), *seq, "unpriced"), priced, key, within, "priced")
+        key, F.col("unpriced.ts").alias("ts"), *seq, "unpriced"), priced, key, within, "priced",
+        keep=keep)
     won = F.col("priced").isNotNull()
     return j.select(key, "ts",
                     F.when(won, F.lit("COMPLETE")).otherwise(F.lit("AWAITING_PRICE"))

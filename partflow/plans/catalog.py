@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from partflow.functions.scalars import json_number, kind_label as label_of
 from partflow.operators import text
-from partflow.operators.pricing import TablePrices
+from partflow.operators.pricing import from_table
 from partflow.operators.waitjoins import patch_join
 from partflow.plans import assembly as A
 from partflow.plans import events as E
@@ -61,9 +61,8 @@ def _price(policy):
 
 def lookup_map_in_pandas(spark, sf_dir):
     parts = fx.car_parts(spark, sf_dir)
-    priced = A.price_by_fetch(A.assemble(parts, "documented"),
-                              TablePrices(parts["prices"]), "documented",
-                              delay_s=0.5)
+    priced = A.price_by_fetch(A.assemble(parts, "documented"), from_table, "documented",
+                              table=parts["prices"], delay_s=0.5)
     return priced.select("sku", "ts", "situation", "total_price",
                          *PRICE_COLS["documented"])
 
@@ -177,6 +176,28 @@ def text_sink_round_trip(spark, sf_dir):
                        F.substring_index("line", ":::", -1).cast("long").alias("n"), "line")
 
 
+def sink_fixed_partitions(spark, sf_dir):
+    """SNK5: each sink task writes one partition. Per sku, its messages and how many partitions
+    hold them: one, since a task holds whole skus; so their order is kept."""
+    from partflow.sinks.topics import fixed_partition
+    cars = A.flat(A.assemble(fx.car_parts(spark, sf_dir), "code")).drop("wheel_ids")
+    path = scratch_path(spark, "topic-fixed")
+    write_file_topic(fixed_partition(encode(cars, "sku", F.struct(*cars.columns)), "key",
+                                     TOPIC_PARTITIONS), path)
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("key").cast("string").cast("bigint").alias("sku")).agg(
+        F.count(F.lit(1)).alias("n_messages"),
+        F.count_distinct("partition").alias("n_partitions"))
+
+
+TOPIC_PARTITIONS = 12
+
+
+def priced_wait_join_expiry(spark, sf_dir):
+    """ST4: JN6 in which a purchase that has waited a day for a view is gone (event time)."""
+    return E.every_view_purchase(spark, sf_dir, keep=E.PURCHASE_KEEP)
+
+
 def stream_route_records(spark, sf_dir):
     """Job A from part topics to car topics: what the two sinks hold, decoded strictly."""
     from partflow.schemas import CAR
@@ -255,6 +276,9 @@ QUERIES: dict[str, Query] = {
     "sink_round_trip": sink_round_trip,
     "tags_sink_round_trip": tags_sink_round_trip,
     "text_sink_round_trip": text_sink_round_trip,
+    "sink_fixed_partitions": sink_fixed_partitions,
+    "priced_wait_join_expiry": priced_wait_join_expiry,
+    "stream_priced_wait_join_expiry": S.priced_wait_join_expiry,
     "stream_body_engine_wait_join": S.body_engine,
     "stream_car_remote_wait_join": S.car_remote,
     "stream_car_wheels_wait_join": S.car_wheels,

@@ -13,6 +13,7 @@ from partflow.sources import fixtures as fx
 from partflow.sources.tables import table
 
 PRICED_WAIT = "12 hours"
+PURCHASE_KEEP = "24 hours"
 
 
 def events(spark: SparkSession, sf_dir: str, cols=("event_id", "ts", "user_id",
@@ -75,10 +76,10 @@ def view_click_pairs(spark: SparkSession, sf_dir: str, within: str = VIEW_CLICK_
                     F.col("click.seq").alias("click_id"))
 
 
-def every_view_purchase(spark: SparkSession, sf_dir: str, within: str = PRICED_WAIT
-                        ) -> DataFrame:
+def every_view_purchase(spark: SparkSession, sf_dir: str, within: str = PRICED_WAIT,
+                        keep: str | None = None) -> DataFrame:
     """JN6 on every view and purchase of a user."""
     j = priced_wait_join(of_type(spark, sf_dir, "view"), of_type(spark, sf_dir, "purchase"),
-                         "user_id", within)
+                         "user_id", within, keep)
     return j.select("user_id", "ts", "situation", F.col("record.seq").alias("event_id"),
                     F.col("record.value").alias("value"))

@@ -403,6 +403,56 @@ from priced"""
 ORACLE["priced_wait_join"] = ORACLE["priced_wait_join_repeated"].replace(
     "coalesce(rid, lid) event_id, ", "")
 
+# A purchase counts for a day; what is older when a view or its deadline comes is no match.
+ORACLE["priced_wait_join_expiry"] = """
+with recursive e as materialized (
+  select user_id, event_type = 'view' is_left, event_id id, value, ts,
+         row_number() over (partition by user_id order by ts, event_type = 'view', event_id) i
+  from events where event_type in ('view', 'purchase')),
+st as (
+  select user_id, 0::bigint i, null::bigint wid, null::double wv, null::timestamp wd,
+         null::bigint rid, null::double rv, null::timestamp rt,
+         null::timestamp t1, null::bigint l1, null::double v1, null::bigint r1,
+         null::double u1, null::timestamp t2, null::bigint r2, null::double u2
+  from e group by user_id
+  union all
+  select user_id, i,
+         case when stays then id when live then wid end,
+         case when stays then value when live then wv end,
+         case when live then wd when stays then ts + interval 12 hour end,
+         case when not is_left then id end, case when not is_left then value end,
+         case when not is_left then ts end,
+         case when not live then wd end, case when not live then wid end,
+         case when not live then wv end,
+         case when not live and rt + interval 24 hour > wd then rid end,
+         case when not live and rt + interval 24 hour > wd then rv end,
+         case when is_left and not stays then ts end,
+         case when is_left and not stays then r end, case when is_left and not stays then r_v end
+  from (select *, is_left and r is null stays from (
+    select e.user_id, e.i, e.is_left, e.id, e.value, e.ts, st.wid, st.wv, st.wd, st.rid, st.rv,
+           st.rt, coalesce(st.wd > e.ts, false) live,
+           case when (st.wd is null or st.wd > e.ts) and st.rt + interval 24 hour > e.ts
+                then st.rid end r,
+           case when (st.wd is null or st.wd > e.ts) and st.rt + interval 24 hour > e.ts
+                then st.rv end r_v
+    from st join e on e.user_id = st.user_id and e.i = st.i + 1))),
+last as (select * from st where (user_id, i) in (select user_id, max(i) from e group by user_id)),
+done as (
+  select user_id, t1 ts, l1 lid, v1 lv, r1 rid, u1 rv from st where t1 is not null
+  union all
+  select user_id, t2, null, null, r2, u2 from st where t2 is not null
+  union all
+  select user_id, wd, wid, wv, case when rt + interval 24 hour > wd then rid end,
+         case when rt + interval 24 hour > wd then rv end from last where wid is not null)
+select user_id, ts, case when rid is null then 'AWAITING_PRICE' else 'COMPLETE' end situation,
+       coalesce(rid, lid) event_id, case when rid is null then lv else rv end as "value"
+from done"""
+
+# One sink task holds a whole sku and writes one partition.
+ORACLE["sink_fixed_partitions"] = ASM_CTE + """
+select sku, cast(count(*) as bigint) n_messages, cast(1 as bigint) n_partitions
+from asm group by sku"""
+
 # Sinks written and read back equal what was written.
 ORACLE["tags_sink_round_trip"] = ORACLE["last_three_tags"]
 ORACLE["text_sink_round_trip"] = ORACLE["word_count"]
@@ -410,5 +460,6 @@ ORACLE["text_sink_round_trip"] = ORACLE["word_count"]
 # Streaming forms equal their batch forms on the same input.
 for _name in ("body_engine_wait_join", "car_remote_wait_join", "car_wheels_wait_join",
               "latest_value_join", "last_three_tags", "first_per_key", "priced_wait_join",
+              "priced_wait_join_expiry",
               "word_count", "part_patch_join", "running_word_count"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]

@@ -346,19 +346,28 @@ def first_per_key(spark, sf_dir):
                       .otherwise(_j("$.row.event_type", "string")).alias("color"))
 
 
-def priced_wait_join(spark, sf_dir):
+def _view_purchase(spark, sf_dir, wait: Wait, name: str) -> DataFrame:
     u, p = E.of_type(spark, sf_dir, "view"), E.of_type(spark, sf_dir, "purchase")
     frame = (R.topic_frame(u, "user_id", "unpriced", "seq", payload=["value"])
              .unionByName(R.topic_frame(p, "user_id", "priced", "seq", payload=["value"])))
-    out = wait_stream(spark, frame, Wait("left", E.PRICED_WAIT), ("unpriced", "value double"),
-                      ("priced", "value double"), "jn6", PRICED_WAIT_MS + 1)
+    out = wait_stream(spark, frame, wait, ("unpriced", "value double"),
+                      ("priced", "value double"), name, PRICED_WAIT_MS + 1)
     won = F.col("r").isNotNull()
     return out.select(F.col("key").cast("bigint").alias("user_id"), _ntz(),
                       F.when(won, F.lit("COMPLETE")).otherwise(F.lit("AWAITING_PRICE"))
-                      .alias("situation"),
+                      .alias("situation"), F.coalesce("r.seq", "l.seq").alias("event_id"),
                       F.coalesce("r.value", "l.value").alias("value"))
 
 
+def priced_wait_join(spark, sf_dir):
+    return _view_purchase(spark, sf_dir, Wait("left", E.PRICED_WAIT), "jn6").drop("event_id")
+
+
+def priced_wait_join_expiry(spark, sf_dir):
+    """ST4: purchases that nobody took leave the state a day after they came."""
+    return _view_purchase(spark, sf_dir, Wait("left", E.PRICED_WAIT, keep=E.PURCHASE_KEEP), "st4")
+
+
 def running_word_count(spark, sf_dir):
     """Job C per input: every word gets its running total as it arrives. Arrival order
     is (doc_id, position): a document's words arrive at second ``doc_id`` after

@@ -44,7 +44,19 @@ def write_file_topic(encoded: DataFrame, path: str) -> None:
     encoded.write.mode("overwrite").parquet(path)
 
 
+def fixed_partition(encoded: DataFrame, key: str, partitions: int, tasks: int | None = None
+                    ) -> DataFrame:
+    """SNK5: adds ``partition``, which a Kafka write obeys: each sink task writes one partition
+    only, task number modulo ``partitions``. Rows are dealt to ``tasks`` by key and sorted, so
+    the messages of a key are in one partition, in their order."""
+    n = tasks or int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [c for c in ("ts", "seq") if c in encoded.columns]
+    return (encoded.repartition(n, key).sortWithinPartitions(key, *order)
+            .withColumn("partition", F.spark_partition_id() % partitions))
+
+
 def kafka_writer(encoded: DataFrame, brokers: str, topic: str):
     """A Kafka batch writer (at-least-once; see README on exactly-once)."""
-    return (encoded.select("key", "value").write.format("kafka").option("kafka.bootstrap.servers", brokers)
+    cols = [c for c in ("key", "value", "partition") if c in encoded.columns]
+    return (encoded.select(*cols).write.format("kafka").option("kafka.bootstrap.servers", brokers)
             .option("topic", topic))

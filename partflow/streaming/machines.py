@@ -108,12 +108,23 @@ class WaitJoin(Machine):
              at once with them, otherwise at its deadline with all collected so far.
     Collected/stored right rows are consumed by the row that leaves with them. ``numbered``
     outputs say whether they leave on an arrival (``now``) and in which order of their instant
-    (``at``; 0 at a deadline)."""
+    (``at``; 0 at a deadline). With ``keep`` a right row expires that long after its arrival."""
 
     def __init__(self, mode: str, within_ms: int | None, left: str = "left",
-                 right: str = "right", expected: int | None = None, numbered: bool = False):
+                 right: str = "right", expected: int | None = None, numbered: bool = False,
+                 keep: int | None = None):
         self.mode, self.T, self.L, self.R, self.expected = mode, within_ms, left, right, expected
-        self.numbered = numbered
+        self.numbered, self.keep = numbered, keep
+
+    def _right(self, st, items, at):
+        """The waiting right row (or rows) that has not expired by ``at``."""
+        if self.mode == "collect":
+            if self.keep is None:
+                return items.get()
+            rows = [x.split("|", 1) for x in items.get()]
+            return [v for t, v in rows if int(t) + self.keep > at]
+        gone = self.keep is not None and st.get("r") is not None and st["rt"] + self.keep <= at
+        return None if gone else st.get("r")
 
     def _obj(self, at: int, **fields) -> str:
         return obj(**fields, now=at > 0, at=at) if self.numbered else obj(**fields)
@@ -139,10 +150,11 @@ class WaitJoin(Machine):
             if self.mode == "full":
                 out.append(self._lone(st, wd))
             elif self.mode == "left":
-                out.append((wd, self._obj(0, **{self.L: st["w"], self.R: st.get("r")})))
-                st["r"] = None
+                out.append((wd, self._obj(0, **{self.L: st["w"],
+                                                self.R: self._right(st, items, wd)})))
+                st["r"] = st["rt"] = None
             else:
-                got = items.get()
+                got = self._right(st, items, wd)
                 out.append((wd, self._obj(0, **{self.L: st["w"], self.R: got, "n": len(got)})))
                 items.clear()
                 st["n"] = None
@@ -162,17 +174,21 @@ class WaitJoin(Machine):
                 continue
             if self.mode == "left":
                 st["r"] = val
+                if self.keep is not None:
+                    st["rt"] = t
             else:
-                items.append(val)
+                items.append(val if self.keep is None else f"{t}|{val}")
                 st["n"] = (st.get("n") or 0) + 1
         for _, _, side, val in rows:
             if side != self.L:
                 continue
-            if self.mode == "left" and st.get("r") is not None:
+            if self.mode == "left" and self._right(st, items, t) is not None:
                 out.append((t, self._obj(len(out) + 1, **{self.L: val, self.R: st["r"]})))
-                st["r"] = None
-            elif self.mode == "collect" and (st.get("n") or 0) == self.expected:
-                got = items.get()
+                st["r"] = st["rt"] = None
+            elif self.mode == "collect" and self.expected == (
+                    (st.get("n") or 0) if self.keep is None
+                    else len(self._right(st, items, t))):
+                got = self._right(st, items, t)
                 out.append((t, self._obj(len(out) + 1,
                                          **{self.L: val, self.R: got, "n": len(got)})))
                 items.clear()

@@ -144,3 +144,60 @@ def test_missing_price_fails_the_car(spark):
     got = {r.sku: (r.situation, r.total_price)
            for r in A.price(A.assemble(parts, "code"), prices, "code").collect()}
     assert got == {0: ("MISSING_BODY", 0.0), 1: ("COMPLETE", 2.0), 2: ("FAILED_GET_PRICE", -1.0)}
+
+
+def brute_left(rows, wait, keep):
+    """(key -> [(t, side)] in order) by hand: JN2 whose right rows expire."""
+    out = []
+    for k, arr in rows.items():
+        left = right = None
+
+        def fire(at):
+            nonlocal left, right
+            if left and left[0] + wait <= at:
+                wd = left[0] + wait
+                ok = right is not None and right + keep > wd
+                out.append((k, wd, left[1], right if ok else None))
+                left = right = None
+        for t, s in sorted(arr, key=lambda x: (x[0], x[1] == "L")):
+            fire(t)
+            if s == "R":
+                right = t
+            elif right is not None and right + keep > t:
+                out.append((k, t, t, right))
+                right = None
+            else:
+                left = (left[0], t) if left else (t, t)
+        fire(10**9)
+    return sorted(map(repr, out))
+
+
+@pytest.mark.parametrize("most", [10_000, 3])
+def test_right_rows_expire(spark, monkeypatch, most):
+    """ST4 in event time: folds, segments and the machine, against brute force."""
+    monkeypatch.setattr(folds, "MOST", most)
+    rng = random.Random(6)
+    rows = {f"k{i}": sorted({(rng.randrange(120), rng.choice("LR")) for _ in range(9)})
+            for i in range(150)}
+    df = spark.createDataFrame([(k, s, t) for k, x in rows.items() for t, s in x],
+                               "k string, s string, id long").withColumn(
+        "ts", F.timestamp_seconds(F.col("id") + EPOCH))
+    left, right = (df.where(F.col("s") == s).drop("s") for s in "LR")
+    got = wait_join_left(left, right, "k", "10 seconds", "r", keep="17 seconds")
+    assert sorted(repr((r.k, int(r.ts.timestamp()) - EPOCH, r.id, r.r and r.r.id))
+                  for r in got.collect()) == brute_left(rows, 10, 17)
+
+
+def test_each_sink_task_writes_one_partition(spark):
+    """SNK5: order and keys kept, and no task's rows in two partitions."""
+    from partflow.sinks.topics import encode, fixed_partition
+    df = spark.range(400).select((F.col("id") % 37).cast("string").alias("k"), "id",
+                                 F.timestamp_seconds("id").alias("ts"), F.col("id").alias("seq"))
+    out = fixed_partition(encode(df, "k", F.struct("id")), "key", 3, tasks=7).withColumn(
+        "task", F.spark_partition_id()).collect()
+    assert len({(r.task, r.partition) for r in out}) == len({r.task for r in out}) <= 7
+    assert {r.partition for r in out} == {0, 1, 2}
+    by = {}
+    for r in out:
+        by.setdefault((r.partition, r.key), []).append(r.seq)
+    assert len(by) == 37 and all(x == sorted(x) for x in by.values())

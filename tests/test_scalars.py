@@ -107,3 +107,19 @@ def test_fetch_retries_what_an_answer_lacks_within_one_deadline(spark):
     out = fetch_prices(cars.coalesce(1), broken, ids, ["sku"], retries=100, delay_s=0.3,
                        timeout_s=1.0).collect()
     assert {r.situation for r in out} == {"FAILED_GET_PRICE"} and time.time() - t0 < 20
+
+
+def test_fetch_from_a_table_by_buckets(spark, monkeypatch):
+    """Ids and prices meet by hash bucket: equal to the table join, ids without a price fail."""
+    from partflow.operators import pricing as P
+    monkeypatch.setattr(P, "BUCKET_PRICES", 40)
+    prices = spark.range(300).select("id", (F.col("id") * 1.005).alias("price"))
+    cars = spark.range(500).select(F.col("id").alias("sku"), F.struct(
+        (F.col("id") % 330).alias("id")).alias("body"))
+    ids = {"BODY": F.col("body.id")}
+    got = P.fetch_prices(cars, P.from_table, ids, ["sku"], retries=0, table=prices)
+    want = P.price_cars(cars, prices, ids, ["sku"])
+    cols = ["sku", "situation", "total_price"]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(
+        map(tuple, want.select(cols).collect()))
+    assert got.where("situation = 'FAILED_GET_PRICE'").count() == 30
