@@ -180,7 +180,8 @@ def fetch_prices(cars: DataFrame, fetch: Callable[..., dict[str, float]],
         def fetch(batch, *table):  # noqa: F811 - the per-id fetch behind the batch interface
             v = one(batch[0], *table)
             return {} if v is None else {batch[0]: v}
-    look = _lookups(cars, car_key, ids)
+    from partflow.session import materialize
+    look = materialize(_lookups(cars, car_key, ids), "lookups")  # read twice: asked, priced
     how = (capacity, timeout_s, retries, delay_s, chunk)
     asked = look.select("id").where("id is not null").distinct()
     if table is None:

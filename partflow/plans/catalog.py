@@ -288,6 +288,7 @@ QUERIES: dict[str, Query] = {
     "stream_assemble_documented": S.assemble("documented"),
     "stream_route_counts": S.route_counts,
     "stream_route_records": stream_route_records,
+    "stream_lookup_retries": S.lookup_retries,
     "stream_latest_value_join": S.latest_value_join,
     "stream_last_three_tags": S.last_three_tags,
     "stream_first_per_key": S.first_per_key,

@@ -305,6 +305,49 @@ def sinks(tables: I.Versions) -> dict[str, DataFrame]:
     return {name: tables.read(name, FILE_TOPIC_SCHEMA) for name in ("complete", "incomplete")}
 
 
+def unsteady(ids: list[str], prices: dict[str, float], tries: int) -> dict[str, float]:
+    """A price service with failures: by its id's digest, a price comes at the first, second or
+    third try, or (one in sixteen) never."""
+    import hashlib
+
+    def first(i: str) -> int:
+        n = hashlib.md5(i.encode()).digest()[0]
+        return 99 if n % 16 == 0 else n % 3
+    return {i: prices[i] for i in ids if i in prices and tries >= first(i)}
+
+
+def lookup_retries(spark, sf_dir):
+    """JN7 form 2 on its own: the cars (batch assembly) come in two time slices, their lookups
+    are tried again by the clock; after each slice three rows without a car move it on."""
+    from partflow.schemas import LOOKUP_RETRIES
+    from partflow.streaming.lookups import Lookups
+    parts = fx.car_parts(spark, sf_dir)
+    cars = A.assemble(parts, "documented").where("situation = 'AWAITING_PRICE'").select(
+        "sku", "seq", "ts", *[F.struct(F.col(f"{k}.id").alias("id")).alias(k)
+                              for k in ("body", "engine", "remote")],
+        F.transform("wheels", lambda w: F.struct(w["id"].alias("id"))).alias("wheels"))
+    base = scratch_path(spark, "jn7")
+    job = Lookups(spark, f"{base}/tables", cars.schema, ["sku", "ts", "seq"],
+                  A.price_ids("documented"), unsteady, parts["prices"], LOOKUP_RETRIES,
+                  "1 day", "5 days")
+    rows = cars.select(F.col("ts").cast("timestamp").alias("ts"), F.struct("*").alias("car"))
+    rows.write.parquet(f"{base}/cars")
+    rows = spark.read.schema(rows.schema).parquet(f"{base}/cars")
+    cut = F.unix_millis("ts") < R._bounds(rows, 2)[0]
+    slices = []
+    for half in (rows.where(cut), rows.where(~cut)):
+        last = half.agg(F.max("ts").alias("t"))
+        slices += [half, *[last.select((F.col("t") + F.expr(f"INTERVAL {i} days")).alias("ts"),
+                                       F.lit(None).cast(cars.schema).alias("car"))
+                           for i in (1, 2, 6)]]
+    for i, part in enumerate(slices):
+        part.write.parquet(f"{base}/topic/slice-{i:05d}")
+        job.run(spark.readStream.schema(rows.schema).parquet(f"{base}/topic/slice-*"),
+                f"{base}/ckpt")
+    return job.outputs().select("sku", "ts", "situation", "total_price", "body_price",
+                                "engine_price", "remote_control_price", "wheel_price")
+
+
 def route_counts(spark, sf_dir):
     parts = [decode(df, CAR).select(
         F.lit(name).alias("sink"), F.col("record.situation").alias("situation"))
