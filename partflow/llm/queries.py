@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from partflow.llm import (ann, byte_bpe, collocations, html_content, mixing, pii, quality,
                           sharding, simhash, substrings, token_counts, toxicity, vector_codes)
 from partflow.llm.common import prepare, read
+from partflow.llm.oracle import ORACLE  # noqa: F401 - DuckDB SQL by query
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +82,3 @@ QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_pii, op3_quality, op4_html, op5_byte_bpe, op6_substrings, op7_toxicity,
     op8_simhash, op9_token_counts, op10_ann, op11_collocations, op12_vector_codes,
     op13_sharding)}
-
-#: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
