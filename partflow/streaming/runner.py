@@ -141,6 +141,8 @@ def _run(spark, topic_path, machine, checkpoint, out, files_per_batch):
     reader = spark.readStream.schema(TOPIC_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    # The run's progress is kept whole: ``reject_late`` reads every micro-batch's.
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
     with state_partitions(spark):
         q = (machine_stream(reader.parquet(topic_path), machine).writeStream.format("parquet")
              .option("checkpointLocation", checkpoint).trigger(availableNow=True)
