@@ -87,4 +87,35 @@ select vec_id, code, error, cast(sum(error) over (partition by label) as bigint)
        sha codebooks_sha256
 from codes, books"""
 
-ORACLE = {"op11_collocations": COLLOCATIONS, "op12_vector_codes": VECTOR_CODES}
+#: Every 100-byte window by its digest; all but the first of a digest cover their bytes.
+SUBSTRINGS = """
+with docs as materialized (
+  select doc_id, hex(encode(coalesce(text, ''))) h,
+         octet_length(encode(coalesce(text, ''))) n from documents),
+blocks as (
+  select doc_id, j, substr(h, 2 * j + 1, 2 * (200 + 99)) b
+  from (select doc_id, h, unnest(range(0, n - 99, 200)) j from docs)),
+windows as (
+  select doc_id, j + i i, md5(substr(b, 2 * i + 1, 200)) w
+  from (select doc_id, j, b, unnest(range(0, length(b) // 2 - 99)) i from blocks)),
+later as (
+  select doc_id, i from windows
+  qualify row_number() over (partition by w order by doc_id, i) > 1),
+runs as (
+  select doc_id, min(i) lo, max(i) + 100 hi from (
+    select doc_id, i, sum(fresh) over (partition by doc_id order by i) run from (
+      select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 100
+                             then 0 else 1 end fresh from later))
+  group by doc_id, run),
+cut as (
+  select r.doc_id, sum(hi - lo) n_removed, count(*) n_spans,
+         string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' order by lo) kept,
+         max(hi) last
+  from (select *, coalesce(lag(hi) over (partition by doc_id order by lo), 0) before from runs) r
+  join docs d on d.doc_id = r.doc_id group by r.doc_id)
+select d.doc_id, cast(n as bigint) n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed,
+       cast(coalesce(n_spans, 0) as bigint) n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) kept_sha256
+from docs d left join cut c on c.doc_id = d.doc_id"""
+
+ORACLE = {"op6_substrings": SUBSTRINGS, "op11_collocations": COLLOCATIONS, "op12_vector_codes": VECTOR_CODES}
