@@ -180,10 +180,14 @@ def fold_from(events: Column, wait: Wait, lt: T.DataType, rt: T.DataType, time:
     else:
         start = begin(state["l"], F.coalesce(state["r"], no_rows) if collect else state["r"],
                       state["wd"])
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(events) - 1) / CHUNK).cast("int")),
-                         lambda i: F.slice(events, i * CHUNK + 1, CHUNK))
-    return F.aggregate(F.when(F.size(events) > 0, chunks).otherwise(
-        F.slice(chunks, 1, 0)), start, chunk, end)
+    def chunked(ev):
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(ev) - 1) / CHUNK).cast("int")),
+                             lambda i: F.slice(ev, i * CHUNK + 1, CHUNK))
+        return F.aggregate(chunks, start, chunk, end)
+
+    # Bound once: it may be the fold before.
+    return F.element_at(F.transform(F.array(events), lambda ev: F.when(
+        F.size(ev) <= CHUNK, F.aggregate(ev, start, step, end)).otherwise(chunked(ev))), 1)
 
 
 def fold(events: Column, wait: Wait, lt: T.DataType, rt: T.DataType, time: T.DataType) -> Column:
