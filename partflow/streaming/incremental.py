@@ -4,10 +4,13 @@ Each micro-batch (``foreachBatch``) joins the keys' state, a table of typed colu
 arrivals, once by key, and folds the settled ones on from the state (``operators/folds``): those
 before the horizon, which is the newest arrival less ``lateness``. What arrives at or after the
 horizon stays in the state as it is, so results depend neither on how the input is cut into
-micro-batches nor on the order within them. The state table is written anew per micro-batch, so
-this form suits large micro-batches (an incremental job, a trigger of minutes); with small ones
-and many waiting keys, ``transformWithState`` (``streaming/processor``) touches the keys that
-change only.
+micro-batches nor on the order within them.
+
+State is a table of changes. A micro-batch reads and writes the keys that it touches only: those
+with arrivals and those that are due (the earliest deadline, expiry or arrival not yet settled,
+kept beside the state, lies before the horizon). A key's newest row counts; a key that nothing
+waits for any more leaves a row that says so. Every ``compact`` micro-batches all of it is written
+as one table of the keys that are alive, so that reading stays bounded by the state's size.
 
 Tables of a stream are versioned by batch id (``Versions``): all that a batch writes (outputs of
 every sink, state, late rows) becomes visible by its manifest, which is written last. Readers
@@ -36,8 +39,8 @@ from partflow.operators.folds import Wait, event, fold_from, nullable, number, o
 from partflow.session import scratch_path, state_partitions
 
 TIME = T.TimestampType()
-#: ``horizon`` in microseconds.
-MANIFEST = "batch_id bigint, horizon bigint, late bigint, version int"
+#: ``horizon`` in microseconds; ``base``: the batch whose state is whole, later ones hold changes.
+MANIFEST = "batch_id bigint, horizon bigint, late bigint, version int, base bigint"
 
 
 class Versions:
@@ -64,8 +67,8 @@ class Versions:
     def write(self, name: str, batch_id: int, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(self.folder(name, batch_id))
 
-    def commit(self, batch_id: int, horizon, late: int, version: int) -> None:
-        row = self.spark.createDataFrame([(batch_id, horizon, late, version)], MANIFEST)
+    def commit(self, batch_id: int, horizon, late: int, version: int, base=None) -> None:
+        row = self.spark.createDataFrame([(batch_id, horizon, late, version, base)], MANIFEST)
         row.coalesce(1).write.mode("overwrite").parquet(self.folder("manifest", batch_id))
 
     def read(self, name: str, schema: T.StructType | str) -> DataFrame:
@@ -109,6 +112,18 @@ class WaitJob:
         return state["l"].isNotNull() | (F.size(r) > 0 if self.wait.mode == "collect"
                                          else r.isNotNull())
 
+    def due(self, state: Column) -> list[Column]:
+        return [due(self.wait, state)]
+
+
+def due(wait: Wait, state: Column) -> Column:
+    """When the state changes next if nothing comes: the deadline or the first expiry."""
+    if wait.keep is None:
+        return state["wd"]
+    first = (F.array_min(F.transform(state["r"], lambda x: x["ts"])) if wait.mode == "collect"
+             else state["r"]["ts"])
+    return F.least(state["wd"], first + F.expr(f"INTERVAL {wait.keep}"))
+
 
 def arrivals(rows: Column, wait: Wait, side: int, lt: T.DataType, rt: T.DataType) -> Column:
     null = F.lit(None).cast(lt if side else rt)
@@ -181,6 +196,9 @@ class AssemblyJob:
                 | state["s2"]["l"].isNotNull() | state["s2"]["r"].isNotNull())
         return some | state["s3"]["l"].isNotNull() | (F.size(state["s3"]["r"]) > 0)
 
+    def due(self, state: Column) -> list[Column]:
+        return [due(j[0], state[f"s{i}"]) for i, j in enumerate(self.joins, 1)]
+
 
 def held(x: Column) -> Column:
     return F.struct(x["l"].alias("l"), x["r"].alias("r"), x["wd"].alias("wd"))
@@ -191,9 +209,12 @@ def rest_of(kind: str) -> str:
 
 
 def state_schema(job) -> T.StructType:
+    """``due``: before which horizon nothing happens without arrivals (null: never);
+    ``gone``: nothing waits any more."""
     return T.StructType([T.StructField("key", T.StringType()), T.StructField("st", job.state),
                          *[T.StructField(rest_of(k), T.ArrayType(t))
-                           for k, t in job.kinds.items()]])
+                           for k, t in job.kinds.items()],
+                         T.StructField("due", TIME), T.StructField("gone", T.BooleanType())])
 
 
 @dataclass
@@ -207,6 +228,7 @@ class Incremental:
     lateness: str = "0 seconds"
     publish: Callable[[DataFrame, int], None] | None = None
     version: int = 1
+    compact: int = 8
 
     def __post_init__(self):
         self.versions = Versions(self.spark, self.path)
@@ -240,7 +262,9 @@ class Incremental:
             n_late = late.count()
             if n_late:
                 v.write("late", batch_id, late)
-        full = self._advance(batch.where(~behind), last, horizon).persist()
+        chain = self._chain(last)
+        whole = len(chain) in (0, self.compact)
+        full = self._advance(batch.where(~behind), chain, horizon, whole).persist()
         outs = full.select("key", F.posexplode("out").alias("_pos", "o")).select(
             "key", number(F.col("o"), F.col("_pos")).alias("seq"), "o.*")
         v.write("out", batch_id, outs)
@@ -248,28 +272,67 @@ class Incremental:
         some = job.alive(F.col("st"))
         for c in rest:
             some = some | (F.size(c) > 0)
-        v.write("state", batch_id, full.where(some).select("key", "st", *rest))
+        nexts = [*job.due(F.col("st")),
+                 *[F.array_min(F.transform(c, lambda x: x["ts"])) for c in rest]]
+        changed = some if whole else some | F.col("had")
+        v.write("state", batch_id, full.where(changed).select(
+            "key", F.when(some, F.col("st")).alias("st"), *rest,
+            F.least(*nexts, F.lit(None).cast(TIME)).alias("due"), (~some).alias("gone")))
         if self.publish is not None:
             self.publish(outs, batch_id)
-        v.commit(batch_id, horizon, n_late, self.version)
+        v.commit(batch_id, horizon, n_late, self.version, batch_id if whole else chain[0])
         full.unpersist()
         batch.unpersist()
 
-    def _advance(self, fresh: DataFrame, last, horizon) -> DataFrame:
-        """key, st, out and what is not settled yet, of every key with state or arrivals."""
+    def _chain(self, last) -> list[int]:
+        """The batches whose state tables hold the state, the whole one first. State that was
+        written without ``base`` is whole, but says nothing of when it is due: taken whole."""
+        if last is None:
+            return []
+        base = last["batch_id"] if last["base"] is None else last["base"]
+        return [r["batch_id"] for r in self.versions.manifests().where(
+            F.col("batch_id").between(base, last["batch_id"])).orderBy("batch_id").collect()]
+
+    def _held(self, chain: list[int], touched: DataFrame | None) -> DataFrame:
+        """The newest state of the keys ``touched`` (None: of all) that something waits for."""
+        schema = state_schema(self.job)
+        with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+        rows = (self.spark.read.schema(with_batch)
+                .option("basePath", f"{self.versions.path}/state")
+                .parquet(*[self.versions.folder("state", b) for b in chain]))
+        if touched is not None:
+            rows = rows.join(touched, rows["key"].eqNullSafe(touched["_k"]), "left_semi")
+        if len(chain) > 1:
+            own = F.struct(*[c for c in schema.names if c != "key"])
+            rows = rows.groupBy("key").agg(F.max_by(own, "batch_id").alias("x")).select(
+                "key", "x.*")
+        return rows.where(~F.coalesce("gone", F.lit(False))).drop("gone", "due", "batch_id")
+
+    def _advance(self, fresh: DataFrame, chain: list[int], horizon, whole: bool) -> DataFrame:
+        """key, st, out, what is not settled yet, and whether it was in the state, of every key
+        that arrivals or the horizon touch; ``whole``: of every key with state or arrivals."""
         job = self.job
         new = fresh.groupBy("key").agg(*[
             F.collect_list(F.when(F.col("side") == k, F.col(f"p_{k}"))).alias(f"new_{k}")
             for k in job.kinds])
-        if last is None:
-            both = new.withColumn("st", F.lit(None).cast(job.state))
+        until = F.timestamp_micros(F.lit(horizon).cast("long"))
+        if not chain:
+            both = new.withColumn("st", F.lit(None).cast(job.state)).withColumn(
+                "had", F.lit(False))
             for k, t in job.kinds.items():
                 both = both.withColumn(rest_of(k), F.array().cast(T.ArrayType(t)))
         else:
-            old = self.spark.read.schema(state_schema(job)).parquet(
-                self.versions.folder("state", last["batch_id"]))
-            both = old.join(new, "key", "full_outer")
-        until = F.timestamp_micros(F.lit(horizon).cast("long"))
+            touched = None
+            if not whole:
+                keys = self.spark.read.schema("key string, due timestamp").parquet(
+                    *[self.versions.folder("state", b) for b in chain])
+                touched = keys.where(F.col("due") < until).select(F.col("key").alias("_k")).union(
+                    fresh.select("key")).distinct()
+            old = self._held(chain, touched).withColumn("had", F.lit(True))
+            both = old.withColumnRenamed("key", "_old").join(
+                new, F.col("_old").eqNullSafe(F.col("key")), "full_outer").withColumn(
+                "key", F.coalesce("key", "_old")).withColumn(
+                "had", F.coalesce("had", F.lit(False)))
         settled, later = {}, {}
         for k, t in job.kinds.items():
             none = F.array().cast(T.ArrayType(t))
@@ -278,9 +341,9 @@ class Incremental:
             both = both.withColumn(f"all_{k}", every)
             settled[k] = F.filter(f"all_{k}", lambda x: x["ts"] < until)
             later[k] = F.filter(f"all_{k}", lambda x: x["ts"] >= until)
-        got = both.select("key", job.step(F.col("st"), settled, until).alias("x"),
+        got = both.select("key", "had", job.step(F.col("st"), settled, until).alias("x"),
                           *[later[k].alias(rest_of(k)) for k in job.kinds])
-        return got.select("key", "x.st", "x.out", *[rest_of(k) for k in job.kinds])
+        return got.select("key", "had", "x.st", "x.out", *[rest_of(k) for k in job.kinds])
 
     def run(self, source: DataFrame, checkpoint: str) -> None:
         """Take what the streaming ``source`` has, and stop."""

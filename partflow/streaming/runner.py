@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partflow.session import scratch_path, state_partitions
+from partflow.session import materialize, scratch_path, state_partitions
 from partflow.streaming.machines import Machine
 from partflow.streaming.processor import OUTPUT_SCHEMA, MachineProcessor
 
@@ -59,9 +59,10 @@ def _bounds(frame: DataFrame, slices: int) -> list[int]:
 
 def time_slices(spark: SparkSession, frame: DataFrame, slices: int, horizon_ms: int
                 ) -> list[DataFrame]:
-    """The topic frame cut at whole-millisecond borders (approximate quantiles: a
-    handful of numbers on the driver); the last slice carries the closing sentinel
-    row."""
+    """The topic frame, written once and cut at whole-millisecond borders (approximate
+    quantiles: a handful of numbers on the driver); the last slice carries the closing
+    sentinel row."""
+    frame = materialize(frame, "topic-frame")
     ms = F.unix_millis("ts")
     edges = [None, *_bounds(frame, slices), None]
     out = []

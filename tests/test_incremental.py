@@ -173,3 +173,38 @@ def test_running_totals_survive_replays(spark):
         want.add((w, d, p, seen[w]))
     assert {(r.w, r.d, r.p, r.n) for r in v.outputs("w string, d int, p int, n long").collect()
             } == want
+
+
+def test_state_holds_changes_and_is_written_whole_now_and_then(spark):
+    """A micro-batch writes the keys that it touches: by an arrival, or because they are due. A
+    settled key is marked; the batch that compacts leaves such keys out."""
+    base = scratch_path(spark, "changes")
+    kinds = {"l": "id string", "r": "id string"}
+    job = I.WaitJob(Wait("left", "10 seconds", keep="1 minute"), "l", I.payload_type("id string"),
+                    "r", I.payload_type("id string"))
+    stream = I.Incremental(spark, job, f"{base}/tables", compact=3)
+    value = '{"id":"%s"}'
+    waiting = [(f"k{i}", "r", 100, i, value % f"r{i}") for i in range(5)]
+    feed(spark, stream, [
+        [*waiting, ("due", "l", 100, 9, value % "d"), (None, "r", 101, 9, value % "n")],
+        [("k0", "l", 105, 0, value % "a"), ("other", "l", 115, 1, value % "o")],
+        [("k1", "l", 116, 0, value % "b"), (None, "l", 117, 0, value % "m")],
+        [("k2", "l", 118, 0, value % "c"), ("k0", "l", 119, 1, value % "e")]],
+        kinds, base, closing=False)
+
+    def state(batch):
+        rows = spark.read.parquet(f"{base}/tables/state/batch_id={batch}").collect()
+        return {r.key for r in rows if not r.gone}, {r.key for r in rows if r.gone}
+    # Rows at the horizon (the newest arrival) wait in the state until it has passed them.
+    assert state(0) == ({*(f"k{i}" for i in range(5)), "due", None}, set())
+    assert state(1) == ({"other", None}, {"k0", "due"})
+    assert state(2) == ({"other", None}, {"k1"})
+    assert state(3) == ({"k0", "k3", "k4", "other"}, set())
+    bases = {r.batch_id: r.base for r in stream.versions.manifests().collect()}
+    assert bases == {0: 0, 1: 0, 2: 0, 3: 3}
+    feed(spark, stream, [], kinds, base)
+    got = {(r.key, r.l.id, r.r and r.r.id) for r in stream.outputs().collect()}
+    assert got == {("k0", "a", "r0"), ("due", "d", None), ("other", "o", None),
+                   ("k1", "b", "r1"), (None, "m", "n"), ("k2", "c", "r2"), ("k0", "e", None)}
+    # The closing row has no payload; right rows that nobody took have expired.
+    assert state(4) == (set(), {"k0", "k3", "k4", "other"})
