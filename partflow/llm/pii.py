@@ -16,6 +16,9 @@
   Candidates with a probability of ``SURE`` at least that overlap no other span are added.
   On tables that hold no personal data but in the base formats none is.
 
+Long arrays are worked on in chunks, so that the work for a text of very many matches stays
+near to linear in them.
+
 Positions are code points, ends exclusive. Null texts count as empty: no spans. Repeated
 rows each get their row; an empty table gives an empty result.
 """
@@ -62,6 +65,8 @@ TRAIN_DOCS, TRAIN_ROWS = 20_000, 40_000
 SURE = 0.9
 #: Characters of context on each side.
 AROUND = 24
+#: Elements of an array that are folded in one piece.
+CHUNK = 256
 
 SPAN = "array<struct<start:int,stop:int,s:string,left:string,right:string>>"
 
@@ -83,13 +88,28 @@ def holds(text: Column, *some: str) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in some])
 
 
+def bound(x: Column, f) -> Column:
+    """``f`` of ``x``, which is computed once wherever and how often ``f`` uses it."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def chunks(a: Column) -> Column:
+    """``a`` in order, cut into arrays of ``CHUNK`` elements; one empty array if it is empty."""
+    last = F.floor(F.greatest(F.size(a) - 1, F.lit(0)) / CHUNK).cast("int")
+    return bound(a, lambda x: F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.slice(x, i * CHUNK + 1, CHUNK)))
+
+
 def _placed(gaps: Column, matches: Column, of_gaps: bool = False) -> Column:
     """The matches (or the gaps) with their places, from alternating gaps and matches."""
     rows = F.arrays_zip(gaps.alias("g"), matches.alias("m"), _next(gaps).alias("n"))
 
+    def length(x):
+        return F.length(x["g"]) + F.coalesce(F.length(x["m"]), F.lit(0))
+
     def step(acc, x):
         at = acc["at"] + F.length(x["g"])
-        end = at + F.coalesce(F.length(x["m"]), F.lit(0))
+        end = acc["at"] + length(x)
         empty = F.lit("")
         if of_gaps:
             new = F.struct(acc["at"].alias("start"), at.alias("stop"), x["g"].alias("s"),
@@ -103,8 +123,14 @@ def _placed(gaps: Column, matches: Column, of_gaps: bool = False) -> Column:
         return F.struct(end.alias("at"), F.when(some, F.concat(
             acc["found"], F.array(new).cast(SPAN))).otherwise(acc["found"]).alias("found"))
 
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
-    return F.aggregate(rows, first, step, lambda acc: acc["found"])
+    def place(cut):
+        sums = F.transform(cut, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + length(x)))
+        starts = F.aggregate(sums, F.array(F.lit(0)), lambda n, x: F.concat(
+            n, F.array(F.element_at(n, -1) + x)))
+        return bound(starts, lambda at: F.flatten(F.transform(cut, lambda c, i: F.aggregate(
+            c, F.struct(F.get(at, i).alias("at"), F.array().cast(SPAN).alias("found")), step,
+            lambda acc: acc["found"]))))
+    return bound(chunks(rows), place)
 
 
 def _next(a: Column) -> Column:
@@ -217,6 +243,22 @@ def _overlaps(a: Column, b: Column) -> Column:
     return (a["start"] < b["stop"]) & (b["start"] < a["stop"])
 
 
+def blocks(spans: Column) -> Column:
+    """Sorted spans that don't overlap, in chunks that know from where to where they reach."""
+    some = F.filter(chunks(spans), lambda c: F.size(c) > 0)
+    return F.transform(some, lambda c: F.struct(
+        F.element_at(c, 1)["start"].alias("start"), F.element_at(c, -1)["stop"].alias("stop"),
+        F.transform(c, lambda x: F.struct(x["start"].alias("start"),
+                                          x["stop"].alias("stop"))).alias("spans")))
+
+
+def _meets(some: Column, c: Column) -> Column:
+    """Whether ``c`` overlaps a span of the ``blocks``: those chunks only are looked into that
+    reach to it."""
+    return F.exists(some, lambda b: _overlaps(b, c) & F.exists(
+        b["spans"], lambda x: _overlaps(x, c)))
+
+
 def candidates(docs: DataFrame, text: str, masked: bool = False) -> DataFrame:
     """``docs`` with ``_base`` (the base spans of all kinds) and ``_wide`` (candidates with
     their kind, features and whether they overlap a base span of their kind; where ``masked``,
@@ -232,10 +274,11 @@ def candidates(docs: DataFrame, text: str, masked: bool = False) -> DataFrame:
                          for k, (p, some, digits) in WIDE.items()])
 
     def described(k):
-        known = F.transform(f"_wide_{k}", lambda c: F.struct(
-            c["start"].alias("start"), c["stop"].alias("stop"), c["s"].alias("s"),
-            c["left"].alias("left"), c["right"].alias("right"),
-            F.exists(f"_base_{k}", lambda b: _overlaps(b, c)).alias("label")))
+        known = bound(blocks(F.col(f"_base_{k}")), lambda b: F.transform(
+            f"_wide_{k}", lambda c: F.struct(
+                c["start"].alias("start"), c["stop"].alias("stop"), c["s"].alias("s"),
+                c["left"].alias("left"), c["right"].alias("right"),
+                _meets(b, c).alias("label"))))
         if masked:
             known = F.transform(known, lambda c: F.when(c["label"], F.struct(
                 c["start"].alias("start"), c["stop"].alias("stop"), mask(k, c)["s"].alias("s"),
@@ -307,8 +350,9 @@ def spans(docs: DataFrame, model, limits: dict[str, float], text: str = "text")
         rows = rows.withColumn("_added", F.filter("_base", lambda x: F.lit(False)))
     else:
         limit = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])
-        rows = rows.withColumn("_wide", F.filter("_wide", lambda c: ~F.exists(
-            "_base", lambda b: _overlaps(b, c))))
+        base = F.concat(*[blocks(_of_kind(k, "_base")) for k in KINDS])
+        rows = rows.withColumn("_wide", bound(base, lambda b: F.filter(
+            "_wide", lambda c: ~_meets(b, c))))
         chosen = F.filter("_wide", lambda c: _expression(model, c["f"])
                           >= F.coalesce(F.element_at(limit, c["kind"]), F.lit(2.0)))
         rows = rows.withColumn("_added", F.transform(F.array_sort(F.transform(
@@ -316,24 +360,35 @@ def spans(docs: DataFrame, model, limits: dict[str, float], text: str = "text")
                                        c["kind"].alias("kind"), c["stop"].alias("stop")))),
             lambda c: F.struct(c["kind"].alias("kind"), c["nth"].alias("nth"),
                                c["start"].alias("start"), c["stop"].alias("stop"))))
-        # Of added ones that overlap, the first stays.
-        kind = "array<struct<kind:string,nth:int,start:int,stop:int>>"
-        rows = rows.withColumn("_added", F.aggregate(
-            "_added", F.array().cast(kind),
-            lambda acc, c: F.when(F.exists(acc, lambda b: _overlaps(b, c)), acc).otherwise(
-                F.concat(acc, F.array(c).cast(kind)))))
+        rows = rows.withColumn("_added", _first_of_overlapping(F.col("_added")))
     return rows.select("own", "t", _sorted(F.col("_base")).alias("_base"),
                        _sorted(F.concat("_base", "_added")).alias("_spans"))
 
 
+def _first_of_overlapping(a: Column) -> Column:
+    """Of spans sorted by start, those that don't overlap one that stays before them."""
+    none = F.array().cast("array<struct<kind:string,nth:int,start:int,stop:int>>")
+
+    def step(acc, c):
+        return F.when(c["start"] < acc["stop"], acc).otherwise(F.struct(
+            c["stop"].alias("stop"), F.concat(acc["found"], F.array(c)).alias("found")))
+
+    def chunk(acc, some):
+        first = F.struct(acc["stop"].alias("stop"), none.alias("found"))
+        return bound(F.aggregate(some, first, step), lambda x: F.struct(
+            x["stop"].alias("stop"), F.concat(acc["found"], x["found"]).alias("found")))
+    return F.aggregate(chunks(a), F.struct(F.lit(0).alias("stop"), none.alias("found")), chunk,
+                       lambda acc: acc["found"])
+
+
 def _sorted(a: Column) -> Column:
     return F.sort_array(F.transform(a, lambda c: F.struct(
         c["start"].alias("start"), c["nth"].alias("nth"), c["stop"].alias("stop"),
         c["kind"].alias("kind"))))
 
 
-def _of_kind(kind: str) -> Column:
-    return F.filter("_spans", lambda c: c["kind"] == kind)
+def _of_kind(kind: str, spans: str = "_spans") -> Column:
+    return F.filter(spans, lambda c: c["kind"] == kind)
 
 
 def written(a: Column) -> Column:
@@ -358,14 +413,26 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     first one's name stands for all. Null texts stay null."""
     rows = spans(docs, *fit(docs, text), text)
     t = F.col("t")
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    cut = F.aggregate(
-        "_spans", first,
-        lambda a, c: F.when(c["start"] < a["at"], F.struct(
+
+    def step(part, base):
+        return lambda a, c: F.when(c["start"] < a["at"], F.struct(
             F.greatest(a["at"], c["stop"]).alias("at"), a["out"].alias("out"))).otherwise(
             F.struct(c["stop"].alias("at"), F.concat(
-                a["out"], F.substring(t, a["at"] + 1, c["start"] - a["at"]),
-                F.lit("["), F.upper(c["kind"]), F.lit("]")).alias("out"))),
-        lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))))
+                a["out"], F.substring(part, a["at"] - base + 1, c["start"] - a["at"]),
+                F.lit("["), F.upper(c["kind"]), F.lit("]")).alias("out")))
+
+    def chunk(acc, some):
+        # Spans of a chunk are cut out of the chunk's part of the text.
+        end = F.greatest(F.array_max(F.transform(some, lambda c: c["stop"])), acc["at"])
+        part = F.substring(t, acc["at"] + 1, end - acc["at"])
+        first = F.struct(acc["at"].alias("at"), F.lit("").alias("out"))
+        return bound(bound(part, lambda p: F.aggregate(some, first, step(p, acc["at"]))),
+                     lambda x: F.struct(x["at"].alias("at"), F.concat(
+                         acc["out"], F.array(x["out"])).alias("out")))
+    cut = F.aggregate(
+        chunks(F.col("_spans")),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), chunk,
+        lambda a: F.concat(F.array_join(a["out"], ""),
+                           F.substring(t, a["at"] + 1, F.length(t))))
     return rows.select(*[F.when(F.size("_spans") > 0, cut).otherwise(t).alias(c)
                          if c == text else F.col("own")[c].alias(c) for c in docs.columns])

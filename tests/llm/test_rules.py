@@ -212,6 +212,31 @@ def test_personal_data_scores_cover_all_documents(docs_of, monkeypatch):
     assert model is not None and {"card", "phone", "email", "ip"} <= set(limits)
 
 
+def test_personal_data_in_chunks(docs_of, monkeypatch):
+    """Arrays cut into small chunks give what whole ones give, added spans and redaction too; a
+    text of thousands of matches ends."""
+    from partflow.llm import pii
+    texts = planted(500, 11)
+    texts += [" ".join(texts[i:i + 25]) for i in range(0, 500, 25)]
+    texts += [" ".join(f"{x} call (222) 555-{i % 10000:04d} now" for i in range(40))
+              for x in ("phone", "tel +1 (333) 555-0000")]
+    docs = docs_of(texts)
+    fitted = pii.fit(docs)
+    monkeypatch.setattr(pii, "fit", lambda *_: fitted)
+
+    def both():
+        return (sorted(map(repr, pii.personal_data(docs).collect())),
+                sorted((r.doc_id, r.text) for r in pii.redacted(docs).collect()))
+    whole = both()
+    monkeypatch.setattr(pii, "CHUNK", 3)
+    assert both() == whole
+    monkeypatch.undo()
+    monkeypatch.setattr(pii, "fit", lambda *_: fitted)
+    long = " ".join(f"+1 (222) 555-{i % 10000:04d} \xe9" for i in range(8000))
+    got = pii.personal_data(docs_of([long])).first()
+    assert got.n_phone == 8000 and got.spans == base(long)
+
+
 def test_redacted(docs_of):
     from partflow.llm.pii import redacted
     texts = [None, "", "no data", "mail a@b.cc now, é +1 (222) 555-1234.", "1.2.3.4x@y.zz"]
