@@ -1,8 +1,13 @@
 """What a query computes once, so that its time and its shuffles grow with its input only."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from partflow.operators import folds
+from partflow.plans import assembly as A
+
+from test_folds import cars_of, model_cars, random_parts
+
 
 def test_a_fold_decides_once_per_event(spark):
     """Lambdas are interpreted: what a step mentions often is evaluated often."""
@@ -14,3 +19,24 @@ def test_a_fold_decides_once_per_event(spark):
         F.array(e), wait, one, one, spark.sql("SELECT TIMESTAMP_NTZ'2000-01-01' t").schema["t"]
         .dataType))._jdf.queryExecution().analyzed().toString()
     assert plan.count("CASE WHEN") < 60  # 118 when every condition was spelled out per field
+
+
+@pytest.mark.parametrize("steps", [A.in_steps, A.with_remotes])
+def test_chained_joins_are_not_counted_one_by_one(spark, monkeypatch, steps):
+    """Counting a join's left side computes the joins before it once more."""
+    _, parts = random_parts(spark, 4, keys=20)
+
+    def counted(*a):
+        raise AssertionError("counted")
+    monkeypatch.setattr(folds, "hot_keys", counted)
+    assert steps(parts, "10 seconds").count() > 0
+
+
+def test_hot_and_calm_skus_together(spark):
+    """Skus over and under the count in one table, each by its own way; null skus meet nobody."""
+    arrivals, parts = random_parts(spark, 6, keys=60)
+    lone = parts["body"].limit(1).withColumn("sku", F.lit(None).cast(
+        parts["body"].schema["sku"].dataType))
+    with_null = {**parts, "body": parts["body"].unionByName(lone)}
+    assert cars_of(A.in_steps(parts, "10 seconds", most=6)) == model_cars(arrivals)
+    assert A.in_steps(with_null, "10 seconds", most=6).count() == len(model_cars(arrivals)) + 1
