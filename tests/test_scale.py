@@ -40,3 +40,22 @@ def test_hot_and_calm_skus_together(spark):
     with_null = {**parts, "body": parts["body"].unionByName(lone)}
     assert cars_of(A.in_steps(parts, "10 seconds", most=6)) == model_cars(arrivals)
     assert A.in_steps(with_null, "10 seconds", most=6).count() == len(model_cars(arrivals)) + 1
+
+
+def test_patched_cars_are_assembled_once(spark, monkeypatch):
+    """One count serves assembly and patch join; hot skus give the same rows."""
+    parts = spark.createDataFrame([(i % 7, i, i % 5) for i in range(60)], "sku long, id long, k long")
+    parts = parts.withColumn("ts", F.timestamp_seconds(F.col("id") * 3 + 946_684_800).cast(
+        "timestamp_ntz")).withColumn("seq", F.col("id"))
+    own = ["sku", "id", "ts", "seq"]
+    tables = {k: parts.where(F.col("k") == i).select(*own)
+              for i, k in enumerate(("body", "engine", "remote"))}
+    tables["wheel"] = parts.where("k > 2").select(
+        *own, F.col("k").cast("int").alias("ln"), F.lit("FRONT_LEFT").alias("placement"))
+    tables["prices"] = parts.select("id", F.col("id").cast("double").alias("price"))
+    want = sorted(map(repr, A.patched(tables, "90 seconds", most=1).collect()))
+
+    def counted(*a):
+        raise AssertionError("counted")
+    monkeypatch.setattr(folds, "hot_keys", counted)
+    assert sorted(map(repr, A.patched(tables, "90 seconds").collect())) == want and want
