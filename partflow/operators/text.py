@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partflow.functions.scalars import split_words, word_count_text
-from partflow.operators.keyed import running_rank
+from partflow.operators.keyed import running_rank_of_items
 
 # Documents per bucket of the running count (see operators/keyed.py): a word's rows are
-# scanned per (word, doc-id range), so a very common word is spread over many tasks.
-DOCS_PER_BUCKET = 64
+# scanned per (word, doc-id range), so a very common word is spread over many tasks. The
+# more documents in a bucket, the fewer of its words are new: one count travels for each.
+DOCS_PER_BUCKET = 1024
 
 
 def words(lines: DataFrame, text: str = "text", line_id: str = "doc_id") -> DataFrame:
@@ -32,7 +33,6 @@ def running_word_count(lines: DataFrame, text: str = "text", line_id: str = "doc
                        docs_per_bucket: int = DOCS_PER_BUCKET) -> DataFrame:
     """The running total emitted on every word, in (line id, position) order: the
     per-event form of ``keyBy(word).sum(1)``."""
-    w = words(lines, text, line_id)
-    ranked = running_rank(w, "word", [line_id, "pos"],
-                          F.floor(F.col(line_id) / docs_per_bucket), name="n")
+    ranked = running_rank_of_items(lines.select(line_id, text), split_words(text), "word",
+                                   [line_id], F.floor(F.col(line_id) / docs_per_bucket), name="n")
     return ranked.select(line_id, "pos", "word", "n", word_count_text("word", "n").alias("line"))

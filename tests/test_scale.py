@@ -59,3 +59,24 @@ def test_patched_cars_are_assembled_once(spark, monkeypatch):
         raise AssertionError("counted")
     monkeypatch.setattr(folds, "hot_keys", counted)
     assert sorted(map(repr, A.patched(tables, "90 seconds").collect())) == want and want
+
+
+def test_running_count_shuffles_lines_not_words(spark):
+    """Lines travel to their bucket whole; only counts travel per word. Null, empty, repeated
+    and unordered lines count as by a plain window."""
+    from pyspark.sql import Window
+
+    from partflow.operators import text
+    lines = [(i, " ".join(["the"] * (i % 5) + [f"w{i % 7}", "", "x"])) for i in range(50)]
+    lines += [(3, "the the"), (60, None), (61, ""), (None, "the w1"), (-5, "the  the"), (2000, "x")]
+    df = spark.createDataFrame(lines[::-1], "doc_id long, text string").repartition(3)
+    for per in (1, 8, 1024):
+        got = text.running_word_count(df, docs_per_bucket=per)
+        order = Window.partitionBy("word").orderBy("doc_id", "pos")
+        want = text.words(df).withColumn("n", F.row_number().over(order).cast("long"))
+        same = ["doc_id", "pos", "word", "n"]
+        assert sorted(map(repr, got.select(*same).collect())) == sorted(
+            map(repr, want.select(*same).collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    explode, moved = plan.index("posexplode"), plan.index("RepartitionByExpression")
+    assert explode < moved  # words are taken apart above the exchange of lines
