@@ -80,3 +80,21 @@ def test_running_count_shuffles_lines_not_words(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     explode, moved = plan.index("posexplode"), plan.index("RepartitionByExpression")
     assert explode < moved  # words are taken apart above the exchange of lines
+
+
+def test_running_totals_of_arrays(spark):
+    """Micro-batches of lines give the totals of one batch over all, nulls and repeats too."""
+    from partflow.operators import text
+    from partflow.functions.scalars import split_words
+    from partflow.session import scratch_path
+    from partflow.streaming.totals import RunningTotals
+    lines = [(i, None if i % 11 == 0 else f"the a{i % 3} the {'b' * (i % 4)}") for i in range(40)]
+    v = RunningTotals(spark, scratch_path(spark, "arrays"), "word", ("doc_id",),
+                      F.floor(F.col("doc_id") / 4), split_words("text"))
+    for i in range(4):
+        v.per_batch(spark.createDataFrame(lines[10 * i:10 * i + 10],
+                                          "doc_id long, text string"), i)
+    got = v.outputs("doc_id long, pos int, word string, n long")
+    want = text.running_word_count(spark.createDataFrame(lines, "doc_id long, text string"))
+    assert sorted(map(repr, got.collect())) == sorted(
+        map(repr, want.select("doc_id", "pos", "word", "n").collect()))
