@@ -98,3 +98,31 @@ def test_running_totals_of_arrays(spark):
     want = text.running_word_count(spark.createDataFrame(lines, "doc_id long, text string"))
     assert sorted(map(repr, got.collect())) == sorted(
         map(repr, want.select("doc_id", "pos", "word", "n").collect()))
+
+
+def test_last_rows_over_micro_batches(spark):
+    """Few keys with many arrivals: no task holds a key. Replays change nothing, late rows are
+    kept apart, null keys and null values count."""
+    from pyspark.sql import types as T
+
+    from partflow.session import scratch_path
+    from partflow.streaming.tails import LastRows
+    rows = [(None if i % 5 == 0 else f"k{i % 2}", i // 2, i, None if i % 7 == 0 else float(i))
+            for i in range(120)]
+    job = LastRows(spark, scratch_path(spark, "tails"), 3, T.DoubleType())
+
+    def batch(some):
+        return spark.createDataFrame(some, "key string, s long, seq long, v double").select(
+            "key", F.timestamp_seconds(F.col("s") * 1800).alias("ts"), "seq", "v")
+    job.per_batch(batch(rows[:40][::-1]), 0)
+    job.versions.write("state", 1, batch(rows[:1]))  # an attempt without manifest
+    job.per_batch(batch(rows[40:80]), 1)
+    job.per_batch(batch(rows[40:80]), 1)
+    job.per_batch(batch([*rows[80:], ("k0", 3, 999, 1.0)]), 2)
+    want, seen = set(), {}
+    for k, _, seq, v in rows:
+        seen[k] = [*seen.get(k, []), v][-3:]
+        want.add((k, seq, tuple(seen[k])))
+    assert {(r.key, r.seq, tuple(r.vals)) for r in job.outputs().collect()} == want
+    assert [r.late for r in job.versions.manifests().orderBy("batch_id").collect()] == [0, 0, 1]
+    assert job.versions.read("late", job.rows).collect()[0].seq == 999
