@@ -126,3 +126,30 @@ def test_last_rows_over_micro_batches(spark):
     assert {(r.key, r.seq, tuple(r.vals)) for r in job.outputs().collect()} == want
     assert [r.late for r in job.versions.manifests().orderBy("batch_id").collect()] == [0, 0, 1]
     assert job.versions.read("late", job.rows).collect()[0].seq == 999
+
+
+def test_state_and_arrivals_meet_in_one_exchange(spark, monkeypatch):
+    """Few or many touched keys: the same rows; with many, no join moves state a second time.
+    The sinks read what the batch has written."""
+    from test_incremental import END, PART, assembly, feed, got_cars, part_slices
+    from partflow.session import scratch_path
+    from partflow.streaming import incremental as I
+    assert END
+    arrivals, _ = random_parts(spark, 31, keys=60)
+    plans, published = [], []
+    for few in (0, 100_000):
+        monkeypatch.setattr(I, "FEW_KEYS", few)
+        base = scratch_path(spark, "one")
+        stream = I.Incremental(spark, assembly(), f"{base}/tables", publish=lambda outs, b:
+                               published.append(len(outs.inputFiles())))
+        advance = stream._advance
+
+        def seen(*a):
+            got = advance(*a)
+            plans.append(got._jdf.queryExecution().optimizedPlan().toString())
+            return got
+        monkeypatch.setattr(stream, "_advance", seen)
+        feed(spark, stream, part_slices(arrivals, 3), PART, base)
+        assert got_cars(stream.outputs()) == model_cars(arrivals)
+        assert few or not any("Join" in p for p in plans)
+    assert any("Join" in p for p in plans) and sum(published) > 0
