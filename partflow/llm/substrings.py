@@ -18,16 +18,18 @@ windows around it:
 3. The first pointers of the buckets that step 2 split are refined once more, window by
    window, by the identifiers (128 bits) of whole windows; whatever has an earlier equal
    window is covered. The bytes of a run meet by bucket; buckets of more than ``WIDE`` runs
-   are dealt out by window instead, so that none is one task's work.
+   are dealt out by window instead, packed as pointers are, so that none is one task's work.
 
 Equal runs of one map task meet there already, so a group of copies costs one pointer per
 task. Pointers travel packed, a row per task and bucket range. Covered intervals join their
-documents by key at the end; texts travel compressed.
+documents by key at the end; texts travel compressed, once to their open runs and once to all
+that covers them, and are never stored.
 
 Null texts count as empty. Rows alike in key and text are one document: each gets that
 document's result. Rows alike in key but not in text are ordered and told apart by a 128-bit
-digest of the text, in two halves (``mark``, ``more``). A null key sorts first. Repeated
-texts under different keys are covered by the first.
+digest of the text, in two halves (``mark``, ``more``; zero where a key has one row, so that
+pointers there travel without them). A null key sorts first. Repeated texts under different keys
+are covered by the first.
 """
 
 from __future__ import annotations
@@ -52,6 +54,9 @@ DOC = ("ord", "mark", "more")
 #: at once.
 WIDE, WINDOWS = 2048, 1 << 18
 
+#: Keys of several rows that are broadcast at most; beyond, all documents keep their digest.
+FEW_KEYS = 100_000
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -155,18 +160,30 @@ def _parts(data: bytes) -> list[bytes]:
     return out
 
 
+def _halves(v: np.ndarray) -> list[bytes]:
+    """64-bit numbers, packed by halves."""
+    return [pack(v >> np.uint64(32)), pack(v & np.uint64(0xFFFFFFFF))]
+
+
+def _joined(high: bytes, low: bytes) -> np.ndarray:
+    return (unpack(high).astype(np.uint64) << np.uint64(32)) | unpack(low)
+
+
 def _pack_places(ord_, mark, more, start, size) -> list[bytes]:
-    """Documents as a table and each row's number in it."""
+    """Documents as a table, keys by their differences, and each row's number in it."""
     doc = np.stack([ord_, mark, more], axis=1)
     table, number = np.unique(doc, axis=0, return_inverse=True)
-    return [table.astype("<i8").tobytes(), pack(number.ravel()), pack(start), pack(size)]
+    key, *digest = np.ascontiguousarray(table.T).view(np.uint64)
+    key = np.concatenate([key[:1], key[1:] - key[:-1]])
+    return [*(h for v in (key, *digest) for h in _halves(v)), pack(number.ravel()),
+            pack(start), pack(size)]
 
 
 def _unpack_places(parts: list[bytes]) -> tuple[np.ndarray, ...]:
-    table = np.frombuffer(parts[0], "<i8").reshape(-1, 3)
-    doc = table[unpack(parts[1]).astype(np.int64)]
-    return (doc[:, 0], doc[:, 1], doc[:, 2], unpack(parts[2]).astype(np.int64),
-            unpack(parts[3]).astype(np.int64))
+    key, mark, more = (_joined(*parts[i:i + 2]) for i in (0, 2, 4))
+    number, start, size = (unpack(x).astype(np.int64) for x in parts[6:])
+    return (*(v.view(np.int64)[number] for v in (np.cumsum(key, dtype=np.uint64), mark, more)),
+            start, size)
 
 
 def _first_of(keys: list[np.ndarray], pointer: list[np.ndarray]):
@@ -201,37 +218,37 @@ def merged(ord_, mark, more, start, end):
     return ord_[new], mark[new], more[new], start[new], far[last] - base[new]
 
 
+def _dealt(held: list[tuple[np.ndarray, ...]], length: int, buckets: int):
+    """Packed rows of (ord, mark, more, start, windows, bucket, identifier): the first pointer of
+    each (bucket, identifier) (kind 0, by bucket range), and what the others cover (kind 1)."""
+    ord_, mark, more, a, size, g, c = (np.concatenate(x) for x in zip(*held))
+    order, _, first = _first_of([g, c], [ord_, mark, more, a])
+    keep, later = order[first], order[~first]
+    to = (g[keep] >> np.uint64(40)).astype(np.int64) % buckets
+    by = np.argsort(to, kind="stable")          # stays in order of g within a range
+    cut = np.searchsorted(to[by], np.arange(buckets + 1))
+    out = []
+    for b in range(buckets):
+        x = keep[by[cut[b]:cut[b + 1]]]
+        if len(x):
+            out.append((b, 0, _bytes(*_halves(g[x]), *_halves(c[x]), *_pack_places(
+                ord_[x], mark[x], more[x], a[x], size[x]))))
+    if len(later):
+        got = _sizes(*merged(ord_[later], mark[later], more[later], a[later],
+                             a[later] + size[later] + length - 1))
+        out.append((int(got[0][0]) % buckets, 1, _bytes(*_pack_places(*got))))
+    for x in range(0, len(out), 64):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v, t) for v, t in zip(zip(*out[x:x + 64]), _PACKED.types)],
+            schema=_PACKED)
+
+
 def pointers(length: int, buckets: int):
     """Map side: the first pointer of each (bucket, run) of the task (kind 0, packed by bucket
     range), and what the others cover (kind 1)."""
     def rows(batches):
         held: list[tuple[np.ndarray, ...]] = []
         n = 0
-
-        def flush():
-            ord_, mark, more, a, size, g, c = (np.concatenate(x) for x in zip(*held))
-            order, _, first = _first_of([g, c], [ord_, mark, more, a])
-            keep, later = order[first], order[~first]
-            to = (g[keep] >> np.uint64(40)).astype(np.int64) % buckets
-            by = np.argsort(to, kind="stable")          # stays in order of g within a range
-            cut = np.searchsorted(to[by], np.arange(buckets + 1))
-            out = []
-            for b in range(buckets):
-                x = keep[by[cut[b]:cut[b + 1]]]
-                if len(x):
-                    halves = [h for v in (g[x], c[x]) for h in
-                              (pack(v >> np.uint64(32)), pack(v & np.uint64(0xFFFFFFFF)))]
-                    out.append((b, 0, _bytes(*halves, *_pack_places(
-                        ord_[x], mark[x], more[x], a[x], size[x]))))
-            if len(later):
-                got = _sizes(*merged(ord_[later], mark[later], more[later], a[later],
-                                     a[later] + size[later] + length - 1))
-                out.append((int(got[0][0]) % buckets, 1, _bytes(*_pack_places(*got))))
-            for x in range(0, len(out), 64):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(zip(*out[x:x + 64]), _PACKED.types)],
-                    schema=_PACKED)
-
         for batch in batches:
             keys = np.array(batch.column(0).to_pylist(), np.int64)
             marks = np.array(batch.column(1).to_pylist(), np.int64)
@@ -250,10 +267,10 @@ def pointers(length: int, buckets: int):
                 held.append((keys[i], marks[i], mores[i], a - starts[doc] + off, size, g, c))
                 n += len(a)
                 if n >= POINTERS:
-                    yield from flush()
+                    yield from _dealt(held, length, buckets)
                     held, n = [], 0
         if held:
-            yield from flush()
+            yield from _dealt(held, length, buckets)
     return rows
 
 
@@ -273,15 +290,15 @@ def _found(ord_, mark, more, a, n, g=None, wide=None):
                  none if wide is None else wide), _FOUND.types)], schema=_FOUND)
 
 
-def refine_runs(length: int):
+def refine_runs(length: int, windows: bool = False):
     """Reduce side: all pointers of a bucket range. Later pointers of equal runs are covered;
-    the first ones of a bucket with several runs stay open."""
+    the first ones of a bucket with several runs stay open (``windows``: runs are single windows,
+    nothing stays open)."""
     def rows(batches):
         bucket, held = None, []
 
         def flush():
-            g, c = (np.concatenate([(unpack(p[i]).astype(np.uint64) << np.uint64(32))
-                                    | unpack(p[i + 1]) for p in held]) for i in (0, 2))
+            g, c = (np.concatenate([_joined(*p[i:i + 2]) for p in held]) for i in (0, 2))
             ord_, mark, more, a, size = (np.concatenate(x) for x in
                                          zip(*(_unpack_places(p[4:]) for p in held)))
             order, run, first = _first_of([g, c], [ord_, mark, more, a])
@@ -292,7 +309,7 @@ def refine_runs(length: int):
             x = order[~first]
             yield from _found(*_sizes(*merged(ord_[x], mark[x], more[x], a[x],
                                               a[x] + size[x] + length - 1)))
-            x = first & (count > 1)
+            x = first & (count > (len(count) if windows else 1))
             y = order[x]
             yield from _found(ord_[y], mark[y], more[y], a[y], size[y], g[y],
                               count[x] > WIDE)
@@ -385,27 +402,29 @@ def refine_windows(length: int):
     return rows
 
 
-def window_rows(length: int):
-    """For open runs of wide buckets: each window's identifier and place."""
-    out = pa.schema([(x, pa.int64()) for x in ("w1", "w2", *DOC, "a")])
-
+def window_pointers(length: int, buckets: int):
+    """For open runs of wide buckets: ``pointers`` to single windows, by their identifiers."""
     def rows(batches):
+        held: list[tuple[np.ndarray, ...]] = []
+        n = 0
         for b in batches:
             for doc, text, found in _open_runs(b):
                 data = np.frombuffer(text, np.uint8)
-                at = np.concatenate([np.arange(a, a + n) for a, n, _ in found])
-                w = [identifiers(data, length, seed)[0][at].view(np.int64) for seed in (1, 2)]
-                for x in range(0, len(at), 20_000):
-                    y = slice(x, x + 20_000)
-                    m = len(at[y])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(v) for v in (w[0][y], w[1][y],
-                                               *(np.full(m, d, np.int64) for d in doc),
-                                               at[y])], schema=out)
+                at = np.unique(np.concatenate([np.arange(a, a + m) for a, m, _ in found]))
+                w = [identifiers(data, length, seed)[0][at] for seed in (1, 2)]
+                held.append((*(np.full(len(at), d, np.int64) for d in doc), at,
+                             np.ones(len(at), np.int64), *w))
+                n += len(at)
+                if n >= POINTERS:
+                    yield from _dealt(held, length, buckets)
+                    held, n = [], 0
+        if held:
+            yield from _dealt(held, length, buckets)
     return rows
 
 
-def finish(length: int, keep_text: bool):
+def finish(keep_text: bool):
+    """Documents that nothing covers keep their digest; the others are cut."""
     out = pa.schema([("k", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                      ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
                      *([("kept", pa.binary())] if keep_text else [])])
@@ -415,7 +434,10 @@ def finish(length: int, keep_text: bool):
         unpack_text = zstandard.ZstdDecompressor().decompress
         for b in batches:
             got = []
-            for k, t, sure, late in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for k, n, sha, t, sure, late in zip(*(b.column(i).to_pylist() for i in range(6))):
+                if not sure and not late:
+                    got.append([k, n, 0, 0, sha, *([unpack_text(t)] if keep_text else [])])
+                    continue
                 text = unpack_text(t)
                 each = np.array([(x["a"], x["a"] + x["n"]) for x in [*(sure or ()),
                                                                      *(late or ())]],
@@ -424,24 +446,37 @@ def finish(length: int, keep_text: bool):
                 *_, a, e = merged(zero, zero, zero, each[:, 0], each[:, 1])
                 a, e = a.tolist(), e.tolist()
                 left = b"".join(text[x:y] for x, y in zip([0, *e], [*a, len(text)]))
-                got.append([k, len(text), len(text) - len(left), len(a),
+                got.append([k, n, n - len(left), len(a),
                             hashlib.sha256(left).hexdigest(), *([left] if keep_text else [])])
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in
                                               zip(zip(*got), out.types)], schema=out)
     return rows
 
 
+def named(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """k, what names the document (``DOC``) and its bytes t of every row of ``docs``."""
+    data = text_of(text).cast("binary")
+    rows = docs.select(F.col(key).cast("bigint").alias("k"), data.alias("t")).withColumn(
+        "ord", F.coalesce("k", F.lit(-(1 << 63))))
+    again = rows.groupBy("ord").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("ord")
+    keys = again.limit(FEW_KEYS + 1).count()
+    some = F.lit(keys > FEW_KEYS)
+    if 0 < keys <= FEW_KEYS:
+        rows = rows.join(F.broadcast(again.withColumn("_again", F.lit(True))), "ord", "left")
+        some = F.col("_again").isNotNull()
+    none = F.lit(0).cast("long")
+    return rows.select("k", "ord", F.when(some, F.xxhash64("t")).otherwise(none).alias("mark"),
+                       F.when(some, F.xxhash64(F.col("k").isNull(), F.col("t")))
+                       .otherwise(none).alias("more"), "t")
+
+
 def repeated_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text",
                         length: int = 100, keep_text: bool = False) -> DataFrame:
     """One row per row of ``docs``: key, n_bytes, n_removed, n_spans, kept_sha256, and with
     ``keep_text`` the bytes that stay."""
     kind = docs.schema[key].dataType.simpleString()
     n = parallelism(docs.sparkSession)
-    data = text_of(text).cast("binary")
-    rows = docs.select(F.col(key).cast("bigint").alias("k"),
-                       F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63))).alias("ord"),
-                       F.xxhash64(data).alias("mark"),
-                       F.xxhash64(F.col(key).isNull(), data).alias("more"), data.alias("t"))
+    rows = named(docs, key, text)
     # Steps 1 and 2: buckets of q-grams, split by runs.
     found = (rows.select(*DOC, "t").mapInArrow(pointers(length, 4 * n), PACKED)
              .repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
@@ -452,34 +487,27 @@ def repeated_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text"
         F.collect_list(F.when(F.col("g").isNotNull() & ~F.col("wide"),
                               F.struct("a", "n", "g"))).alias("open"),
         F.collect_list(F.when(F.col("wide"), F.struct("a", "n", "g"))).alias("spread"))
-    joined = rows.mapInArrow(compressed, "k bigint, ord bigint, mark bigint, more bigint, "
-                                         "n_bytes bigint, kept_sha256 string, t binary").join(
-        lists, [*DOC], "left")
-    some = F.col("sure").isNotNull()
-    joined = store(joined.withColumn("t", F.when(some | F.lit(keep_text), F.col("t"))),
-                   "substring-docs")
+    lists = store(lists, "substring-runs")  # read by step 3 and at the end
+    texts = rows.mapInArrow(compressed, "k bigint, ord bigint, mark bigint, more bigint, "
+                                        "n_bytes bigint, kept_sha256 string, t binary")
     # Step 3: what step 2 left open, window by window.
+    joined = texts.select(*DOC, "t").join(
+        lists.where("size(open) > 0 or size(spread) > 0").select(*DOC, "open", "spread"), [*DOC])
     late = (joined.where("size(open) > 0").select(*DOC, "t", "open")
             .mapInArrow(run_bytes(length), "g bigint, ord bigint, mark bigint, more bigint, "
                                            "a bigint, n bigint, t binary")
             .repartition(n, "g").sortWithinPartitions("g")
             .mapInArrow(refine_windows(length), FOUND).select(*DOC, "a", "n"))
-    windows = (joined.where("size(spread) > 0").select(*DOC, "t", "spread")
-               .mapInArrow(window_rows(length), "w1 bigint, w2 bigint, ord bigint, "
-                                                "mark bigint, more bigint, a bigint"))
-    windows = windows.withColumn("p", F.struct(*DOC, "a"))
-    least = windows.groupBy("w1", "w2").agg(F.min("p").alias("least"), F.count("*").alias("c"))
-    spread = (windows.join(least.where("c > 1"), ["w1", "w2"]).where("p > least")
-              .select(*DOC, "a", F.lit(length).cast("long").alias("n")))
+    spread = (joined.where("size(spread) > 0").select(*DOC, "t", "spread")
+              .mapInArrow(window_pointers(length, 4 * n), PACKED)
+              .repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
+              .mapInArrow(refine_runs(length, windows=True), FOUND).select(*DOC, "a", "n"))
     late = late.unionByName(spread).groupBy(*DOC).agg(
         F.collect_list(place).alias("late"))
-    done = "k bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    touched = (joined.where("sure is not null" if not keep_text else "true")
-               .select("k", *DOC, "t", "sure")
-               .join(late, [*DOC], "left").select("k", "t", "sure", "late")
-               .mapInArrow(finish(length, keep_text),
-                           done + (", kept binary" if keep_text else "")))
-    zero = F.lit(0).cast("long")
-    out = touched if keep_text else touched.unionByName(joined.where("sure is null").select(
-        "k", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256"))
+    covered = lists.select(*DOC, "sure").join(late, [*DOC], "left")
+    out = (texts.join(covered, [*DOC], "left")
+           .select("k", "n_bytes", "kept_sha256", "t", "sure", "late")
+           .mapInArrow(finish(keep_text), "k bigint, n_bytes bigint, n_removed bigint, "
+                                          "n_spans bigint, kept_sha256 string"
+                                          + (", kept binary" if keep_text else "")))
     return out.select(F.col("k").cast(kind).alias(key), *out.columns[1:])

@@ -214,6 +214,51 @@ def test_substrings_repeated_rows(docs_of):
     assert got == [(1, one[1][1]), (1, one[1][1]), (2, one[2][1])]
 
 
+def test_substrings_places_travel_small():
+    """A pointer's document costs few bytes where keys are unique; any digest and key comes back."""
+    import numpy as np
+    from partflow.llm import substrings as S
+    n = np.arange(4000)
+    zero = np.zeros(len(n), np.int64)
+    places = (n * 3 + (1 << 40), zero, zero, n % 500, n % 60)
+    packed = S._pack_places(*places)
+    assert sum(map(len, packed)) < 8 * len(n)
+    for x, y in zip(S._unpack_places(packed), places):
+        assert (x == y).all()
+    odd = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, (3, 4000))
+    odd[0, :5] = -(1 << 63)
+    for x, y in zip(S._unpack_places(S._pack_places(*odd, n, n)), (*odd, n, n)):
+        assert (x == y).all()
+
+
+def test_substrings_store_no_text(docs_of, monkeypatch):
+    from partflow.llm import substrings as S
+    stored, store = [], S.store
+
+    def seen(df, name):
+        stored.append(df.schema.simpleString())
+        return store(df, name)
+    monkeypatch.setattr(S, "store", seen)
+    check_substrings(docs_of, list(enumerate(passages(5, 30))))
+    assert stored and not any("binary" in x or "string" in x for x in stored)
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_substrings_digests_of_repeated_keys(docs_of, monkeypatch, few):
+    """Only keys of several rows carry digests, all keys where those are many."""
+    from partflow.llm import substrings as S
+    monkeypatch.setattr(S, "FEW_KEYS", few)
+    p = "".join(random.Random(2).choices("abcdefgh", k=150))
+    df = docs_of([(k, t, "en", "a") for k, t in
+                  ((None, "0" + p), (-(1 << 63), "1" + p), (4, "2" + p), (7, "3" + p),
+                   (7, "4" + p), (9, None))])
+    rows = {bytes(r.t): (r.mark != 0, r.more != 0) for r in S.named(df, "doc_id", "text").collect()}
+    assert rows[b"0" + p.encode()] == rows[b"3" + p.encode()] == (True, True)
+    assert rows[b"2" + p.encode()] == ((False, False) if few else (True, True))
+    got = sorted(r.n_removed for r in S.repeated_substrings(df).collect())
+    assert got == [0, 0, 150, 150, 150, 150]
+
+
 @pytest.mark.parametrize("key", [None, 5])
 def test_substrings_many_texts_under_one_key(docs_of, key):
     """Pairs of texts share a passage: one of each pair loses it, and no other byte goes."""
