@@ -8,7 +8,8 @@ time; what stays without an answer is due again ``delay`` later, until it has be
 nothing but the cars that wait for it, and waits survive a restart with the state. The clock is
 the newest ``ts`` that has come (rows without a car only move it on, as a trigger does).
 
-A car leaves once all its lookups are settled, priced as form 1 prices it. Tables are versioned
+A car leaves once all its lookups are settled, priced as form 1 prices it; a car's lookups meet
+in one grouping per micro-batch, which both tells whether it waits on and prices it. Tables are versioned
 and become visible by a manifest per micro-batch (``streaming/incremental.Versions``).
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partflow.operators.pricing import BUCKET_PRICES, _fold, _lookups, _settle, asker
+from partflow.operators.pricing import BUCKET_PRICES, _lookups, _settle, asker
 from partflow.session import state_partitions
 from partflow.streaming.incremental import Versions
 
@@ -96,19 +97,40 @@ class Lookups:
                                   .otherwise(F.col("price")))
                  .withColumn("tries", F.col("tries") + F.col("_due").cast("int"))
                  .withColumn("due", F.when(F.col("_due"), now + F.expr(f"INTERVAL {self.delay}"))
-                             .otherwise(F.col("due"))).select(*rows.columns)).persist()
+                             .otherwise(F.col("due"))).select(*rows.columns))
         open_ = (F.col("price").isNull() & F.col("id").isNotNull()
                  & (F.col("tries") <= self.retries) & (F.col("until") > now))
-        waiting = tried.groupBy(*self.car_key).agg(F.max(open_).alias("_open"))
-        both = tried.join(waiting, self.car_key).persist()
-        done = _settle(_fold(both.where("not _open"), self.car_key, list(self.ids)), self.ids,
-                       "total_price")
-        v.write("out", batch_id, done)
-        v.write("state", batch_id, both.where("_open").drop("_open"))
+        per_car = self._per_car(tried, open_).persist()
+        v.write("out", batch_id, self._settled(per_car.where("not _open")))
+        v.write("state", batch_id, self._waiting(per_car.where("_open")).select(*rows.columns))
         v.commit(batch_id, clock, 0, 1)
-        for x in (both, tried, rows, batch):
+        for x in (per_car, rows, batch):
             x.unpersist()
 
+    def _per_car(self, tried: DataFrame, open_: Column) -> DataFrame:
+        """One row per car, grouped once: its record, its lookups and whether one is open."""
+        own = [c for c in tried.columns if c not in (*self.car_key, "_car")]
+        return tried.groupBy(*self.car_key).agg(
+            F.first("_car", ignorenulls=True).alias("_car"),
+            F.collect_list(F.struct(*own)).alias("_lookups"),
+            F.max(F.coalesce(open_, F.lit(False))).alias("_open"))
+
+    def _settled(self, cars: DataFrame) -> DataFrame:
+        """What ``pricing._fold`` gives, from a car's own lookups; then as form 1 settles it."""
+        def of(k):
+            return F.filter("_lookups", lambda x: x["kind"] == k)
+        found = [F.array_max(F.transform(of(k), lambda x: x["price"])).alias(f"_p_{k}")
+                 for k in self.ids]
+        failed = [F.when(F.exists(of(k), lambda x: x["id"].isNotNull() & x["price"].isNull()), 1)
+                  .alias(f"_f_{k}") for k in self.ids]
+        return _settle(cars.select(*self.car_key, "_car.*", *found, *failed), self.ids,
+                       "total_price")
+
+    def _waiting(self, cars: DataFrame) -> DataFrame:
+        """Back to a row per lookup, the car on its first one."""
+        return cars.select(*self.car_key, "_car", F.inline("_lookups")).withColumn(
+            "_car", F.when(F.col("kind") == next(iter(self.ids)), F.col("_car")))
+
     def run(self, source: DataFrame, checkpoint: str) -> None:
         """Take what the streaming ``source`` (ts, car) has, and stop."""
         with state_partitions(self.spark):
